@@ -1,8 +1,8 @@
 """Queries and SQL of the corpus operators, gathered from their modules."""
 
-from heddle.llm import packing, simhash, wordpiece
+from heddle.llm import ann, packing, pii, simhash, vecdup, warc, wordpiece
 
-MODULES = (simhash, packing, wordpiece)
+MODULES = (simhash, packing, pii, vecdup, ann, wordpiece, warc)
 
 
 def queries() -> dict:
