@@ -151,6 +151,10 @@ def _written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["name"], s["start"], s["end"])), ",")
 
 
+def _count(spans: Column, kind: int) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind))
+
+
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every whole document, as counts and digests of spans."""
     found = find_personal_data(table(spark, sf_dir, "documents"))
@@ -158,7 +162,7 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"] <= max(bases))
     return found.select(
         "doc_id",
-        *(F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{KINDS[i].name}") for i in bases),
+        *(_count(F.col("spans"), i).cast("long").alias(f"n_{KINDS[i].name}") for i in bases),
         F.sha2(_written(base).cast("binary"), 256).alias("base_sha256"),
         _written(F.col("spans")).alias("spans"),
     )
