@@ -1,16 +1,18 @@
 """Document quality by voting of the nearest labelled documents in a latent space.
 
 Features of a whole text are counts of byte-class trigrams (how letters, digits,
-marks and blanks follow each other) and of hashed letter trigrams. They are
-weighted by inverse document frequency and projected by the leading singular
+marks and blanks follow each other) and of hashed letter trigrams, and the share
+of words that repeat the word before. They are weighted by inverse document frequency and projected by the leading singular
 vectors of a bounded sample of labelled documents (latent semantic analysis).
 The sample's vectors, a matrix of known size, go to every task; a document's
 cosines to all of them are exact products in blocks, and the labels of the most
 similar vote with their similarity.
 """
 
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -27,7 +29,10 @@ NEIGHBOURS = 15
 SHARPNESS = 4
 CLASSES = 12
 LETTER_BUCKETS = 1024
-FEATURES = CLASSES**3 + LETTER_BUCKETS
+#: Shares of words that repeat the word before; a text's bucket is one feature.
+REPEATS = (0.02, 0.05, 0.1, 0.2, 0.4, 0.7)
+REPEAT_WEIGHT = 12.0
+FEATURES = CLASSES**3 + LETTER_BUCKETS + len(REPEATS) + 1
 
 
 def _byte_classes() -> np.ndarray:
@@ -46,7 +51,7 @@ _FOLDED[65:91] += 32
 
 
 def features(data: bytes, block: int = 1 << 20) -> np.ndarray:
-    """Counts of a UTF-8 text's class trigrams and hashed letter trigrams, as logs of 1 + n."""
+    """Logs of 1 + n for a UTF-8 text's class trigrams and hashed letter trigrams, and its bucket of repeats."""
     counts = np.zeros(FEATURES)
     for at in range(0, max(len(data) - 2, 0), block):
         some = np.frombuffer(data, dtype=np.uint8, count=min(block + 2, len(data) - at), offset=at)
@@ -54,8 +59,12 @@ def features(data: bytes, block: int = 1 << 20) -> np.ndarray:
         counts[: CLASSES**3] += np.bincount((kind[:-2] * CLASSES + kind[1:-1]) * CLASSES + kind[2:], minlength=CLASSES**3)
         letter = _FOLDED[some]
         hashed = (letter[:-2] * 7919 + letter[1:-1] * 104_729 + letter[2:] * 1_299_709) % LETTER_BUCKETS
-        counts[CLASSES**3 :] += np.bincount(hashed, minlength=LETTER_BUCKETS)
-    return np.log1p(counts)
+        counts[CLASSES**3 : CLASSES**3 + LETTER_BUCKETS] += np.bincount(hashed, minlength=LETTER_BUCKETS)
+    counts = np.log1p(counts)
+    if len(words := data.split()) > 1:
+        share = sum(map(eq, words, words[1:])) / (len(words) - 1)
+        counts[CLASSES**3 + LETTER_BUCKETS + bisect(REPEATS, share)] = REPEAT_WEIGHT
+    return counts
 
 
 @dataclass

@@ -1,8 +1,8 @@
 """Queries and SQL of the corpus operators, gathered from their modules."""
 
-from heddle.llm import ann, packing, pii, quality, simhash, vecdup, warc, wordpiece
+from heddle.llm import ann, packing, pii, quality, secrets, simhash, vecdup, warc, wordpiece
 
-MODULES = (simhash, packing, pii, quality, vecdup, ann, wordpiece, warc)
+MODULES = (simhash, packing, pii, quality, secrets, vecdup, ann, wordpiece, warc)
 
 
 def queries() -> dict:
