@@ -93,6 +93,16 @@ class Voters:
         return np.where(rows.any(axis=1), np.clip(score, 0, 1), self.prior)
 
 
+def leading_axes(rows: np.ndarray, k: int, rounds: int = 6, seed: int = 5) -> np.ndarray:
+    """The leading right singular vectors of ``rows``, by subspace iteration from a fixed random start."""
+    k = min(k, *rows.shape)
+    axes = np.random.default_rng(seed).standard_normal((rows.shape[1], min(k + 16, *rows.shape))).astype(rows.dtype)
+    for _ in range(rounds):
+        axes, _ = np.linalg.qr(rows.T @ (rows @ axes))
+    _, _, turn = np.linalg.svd(rows @ axes, full_matrices=False)
+    return axes @ turn[:k].T
+
+
 def fit(texts: list[bytes], labels: np.ndarray, dimensions: int = DIMENSIONS) -> Voters:
     """A model of labelled texts; without any, every score is one half."""
     if not len(texts):
@@ -101,8 +111,7 @@ def fit(texts: list[bytes], labels: np.ndarray, dimensions: int = DIMENSIONS) ->
     idf = np.log((1 + len(rows)) / (1 + (rows > 0).sum(axis=0))) + 0.1
     weighted = rows * idf
     weighted /= np.maximum(np.linalg.norm(weighted, axis=1, keepdims=True), 1e-12)
-    _, axes = np.linalg.eigh(weighted.T @ weighted)
-    projection = (idf[:, None] * axes[:, ::-1][:, :dimensions]).astype(np.float32)
+    projection = (idf[:, None] * leading_axes(weighted, dimensions)).astype(np.float32)
     model = Voters(projection, np.zeros((0, 1)), labels.astype(np.float64), float(labels.mean()))
     model.vectors = model.embed(rows).astype(np.float32)
     return model
@@ -130,6 +139,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, id
     return [bytes(r["text"]) for r in found], np.array([r["quality"] for r in found], dtype=np.int64)
 
 
+def quality_score(spark: SparkSession, model: Voters, text: Column) -> Column:
+    """The score of a text column; see ``score_quality``."""
+    sent = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            parts = [sent.value.score(list(texts.iloc[at : at + 250])) for at in range(0, len(texts), 250)]
+            yield pd.Series(np.concatenate(parts) if parts else [], dtype="float64")
+
+    return score(F.coalesce(text, F.lit("")).cast("binary"))
+
+
 def score_quality(docs: DataFrame, model: Voters, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` and ``score`` for every row of ``docs``.
 
@@ -138,15 +160,12 @@ def score_quality(docs: DataFrame, model: Voters, id_col: str = "doc_id", text_c
     rows are scored each, other columns are not read, an empty table gives no
     rows.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    return docs.select(F.col(id_col).alias("doc_id"), quality_score(docs.sparkSession, model, F.col(text_col)).alias("score"))
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            parts = [sent.value.score(list(texts.iloc[at : at + 250])) for at in range(0, len(texts), 250)]
-            yield pd.Series(np.concatenate(parts) if parts else [], dtype="float64")
 
-    return docs.select(F.col(id_col).alias("doc_id"), score(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("score"))
+def keep_scored(docs: DataFrame, model: Voters, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score is at least ``least``, with all their columns."""
+    return docs.where(quality_score(docs.sparkSession, model, docs[text_col]) >= least)
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

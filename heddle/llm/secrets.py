@@ -327,6 +327,18 @@ class Scanner:
                     spans.append(span)
         return sorted(spans)
 
+    def redacted(self, text: str, mark: str) -> str:
+        """The text with ``mark`` in place of its secrets; values of assignments, not their names."""
+        spans = [(a, e) for a, k, e in self.scan(text) if k]
+        if any(word in text.lower() for word in _KEYWORDS):
+            spans += value_spans(text)
+        out, at = [], 0
+        for a, b in sorted(spans):
+            if a >= at:
+                out += [text[at:a], mark]
+            at = max(at, b)
+        return "".join(out) + text[at:] if spans else text
+
     def _stretches(self, text: str) -> Iterator[tuple[int, int]]:
         """Parts of the text, cut at blanks, outside of which every tag is O.
 
@@ -381,6 +393,27 @@ def find_secrets(docs: DataFrame, field: ChainField, id_col: str = "doc_id", tex
     return docs.select(F.col(id_col).alias("doc_id"), scan(F.coalesce(F.col(text_col), F.lit(""))).alias("spans"))
 
 
+def redact(docs: DataFrame, field: ChainField, mark: str = "<SECRET>", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """``docs`` with every secret in the texts replaced by ``mark``.
+
+    Of an assignment the value goes and the name stays. A column of lengths, if
+    there is one, follows. Null texts stay null.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(field.weights)
+
+    @F.pandas_udf("string")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scanner = Scanner(ChainField(sent.value))
+        for texts in batches:
+            yield texts.map(lambda t: t if t is None else scanner.redacted(t, mark))
+
+    changed = docs.withColumn(text_col, clean(docs[text_col]))
+    if length_col not in docs.columns:
+        return changed
+    length = F.when(F.col(text_col).isNotNull(), F.length(text_col)).otherwise(F.col(length_col))
+    return changed.withColumn(length_col, length.cast(docs.schema[length_col].dataType))
+
+
 def _written(spans):
     """kind:start:end, comma-joined."""
     names = F.array(*map(F.lit, (*BASE_KINDS, "crf")))

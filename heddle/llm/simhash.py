@@ -220,6 +220,17 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id
     return prints.join(labelled, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def keep_one(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the documents that a component's least id stands for.
+
+    Rows with a null id have no name to be dropped by and stay, and rows that
+    repeat an id are one document: they stay or go together.
+    """
+    found = near_duplicates(docs.select(id_col, text_col), radius, id_col, text_col)
+    dropped = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")).distinct()
+    return docs.join(dropped, docs[id_col] == F.col("_dropped"), "left_anti")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents at 4 differing bits or fewer."""
     text_batches(spark)
