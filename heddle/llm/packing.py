@@ -19,6 +19,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -129,9 +130,12 @@ class LevelPacker:
 _WORD_AND_TAIL = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+)([!-&(-/:-@\[-`{-~]*)")
 
 
+@lru_cache(maxsize=2)
 def _encoder(path: str) -> ChunkCache:
     """Chunk → its ids as little-endian unsigned 32-bit numbers, by the tokenizer itself.
 
+    A worker keeps it, with what it has cached, from task to task.
+
     The common chunks, a word with punctuation behind, go through a copy of the
     tokenizer that only merges: words of a batch are encoded together, and as a
     word's last token bears the word-end mark, the ids fall apart into words.
