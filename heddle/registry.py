@@ -4,12 +4,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from heddle.queries import markets, panels, texts
+
 Query = Callable[[SparkSession, str], DataFrame]
+MODULES = (panels, texts, markets)
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return {name: query for module in MODULES for name, query in module.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Queries without SQL (models, approximate pairs) are checked by the tests."""
+    return {name: sql for module in MODULES for name, sql in module.ORACLE_SQL.items()}
