@@ -24,8 +24,10 @@ from heddle.sources import table
 SHINGLE = 4
 RADIUS = 4
 SEED = 42
-#: Points that a shard should own; the number of shards follows the points.
-SHARD_POINTS = 8192
+#: Points that a shard should own at most, and the levels that are split in any case.
+#: Visits grow with the levels, so shards are as large as a task can well hold.
+SHARD_POINTS = 65_536
+LEAST_LEVELS = 4
 #: Fingerprints that the sharding tree is fitted on, at most.
 FIT_POINTS = 20_000
 #: Points of a leaf of the trees inside shards.
@@ -177,9 +179,9 @@ def simhash_links(classes: DataFrame, scratch: Scratch, radius: int = RADIUS, sh
     n = classes.count()
     if not n:
         return classes.select(F.col("node").alias("src"), F.col("node").alias("dst"))
-    depth = max(0, int(np.ceil(np.log2(n / shard_points))))
+    depth = max(LEAST_LEVELS, int(np.ceil(np.log2(n / shard_points))))
     fraction = min(1.0, 1.2 * fit_points / n)
-    sample = [r.fp for r in classes.select("fp").where(F.xxhash64("fp") % 1_000_000 < int(fraction * 1_000_000)).limit(fit_points).collect()] if depth else [0]
+    sample = [r.fp for r in classes.select("fp").where(F.xxhash64("fp") % 1_000_000 < int(fraction * 1_000_000)).limit(fit_points).collect()]
     top = VantageTree(np.array(sample or [0], dtype=np.int64).view(np.uint64), leaf=8, depth=depth)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
