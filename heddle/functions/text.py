@@ -134,8 +134,17 @@ def amenity_flags(text: Column) -> list[Column]:
 
 
 def char_shingles(text: Column, n: int = 3) -> Column:
-    """All overlapping runs of ``n`` characters, with repeats; none for shorter or null texts."""
-    return F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    """All overlapping runs of ``n`` characters, with repeats; none for shorter or null texts.
+
+    The array of characters is zipped with itself moved on, which is linear in
+    the text; cutting substrings would walk the text anew for each.
+    """
+    letters = F.split(text, "")
+    runs = letters
+    for i in range(2, n + 1):
+        runs = F.zip_with(runs, F.slice(letters, F.lit(i), F.greatest(F.size(letters), F.lit(1))), lambda run, letter: F.concat(run, letter))
+    whole = F.slice(runs, F.lit(1), F.greatest(F.size(letters) - n + 1, F.lit(1)))
+    return F.when(F.length(text) >= n, whole).otherwise(F.array().cast("array<string>"))
 
 
 def block_key(province: Column, district: Column, area: Column, rent: Column) -> Column:

@@ -244,8 +244,8 @@ _STATUS = "CASE page_id % 4 WHEN 2 THEN 404 WHEN 3 THEN 503 ELSE 200 END"
 _TAGLESS = r"regexp_replace({}, '(?s)<[^>]*>', '{}', 'g')"
 _VISIBLE = r"trim(regexp_replace(" + _TAGLESS.format(r"regexp_replace(html, '(?is)<(?:script|style)[^>]*>.*?</(?:script|style)>', ' ', 'g')", " ") + r", '\s+', ' ', 'g'))"
 _BLOCK = "coalesce(lang, '') || '|' || CAST(CAST(round(length(text) / 100.0) * 100 AS INT) AS VARCHAR)"
-_SETS = f"""d AS (SELECT doc_id, {_BLOCK} AS block, list_sort(list_distinct(list_transform(range(1, length(text) - 1), lambda i: substr(text, CAST(i AS BIGINT), 3)))) AS g
-        FROM documents WHERE length(text) >= 3),
+_GRAMS = "list_transform(range(1, greatest(len(ch) - 1, 1)), lambda i: ch[i] || ch[i + 1] || ch[i + 2])"
+_SETS = f"""d AS (SELECT doc_id, block, list_sort(list_distinct({_GRAMS})) AS g FROM (SELECT doc_id, {_BLOCK} AS block, string_split(text, '') AS ch FROM documents WHERE length(text) >= 3)),
     s AS (SELECT block, g, min(doc_id) AS node FROM d GROUP BY block, g),
     p AS (SELECT a.node AS a, b.node AS b, len(list_intersect(a.g, b.g)) AS shared, len(a.g) AS na, len(b.g) AS nb FROM s a JOIN s b ON a.block = b.block AND a.node < b.node
         AND len(a.g) * 100 >= len(b.g) * 80 AND len(b.g) * 100 >= len(a.g) * 80),
@@ -305,7 +305,7 @@ ORACLE_SQL = {
         SELECT source, is_active, parse_error IS NULL AS parse_ok, parse_error, DATE '2026-01-02' AS crawl_date, count(*) AS rows FROM e GROUP BY ALL""",
     "block_keys": """SELECT p_partkey, concat_ws('|', coalesce(nullif(p_brand, 'Brand#2'), ''), coalesce(p_type, ''), CAST(CAST(round(p_size / 4) AS BIGINT) AS VARCHAR) || '.0',
         CAST(CAST(round(trunc(p_retailprice * 1000) / 100000) * 100000 AS BIGINT) AS VARCHAR)) AS block FROM part""",
-    "shingle_stats": """WITH g AS (SELECT doc_id, list_transform(range(1, greatest(length(text) - 1, 1)), lambda i: substr(text, CAST(i AS BIGINT), 3)) AS g FROM documents)
+    "shingle_stats": f"""WITH g AS (SELECT doc_id, {_GRAMS} AS g FROM (SELECT doc_id, string_split(text, '') AS ch FROM documents))
         SELECT doc_id, CAST(len(g) AS INTEGER) AS shingles, CAST(len(list_distinct(g)) AS INTEGER) AS distinct_shingles FROM g""",
     "neardup_pairs": f"WITH {_SETS} SELECT a AS id_a, b AS id_b, CAST(shared AS INTEGER) AS shared, CAST(united AS INTEGER) AS united FROM pairs",
     "dedupe_clusters": f"""WITH RECURSIVE {_SETS}, e AS (SELECT a AS x, b AS y FROM pairs UNION SELECT b, a FROM pairs),
