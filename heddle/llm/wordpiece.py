@@ -13,6 +13,7 @@ vocabulary marks word ends. New words of a batch walk in step, as arrays.
 import json
 from collections import deque
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -137,8 +138,12 @@ class LongestMatch:
         return total
 
 
+@lru_cache(maxsize=2)
 def _counter(path: str) -> ChunkCache:
-    """Chunk → words * WORD + pieces, the words as the tokenizer file's own rules split them."""
+    """Chunk → words * WORD + pieces, the words as the tokenizer file's own rules split them.
+
+    A worker keeps it, with what it has cached, from task to task.
+    """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
