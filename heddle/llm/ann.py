@@ -154,7 +154,7 @@ def _candidates(points: DataFrame, asked: DataFrame, forest: list[Tree], visits:
 
     def answer(leaf: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(leaf) or not len(queries):
-            return pd.DataFrame({"key": [], "other": [], "score": [], "ids": []})
+            return pd.DataFrame({"key": [], "other": [], "score": [], "ids": []}, dtype=object)
         stored, keys, ids = matrix(leaf["v"]), leaf["key"].to_numpy(), leaf["ids"].to_numpy()
         out = []
         for start in range(0, len(queries), 500):
