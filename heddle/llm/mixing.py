@@ -77,7 +77,7 @@ def posteriors(docs: DataFrame, weights: DataFrame, priors: list[float], id_col:
         F.sum("copies").alias("copies"), F.count("bucket").alias("words"), F.count("w0").alias("known"), *(F.sum(f"w{i}").alias(f"s{i}") for i in k)
     )
     tokens = (F.col("words") / F.col("copies")).cast("long")
-    scale = F.least(F.lit(1.0) / F.col("copies"), F.lit(float(EVIDENCE_WORDS)) / F.col("known"))
+    scale = F.least(F.lit(1.0) / F.col("copies"), F.lit(float(EVIDENCE_WORDS)) / F.greatest("known", F.lit(1)))
     sums = sums.select("doc_id", "text_hash", "copies", tokens.alias("tokens"), *((F.lit(priors[i]) + F.coalesce(F.col(f"s{i}") * scale, F.lit(0.0))).alias(f"s{i}") for i in k))
     sums = sums.withColumn("top", F.greatest(*(f"s{i}" for i in k)) if len(priors) > 1 else F.col("s0"))
     sums = sums.withColumns({f"e{i}": F.exp(F.col(f"s{i}") - F.col("top")) for i in k})
