@@ -1,5 +1,6 @@
 """Raw crawl records: schema, builder, reader and writers."""
 
+import base64
 import gzip
 
 import pandas as pd
@@ -10,12 +11,14 @@ from heddle.functions.web import last_segment
 SCHEMA = "listing_id string, source string, url string, crawl_ts string, http_status int, content_hash string, html_gz_b64 string, fetch_ms double, crawl_kind string"
 
 
-@F.pandas_udf("string")
-def gzip_base64(payloads: pd.Series) -> pd.Series:
+def gzip_base64(payload: Column) -> Column:
     """Bytes compressed and written in base64; the same bytes give the same text."""
-    import base64
 
-    return payloads.map(lambda b: None if b is None else base64.b64encode(gzip.compress(b, mtime=0)).decode())
+    @F.pandas_udf("string")
+    def packed(payloads: pd.Series) -> pd.Series:
+        return payloads.map(lambda b: None if b is None else base64.b64encode(gzip.compress(b, mtime=0)).decode())
+
+    return packed(payload)
 
 
 def bronze_records(pages: DataFrame, source: Column, status: Column, crawl_ts: Column, fetch_ms: Column, crawl_kind: str, url: str = "url", html: str = "html") -> DataFrame:

@@ -1 +1,5 @@
+"""Structured Streaming forms of the daily jobs."""
 
+from heddle.streaming.bronze import failure_streaks, probe_stream, read_bronze_stream, silver_stream
+
+__all__ = ["failure_streaks", "probe_stream", "read_bronze_stream", "silver_stream"]
