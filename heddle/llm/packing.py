@@ -23,7 +23,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from heddle.llm.batches import text_batches
@@ -203,14 +202,14 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = E
     A null or empty text is the end id alone. A null id stays null. Repeated
     rows are packed as often as they occur. Other columns are not read. An
     empty table gives no rows. ``vocabulary`` is a tokenizer file at the same
-    path on every executor. Sequence ids join the task's partition with a
-    count, so a retried task gives the same ids.
+    path on every executor. Sequence ids join the input's partition with a
+    count, so a retried task gives the same ids, whatever the plan above does.
     """
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, packer = _encoder(vocabulary), LevelPacker(window)
-        base, count = TaskContext.get().partitionId() << 32, 0
+        base = count = 0
         step = 4 * window
 
         def made(sequences: list[list]) -> pa.RecordBatch:
@@ -226,6 +225,8 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = E
             return pa.RecordBatch.from_arrays([pa.array(column, type=kind) for column, kind in zip(columns, PIECE.types)], schema=PIECE)
 
         for batch in batches:
+            if batch.num_rows:
+                base = batch.column(2)[0].as_py() << 32
             keys = iter(batch.column(0).to_pylist())
             for texts in text_blocks(batch.column(1)):
                 full = []
@@ -242,7 +243,7 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = E
             yield made(left)
 
     fields = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(rows, fields)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.spark_partition_id()).mapInArrow(rows, fields)
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

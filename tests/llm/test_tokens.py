@@ -49,7 +49,7 @@ def check_packing(pieces, texts, window=2048):
 
 def test_packing_holds_every_id_once(spark):
     df = rows(spark)
-    pieces = packing.pack(df, VOCABULARY).collect()
+    pieces = packing.pack(df.repartition(3), VOCABULARY).coalesce(1).collect()
     padding = check_packing(pieces, [*enumerate(TEXTS[1:], 1), (None, "no id here")])
     assert padding == 0
     assert sum(r["length"] for r in pieces) == sum(len(ids_of(t)) for t in [*TEXTS, "no id here", "again"])
