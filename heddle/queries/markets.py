@@ -100,6 +100,19 @@ def bargain_top100(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.bargains(price_gap(spark, sf_dir).withColumn("key", key), "price_gap", "key").select("key", "price_gap")
 
 
+def gap_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines by quartile of their price gap: rows and bounds."""
+    ranked = evaluation.gap_quartiles(price_gap(spark, sf_dir), "price_gap")
+    return ranked.groupBy("gap_quartile").agg(F.count("*").alias("rows"), F.min("price_gap").alias("lowest"), F.max("price_gap").alias("highest"))
+
+
+def derived_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs and ratios of part sizes and prices."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") - 1).alias("area"), F.col("p_partkey").alias("rooms"), F.col("p_retailprice").alias("price"))
+    made = models.derived_numbers(parts, "area", "rooms", "price")
+    return made.select("p_partkey", *(F.round(c, 6).alias(c) for c in ("log_area", "rooms_per_sqm", "log_price")))
+
+
 def error_deciles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors by decile of the actual price."""
     ranked = evaluation.quantile_groups(_predicted(spark, sf_dir), "l_extendedprice", 10)
@@ -179,7 +192,8 @@ def isotonic_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "frontier_new_urls": frontier_new_urls, "frontier_after_fetches": frontier_after_fetches, "frontier_batch": frontier_batch, "panel_due": panel_due, "freeze_cohort": freeze_cohort,
     "freeze_cohort_by_source": freeze_cohort_by_source, "temporal_split": temporal_split, "cluster_leak_guard": cluster_leak_guard, "median_baseline": median_baseline,
-    "mape_by_group": mape_by_group, "price_gap": price_gap, "bargain_top100": bargain_top100, "error_deciles": error_deciles, "pick_optimal": pick_optimal, "poi_radius": poi_radius,
+    "mape_by_group": mape_by_group, "price_gap": price_gap, "bargain_top100": bargain_top100, "error_deciles": error_deciles,
+    "gap_quartiles": gap_quartiles, "derived_numbers": derived_numbers, "pick_optimal": pick_optimal, "poi_radius": poi_radius,
     "grid_cells": grid_cells, "geo_precision": geo_precision, "rent_gbt": rent_gbt, "aft_survival": aft_survival, "text_idf": text_idf, "isotonic_curve": isotonic_curve,
 }
 
@@ -225,4 +239,8 @@ ORACLE_SQL = {
         FROM (SELECT c_custkey, {_PLACE.format(k="c_custkey")} FROM customer)""",
     "geo_precision": f"""WITH c AS (SELECT c_custkey, c_nationkey, {_PLACE.format(k="c_custkey")} FROM customer), m AS (SELECT c_nationkey, avg(lat) AS mid FROM c GROUP BY 1)
         SELECT CASE WHEN c_custkey % 3 <> 0 THEN 'exact' ELSE 'district' END AS geo_precision, count(*) AS customers, round(avg(CASE WHEN c_custkey % 3 <> 0 THEN lat ELSE mid END), 6) AS latitude FROM c JOIN m USING (c_nationkey) GROUP BY 1""",
+    "gap_quartiles": f"""WITH {_PREDICTED}, g AS (SELECT round((l_extendedprice - predicted) / predicted, 6) AS price_gap FROM q), b AS (SELECT quantile_cont(price_gap, [0.25, 0.5, 0.75]) AS bounds FROM g)
+        SELECT CAST(1 + len(list_filter(bounds, lambda x: x < price_gap)) AS INTEGER) AS gap_quartile, count(*) AS rows, min(price_gap) AS lowest, max(price_gap) AS highest FROM g CROSS JOIN b GROUP BY 1""",
+    "derived_numbers": """SELECT p_partkey, round(CASE WHEN p_size > 1 THEN ln(p_size - 1) END, 6) AS log_area, round(CASE WHEN p_size <> 1 THEN p_partkey / (p_size - 1) END, 6) AS rooms_per_sqm,
+        round(CASE WHEN p_retailprice > 0 THEN ln(p_retailprice) END, 6) AS log_price FROM part""",
 }

@@ -207,6 +207,22 @@ def exact_dup_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.exact_clusters(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def duplicate_rate_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sources = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return dedupe.duplicate_rate(exact_dup_clusters(spark, sf_dir).join(sources, "doc_id"), "source")
+
+
+def cluster_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty clusters of copies to look at."""
+    return dedupe.cluster_sample(exact_dup_clusters(spark, sf_dir), 20)
+
+
+def amenity_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by source with each amenity's words in them."""
+    flagged = table(spark, sf_dir, "documents").select("source", *ft.amenity_flags(F.col("text")))
+    return flagged.groupBy("source").agg(F.count("*").alias("rows"), *(F.sum(f"has_{name}").alias(f"has_{name}") for name in vocab.AMENITIES))
+
+
 def neardup_pairs_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Approximate pairs among the benchmark's texts and part names, by MinHash."""
     return dedupe.lsh_pairs(table(spark, sf_dir, "benchmark").withColumn("block", F.lit("all")), "item_id", "block", "text")
@@ -218,7 +234,8 @@ QUERIES = {
     "quality_gate_metrics": quality_gate_metrics, "duplicate_keys": duplicate_keys, "parse_rate": parse_rate, "missing_shares": missing_shares, "page_fields": page_fields,
     "page_links": page_links, "url_parts": url_parts, "sitemap_urls": sitemap_urls, "event_props": event_props, "bronze_records": bronze_records, "probe_classify": probe_classify,
     "silver_status": silver_status, "block_keys": block_keys, "shingle_stats": shingle_stats, "neardup_pairs": neardup_pairs, "dedupe_clusters": dedupe_clusters,
-    "duplicate_rate": duplicate_rate, "exact_dup_clusters": exact_dup_clusters, "neardup_pairs_lsh": neardup_pairs_lsh,
+    "duplicate_rate": duplicate_rate, "exact_dup_clusters": exact_dup_clusters, "duplicate_rate_by_source": duplicate_rate_by_source,
+    "cluster_sample": cluster_sample, "amenity_flags": amenity_flags, "neardup_pairs_lsh": neardup_pairs_lsh,
 }
 
 _NORMAL = r"lower(trim(regexp_replace(coalesce(raw, ''), '\s+', ' ', 'g')))"
@@ -315,4 +332,8 @@ ORACLE_SQL = {
         SELECT doc_id, canonical_id, count(*) OVER (PARTITION BY canonical_id) AS cluster_size, doc_id = canonical_id AS is_canonical FROM l""",
     "duplicate_rate": f"WITH {_EXACT} SELECT count(*) AS rows, count(*) FILTER (WHERE cluster_size > 1) AS duplicates, round(count(*) FILTER (WHERE cluster_size > 1) / count(*), 6) AS duplicate_rate FROM clusters",
     "exact_dup_clusters": f"WITH {_EXACT} SELECT * FROM clusters",
+    "duplicate_rate_by_source": f"""WITH {_EXACT} SELECT source, count(*) AS rows, count(*) FILTER (WHERE cluster_size > 1) AS duplicates,
+        round(count(*) FILTER (WHERE cluster_size > 1) / count(*), 6) AS duplicate_rate FROM clusters JOIN documents USING (doc_id) GROUP BY 1""",
+    "cluster_sample": f"WITH {_EXACT} SELECT canonical_id, cluster_size FROM clusters WHERE cluster_size > 1 AND is_canonical ORDER BY sha256('look:' || canonical_id), canonical_id LIMIT 20",
+    "amenity_flags": "SELECT source, count(*) AS rows, " + ", ".join(f"count(*) FILTER (WHERE regexp_matches(text, '(?i){words}')) AS has_{name}" for name, words in vocab.AMENITIES.items()) + " FROM documents GROUP BY 1",
 }
