@@ -50,7 +50,7 @@ def search(forest: list[Tree], vector: np.ndarray, visits: int) -> list[tuple[in
 
 
 def _least_ids(rows: DataFrame, most: int) -> DataFrame:
-    """(key, v, ids): distinct vectors with their ``most`` least ids, in order.
+    """(key, node, v, ids): distinct vectors with their ``most`` least ids, in order; node is the least.
 
     Partitions reduce first, so a key met everywhere brings few rows to its task.
     """
@@ -74,7 +74,7 @@ def _least_ids(rows: DataFrame, most: int) -> DataFrame:
 
     reduced = rows.select("key", "vec_id", "v").mapInPandas(reduce, "key string, v array<double>, ids array<long>")
     merged = reduced.groupBy("key").agg(F.first("v").alias("v"), F.flatten(F.collect_list("ids")).alias("ids"))
-    return merged.withColumn("ids", F.slice(F.sort_array("ids"), 1, most))
+    return merged.select("key", "v", F.slice(F.sort_array("ids"), 1, most).alias("ids")).withColumn("node", F.col("ids")[0])
 
 
 def nearest(
@@ -96,8 +96,9 @@ def nearest(
     rows = rows.where(usable(F.col("v"), dim) & F.col("vec_id").isNotNull())
     rows = rows.select("vec_id", F.sha2(F.col("v").cast("string"), 256).alias("key"), F.col("v").cast("array<double>").alias("v"))
     points = scratch.keep(_least_ids(rows, k + 1), "points")
-    queries = rows.where(F.col("vec_id") % every == 0).select("vec_id", "key")
-    asked = points.join(queries.select("key").distinct(), "key", "left_semi").select("key", "v")
+    queries = rows.where(F.col("vec_id") % every == 0).select("vec_id", "key").join(points.select("key", "node"), "key")
+    queries = scratch.keep(queries.select("vec_id", "node"), "queries")
+    asked = points.join(queries.select("node").distinct(), "node", "left_semi").select("node", "v")
     square = F.aggregate("v", F.lit(0.0), lambda t, x: t + x * x)
     n, top, least = points.agg(F.count("*"), F.max(square), F.min(square)).first()
     if n:
@@ -108,15 +109,16 @@ def nearest(
         forest = [fit_tree(sample, depth, seed) for seed in range(trees)]
         visits = max(2 * trees, int(np.ceil(share * (1 << depth))))
         blocks = max(1, -(-n_asked // QUERY_BLOCK))
-        best = scratch.keep(_candidates(points, asked, forest, visits, top if extend else None, blocks, k + 1), "best")
+        best = _candidates(points, asked, forest, visits, top if extend else None, blocks, k + 1)
     else:
-        best = points.select("key", F.lit("").alias("other"), F.lit(0.0).alias("score"), "ids")
-    # the least (-score, id) of a query vector's candidates, each vector once
-    order = F.struct((-F.col("score")).alias("down"), F.col("other").alias("other"), F.col("ids").alias("ids"))
-    merged = best.groupBy("key").agg(F.array_sort(F.collect_set(order)).alias("found"))
-    single = F.flatten(F.transform("found", lambda f: F.transform(f["ids"], lambda i: F.struct(f["down"].alias("down"), i.alias("id")))))
-    merged = merged.select("key", F.slice(F.array_sort(single), 1, k + 1).alias("found"))
-    ranked = queries.join(merged, "key").withColumn("found", F.slice(F.filter("found", lambda f: f["id"] != F.col("vec_id")), 1, k))
+        best = points.select("node", F.array().cast("array<struct<down:double,other:long>>").alias("found"))
+    # a query vector's best vectors, each once, then the least ids among those
+    merged = best.groupBy("node").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("found")))), 1, k + 1).alias("found"))
+    hits = merged.select("node", F.explode("found").alias("hit")).select("node", F.col("hit.down").alias("down"), F.col("hit.other").alias("other"))
+    named = hits.join(points.select(F.col("node").alias("other"), "ids"), "other")
+    single = named.select("node", F.transform("ids", lambda i: F.struct(F.col("down").alias("down"), i.alias("id"))).alias("ids"))
+    found = single.groupBy("node").agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, k + 1).alias("found"))
+    ranked = queries.join(found, "node").withColumn("found", F.slice(F.filter("found", lambda f: f["id"] != F.col("vec_id")), 1, k))
     ranked = ranked.select(F.col("vec_id").alias("query_id"), F.posexplode("found").alias("place", "hit"))
     return ranked.select("query_id", (F.col("place") + 1).alias("rank"), F.col("hit.id").alias("vec_id"), (-F.col("hit.down")).alias("score"))
 
@@ -130,7 +132,7 @@ def _extended(vectors: np.ndarray, top: float | None, query: bool = False) -> np
 
 
 def _candidates(points: DataFrame, asked: DataFrame, forest: list[Tree], visits: int, top: float | None, blocks: int, most: int) -> DataFrame:
-    """(key, other, score, ids): each query's ``most`` best in each leaf that it visits."""
+    """(node, found): each query's ``most`` best of each leaf that it visits, as (-score, node), a row for each leaf."""
     size = forest[0].leaves
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -140,7 +142,7 @@ def _candidates(points: DataFrame, asked: DataFrame, forest: list[Tree], visits:
                 for number, tree in enumerate(forest):
                     r, leaves = tree.route(seen)
                     for block in range(blocks):
-                        yield batch.iloc[r].assign(leaf=leaves + number * size, block=block)[["leaf", "block", "key", "v", "ids"]]
+                        yield batch.iloc[r].assign(leaf=leaves + number * size, block=block)[["leaf", "block", "node", "v"]]
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -150,29 +152,29 @@ def _candidates(points: DataFrame, asked: DataFrame, forest: list[Tree], visits:
                     some = found[start : start + 20]
                     leaves = [number * size + leaf for one in some for number, leaf in one]
                     out = batch.iloc[np.repeat(np.arange(start, start + len(some)), [len(one) for one in some])]
-                    yield out.assign(leaf=leaves, block=[int(key[:8], 16) % blocks for key in out["key"]])[["leaf", "block", "key", "v"]]
+                    yield out.assign(leaf=leaves, block=out["node"] % blocks)[["leaf", "block", "node", "v"]]
 
     def answer(leaf: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(leaf) or not len(queries):
-            return pd.DataFrame({"key": [], "other": [], "score": [], "ids": []}, dtype=object)
-        stored, keys, ids = matrix(leaf["v"]), leaf["key"].to_numpy(), leaf["ids"].to_numpy()
-        out = []
+            return pd.DataFrame({"node": [], "found": []}, dtype=object)
+        stored, nodes = matrix(leaf["v"]), leaf["node"].to_numpy()
+        found = []
         for start in range(0, len(queries), 500):
-            some = queries.iloc[start : start + 500]
-            wanted = matrix(some["v"])
+            wanted = matrix(queries["v"].iloc[start : start + 500])
             rough = wanted @ stored.T
             keep = min(most + 5, len(stored))
             at = np.argpartition(-rough, keep - 1, axis=1)[:, :keep]
             # products summed in one order wherever a pair meets, so that equal pairs have equal scores
             scores = (wanted[:, None, :] * stored[at]).sum(axis=2)
-            order = np.argsort(-scores, axis=1, kind="stable")[:, :most]
-            at, scores = np.take_along_axis(at, order, 1).ravel(), np.take_along_axis(scores, order, 1).ravel()
-            out.append(pd.DataFrame({"key": np.repeat(some["key"].to_numpy(), order.shape[1]), "other": keys[at], "score": scores, "ids": ids[at]}))
-        return pd.concat(out)
-
-    stored = points.mapInPandas(index, "leaf long, block long, key string, v array<double>, ids array<long>")
-    wanted = asked.mapInPandas(visit, "leaf long, block long, key string, v array<double>")
-    return stored.groupBy("leaf", "block").cogroup(wanted.groupBy("leaf", "block")).applyInPandas(answer, "key string, other string, score double, ids array<long>")
+            order = np.lexsort((nodes[at], -scores), axis=1)[:, :most]
+            at, scores = np.take_along_axis(at, order, 1), np.take_along_axis(scores, order, 1)
+            found += [[{"down": -s, "other": o} for s, o in zip(ss, oo)] for ss, oo in zip(scores.tolist(), nodes[at].tolist())]
+        return pd.DataFrame({"node": queries["node"].to_numpy(), "found": found})
+
+    points = points.select("node", "v")
+    stored = points.mapInPandas(index, "leaf long, block long, node long, v array<double>")
+    wanted = asked.mapInPandas(visit, "leaf long, block long, node long, v array<double>")
+    return stored.groupBy("leaf", "block").cogroup(wanted.groupBy("leaf", "block")).applyInPandas(answer, "node long, found array<struct<down:double,other:long>>")
 
 
 def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
