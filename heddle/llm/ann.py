@@ -26,9 +26,9 @@ NEIGHBOURS = 20
 TREES = 8
 LEAF_ROWS = 512
 MOST_DEPTH = 12
-#: Leaves that a query visits, over all trees, as a share of one tree's leaves. Vectors
-#: without structure need nearly all of it for a recall above 0.9; clustered ones far less.
-SEARCH_SHARE = 0.9
+#: Leaves that a query visits, over all trees, in multiples of one tree's leaves. Vectors
+#: without structure need more than one for a sure recall above 0.9; clustered ones far less.
+SEARCH_SHARE = 1.6
 #: Queries that meet a leaf in one task, about; more queries are dealt to more tasks.
 QUERY_BLOCK = 20_000
 
@@ -111,10 +111,10 @@ def nearest(
         blocks = max(1, -(-n_asked // QUERY_BLOCK))
         best = _candidates(points, asked, forest, visits, top if extend else None, blocks, k + 1)
     else:
-        best = points.select("node", F.array().cast("array<struct<down:double,other:long>>").alias("found"))
+        best = points.select("node", F.array().cast("array<double>").alias("scores"), F.array().cast("array<long>").alias("others"))
     # a query vector's best vectors, each once, then the least ids among those
-    merged = best.groupBy("node").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("found")))), 1, k + 1).alias("found"))
-    hits = merged.select("node", F.explode("found").alias("hit")).select("node", F.col("hit.down").alias("down"), F.col("hit.other").alias("other"))
+    answers = best.groupBy("node").agg(F.flatten(F.collect_list("scores")).alias("scores"), F.flatten(F.collect_list("others")).alias("others"))
+    hits = _best_of(answers, k + 1)
     named = hits.join(points.select(F.col("node").alias("other"), "ids"), "other")
     single = named.select("node", F.transform("ids", lambda i: F.struct(F.col("down").alias("down"), i.alias("id"))).alias("ids"))
     found = single.groupBy("node").agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, k + 1).alias("found"))
@@ -123,6 +123,26 @@ def nearest(
     return ranked.select("query_id", (F.col("place") + 1).alias("rank"), F.col("hit.id").alias("vec_id"), (-F.col("hit.down")).alias("score"))
 
 
+def _best_of(answers: DataFrame, most: int) -> DataFrame:
+    """(node, down, other): the ``most`` best of each node's answers by (-score, other), each other once.
+
+    A row holds what a query's leaves have answered, ``most`` for each leaf.
+    """
+
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            parts = []
+            for node, scores, others in zip(batch["node"], batch["scores"], batch["others"]):
+                others, first = np.unique(np.asarray(others, dtype=np.int64), return_index=True)
+                down = -np.asarray(scores, dtype=np.float64)[first]
+                order = np.lexsort((others, down))[:most]
+                parts.append(pd.DataFrame({"node": node, "down": down[order], "other": others[order]}))
+            if parts:
+                yield pd.concat(parts)
+
+    return answers.mapInPandas(merge, "node long, down double, other long")
+
+
 def _extended(vectors: np.ndarray, top: float | None, query: bool = False) -> np.ndarray:
     """``vectors`` with the component that evens norms out, 0 for queries; unchanged if top is None."""
     if top is None or not vectors.size:
@@ -132,7 +152,7 @@ def _extended(vectors: np.ndarray, top: float | None, query: bool = False) -> np
 
 
 def _candidates(points: DataFrame, asked: DataFrame, forest: list[Tree], visits: int, top: float | None, blocks: int, most: int) -> DataFrame:
-    """(node, found): each query's ``most`` best of each leaf that it visits, as (-score, node), a row for each leaf."""
+    """(node, scores, others): each query's ``most`` best of each leaf that it visits, a row for each leaf."""
     size = forest[0].leaves
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -156,9 +176,9 @@ def _candidates(points: DataFrame, asked: DataFrame, forest: list[Tree], visits:
 
     def answer(leaf: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(leaf) or not len(queries):
-            return pd.DataFrame({"node": [], "found": []}, dtype=object)
+            return pd.DataFrame({"node": [], "scores": [], "others": []}, dtype=object)
         stored, nodes = matrix(leaf["v"]), leaf["node"].to_numpy()
-        found = []
+        best, others = [], []
         for start in range(0, len(queries), 500):
             wanted = matrix(queries["v"].iloc[start : start + 500])
             rough = wanted @ stored.T
@@ -167,14 +187,14 @@ def _candidates(points: DataFrame, asked: DataFrame, forest: list[Tree], visits:
             # products summed in one order wherever a pair meets, so that equal pairs have equal scores
             scores = (wanted[:, None, :] * stored[at]).sum(axis=2)
             order = np.lexsort((nodes[at], -scores), axis=1)[:, :most]
-            at, scores = np.take_along_axis(at, order, 1), np.take_along_axis(scores, order, 1)
-            found += [[{"down": -s, "other": o} for s, o in zip(ss, oo)] for ss, oo in zip(scores.tolist(), nodes[at].tolist())]
-        return pd.DataFrame({"node": queries["node"].to_numpy(), "found": found})
+            best += list(np.take_along_axis(scores, order, 1))
+            others += list(nodes[np.take_along_axis(at, order, 1)])
+        return pd.DataFrame({"node": queries["node"].to_numpy(), "scores": best, "others": others})
 
     points = points.select("node", "v")
     stored = points.mapInPandas(index, "leaf long, block long, node long, v array<double>")
     wanted = asked.mapInPandas(visit, "leaf long, block long, node long, v array<double>")
-    return stored.groupBy("leaf", "block").cogroup(wanted.groupBy("leaf", "block")).applyInPandas(answer, "node long, found array<struct<down:double,other:long>>")
+    return stored.groupBy("leaf", "block").cogroup(wanted.groupBy("leaf", "block")).applyInPandas(answer, "node long, scores array<double>, others array<long>")
 
 
 def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
