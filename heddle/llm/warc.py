@@ -1,7 +1,7 @@
 """A content-addressed web archive: payloads once, headers apart, records by join.
 
-``write_archive`` stores each payload's bytes once, under its SHA-256, and each
-record's exact header bytes in a second table; ``read_archive`` joins the two
+``write_archive`` stores each payload's bytes once, compressed, under its SHA-256,
+and each record's exact header bytes in a second table; ``read_archive`` joins both
 into the records' original bytes, and checks every payload against its digest.
 ``export_warc`` and ``import_warc`` turn records into WARC 1.1 files and back.
 """
@@ -10,8 +10,10 @@ import gzip
 from collections.abc import Iterator
 
 import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from heddle.llm.batches import text_batches
 from heddle.plans.durable import Scratch
 from heddle.sources import table
 
@@ -34,6 +36,32 @@ def base32(sha1_hex: Column) -> Column:
     return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), letters), "")
 
 
+def packed(payload: Column) -> Column:
+    """Payload bytes as a Zstandard frame: what is shuffled and stored is a fraction of the pages."""
+
+    @F.pandas_udf("binary")
+    def compress(payloads: pd.Series) -> pd.Series:
+        return payloads.map(zstandard.ZstdCompressor(level=6).compress)
+
+    return compress(payload)
+
+
+def unpacked(frame: Column) -> Column:
+    """The bytes of a frame, null where there is none or it is damaged."""
+
+    @F.pandas_udf("binary")
+    def decompress(frames: pd.Series) -> pd.Series:
+        def one(data: bytes | None) -> bytes | None:
+            try:
+                return None if data is None else zstandard.ZstdDecompressor().decompress(data)
+            except zstandard.ZstdError:
+                return None
+
+        return frames.map(one)
+
+    return decompress(frame)
+
+
 def _field(name: str, value: Column) -> Column:
     """A header line, nothing where the value is null."""
     return F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit(CRLF)), F.lit(""))
@@ -76,14 +104,20 @@ def write_archive(pages: DataFrame, scratch: Scratch, least_bytes: int = LEAST_B
         "page_id", "url", payload.alias("payload"), F.sha2(payload, 256).alias("digest"),
         base32(F.sha1(payload)).alias("payload_digest"), F.octet_length(payload).cast("long").alias("payload_bytes"),
     )
-    responses = keyed.groupBy("digest").agg(F.max("page_id").alias("response_id"))
+    # how many rows repeat the response's page_id comes along, as only those need one picked
+    counted = keyed.groupBy("digest", "page_id").agg(F.count("*").alias("rows"))
+    largest = counted.groupBy("digest").agg(F.max(F.struct("page_id", "rows")).alias("last"))
+    responses = largest.select("digest", F.col("last.page_id").alias("response_id"), F.col("last.rows").alias("repeated"))
     first = F.col("page_id").eqNullSafe(F.col("response_id")) | (F.col("payload_bytes") < least_bytes)
     records = keyed.drop("payload").join(responses, "digest").withColumn("record_type", F.when(first, "response").otherwise("revisit"))
     headers = scratch.keep(records.select("digest", _headers(date).alias("header")), "headers")
-    # the response's row brings the bytes; rows that repeat its page_id are dropped by digest
-    owner = responses.select(F.col("response_id").alias("page_id"), F.col("digest").alias("owned"))
-    bytes_of = keyed.join(owner, keyed["page_id"].eqNullSafe(owner["page_id"]) & (keyed["digest"] == owner["owned"]))
-    payloads = scratch.keep(bytes_of.select("digest", "payload").dropDuplicates(["digest"]), "payloads")
+    # the response's row brings the bytes
+    owner = responses.select("response_id", "repeated", F.col("digest").alias("owned"))
+    stored = keyed.select("page_id", "digest", packed(F.col("payload")).alias("packed"))
+    bytes_of = stored.join(owner, stored["page_id"].eqNullSafe(F.col("response_id")) & (stored["digest"] == F.col("owned")))
+    once = bytes_of.where("repeated = 1").select("digest", "packed")
+    picked = bytes_of.where("repeated > 1").select("digest", "packed").dropDuplicates(["digest"])
+    payloads = scratch.keep(once.unionByName(picked), "payloads")
     return headers, payloads
 
 
@@ -94,7 +128,7 @@ def read_archive(headers: DataFrame, payloads: DataFrame) -> DataFrame:
     lines at its end) and ``payload``. A payload that doesn't match its digest,
     or a header without its payload, is an error.
     """
-    joined = headers.join(payloads, "digest", "left")
+    joined = headers.join(payloads, "digest", "left").withColumn("payload", unpacked(F.col("packed")))
     sound = F.sha2("payload", 256).eqNullSafe(F.col("digest"))
     payload = F.when(sound, F.col("payload")).otherwise(F.raise_error(F.lit("archive: payload doesn't match its digest")).cast("binary"))
     own = F.when(header_field("WARC-Type") == "revisit", F.lit("").cast("binary")).otherwise(F.col("payload"))
@@ -157,6 +191,7 @@ def import_warc(spark: SparkSession, path: str) -> DataFrame:
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive every page, read the archive back and describe its records."""
+    text_batches(spark)
     scratch = Scratch(spark, "warc")
     return describe_records(read_archive(*write_archive(table(spark, sf_dir, "pages"), scratch)))
 
