@@ -1,0 +1,162 @@
+"""Near-duplicates by word shingles: every pair of a Jaccard similarity of 0.8 or more.
+
+Texts of equal shingle sets collapse first. In any one order of all shingles two
+sets of that similarity share one of their first ``n - ceil(s * n) + 1``, so sets
+meet by those alone; shingles common in a bounded sample come last in the order,
+which makes groups small and changes no result. Groups are linked in two rounds:
+each set with its groups' least set, then the pairs that this leaves in different
+components, so a large group of near copies costs about its size. Each pair is
+confirmed on the whole texts.
+"""
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window, functions as F
+
+from heddle.plans.components import connected_components
+from heddle.plans.durable import Scratch
+
+SHINGLE = 5
+#: The least Jaccard similarity of near-duplicates, in percent.
+PERCENT = 80
+#: Texts that the order of shingles is fitted on, and shingles it puts last, at most.
+FIT_TEXTS = 4000
+COMMON = 50_000
+
+
+def word_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes of a text's word shingles: A-Z lowered, words between ASCII blanks; a shorter text is one."""
+    import xxhash
+
+    words = (text or "").encode().lower().split()
+    if not words:
+        return np.empty(0, dtype=np.uint64)
+    made = map(b" ".join, zip(*(words[i:] for i in range(shingle)))) if len(words) > shingle else [b" ".join(words)]
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, made), dtype=np.uint64))
+
+
+def set_name(grams: np.ndarray) -> int:
+    import xxhash
+
+    return int(np.uint64(xxhash.xxh64_intdigest(grams.tobytes())).view(np.int64))
+
+
+def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return shared * 100 >= (len(a) + len(b) - shared) * percent
+
+
+def _common(docs: DataFrame) -> np.ndarray:
+    """Shingles that three texts or more of a sample hold, the rarest first."""
+    n = docs.count()
+    share = int(min(1.0, FIT_TEXTS / max(n, 1)) * 1_000_000)
+
+    @F.pandas_udf("array<long>")
+    def grams(texts: pd.Series) -> pd.Series:
+        return pd.Series([word_set(t).view(np.int64) for t in texts])
+
+    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share).limit(FIT_TEXTS)
+    held = sample.select(F.explode(grams("text")).alias("gram")).groupBy("gram").agg(F.count("*").alias("held")).where("held > 2")
+    rows = held.orderBy(F.desc("held"), "gram").limit(COMMON).collect()
+    return np.array([r.gram for r in reversed(rows)], dtype=np.int64).view(np.uint64)
+
+
+def _heads(docs: DataFrame, percent: int) -> DataFrame:
+    """(gram, set_id, n, at): the first shingles of each set of more than none, and their places in the order."""
+    common = _common(docs)
+    by_value = np.argsort(common)
+    values = common[by_value]
+
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = set()
+        for batch in batches:
+            parts = []
+            for text in batch["text"]:
+                grams = word_set(text)
+                name, n = set_name(grams), len(grams)
+                if name in seen or not n:
+                    continue
+                seen.add(name)
+                late = np.zeros(n, dtype=np.int64)
+                if len(values):
+                    k = np.minimum(np.searchsorted(values, grams), len(values) - 1)
+                    late = np.where(values[k] == grams, by_value[k] + 1, 0)
+                head = grams[np.argsort(late, kind="stable")[: n - -(-n * percent // 100) + 1]]
+                parts.append(pd.DataFrame({"gram": head.view(np.int64), "set_id": name, "n": n, "at": np.arange(len(head))}))
+            if parts:
+                yield pd.concat(parts)
+
+    rows = docs.select("text").mapInPandas(first, "gram long, set_id long, n int, at int")
+    # one shuffle: copies from other tasks go, then shingles of a single set
+    rows = rows.repartition("gram").groupBy("gram", "set_id").agg(F.first("n").alias("n"), F.first("at").alias("at"))
+    group = Window.partitionBy("gram")
+    return rows.withColumn("held", F.count("*").over(group)).where("held > 1").drop("held")
+
+
+def _may_match(percent: int):
+    """Whether sets a and b that meet in a shingle can still have the similarity: those before it are not shared, if it is their first."""
+    shared = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
+    return shared * (100 + percent) >= (F.col("a.n") + F.col("b.n")) * percent
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(node, component) of the ids that have a near-duplicate, component the least id reachable.
+
+    Documents are linked when their sets of five-word shingles have a Jaccard
+    similarity of ``percent`` / 100 or more. Null texts are empty and, like all
+    texts without words, equal. Rows that repeat an id are one document. Rows
+    without an id are left out.
+    """
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "wordsets")
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where("doc_id is not null")
+
+    @F.pandas_udf("long")
+    def named(texts: pd.Series) -> pd.Series:
+        return pd.Series([set_name(word_set(t)) for t in texts], dtype="int64")
+
+    hashed = F.xxhash64("text").alias("text_hash")
+    prints = scratch.keep(docs.select("doc_id", hashed, named("text").alias("set_id")), "prints")
+    owners = scratch.keep(prints.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("own")).select("set_id", "own.*"), "owners")
+    heads = scratch.keep(_heads(docs, percent), "heads")
+    wanted = owners.join(heads.select("set_id").distinct(), "set_id")
+    texts = docs.select("doc_id", hashed, "text").join(wanted, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"]).select("set_id", "text")
+    texts = scratch.keep(texts, "texts")
+
+    @F.pandas_udf("boolean")
+    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([similar(word_set(x), word_set(y), percent) for x, y in zip(a, b)], dtype=bool)
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(texts.select(F.col("set_id").alias("src"), F.col("text").alias("text_a")), "src")
+        both = both.join(texts.select(F.col("set_id").alias("dst"), F.col("text").alias("text_b")), "dst")
+        return both.where(alike("text_a", "text_b")).select("src", "dst")
+
+    least = F.min(F.struct("set_id", "n", "at")).over(Window.partitionBy("gram"))
+    starred = heads.withColumn("b", least).select(F.struct("set_id", "n", "at").alias("a"), "b").where("a.set_id <> b.set_id")
+    star = starred.where(_may_match(percent)).select(F.col("b.set_id").alias("src"), F.col("a.set_id").alias("dst")).distinct()
+    star = scratch.keep(star, "star")
+    links = scratch.keep(confirmed(star), "links")
+    parts = connected_components(links, scratch)
+    group = Window.partitionBy("gram")
+    placed = heads.join(parts.select(F.col("node").alias("set_id"), "component"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+    apart = placed.withColumns({"low": F.min("component").over(group), "high": F.max("component").over(group)}).where("low <> high").drop("low", "high")
+    apart = scratch.keep(apart, "apart")
+    a, b = apart.alias("a"), apart.alias("b")
+    cross = (F.col("a.gram") == F.col("b.gram")) & (F.col("a.set_id") < F.col("b.set_id")) & (F.col("a.component") != F.col("b.component")) & _may_match(percent)
+    rest = a.join(b, cross).select(F.col("a.set_id").alias("src"), F.col("b.set_id").alias("dst")).distinct().join(star, ["src", "dst"], "left_anti")
+    more = scratch.keep(confirmed(scratch.keep(rest, "rest")), "links")
+    named_by = owners.select("set_id", F.col("doc_id").alias("node"))
+    pairs = links.unionByName(more)
+    pairs = pairs.join(named_by.select(F.col("set_id").alias("src"), F.col("node").alias("a")), "src").join(named_by.select(F.col("set_id").alias("dst"), F.col("node").alias("b")), "dst")
+    copies = prints.join(named_by, "set_id").where("doc_id <> node").select(F.col("doc_id").alias("src"), F.col("node").alias("dst"))
+    return connected_components(copies.unionByName(pairs.select(F.col("a").alias("src"), F.col("b").alias("dst"))), scratch)
+
+
+def keep_one(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the documents that a component's least id stands for; rows with a null id stay."""
+    found = near_duplicates(docs.select(id_col, text_col), percent, id_col, text_col)
+    dropped = found.where("node <> component").select(F.col("node").alias("_dropped")).distinct()
+    return docs.join(dropped, docs[id_col] == F.col("_dropped"), "left_anti")

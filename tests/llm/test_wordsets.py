@@ -1,0 +1,50 @@
+import itertools
+import random
+
+import corpus_pipeline
+from heddle.llm import wordsets
+
+
+def slow_set(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))}
+
+
+def brute_kept(rows):
+    root = {i: i for i, _ in rows}
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for (i, s), (j, t) in itertools.combinations([(i, slow_set(t)) for i, t in rows], 2):
+        if 5 * len(s & t) >= 4 * len(s | t):
+            a, b = sorted((find(i), find(j)))
+            root[b] = a
+    return sorted(i for i in root if find(i) == i)
+
+
+def test_stage_keeps_one_of_texts_from_a_similarity_of_0_8(spark):
+    chance = random.Random(4)
+    phrase, texts = [f"common{i}" for i in range(30)], ["", " \n", "A b c", "a B c", "a b", "one two three four five"]
+    for n in (12, 40, 60, 100, 200, 400) * 4:
+        base = [f"w{chance.randrange(10**6)}" for _ in range(n)] + phrase * chance.randrange(2)
+        for changes in (0, 0, 1, 1, 2, 3, 4, 6, 9):
+            words = list(base)
+            for at in chance.sample(range(len(words)), min(changes, len(words))):
+                words[at] = f"new{chance.randrange(10**6)}"
+            texts.append(" ".join(words))
+    # a large group of near copies
+    base = [f"g{i}" for i in range(150)]
+    texts += [" ".join(base[:k] + [f"x{k}"] + base[k:]) for k in range(120)]
+    rows = list(enumerate(texts))
+    chance.shuffle(rows)
+    kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == brute_kept(sorted(rows))
+
+
+def test_odd_rows(spark):
+    words = [f"word{i}" for i in range(60)]
+    rows = [(5, " ".join(words)), (3, " ".join(words).upper()), (2, ""), (7, None), (7, None), (None, " ".join(words)), (None, "x"), (5, "other text of the same document"), (8, "other text of the same document")]
+    kept = wordsets.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["2", "3", "None", "None"]
+    assert wordsets.keep_one(spark.createDataFrame([], "doc_id long, text string")).count() == 0
