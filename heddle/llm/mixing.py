@@ -89,8 +89,8 @@ def fit_rates(members: DataFrame, targets: list[float], budget: float | None, sc
     """``members``, as ``posteriors`` gives them, with a column ``rate``.
 
     ``targets`` are the domains' shares. ``budget`` is the tokens wanted in all;
-    None takes the least with which no domain's tokens shrink, so that rates
-    stay at 1 or more. The objective weighs each domain's error by the inverse
+    None takes the least with which no domain's tokens shrink, and rates are
+    projected at 1 instead of 0, so that no document does. The objective weighs each domain's error by the inverse
     of its own curvature; steps are taken in the metric of tokens, so documents
     of equal posterior have equal rates whatever their length.
     """
@@ -102,6 +102,7 @@ def fit_rates(members: DataFrame, targets: list[float], budget: float | None, sc
     curve = np.array([[first[f"h{i}_{j}"] or 0.0 for j in k] for i in k])
     share = np.array(targets) / sum(targets)
     positive = share > 0
+    floor = 1.0 if budget is None else 0.0
     if budget is None:
         budget = float((now[positive] / share[positive]).max()) if positive.any() else 0.0
     wanted = budget * share
@@ -113,7 +114,7 @@ def fit_rates(members: DataFrame, targets: list[float], budget: float | None, sc
         if np.abs(error).max() <= TOLERANCE * max(budget, 1.0):
             break
         pull = reduce(Column.__add__, (p[i] * float(size * weight[i] * error[i]) for i in k))
-        rate = F.greatest(F.lit(0.0), rate - pull)
+        rate = F.greatest(F.lit(floor), rate - pull)
         if step % FOLD == 0:
             current, rate = scratch.keep(current.withColumn("rate", rate), "rates"), F.col("rate")
         sums = current.agg(*(F.sum(rate * mass * p[i]).alias(f"t{i}") for i in k)).first()
