@@ -224,8 +224,11 @@ def amenity_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def neardup_pairs_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Approximate pairs among the benchmark's texts and part names, by MinHash."""
-    return dedupe.lsh_pairs(table(spark, sf_dir, "benchmark").withColumn("block", F.lit("all")), "item_id", "block", "text")
+    """Approximate pairs of distinct shingle sets of a block of whole documents, by MinHash."""
+    from heddle.plans.durable import Scratch
+
+    _, sets = dedupe.shingle_sets(blocked_documents(spark, sf_dir), "doc_id", "block", "text")
+    return dedupe.lsh_set_pairs(sets, Scratch(spark, "lsh"))
 
 
 QUERIES = {
