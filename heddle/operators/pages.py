@@ -13,7 +13,6 @@ import html.parser
 import json
 import re
 import unicodedata
-import zlib
 from collections.abc import Callable, Iterator
 from urllib.parse import parse_qs, urlparse
 
@@ -23,6 +22,8 @@ from pyspark.sql import DataFrame, functions as F
 from heddle.functions.text import iso_date, normalise_district, normalise_furnishing, normalise_property_type, normalise_province, parse_area, parse_price, strip_pii
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+#: Elements before which an open paragraph ends.
+ENDS_PARAGRAPH = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
 
 class Node:
@@ -84,7 +85,7 @@ class _Builder(html.parser.HTMLParser):
         self.root = self.at = Node("", {}, None)
 
     def handle_starttag(self, tag, attrs):
-        if tag == "p" and self.at.tag == "p" or tag == "li" and self.at.tag == "li":
+        if tag in ENDS_PARAGRAPH and self.at.tag == "p" or tag == "li" and self.at.tag == "li":
             self.at = self.at.parent
         node = Node(tag, {k: v or "" for k, v in attrs}, self.at)
         self.at.content.append(node)
@@ -105,12 +106,16 @@ class _Builder(html.parser.HTMLParser):
         self.at.content.append(data)
 
 
+class ParserError(ValueError):
+    """A page that holds no document."""
+
+
 class Page:
     """A parsed page; every accessor gives None where there is nothing."""
 
     def __init__(self, text: str, url: str):
         if not text or not text.strip():
-            raise ValueError("empty document")
+            raise ParserError("empty document")
         builder = _Builder()
         builder.feed(text)
         builder.close()
@@ -188,8 +193,10 @@ FIELDS = (
 
 Rule = Callable[[Page, dict], object]
 
+# Fixed values in the four functions below: the sites' own selectors, labels and JSON keys.
+
 
-def _portal_a(page: Page) -> dict:
+def _batdongsan(page: Page) -> dict:
     ld = page.linked_data("VacationRental")
     place = dig(ld, "ContainsPlace") or {}
     size = dig(place, "FloorSize") or {}
@@ -213,7 +220,7 @@ def _portal_a(page: Page) -> dict:
     }
 
 
-def _portal_b(page: Page) -> dict:
+def _phongtro123(page: Page) -> dict:
     ld = page.linked_data("Apartment", "SingleFamilyResidence", "House", "Residence")
     title, story = page.text("h1"), page.after_heading("mô tả")
     area = dig(ld, "floorSize", "value")
@@ -237,7 +244,7 @@ def _portal_b(page: Page) -> dict:
     }
 
 
-def _portal_c(page: Page) -> dict:
+def _mogi(page: Page) -> dict:
     own = page.pairs("spans").get
     address = page.text("div.main-info div.address")
     parts = [p.strip() for p in (address or "").split(",")]
@@ -263,7 +270,7 @@ def _portal_c(page: Page) -> dict:
     }
 
 
-def _portal_d(page: Page) -> dict:
+def _nhatot(page: Page) -> dict:
     script = page.root.all("script#__NEXT_DATA__")
     try:
         info = dig(json.loads(script[0].text()), "props", "pageProps", "initialState", "adView", "adInfo") if script else None
@@ -290,7 +297,7 @@ def _portal_d(page: Page) -> dict:
     }
 
 
-SOURCES = {"batdongsan": _portal_a, "phongtro123": _portal_b, "mogi": _portal_c, "nhatot": _portal_d}
+SOURCES = {"batdongsan": _batdongsan, "phongtro123": _phongtro123, "mogi": _mogi, "nhatot": _nhatot}
 
 
 def page_fields(source: str, text: str, url: str) -> dict[str, str | None]:
@@ -300,23 +307,28 @@ def page_fields(source: str, text: str, url: str) -> dict[str, str | None]:
     return {name: pick(found.get(name, ())) for name in FIELDS}
 
 
-def unpack_page(packed: str) -> str:
-    """The text of a base64, gzipped page; the error's text says at which step it failed."""
+class Unreadable(Exception):
+    """A payload that is no page; its text says at which step it failed and how."""
+
+
+def unpack_page(packed: str | None) -> str:
+    """The text of a base64, gzipped page."""
     try:
-        data = gzip.decompress(base64.b64decode(packed or "", validate=True))
-    except (ValueError, OSError, EOFError, zlib.error) as error:
-        raise ValueError(f"decompress: {type(error).__name__}") from None
+        data = gzip.decompress(base64.b64decode(packed))
+    except Exception as error:  # whatever a crawler may have written
+        raise Unreadable(f"decompress: {type(error).__name__}") from None
     try:
         return data.decode("utf-8")
     except UnicodeDecodeError as error:
-        raise ValueError(f"decode: {type(error).__name__}") from None
+        raise Unreadable(f"decode: {type(error).__name__}") from None
 
 
 def parse_bronze(bronze: DataFrame, day: str) -> DataFrame:
     """Silver rows: one for each bronze row, whatever is wrong with it.
 
     ``parse_error`` is ``http_status: N``, ``unknown source: S``, ``decompress:
-    E``, ``decode: E`` or the parser's own; pages without a single field parse.
+    E``, ``decode: E`` or the parser's own exception, E or its class in front; pages
+    without a single field parse.
     """
     names = ["listing_id", "source", "url", "crawl_ts", "content_hash", "http_status"]
 
@@ -331,13 +343,11 @@ def parse_bronze(bronze: DataFrame, day: str) -> DataFrame:
                     error = f"unknown source: {source}"
                 else:
                     try:
-                        text = unpack_page(packed)
-                        try:
-                            fields = page_fields(source, text, url)
-                        except Exception as problem:  # a page that breaks its parser is a row, not a failed job
-                            error = f"ParserError: {problem}"
-                    except ValueError as problem:
+                        fields = page_fields(source, unpack_page(packed), url)
+                    except Unreadable as problem:
                         error = str(problem)
+                    except Exception as problem:  # a page that breaks its parser is a row, not a failed job
+                        error = f"{type(problem).__name__}: {problem}"
                 out.append([*(fields.get(name) for name in FIELDS), error])
             made = pd.DataFrame(out, columns=[*FIELDS, "parse_error"], index=batch.index, dtype=object)
             yield pd.concat([batch[names], made], axis=1)
