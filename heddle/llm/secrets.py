@@ -13,7 +13,9 @@ and finds the same path as over the whole.
 """
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -36,6 +38,7 @@ _KEYWORDS = ("password", "passwd", "secret", "token", "api")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 
+_CHUNK = re.compile(r"\S+")
 _TOKEN = re.compile(r"[A-Za-z0-9+/_-]+|[^\sA-Za-z0-9+/_-]")
 TAGS = 3
 B, I, O = range(TAGS)
@@ -230,6 +233,35 @@ def training_stretches(texts: list[str], seed: int = SEED) -> list[tuple[np.ndar
     return out
 
 
+def likelihood_gradient(w: dict[str, np.ndarray], places: dict[str, np.ndarray], gold: np.ndarray, mask: np.ndarray) -> dict[str, np.ndarray]:
+    """The gradient of the stretches' summed log-likelihood in all weights.
+
+    ``places`` are the rows of each table of weights by stretch and token, ``gold``
+    the tags; ``mask`` is true on a stretch's own tokens, which come first. Forward
+    and backward sums are scaled at each token, so that they stay in range.
+    """
+    n, length = gold.shape
+    one, pairs = np.eye(TAGS), mask[:, 1:] & mask[:, :-1]
+    score = sum(w[k][places[k]] for k in places)
+    own, move = np.exp(score - score.max(axis=2, keepdims=True)), np.exp(w["move"] - w["move"].max())
+    ahead, behind = np.ones((n, length, TAGS)), np.ones((n, length, TAGS))
+    ahead[:, 0] = own[:, 0]
+    for i in range(1, length):
+        step = (ahead[:, i - 1] @ move) * own[:, i]
+        ahead[:, i] = np.where(mask[:, i, None], step / step.sum(axis=1, keepdims=True), 1)
+    for i in range(length - 2, -1, -1):
+        step = (own[:, i + 1] * behind[:, i + 1]) @ move.T
+        behind[:, i] = np.where(mask[:, i + 1, None], step / step.sum(axis=1, keepdims=True), 1)
+    share = ahead * behind
+    share *= mask[:, :, None] / share.sum(axis=2, keepdims=True)
+    error = one[gold] * mask[:, :, None] - share
+    grad = {k: np.stack([np.bincount(at.ravel(), weights=error[:, :, tag].ravel(), minlength=len(w[k])) for tag in range(TAGS)], axis=1) for k, at in places.items()}
+    joint = ahead[:, :-1, :, None] * move * (own[:, 1:] * behind[:, 1:])[:, :, None, :]
+    joint *= (pairs / joint.sum(axis=(2, 3)))[:, :, None, None]
+    counts = np.bincount((gold[:, :-1] * TAGS + gold[:, 1:])[pairs], minlength=TAGS * TAGS).reshape(TAGS, TAGS)
+    return grad | {"move": counts - joint.sum(axis=(0, 1))}
+
+
 def train(stretches: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 150, rate: float = 0.1, shrink: float = 1e-3) -> ChainField:
     """Maximise the stretches' mean log-likelihood less a quadratic penalty, by Adam on exact gradients."""
     field = ChainField()
@@ -237,44 +269,12 @@ def train(stretches: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 150
     if not stretches:
         field.weights["own"][:, O] = 1.0  # nothing learnt, nothing tagged
         return ChainField(field.weights)
-    length = max(len(t) for _, t, _ in stretches)
-    n = len(stretches)
-    shapes = np.full((n, length + 3), SHAPE["edge"])
-    gold, mask = np.full((n, length), O), np.zeros((n, length), dtype=bool)
-    kinds = np.array([k for _, _, k in stretches])
-    for i, (s, t, _) in enumerate(stretches):
-        shapes[i, : len(s)], gold[i, : len(t)], mask[i, : len(t)] = s, t, True
-    w = field.weights
-    places = {"own": shapes[:, 2:-1], "back": shapes[:, 1:-2], "back2": shapes[:, :-3], "ahead": shapes[:, 3:], "file": np.repeat(kinds[:, None], length, axis=1)}
-    one = np.eye(TAGS)
-    pairs = mask[:, 1:] & mask[:, :-1]
+    w, (places, gold, mask) = field.weights, _stacked(stretches)
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in w.items()}
-
-    def logsum(x: np.ndarray, axis: int) -> np.ndarray:
-        top = x.max(axis=axis, keepdims=True)
-        return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
-
     for t in range(1, rounds + 1):
-        score = sum(w[k][places[k]] for k in places)
-        ahead, behind = np.zeros((n, length, TAGS)), np.zeros((n, length, TAGS))
-        ahead[:, 0] = score[:, 0]
-        for i in range(1, length):
-            step = logsum(ahead[:, i - 1, :, None] + w["move"], 1) + score[:, i]
-            ahead[:, i] = np.where(mask[:, i, None], step, ahead[:, i - 1])
-        for i in range(length - 2, -1, -1):
-            step = logsum(w["move"] + (score[:, i + 1] + behind[:, i + 1])[:, None, :], 2)
-            behind[:, i] = np.where(mask[:, i + 1, None], step, 0)
-        total = logsum(ahead[:, -1], 1)
-        share = np.exp(ahead + behind - total[:, None, None]) * mask[:, :, None]
-        error = one[gold] * mask[:, :, None] - share
-        grad = {}
-        for k, at in places.items():
-            grad[k] = np.stack([np.bincount(at.ravel(), weights=error[:, :, tag].ravel(), minlength=len(w[k])) for tag in range(TAGS)], axis=1)
-        joint = np.exp(ahead[:, :-1, :, None] + w["move"] + (score[:, 1:] + behind[:, 1:])[:, :, None, :] - total[:, None, None, None])
-        counts = np.einsum("nla,nlb,nl->ab", one[gold[:, :-1]], one[gold[:, 1:]], pairs.astype(float))
-        grad["move"] = counts - (joint * pairs[:, :, None, None]).sum(axis=(0, 1))
+        grad = likelihood_gradient(w, places, gold, mask)
         for k in w:
-            g = grad[k] / n - shrink * w[k]
+            g = grad[k] / len(gold) - shrink * w[k]
             first, second = moment[k]
             first *= 0.9
             first += 0.1 * g
@@ -284,6 +284,18 @@ def train(stretches: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 150
     return ChainField(w)
 
 
+def _stacked(stretches: list[tuple[np.ndarray, np.ndarray, int]]) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """(places, gold, mask) of ``likelihood_gradient``."""
+    n, length = len(stretches), max(len(t) for _, t, _ in stretches)
+    shapes = np.full((n, length + 3), SHAPE["edge"])
+    gold, mask = np.full((n, length), O), np.zeros((n, length), dtype=bool)
+    kinds = np.array([k for _, _, k in stretches])
+    for i, (s, t, _) in enumerate(stretches):
+        shapes[i, : len(s)], gold[i, : len(t)], mask[i, : len(t)] = s, t, True
+    places = {"own": shapes[:, 2:-1], "back": shapes[:, 1:-2], "back2": shapes[:, :-3], "ahead": shapes[:, 3:], "file": np.repeat(kinds[:, None], length, axis=1)}
+    return places, gold, mask
+
+
 class Scanner:
     """Base spans and those that the field adds, for whole texts."""
 
@@ -308,8 +320,8 @@ class Scanner:
 
         A span of the field that touches a base span is not added.
         """
-        spans = base_spans(text)
-        kind = None
+        spans, added, kind = base_spans(text), [], None
+        begins, furthest = [s for s, _, _ in spans], list(accumulate((e for _, _, e in spans), max))
         for a, b in self._stretches(text):
             # two tokens before a stretch and one behind stand in the scores
             words, starts, ends = tokens(text[a:b])
@@ -323,9 +335,10 @@ class Scanner:
                 while end + 1 < len(tags) and tags[end + 1] == I:
                     end += 1
                 span = (a + int(starts[k]), len(BASE_KINDS), a + int(ends[end]))
-                if not any(s < span[2] and span[0] < e for s, _, e in spans if s < span[2]):
-                    spans.append(span)
-        return sorted(spans)
+                before = bisect_left(begins, span[2])  # the base spans that begin before its end
+                if not before or furthest[before - 1] <= span[0]:
+                    added.append(span)
+        return sorted(spans + added)
 
     def redacted(self, text: str, mark: str) -> str:
         """The text with ``mark`` in place of its secrets; values of assignments, not their names."""
@@ -342,19 +355,18 @@ class Scanner:
     def _stretches(self, text: str) -> Iterator[tuple[int, int]]:
         """Parts of the text, cut at blanks, outside of which every tag is O.
 
-        A part holds a token of an uncertain shape with at least four chunks on
-        each side, all of certain shapes, so that decoding it alone gives the
-        tags of the whole text.
+        A part holds a token of an uncertain shape with five chunks without
+        blanks, or the text's end, on each side of certain shapes, so that
+        decoding it alone gives the tags of the whole text.
         """
+        found = [m.span() for m in self.UNSURE.finditer(text)]
+        if not found:
+            return
+        starts, ends = zip(*(m.span() for m in _CHUNK.finditer(text)))
         a = b = None
-        for m in self.UNSURE.finditer(text):
-            left = m.start()
-            for _ in range(5):
-                left = max(text.rfind(" ", 0, left), text.rfind("\n", 0, left), 0)
-            right = m.end()
-            for _ in range(5):
-                near = [p for p in (text.find(" ", right + 1), text.find("\n", right + 1)) if p >= 0]
-                right = min(near) if near else len(text)
+        for left, right in found:
+            left, right = bisect_right(starts, left) - 1, bisect_left(ends, right)
+            left, right = starts[max(0, left - 5)], ends[min(len(ends) - 1, right + 5)]
             if a is None:
                 a, b = left, right
             elif left <= b:
@@ -362,8 +374,12 @@ class Scanner:
             else:
                 yield a, b
                 a, b = left, right
-        if a is not None:
-            yield a, b
+        yield a, b
+
+
+#: What every text with a secret has somewhere: an uncertain token, letters of a hexadecimal
+#: run, an access key's beginning or the name of an assignment. Spark's scan tests for it.
+MAY_HOLD = Scanner.UNSURE.pattern + "|[a-f]{24}|AKIA|[Pp][Aa][Ss][Ss][Ww]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]"
 
 
 def train_on(docs: DataFrame, rows: int = FIT_ROWS, id_col: str = "doc_id", text_col: str = "text") -> ChainField:
@@ -388,16 +404,19 @@ def find_secrets(docs: DataFrame, field: ChainField, id_col: str = "doc_id", tex
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scanner = Scanner(ChainField(sent.value))
         for texts in batches:
-            yield pd.Series([[{"start": a, "kind": k, "end": b} for a, k, b in scanner.scan(t or "")] for t in texts], dtype=object)
+            yield pd.Series([None if t is None else [{"start": a, "kind": k, "end": b} for a, k, b in scanner.scan(t)] for t in texts], dtype=object)
 
-    return docs.select(F.col(id_col).alias("doc_id"), scan(F.coalesce(F.col(text_col), F.lit(""))).alias("spans"))
+    # texts without any sign of a secret stay in the JVM
+    text, none = F.col(text_col), F.array().cast("array<struct<start:long,kind:int,end:long>>")
+    return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(scan(F.when(text.rlike(MAY_HOLD), text)), none).alias("spans"))
 
 
 def redact(docs: DataFrame, field: ChainField, mark: str = "<SECRET>", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """``docs`` with every secret in the texts replaced by ``mark``.
 
     Of an assignment the value goes and the name stays. A column of lengths, if
-    there is one, follows. Null texts stay null.
+    there is one, follows. Null texts stay null. Only texts that may hold a secret
+    leave the JVM.
     """
     sent = docs.sparkSession.sparkContext.broadcast(field.weights)
 
@@ -407,7 +426,8 @@ def redact(docs: DataFrame, field: ChainField, mark: str = "<SECRET>", text_col:
         for texts in batches:
             yield texts.map(lambda t: t if t is None else scanner.redacted(t, mark))
 
-    changed = docs.withColumn(text_col, clean(docs[text_col]))
+    text = docs[text_col]
+    changed = docs.withColumn(text_col, F.coalesce(clean(F.when(text.rlike(MAY_HOLD), text)), text))
     if length_col not in docs.columns:
         return changed
     length = F.when(F.col(text_col).isNotNull(), F.length(text_col)).otherwise(F.col(length_col))
