@@ -9,7 +9,7 @@ costs its running tasks only.
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from heddle.llm import mixing, packing, quality, secrets, wordsets
+from heddle.llm import mixing, packing, quality, secrets, simhash_sets
 from heddle.llm.batches import text_batches
 from heddle.plans.durable import Scratch
 from heddle.sources import table
@@ -32,7 +32,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the least id, of each component of texts whose five-word shingles have a Jaccard similarity of 0.8 or more."""
     text_batches(spark)
-    return wordsets.keep_one(docs)
+    return simhash_sets.keep_one(docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -181,7 +181,7 @@ def simhash_links(classes: DataFrame, scratch: Scratch, radius: int = RADIUS, sh
         return classes.select(F.col("node").alias("src"), F.col("node").alias("dst"))
     depth = max(LEAST_LEVELS, int(np.ceil(np.log2(n / shard_points))))
     fraction = min(1.0, 1.2 * fit_points / n)
-    sample = [r.fp for r in classes.select("fp").where(F.xxhash64("fp") % 1_000_000 < int(fraction * 1_000_000)).limit(fit_points).collect()]
+    sample = [r.fp for r in classes.select("fp").where(F.pmod(F.xxhash64("fp"), F.lit(1_000_000)) < int(fraction * 1_000_000)).limit(fit_points).collect()]
     top = VantageTree(np.array(sample or [0], dtype=np.int64).view(np.uint64), leaf=8, depth=depth)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -230,7 +230,7 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text
     """
     found = near_duplicates(docs.select(id_col, text_col), radius, id_col, text_col)
     dropped = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs[id_col] == F.col("_dropped"), "left_anti")
+    return docs.join(dropped, docs[id_col] == dropped["_dropped"], "left_anti")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

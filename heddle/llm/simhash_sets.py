@@ -1,40 +1,95 @@
-"""Near-duplicates by word shingles: every pair of a Jaccard similarity of 0.8 or more.
-
-Texts of equal shingle sets collapse first. In any one order of all shingles two
-sets of that similarity share one of their first ``n - ceil(s * n) + 1``, so sets
-meet by those alone; shingles common in a bounded sample come last in the order,
-which makes groups small and changes no result. Groups are linked in two rounds:
-each set with its groups' least set, then the pairs that this leaves in different
-components, so a large group of near copies costs about its size. Each pair is
-confirmed on the whole texts.
+"""SimHash near-duplicates at a set similarity: pairs with a Jaccard similarity of 0.8 or more of their word shingles.
+
+The same operator as ``simhash``, for a wider radius. A text is its set of
+five-word shingles; its fingerprint has 128 bits, as at a similarity of 0.8 two
+fingerprints lie about 19 bits apart and those of unrelated texts 64, and with 64
+bits the two would overlap. Candidates lie within a radius that holds all but a
+few in a hundred thousand pairs of that similarity, and each is confirmed on the
+whole sets.
+
+Points are dealt to shards by the triangle bound to one vantage point, the empty
+set: its distance to a set is the set's size, and sizes that differ by more than
+the similarity allows can't pair. So shards are bands of sizes, bands of many
+points are cut into blocks, and each pair of blocks that may hold a pair meets in
+one group, where a vantage-point tree over the one answers the other.
+
+A group gives each point's few nearest and most central candidates. Points with
+more are crowded: they meet once more among themselves, once the first links are
+confirmed, and only pairs in different components that fingerprints of 4096 bits
+leave open are given then. So a large group of near copies costs a few rows for
+each copy, and no candidate is lost.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from heddle.llm.batches import give_back
+from heddle.llm.simhash import VantageTree
 from heddle.plans.components import connected_components
 from heddle.plans.durable import Scratch
 
 SHINGLE = 5
 #: The least Jaccard similarity of near-duplicates, in percent.
 PERCENT = 80
-#: Texts that the order of shingles is fitted on, and shingles it puts last, at most.
-FIT_TEXTS = 4000
-COMMON = 50_000
-
-
-def word_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+#: Bits that fingerprints of near-duplicates differ in at most, and that their first 64 do.
+RADIUS = 38
+FIRST_RADIUS = 24
+#: 64-bit words of the crowded points' fingerprints, and bits that near-duplicates of
+#: SMALL or more shingles differ in at most there: 4.5 deviations above their mean.
+WIDE = 64
+WIDE_RADIUS = 725
+SMALL = 8
+#: Ratio of sizes in a band, and points of a block at most, about; a group holds two blocks, below 65,536.
+BAND = 1.1
+BLOCK_POINTS = 16_384
+#: Nearest and central candidates of a point that a group gives in the first round.
+FEW = 3
+#: Points of a leaf of the trees, and points that ask at once.
+LEAF_POINTS = 512
+QUERY_POINTS = 128
+#: Ids that are sent to all tasks; more are joined by a shuffle.
+SENT_IDS = 500_000
+#: Words whose hashes a worker keeps.
+KEPT_WORDS = 200_000
+
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+_ODD = np.array([pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64) for k in range(SHINGLE)], dtype=np.uint64)
+
+
+def _stirred(x: np.ndarray) -> np.ndarray:
+    """The finaliser of SplitMix64: every bit depends on all."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class _WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        if len(self) >= KEPT_WORDS:
+            self.clear()
+        made = self[word] = xxhash.xxh64_intdigest(word)
+        return made
+
+
+_WORDS = _WordHashes()
+
+
+def word_set(text: str | None) -> np.ndarray:
     """Sorted distinct hashes of a text's word shingles: A-Z lowered, words between ASCII blanks; a shorter text is one."""
-    import xxhash
-
     words = (text or "").encode().lower().split()
     if not words:
         return np.empty(0, dtype=np.uint64)
-    made = map(b" ".join, zip(*(words[i:] for i in range(shingle)))) if len(words) > shingle else [b" ".join(words)]
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, made), dtype=np.uint64))
+    hashes = np.fromiter(map(_WORDS.__getitem__, words), dtype=np.uint64, count=len(words))
+    n = max(1, len(words) - SHINGLE + 1)
+    mixed = np.zeros(n, dtype=np.uint64)
+    for k in range(min(SHINGLE, len(words))):
+        mixed += hashes[k : k + n] * _ODD[k]
+    return np.unique(_stirred(mixed + np.uint64(min(SHINGLE, len(words)))))
 
 
 def set_name(grams: np.ndarray) -> int:
@@ -43,120 +98,247 @@ def set_name(grams: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(grams.tobytes())).view(np.int64))
 
 
+def set_print(grams: np.ndarray, words: int = 2) -> np.ndarray:
+    """The SimHash of a set of shingles, as 64-bit words; a bit is 1 if set in over half the hashes."""
+    ones = np.zeros(64 * words, dtype=np.int64)
+    salts = np.arange(1, words, dtype=np.uint64) * _GOLDEN
+    for at in range(0, len(grams), 255):  # so many bits are counted in a byte
+        some = grams[at : at + 255, None]
+        every = np.concatenate((some, _stirred(some + salts)), axis=1)
+        ones += np.add.reduce(np.unpackbits(every.view(np.uint8), axis=1, bitorder="little"), axis=0, dtype=np.uint8)
+    return np.packbits(2 * ones > len(grams), bitorder="little").view("<u8")
+
+
 def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     shared = len(np.intersect1d(a, b, assume_unique=True))
     return shared * 100 >= (len(a) + len(b) - shared) * percent
 
 
-def _common(docs: DataFrame) -> np.ndarray:
-    """Shingles that three texts or more of a sample hold, the rarest first."""
-    n = docs.count()
-    share = int(min(1.0, FIT_TEXTS / max(n, 1)) * 1_000_000)
-
-    @F.pandas_udf("array<long>")
-    def grams(texts: pd.Series) -> pd.Series:
-        return pd.Series([word_set(t).view(np.int64) for t in texts])
-
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share).limit(FIT_TEXTS)
-    held = sample.select(F.explode(grams("text")).alias("gram")).groupBy("gram").agg(F.count("*").alias("held")).where("held > 2")
-    rows = held.orderBy(F.desc("held"), "gram").limit(COMMON).collect()
-    return np.array([r.gram for r in reversed(rows)], dtype=np.int64).view(np.uint64)
-
-
-def _heads(docs: DataFrame, percent: int) -> DataFrame:
-    """(gram, set_id, n, at): the first shingles of each set of more than none, and their places in the order."""
-    common = _common(docs)
-    by_value = np.argsort(common)
-    values = common[by_value]
-
-    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = set()
+def _candidates(asked: np.ndarray, tree: VantageTree, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, point, distance) of all points of the tree near the queries (first and second words)."""
+    parts = []
+    # each part is at most a leaf's points times the queries
+    for leaf, at in tree.visits(asked[:, 0], FIRST_RADIUS):
+        there = tree.leaves[leaf]
+        first = np.bitwise_count(asked[at, 0][:, None] ^ tree.points[there][None, :])
+        q, c = np.nonzero(first <= FIRST_RADIUS)
+        d = first[q, c] + np.bitwise_count(asked[at[q], 1] ^ second[there[c]])
+        near = d <= RADIUS
+        parts.append((at[q[near]], there[c[near]], d[near]))
+    return tuple(np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, dtype=np.int64),) * 3
+
+
+def near_points(
+    points: np.ndarray, sizes: np.ndarray, home: np.ndarray, within: bool, percent: int, few: int | None, parts: np.ndarray | None = None, wide: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Candidates of a group: (a, b) as indices, and whether each point is crowded.
+
+    ``points`` has two words a row; own points (``home``) are asked by visitors,
+    or by each other if ``within``. ``few`` bounds the candidates that a query
+    gives (all, if None): its nearest, and as many again of the most central, to
+    which the group's candidates lie nearest on the whole, as a family's nearest
+    are chance but its centre is not. Points of pairs left out are crowded.
+    ``parts`` are components whose members need no more pairs, and ``wide`` are
+    longer fingerprints that pairs are held against.
+    """
+    own, asking = np.flatnonzero(home), np.flatnonzero(home if within else ~home)
+    crowded, found, central = np.zeros(len(points), dtype=bool), [], np.zeros(len(points))
+    if not len(own) or not len(asking):
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), crowded
+    tree, second = VantageTree(points[own, 0], leaf=LEAF_POINTS), points[own, 1]
+
+    def pairs(some: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        q, c, d = _candidates(points[some], tree, second)
+        a, b = some[q], own[c]
+        good = (a != b) & (100 * np.minimum(sizes[a], sizes[b]) >= percent * np.maximum(sizes[a], sizes[b]))
+        if parts is not None:
+            good &= parts[a] != parts[b]
+        a, b, d = a[good], b[good], d[good]
+        if wide is not None:
+            good = np.minimum(sizes[a], sizes[b]) < SMALL
+            for k in range(0, len(a), 50_000):
+                far = np.bitwise_count(wide[a[k : k + 50_000]] ^ wide[b[k : k + 50_000]]).sum(axis=1, dtype=np.int64)
+                good[k : k + 50_000] |= far <= WIDE_RADIUS
+            a, b, d = a[good], b[good], d[good]
+        return a, b, d
+
+    def split(a: np.ndarray, b: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(a, b) of each query's ``few`` of least cost, and of the others; costs are below 65,536."""
+        if not len(a):
+            return a, b, a, b
+        queries, which = np.unique(a, return_inverse=True)
+        keys = (which.astype(np.uint64) << np.uint64(48)) | (cost.astype(np.uint64) << np.uint64(32)) | b.astype(np.uint64)
+        keys.sort()
+        which = (keys >> np.uint64(48)).astype(np.int64)
+        b, a = (keys & np.uint64(0xFFFFFFFF)).astype(np.int64), queries[which]
+        taken = np.arange(len(keys)) - np.searchsorted(which, np.arange(len(queries)))[which] < few
+        return a[taken], b[taken], a[~taken], b[~taken]
+
+    def blocks(queries: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The candidates of some queries at once, fewer of them amid many candidates."""
+        start, step = 0, QUERY_POINTS // 8
+        while start < len(queries):
+            found = pairs(queries[start : start + step])
+            start += step
+            step = QUERY_POINTS if len(found[0]) < 1000 * step else QUERY_POINTS // 8
+            yield found
+
+    for a, b, d in blocks(asking):
+        if few is not None:
+            central += np.bincount(b, weights=RADIUS + 1.0 - d, minlength=len(points))
+            a, b, *left = split(a, b, d)
+            for rest in left:
+                crowded[rest] = True
+        found.append((a, b))
+    many = asking[crowded[asking]]
+    rank = np.argsort(np.argsort(-central, kind="stable"))
+    for a, b, _ in blocks(many):
+        found.append(split(a, b, rank[b])[:2])
+    a, b = (np.concatenate(x) for x in zip(*found))
+    return a, b, crowded
+
+
+def size_blocks(bands: list[tuple[int, int, int, int]], block_points: int = BLOCK_POINTS) -> list[tuple[int, int, int, int]]:
+    """(band, blocks, least, largest) for ascending (band, points, least size, largest size)."""
+    return [(band, max(1, -(-n // block_points)), low, high) for band, n, low, high in bands]
+
+
+def _band(n: Column) -> Column:
+    return F.floor(F.log(n) / float(np.log(BAND))).cast("int")
+
+
+def _meetings(points: DataFrame, bands: list[tuple[int, int, int, int]], percent: int, few: int | None) -> DataFrame:
+    """(a, b) set ids of candidates, or (a, null) for a crowded point.
+
+    ``bands`` is a row for each band of sizes, so it grows with the logarithm of
+    the longest text. A point visits the blocks that its own may pair with, from
+    its own upward.
+    """
+    blocks = size_blocks(bands)
+    firsts = dict(zip((b[0] for b in blocks), np.cumsum([0] + [b[1] for b in blocks]).tolist()))
+    counts = {b[0]: b[1] for b in blocks}
+    ahead = {band: [b for b, _, low, _ in blocks if b >= band and 100 * high >= percent * low] for band, _, _, high in blocks}
+    back = {band: [b for b in ahead if b <= band and band in ahead[b]] for band in ahead}
+    labelled = "component" in points.columns
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            parts = []
-            for text in batch["text"]:
-                grams = word_set(text)
-                name, n = set_name(grams), len(grams)
-                if name in seen or not n:
-                    continue
-                seen.add(name)
-                late = np.zeros(n, dtype=np.int64)
-                if len(values):
-                    k = np.minimum(np.searchsorted(values, grams), len(values) - 1)
-                    late = np.where(values[k] == grams, by_value[k] + 1, 0)
-                head = grams[np.argsort(late, kind="stable")[: n - -(-n * percent // 100) + 1]]
-                parts.append(pd.DataFrame({"gram": head.view(np.int64), "set_id": name, "n": n, "at": np.arange(len(head))}))
+            of, names, parts = batch["band"].to_numpy(), batch["set_id"].to_numpy(), []
+            for band in np.unique(of):
+                at = np.flatnonzero(of == band)
+                mine = firsts[band] + names[at] % counts[band]
+                # a visitor of the blocks behind its own, an owner of its own for all blocks up to it
+                for other in ahead[band]:
+                    for block in range(firsts[other], firsts[other] + counts[other]):
+                        some = mine < block
+                        parts.append((at[some], mine[some], np.full(some.sum(), block), False))
+                for other in back[band]:
+                    for block in range(firsts[other], firsts[other] + counts[other]):
+                        some = mine >= block
+                        parts.append((at[some], np.full(some.sum(), block), mine[some], True))
             if parts:
-                yield pd.concat(parts)
-
-    rows = docs.select("text").mapInPandas(first, "gram long, set_id long, n int, at int")
-    # one shuffle: copies from other tasks go, then shingles of a single set
-    rows = rows.repartition("gram").groupBy("gram", "set_id").agg(F.first("n").alias("n"), F.first("at").alias("at"))
-    group = Window.partitionBy("gram")
-    return rows.withColumn("held", F.count("*").over(group)).where("held > 1").drop("held")
-
-
-def _may_match(percent: int):
-    """Whether sets a and b that meet in a shingle can still have the similarity: those before it are not shared, if it is their first."""
-    shared = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
-    return shared * (100 + percent) >= (F.col("a.n") + F.col("b.n")) * percent
+                home = np.repeat([p[3] for p in parts], [len(p[0]) for p in parts])
+                rows, low, high = (np.concatenate(x) for x in list(zip(*parts))[:3])
+                yield batch.iloc[rows].assign(low=low, high=high, home=home)
+        give_back()
+
+    def meet(group: pd.DataFrame) -> pd.DataFrame:
+        words = group[["f0", "f1"]].to_numpy(np.int64).view(np.uint64)
+        names = group["set_id"].to_numpy()
+        parts = group["component"].to_numpy() if labelled else None
+        wide = np.frombuffer(b"".join(group["wide"]), np.uint64).reshape(-1, WIDE) if labelled else None
+        within = bool((group["low"] == group["high"]).all())
+        a, b, crowded = near_points(words, group["n"].to_numpy(np.int64), group["home"].to_numpy(bool), within, percent, few, parts, wide)
+        low, high = np.minimum(names[a], names[b]), np.maximum(names[a], names[b])
+        alone = names[crowded]
+        give_back()
+        return pd.DataFrame({"a": np.r_[low, alone], "b": pd.array(np.r_[high, alone], dtype="Int64").copy(), "crowded": np.r_[np.zeros(len(a), dtype=bool), np.ones(len(alone), dtype=bool)]})
+
+    fields = "set_id long, n int, f0 long, f1 long, band int" + (", component long, wide binary" if labelled else "")
+    dealt = points.select(*(f.split()[0] for f in fields.split(", "))).mapInPandas(deal, f"{fields}, low long, high long, home boolean")
+    return dealt.groupBy("low", "high").applyInPandas(meet, "a long, b long, crowded boolean").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(node, component) of the ids that have a near-duplicate, component the least id reachable.
 
     Documents are linked when their sets of five-word shingles have a Jaccard
-    similarity of ``percent`` / 100 or more. Null texts are empty and, like all
-    texts without words, equal. Rows that repeat an id are one document. Rows
-    without an id are left out.
+    similarity of ``percent`` / 100 or more. The radius is that of 80 or more.
+    Null texts are empty and, like all texts without words, equal. Rows that
+    repeat an id are one document. Rows without an id are left out.
     """
+    if percent < PERCENT:
+        raise ValueError(f"the fingerprints' radius holds similarities of {PERCENT} percent or more")
     spark = docs.sparkSession
-    scratch = Scratch(spark, "wordsets")
+    scratch = Scratch(spark, "simhash_sets")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where("doc_id is not null")
 
-    @F.pandas_udf("long")
-    def named(texts: pd.Series) -> pd.Series:
-        return pd.Series([set_name(word_set(t)) for t in texts], dtype="int64")
+    @F.pandas_udf("set_id long, n int, f0 long, f1 long")
+    def printed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            rows = np.zeros((len(texts), 4), dtype=np.int64)
+            for row, text in zip(rows, texts):
+                made = word_set(text)
+                row[:2] = set_name(made), len(made)
+                row[2:] = set_print(made).view(np.int64)
+            yield pd.DataFrame(rows, columns=["set_id", "n", "f0", "f1"])
+        give_back()
 
     hashed = F.xxhash64("text").alias("text_hash")
-    prints = scratch.keep(docs.select("doc_id", hashed, named("text").alias("set_id")), "prints")
-    owners = scratch.keep(prints.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("own")).select("set_id", "own.*"), "owners")
-    heads = scratch.keep(_heads(docs, percent), "heads")
-    wanted = owners.join(heads.select("set_id").distinct(), "set_id")
-    texts = docs.select("doc_id", hashed, "text").join(wanted, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"]).select("set_id", "text")
-    texts = scratch.keep(texts, "texts")
+    prints = scratch.keep(docs.select("doc_id", hashed, printed("text").alias("p")).select("doc_id", "text_hash", "p.*"), "prints")
+    owners = prints.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_hash", "n", "f0", "f1")).alias("own"))
+    owners = scratch.keep(owners.select("set_id", "own.*", _band(F.greatest(F.col("own.n"), F.lit(1))).alias("band")), "owners")
+    points = owners.where("n > 0")
+    bands = [tuple(r) for r in points.groupBy("band").agg(F.count("*"), F.min("n"), F.max("n")).orderBy("band").collect()]
+
+    @F.pandas_udf("binary")
+    def grams(texts: pd.Series) -> pd.Series:
+        return pd.Series([word_set(t).tobytes() for t in texts])
 
     @F.pandas_udf("boolean")
     def alike(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([similar(word_set(x), word_set(y), percent) for x, y in zip(a, b)], dtype=bool)
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(texts.select(F.col("set_id").alias("src"), F.col("text").alias("text_a")), "src")
-        both = both.join(texts.select(F.col("set_id").alias("dst"), F.col("text").alias("text_b")), "dst")
-        return both.where(alike("text_a", "text_b")).select("src", "dst")
-
-    least = F.min(F.struct("set_id", "n", "at")).over(Window.partitionBy("gram"))
-    starred = heads.withColumn("b", least).select(F.struct("set_id", "n", "at").alias("a"), "b").where("a.set_id <> b.set_id")
-    star = starred.where(_may_match(percent)).select(F.col("b.set_id").alias("src"), F.col("a.set_id").alias("dst")).distinct()
-    star = scratch.keep(star, "star")
-    links = scratch.keep(confirmed(star), "links")
+        return pd.Series([similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(a, b)], dtype=bool)
+
+    @F.pandas_udf("binary")
+    def widely(sets: pd.Series) -> pd.Series:
+        return sets.map(lambda s: set_print(np.frombuffer(s, np.uint64), WIDE).tobytes())
+
+    met = scratch.keep(_meetings(points, bands, percent, FEW), "met")
+    wanted = owners.join(met.select(F.explode(F.array("a", "b")).alias("set_id")).distinct(), "set_id", "left_semi").select("set_id", "doc_id", "text_hash")
+    wanted = scratch.keep(wanted, "wanted")
+    known = wanted.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "set_id")
+    known = F.broadcast(known) if wanted.count() <= SENT_IDS else known
+    texts = docs.join(known, (docs["doc_id"] == F.col("_id")) & (F.xxhash64("text") == F.col("_hash")))
+    sets = scratch.keep(texts.select("set_id", grams("text").alias("grams")).dropDuplicates(["set_id"]), "sets")
+
+    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
+        both = pairs.join(sets.select(F.col("set_id").alias("a"), F.col("grams").alias("grams_a")), "a")
+        both = both.join(sets.select(F.col("set_id").alias("b"), F.col("grams").alias("grams_b")), "b")
+        return scratch.keep(both.where(alike("grams_a", "grams_b")).select(F.col("a").alias("src"), F.col("b").alias("dst")), name)
+
+    tried = met.where("not crowded").select("a", "b")
+    links = confirmed(tried, "links")
+    crowd = points.join(met.where("crowded").select(F.col("a").alias("set_id")).distinct(), "set_id", "left_semi")
     parts = connected_components(links, scratch)
-    group = Window.partitionBy("gram")
-    placed = heads.join(parts.select(F.col("node").alias("set_id"), "component"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    apart = placed.withColumns({"low": F.min("component").over(group), "high": F.max("component").over(group)}).where("low <> high").drop("low", "high")
-    apart = scratch.keep(apart, "apart")
-    a, b = apart.alias("a"), apart.alias("b")
-    cross = (F.col("a.gram") == F.col("b.gram")) & (F.col("a.set_id") < F.col("b.set_id")) & (F.col("a.component") != F.col("b.component")) & _may_match(percent)
-    rest = a.join(b, cross).select(F.col("a.set_id").alias("src"), F.col("b.set_id").alias("dst")).distinct().join(star, ["src", "dst"], "left_anti")
-    more = scratch.keep(confirmed(scratch.keep(rest, "rest")), "links")
-    named_by = owners.select("set_id", F.col("doc_id").alias("node"))
-    pairs = links.unionByName(more)
-    pairs = pairs.join(named_by.select(F.col("set_id").alias("src"), F.col("node").alias("a")), "src").join(named_by.select(F.col("set_id").alias("dst"), F.col("node").alias("b")), "dst")
-    copies = prints.join(named_by, "set_id").where("doc_id <> node").select(F.col("doc_id").alias("src"), F.col("node").alias("dst"))
-    return connected_components(copies.unionByName(pairs.select(F.col("a").alias("src"), F.col("b").alias("dst"))), scratch)
+    crowd = crowd.join(parts.select(F.col("node").alias("set_id"), "component"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+    crowd = scratch.keep(crowd.join(sets.select("set_id", widely("grams").alias("wide")), "set_id"), "crowd")
+    rest = scratch.keep(_meetings(crowd, bands, percent, None).select("a", "b"), "rest")
+    more = confirmed(rest.join(tried, ["a", "b"], "left_anti"), "more")
+    # rows that repeat an id tie their texts together
+    twice = prints.groupBy("doc_id").agg(F.min("set_id").alias("src"), F.max("set_id").alias("last")).where("src <> last").select("doc_id", "src")
+    tied = prints.join(twice, "doc_id").where("set_id <> src").select("src", F.col("set_id").alias("dst"))
+    members = connected_components(links.unionByName(more).unionByName(tied), scratch)
+    named = owners.select("set_id", "doc_id").join(members.select(F.col("node").alias("set_id"), "component"), "set_id", "left")
+    named = named.withColumn("component", F.coalesce("component", "set_id"))
+    least = named.groupBy("component").agg(F.min("doc_id").alias("least"))
+    named = named.join(least, "component").select("set_id", "least")
+    found = prints.select("doc_id", "set_id").join(named, "set_id").groupBy("doc_id").agg(F.min("least").alias("least"))
+    return found.where("doc_id <> least").select(F.col("doc_id").alias("node"), F.col("least").alias("component"))
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that a component's least id stands for; rows with a null id stay."""
     found = near_duplicates(docs.select(id_col, text_col), percent, id_col, text_col)
-    dropped = found.where("node <> component").select(F.col("node").alias("_dropped")).distinct()
-    return docs.join(dropped, docs[id_col] == F.col("_dropped"), "left_anti")
+    dropped = Scratch(docs.sparkSession, "dropped").keep(found.select(F.col("node").alias("_dropped")), "ids")
+    dropped = F.broadcast(dropped) if dropped.count() <= SENT_IDS else dropped
+    return docs.join(dropped, docs[id_col] == dropped["_dropped"], "left_anti")

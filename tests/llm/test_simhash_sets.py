@@ -2,7 +2,7 @@ import itertools
 import random
 
 import corpus_pipeline
-from heddle.llm import wordsets
+from heddle.llm import simhash_sets
 
 
 def slow_set(text):
@@ -45,6 +45,6 @@ def test_stage_keeps_one_of_texts_from_a_similarity_of_0_8(spark):
 def test_odd_rows(spark):
     words = [f"word{i}" for i in range(60)]
     rows = [(5, " ".join(words)), (3, " ".join(words).upper()), (2, ""), (7, None), (7, None), (None, " ".join(words)), (None, "x"), (5, "other text of the same document"), (8, "other text of the same document")]
-    kept = wordsets.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    kept = simhash_sets.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["2", "3", "None", "None"]
-    assert wordsets.keep_one(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    assert simhash_sets.keep_one(spark.createDataFrame([], "doc_id long, text string")).count() == 0
