@@ -7,6 +7,8 @@ from pyspark.sql import SparkSession, functions as F
 
 from heddle.functions.text import block_key
 from heddle.operators import dedupe, gates, pages, panel
+from heddle.plans import ranks
+from heddle.plans.durable import Scratch
 from heddle.session import build_session
 from heddle.sources import bronze
 
@@ -30,10 +32,11 @@ def cluster(spark: SparkSession, source: str, out: str, day: str | None = None)
         silver = silver.where(F.col("dt") <= day)
     latest = silver.groupBy("listing_id").agg(F.max_by(F.struct("province", "district", "area_sqm", "asking_rent_vnd", "description_clean"), "dt").alias("r")).select("listing_id", "r.*")
     keyed = latest.select(
-        F.xxhash64("listing_id").alias("id"), "listing_id", F.col("description_clean").alias("text"),
-        block_key(F.col("province"), F.col("district"), F.col("area_sqm"), F.col("asking_rent_vnd")).alias("block"),
-    )
-    found = dedupe.near_duplicate_clusters(keyed, "id", "block", "text").join(keyed.select("id", "listing_id"), "id")
+        "listing_id", F.col("description_clean").alias("text"), block_key(F.col("province"), F.col("district"), F.col("area_sqm"), F.col("asking_rent_vnd")).alias("block")
+    )
+    # listing ids become numbers by their place, which no two share
+    numbered = Scratch(spark, "cluster").keep(ranks.numbered(keyed, ["listing_id"], "id"), "numbered")
+    found = dedupe.near_duplicate_clusters(numbered, "id", "block", "text").join(numbered.select("id", "listing_id"), "id")
     # the cluster's name is its least listing id
     names = found.groupBy("canonical_id").agg(F.min("listing_id").alias("name"))
     named = found.join(names, "canonical_id").select("listing_id", F.col("name").alias("canonical_id"), "cluster_size", (F.col("listing_id") == F.col("name")).alias("is_canonical"))

@@ -139,4 +139,17 @@ AMENITIES = {
     "security": "bảo vệ|an ninh",
     "free_hours": "giờ giấc tự do",
     "pool": "hồ bơi",
+    "private_bathroom": "wc riêng|vệ sinh riêng|toilet riêng",
+    "cooking": "nấu ăn|được nấu",
+    "water_heater": "nóng lạnh|bình nóng",
+    "bed": "giường",
+    "wardrobe": "tủ quần áo",
+    "television": "tivi|truyền hình",
+    "window": "cửa sổ",
+    "terrace": "sân thượng",
+    "garden": "sân vườn",
+    "camera": "camera",
+    "fingerprint_lock": "vân tay",
+    "pets": "thú cưng|nuôi chó|nuôi mèo",
+    "gym": "phòng gym|gym",
 }

@@ -72,5 +72,24 @@ def sitemap_urls(documents: DataFrame, xml: str, pattern: str = "") -> DataFrame
     return documents.select(F.explode(reduce(F.concat, kept)).alias("url"))
 
 
+def sitemap_tree(documents: DataFrame, location: str, xml: str, roots: DataFrame, pattern: str = "", levels: int = 2) -> DataFrame:
+    """(url) of the pages under ``roots(url)``: indexes are followed to the sitemaps that they name.
+
+    ``documents`` holds the sitemaps fetched, by ``location``; ``levels`` is how
+    many there are below one another. A sitemap that isn't there gives nothing,
+    and a page named twice is one row.
+    """
+    def named(parent: str) -> Column:
+        return F.transform(F.xpath(F.col(xml), F.lit(f"//*[local-name()='{parent}']/*[local-name()='loc']/text()")), lambda u: F.trim(u))
+
+    found, at = None, roots.select(F.col("url").alias("_at")).distinct()
+    for _ in range(levels):
+        held = documents.join(at, documents[location] == at["_at"], "left_semi")
+        pages = held.select(F.explode(_holding(named("url"), pattern)).alias("url"))
+        found = pages if found is None else found.unionByName(pages)
+        at = held.select(F.explode(named("sitemap")).alias("_at")).distinct()
+    return found.distinct()
+
+
 def _holding(urls: Column, want: str) -> Column:
     return F.filter(F.transform(urls, lambda u: F.trim(u)), lambda u: F.contains(u, F.lit(want)))

@@ -2,6 +2,9 @@
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from heddle.plans import ranks
+from heddle.plans.joins import sent_if_small
+
 
 def temporal_split(df: DataFrame, day: str, cutoff: str, cluster: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(train, test) before and from ``cutoff`` on.
@@ -16,8 +19,9 @@ def temporal_split(df: DataFrame, day: str, cutoff: str, cluster: str | None = N
 
 def median_baseline(df: DataFrame, by: str, area: str, price: str) -> DataFrame:
     """``df`` with ``predicted``: the group's exact median price per area, times the area."""
-    rate = df.groupBy(by).agg(F.median(F.try_divide(F.col(price), F.col(area))).alias("rate"))
-    return df.join(rate, by).withColumn("predicted", F.col("rate") * F.col(area)).drop("rate")
+    rates = df.withColumn("_rate", F.try_divide(F.col(price), F.col(area)))
+    found = ranks.quantile_bounds(rates, "_rate", [0.5], by).select(by, F.col("bounds")[0].alias("_median"))
+    return df.join(sent_if_small(found), by).withColumn("predicted", F.col("_median") * F.col(area)).drop("_median")
 
 
 def errors(df: DataFrame, actual: str, predicted: str, *by: str) -> DataFrame:
@@ -44,15 +48,15 @@ def bargains(df: DataFrame, gap: str, key: str, n: int = 100) -> DataFrame:
 
 
 def quantile_groups(df: DataFrame, value: str, groups: int = 10, by: str | None = None) -> DataFrame:
-    """``df`` with ``quantile`` 1 to ``groups`` by ``value``.
+    """``df`` with ``quantile`` 1 to ``groups`` by ``value``; null without a value.
 
-    Bounds are percentiles from one aggregation, joined back, so that no global
-    sort runs in one task. Equal values are in one group.
+    Bounds are exact quantiles, joined back: no task sees all values. Equal
+    values are in one group; for groups of equal size see ``ranks.ntile``.
     """
-    shares = [i / groups for i in range(1, groups)]
-    bounds = df.groupBy(*([by] if by else [])).agg(F.percentile(value, F.array(*map(F.lit, shares))).alias("bounds"))
-    joined = df.join(bounds, by) if by else df.join(F.broadcast(bounds))
-    return joined.withColumn("quantile", 1 + F.size(F.filter("bounds", lambda b: b < F.col(value)))).drop("bounds")
+    bounds = ranks.quantile_bounds(df, value, [i / groups for i in range(1, groups)], by)
+    joined = df.join(sent_if_small(bounds), by) if by else df.join(F.broadcast(bounds))
+    place = F.when(F.col(value).isNotNull(), 1 + F.size(F.filter("bounds", lambda b: b < F.col(value))))
+    return joined.withColumn("quantile", place).drop("bounds")
 
 
 def concordance_index(df: DataFrame, duration: str, event: str, risk: str) -> DataFrame:

@@ -4,6 +4,8 @@ import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from heddle.plans.joins import join_dimension
+
 
 def presence_panel(seen: DataFrame, entity: str, day: str, first: datetime.date, last: datetime.date) -> DataFrame:
     """(entity, obs_date, is_present) for each entity and each day from ``first`` to ``last``.
@@ -64,10 +66,10 @@ def _labels(ends: DataFrame, censor: datetime.date | Column, entity: str) -> Dat
 def cluster_panel(panel: DataFrame, members: DataFrame, entity: str = "listing_id", cluster: str = "canonical_id") -> DataFrame:
     """(cluster, obs_date, is_present): a cluster is present while any member is.
 
-    Labels of this panel make a cluster's event its last member's end. Members
+    Members that are few are sent to the panel's tasks. Labels of this panel make a cluster's event its last member's end. Members
     without a cluster stand for themselves.
     """
-    joined = panel.join(members.select(entity, cluster), entity, "left").withColumn(cluster, F.coalesce(cluster, entity))
+    joined = join_dimension(panel, members.select(entity, cluster), entity).withColumn(cluster, F.coalesce(cluster, entity))
     return joined.groupBy(cluster, "obs_date").agg(F.bool_or("is_present").alias("is_present"))
 
 

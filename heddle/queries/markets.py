@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from heddle.operators import evaluation, frontier, geo, models
+from heddle.plans import ranks
 from heddle.queries.panels import survival_labels
 from heddle.sources import table
 
@@ -106,6 +107,24 @@ def gap_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.groupBy("gap_quartile").agg(F.count("*").alias("rows"), F.min("price_gap").alias("lowest"), F.max("price_gap").alias("highest"))
 
 
+def gap_ntiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines in four groups of equal size by price gap, ties in the order of their keys."""
+    keys = ["price_gap", "l_orderkey", "l_linenumber", "l_partkey"]
+    return ranks.ntile(price_gap(spark, sf_dir), 4, keys)
+
+
+def gap_ntiles_by_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same within each brand, in tenths: rows and bounds."""
+    rows = _predicted(spark, sf_dir).withColumn("price_gap", F.round(evaluation.price_gap(F.col("l_extendedprice"), F.col("predicted")), 6))
+    tiled = ranks.ntile(rows, 10, ["price_gap", "l_orderkey", "l_linenumber", "l_partkey"], "p_brand")
+    return tiled.groupBy("p_brand", "tile").agg(F.count("*").alias("rows"), F.min("price_gap").alias("lowest"), F.max("price_gap").alias("highest"))
+
+
+def r_squared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of the prices' spread the baseline explains, by type."""
+    return evaluation.errors(_predicted(spark, sf_dir), "l_extendedprice", "predicted", "p_type").select("p_type", "rows", F.round("r2", 5).alias("r2"))
+
+
 def derived_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logs and ratios of part sizes and prices."""
     parts = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") - 1).alias("area"), F.col("p_partkey").alias("rooms"), F.col("p_retailprice").alias("price"))
@@ -156,16 +175,16 @@ def geo_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.ml.functions import array_to_vector
 
-    lines = _lines(spark, sf_dir).select("l_quantity", "l_extendedprice", "p_type")
+    lines = _lines(spark, sf_dir).select("l_orderkey", "l_quantity", "l_extendedprice", "p_type")
     kind = F.array(*((F.col("p_type") == t).cast("double") for t in ("ECONOMY", "STANDARD", "PROMO", "MEDIUM", "LARGE", "SMALL")))
     return lines.withColumn("features", array_to_vector(F.concat(F.array("l_quantity"), kind)))
 
 
 def rent_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prices by boosted trees: rows and errors by type."""
+    """Prices by boosted trees, learnt from four fifths of the orders: rows and errors of the others by type."""
     rows = _features(spark, sf_dir)
-    model = models.fit_rent_model(rows, "l_extendedprice", depth=4, rounds=10)
-    return evaluation.errors(model.transform(rows), "l_extendedprice", "prediction", "p_type")
+    model = models.fit_rent_model(rows.where("l_orderkey % 5 <> 0"), "l_extendedprice", depth=4, rounds=10)
+    return evaluation.errors(model.transform(rows.where("l_orderkey % 5 = 0")), "l_extendedprice", "prediction", "p_type")
 
 
 def aft_survival(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,12 +195,13 @@ def aft_survival(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Benchmark texts as features of length and TF-IDF: the vectors' sizes."""
+    """Documents as features of language, length and TF-IDF: the vectors' sizes."""
     from pyspark.ml.functions import vector_to_array
 
-    rows = table(spark, sf_dir, "benchmark").withColumns({"chars": F.length("text").cast("double"), "kind": (F.col("item_id") % 3).cast("string")})
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("")).alias("kind"))
+    rows = rows.withColumn("chars", F.length("text").cast("double"))
     fitted = models.feature_pipeline(["kind"], ["chars"], "text").fit(rows)
-    return fitted.transform(rows).select("item_id", F.size(F.filter(vector_to_array("features"), lambda x: x != 0)).alias("filled"))
+    return fitted.transform(rows).select("doc_id", F.size(F.filter(vector_to_array("features"), lambda x: x != 0)).alias("filled"))
 
 
 def isotonic_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,7 +213,7 @@ QUERIES = {
     "frontier_new_urls": frontier_new_urls, "frontier_after_fetches": frontier_after_fetches, "frontier_batch": frontier_batch, "panel_due": panel_due, "freeze_cohort": freeze_cohort,
     "freeze_cohort_by_source": freeze_cohort_by_source, "temporal_split": temporal_split, "cluster_leak_guard": cluster_leak_guard, "median_baseline": median_baseline,
     "mape_by_group": mape_by_group, "price_gap": price_gap, "bargain_top100": bargain_top100, "error_deciles": error_deciles,
-    "gap_quartiles": gap_quartiles, "derived_numbers": derived_numbers, "pick_optimal": pick_optimal, "poi_radius": poi_radius,
+    "gap_quartiles": gap_quartiles, "gap_ntiles": gap_ntiles, "gap_ntiles_by_brand": gap_ntiles_by_brand, "r_squared": r_squared, "derived_numbers": derived_numbers, "pick_optimal": pick_optimal, "poi_radius": poi_radius,
     "grid_cells": grid_cells, "geo_precision": geo_precision, "rent_gbt": rent_gbt, "aft_survival": aft_survival, "text_idf": text_idf, "isotonic_curve": isotonic_curve,
 }
 
@@ -241,6 +261,16 @@ ORACLE_SQL = {
         SELECT CASE WHEN c_custkey % 3 <> 0 THEN 'exact' ELSE 'district' END AS geo_precision, count(*) AS customers, round(avg(CASE WHEN c_custkey % 3 <> 0 THEN lat ELSE mid END), 6) AS latitude FROM c JOIN m USING (c_nationkey) GROUP BY 1""",
     "gap_quartiles": f"""WITH {_PREDICTED}, g AS (SELECT round((l_extendedprice - predicted) / predicted, 6) AS price_gap FROM q), b AS (SELECT quantile_cont(price_gap, [0.25, 0.5, 0.75]) AS bounds FROM g)
         SELECT CAST(1 + len(list_filter(bounds, lambda x: x < price_gap)) AS INTEGER) AS gap_quartile, count(*) AS rows, min(price_gap) AS lowest, max(price_gap) AS highest FROM g CROSS JOIN b GROUP BY 1""",
+    "gap_ntiles": f"""WITH {_PREDICTED}, g AS (SELECT l_orderkey, l_linenumber, l_partkey, round((l_extendedprice - predicted) / predicted, 6) AS price_gap FROM q)
+        SELECT *, CAST(ntile(4) OVER (ORDER BY price_gap, l_orderkey, l_linenumber, l_partkey) AS INTEGER) AS tile FROM g""",
+    "gap_ntiles_by_brand": f"""WITH {_PREDICTED}, g AS (SELECT *, round((l_extendedprice - predicted) / predicted, 6) AS price_gap FROM q),
+        t AS (SELECT *, CAST(ntile(10) OVER (PARTITION BY p_brand ORDER BY price_gap, l_orderkey, l_linenumber, l_partkey) AS INTEGER) AS tile FROM g)
+        SELECT p_brand, tile, count(*) AS rows, min(price_gap) AS lowest, max(price_gap) AS highest FROM t GROUP BY ALL""",
+    "r_squared": f"WITH {_PREDICTED} SELECT p_type, count(*) AS rows, round(1 - avg((l_extendedprice - predicted) ** 2) / var_pop(l_extendedprice), 5) AS r2 FROM q GROUP BY 1",
+    "isotonic_curve": """WITH p AS (SELECT p_size AS x, round(avg(p_retailprice), 4) AS y, row_number() OVER (ORDER BY p_size) AS i FROM part GROUP BY 1),
+        m AS (SELECT a.i AS a, b.i AS b, avg(p.y) AS mean FROM p a JOIN p b ON b.i >= a.i JOIN p ON p.i BETWEEN a.i AND b.i GROUP BY 1, 2),
+        l AS (SELECT p.i, m.a, min(m.mean) AS least FROM p JOIN m ON m.a <= p.i AND m.b >= p.i GROUP BY 1, 2)
+        SELECT x, y, round(smooth, 4) AS smooth FROM p JOIN (SELECT i, max(least) AS smooth FROM l GROUP BY 1) USING (i)""",
     "derived_numbers": """SELECT p_partkey, round(CASE WHEN p_size > 1 THEN ln(p_size - 1) END, 6) AS log_area, round(CASE WHEN p_size <> 1 THEN p_partkey / (p_size - 1) END, 6) AS rooms_per_sqm,
         round(CASE WHEN p_retailprice > 0 THEN ln(p_retailprice) END, 6) AS log_price FROM part""",
 }

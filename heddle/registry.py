@@ -4,10 +4,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from heddle.queries import markets, panels, texts
+from heddle.queries import listings, markets, panels, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = (panels, texts, markets)
+MODULES = (panels, texts, listings, markets)
 
 
 def queries() -> dict[str, Query]:
