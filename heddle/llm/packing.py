@@ -5,11 +5,13 @@ remains after its full windows) goes to the level h, or to a new window, for
 which the sum of N(h)² over partially filled levels grows least. That keeps
 windows of every fill at hand, so later pieces find an exact complement.
 (Csirik, Johnson, Kenyon, Orlin, Shor, Weber: On the Sum-of-Squares Algorithm
-for Bin Packing, J. ACM 2006.)
+for Bin Packing, J. ACM 2006.) Documents may be cut, so a piece may also fill a
+window and go on in a new one; the rule weighs these levels as well once a share
+of the windows is open.
 
 Each input partition is packed alone, without a shuffle: the level array has a
-fixed size and a closed window leaves memory at once. A shard's open windows are
-topped up from its emptiest ones when it ends, so at most one window of a
+fixed size and a closed window leaves memory at once. A shard's last open windows
+are topped up from its emptiest ones when it ends, so at most one window of a
 shard is partly filled; that one is cut at its binary digits into sequences
 whose lengths are powers of two and need no padding.
 """
@@ -23,14 +25,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heddle.llm.batches import text_batches
-from heddle.llm.chunks import ChunkCache, split_chunks, text_blocks
+from heddle.llm.batches import give_back, text_batches
+from heddle.llm.chunks import NumberCache, gather, gathered, split_chunks
 from heddle.sources import table
 
 WINDOW = 2048
 END_ID = 1
+#: Windows that a shard holds open at most, and the share of its closed ones that may be open.
+MOST_OPEN = 2048
+OPEN_SHARE = 4
 VOCABULARY = "word_bpe_49k.json"
 
 
@@ -39,9 +45,14 @@ class LevelPacker:
 
     ``levels[h]`` counts the open windows filled to h. ``leave`` and ``enter``
     hold what the sum of squares gains when a window leaves or enters a level.
+    A piece may go past a window's end: it fills that window, which closes, and
+    its rest is a window at the level that is left. Such a cut is made only while
+    as many windows are open as ``most_open`` allows: a share of the windows
+    closed so far, so that few are left at the end of a small input, and large
+    inputs, which find exact complements, are hardly cut.
     """
 
-    NEVER = np.iinfo(np.int64).max // 2
+    NEVER = np.iinfo(np.int64).max // 4
 
     def __init__(self, window: int = WINDOW):
         self.window = window
@@ -50,38 +61,60 @@ class LevelPacker:
         self.enter = np.ones(window + 1, dtype=np.int64)
         self.enter[window] = 0  # a full window is closed and counts no more
         self.open: list[list] = [[] for _ in range(window + 1)]
+        self.n_open = self.n_closed = self.n_drained = 0
+
+    def most_open(self) -> int:
+        return min(MOST_OPEN, 4 + self.n_closed // OPEN_SHARE)
 
     def _level_for(self, size: int) -> int:
         """The level, 0 for a new window, whose choice adds least to the sum of squares.
 
-        Ties go to the fullest window.
+        Ties go to the fullest window. Levels at which the piece would be cut are
+        looked at only when no more windows may be opened.
         """
         gain = (self.leave[1 : self.window - size + 1] + self.enter[size + 1 :])[::-1]
-        if len(gain) and gain[best := int(gain.argmin())] <= self.enter[size]:
-            return self.window - size - best
-        return 0
+        best = int(gain.argmin()) if len(gain) else 0
+        least = int(gain[best]) if len(gain) else self.NEVER
+        if self.n_open < self.most_open():
+            return self.window - size - best if least <= self.enter[size] else 0
+        if size > 1:
+            past = (self.leave[self.window - size + 1 : self.window] + self.enter[1:size])[::-1]
+            cut = int(past.argmin())
+            if past[cut] < least:
+                return self.window - 1 - cut
+        return self.window - size - best if least < self.NEVER else 0
 
     def _count(self, level: int, by: int) -> None:
         self.levels[level] += by
+        self.n_open += by
         n = self.levels[level]
         self.leave[level] = 1 - 2 * n if n else self.NEVER
         self.enter[level] = 2 * n + 1
 
-    def add(self, piece: tuple, size: int) -> list | None:
-        """Place a piece of 1 to ``window`` tokens; the window's pieces once it is full."""
-        level = self._level_for(size) if size < self.window else 0
+    def add(self, piece: tuple, size: int) -> list[list]:
+        """Place a piece of 1 to ``window`` tokens; the pieces of the window that it fills, if any."""
+        if size == self.window:
+            return [[piece]]
+        level = self._level_for(size)
+        pieces, closed = [], []
         if level:
             pieces = self.open[level].pop()
             self._count(level, -1)
-        else:
-            pieces = []
+        if level + size > self.window:
+            key, start, ids, total = piece
+            room = self.window - level
+            pieces.append((key, start, ids[: 4 * room], total))
+            piece, size = (key, start + room, ids[4 * room :], total), size - room
+            closed, pieces, level = [pieces], [], 0
         pieces.append(piece)
         level += size
         if level == self.window:
-            return pieces
-        self._count(level, 1)
-        self.open[level].append(pieces)
-        return None
+            closed.append(pieces)
+        else:
+            self._count(level, 1)
+            self.open[level].append(pieces)
+        self.n_closed += len(closed)
+        return closed
 
     def drain(self) -> Iterator[list]:
         """Close the open windows: the fullest are topped up with pieces of the emptiest."""
@@ -99,6 +132,7 @@ class LevelPacker:
             fill[high] += taken
             fill[low] -= taken
             if fill[high] == self.window:
+                self.n_drained += 1
                 yield left[high]
                 high -= 1
             if not fill[low]:
@@ -106,8 +140,7 @@ class LevelPacker:
         if low == high and fill[low]:
             yield from self._binary(left[low], fill[low])
 
-    @staticmethod
-    def _binary(pieces: list, fill: int) -> Iterator[list]:
+    def _binary(self, pieces: list, fill: int) -> Iterator[list]:
         """Cut a last window into sequences of power-of-two lengths, longest first."""
         pieces = pieces[::-1]
         while fill:
@@ -121,70 +154,85 @@ class LevelPacker:
                     pieces.append((key, start + taken, ids[4 * taken :], total))
                 need -= taken
             fill -= size
+            self.n_drained += 1
             yield sequence
 
 
 #: A word of precomposed Latin letters, then punctuation without apostrophes. The
 #: tokenizer's rules split such a chunk into these two and lower the word's letters.
-_WORD_AND_TAIL = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+)([!-&(-/:-@\[-`{-~]*)")
+_MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+_SIMPLE = f"^[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+[{re.escape(_MARKS)}]*$"
+_WORD = "^[^!-~]*(?:[A-Za-z][^!-~]*)*"
+#: Words that are encoded in one call.
+_CALL = 2000
 
 
-@lru_cache(maxsize=2)
-def _encoder(path: str) -> ChunkCache:
-    """Chunk → its ids as little-endian unsigned 32-bit numbers, by the tokenizer itself.
-
-    A worker keeps it, with what it has cached, from task to task.
+class ChunkEncoder:
+    """The ids of chunks, by the tokenizer itself.
 
     The common chunks, a word with punctuation behind, go through a copy of the
-    tokenizer that only merges: words of a batch are encoded together, and as a
-    word's last token bears the word-end mark, the ids fall apart into words.
+    tokenizer that only merges: many words are encoded together, and as a word's
+    last token bears the word-end mark, the ids fall apart into words. A worker
+    keeps it, with the words it has met, from task to task.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    with open(path, encoding="utf-8") as file:
-        spec = json.load(file)
-    ends = np.zeros(1 + max(spec["model"]["vocab"].values()), dtype=bool)
-    ends[[i for token, i in spec["model"]["vocab"].items() if token.endswith(spec["model"]["end_of_word_suffix"])]] = True
-    byte_level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
-    bare = {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, byte_level]}}
-    merges = Tokenizer.from_str(json.dumps(spec | bare))
-
-    def encoded(words: list[str]) -> list[bytes]:
-        found = []
-        for at in range(0, len(words), 500):
-            ids = np.array(merges.encode(" ".join(words[at : at + 500]), add_special_tokens=False).ids, dtype="<u4")
-            data, cuts = ids.tobytes(), (4 * (np.flatnonzero(ends[ids]) + 1)).tolist()
-            found += [data[a:b] for a, b in zip([0, *cuts], cuts)]
-        return found
-
-    parts = ChunkCache(encoded)
-
-    def make(chunks: list[str]) -> list[bytes]:
-        split = list(map(_WORD_AND_TAIL.fullmatch, chunks))
-        words = list(map(str.lower, (m[1] for m in split if m)))
-        tails = list({m[2] for m in split if m and m[2]})
-        heads, tail_ids = iter(parts.values(words)), dict(zip(tails, parts.values(tails))) | {"": b""}
-        odd = [c for c, m in zip(chunks, split) if not m]
-        others = iter([np.array(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch_fast(odd, add_special_tokens=False)])
-        return [next(heads) + tail_ids[m[2]] if m else next(others) for m in split]
-
-    return ChunkCache(make)
-
-
-def token_ids(texts: pa.Array, encode: ChunkCache) -> Iterator[np.ndarray]:
-    """The ids of each text."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        suffix, vocabulary = spec["model"]["end_of_word_suffix"], spec["model"]["vocab"]
+        self.ends = np.zeros(1 + max(vocabulary.values()), dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        byte_level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+        bare = {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, byte_level]}}
+        self.merges = Tokenizer.from_str(json.dumps(spec | bare))
+        self.words = NumberCache(self._merged)
+
+    def _merged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        calls = [self.merges.encode(" ".join(words[at : at + _CALL]), add_special_tokens=False).ids for at in range(0, len(words), _CALL)]
+        ids = np.concatenate([np.array(c, dtype="<u4") for c in calls])
+        return ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+
+    def encode(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct chunks in a row, and how many each has."""
+        simple = pc.match_substring_regex(chunks, _SIMPLE)
+        places, odd = np.flatnonzero(simple.to_numpy(zero_copy_only=False)), np.flatnonzero(pc.invert(simple).to_numpy(zero_copy_only=False))
+        plain = chunks.filter(simple)
+        words = pc.ascii_rtrim(plain, characters=_MARKS)
+        tailed = pc.not_equal(pc.binary_length(plain), pc.binary_length(words))
+        tails = pc.replace_substring_regex(plain.filter(tailed), _WORD, "")
+        parts = pa.concat_arrays([pc.utf8_lower(words), tails]).dictionary_encode()
+        number = self.words.numbers(parts.dictionary.to_pylist())[parts.indices.to_numpy()]
+        # each word, and its tail behind it
+        behind = np.flatnonzero(tailed.to_numpy(zero_copy_only=False)) + 1
+        ids, begins = self.words.joined(np.insert(number[: len(plain)], behind, number[len(plain) :]))
+        last = np.arange(1, len(plain) + 1) + np.cumsum(tailed.to_numpy(zero_copy_only=False))
+        others = [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(chunks.filter(pc.invert(simple)).to_pylist(), add_special_tokens=False)]
+        sizes = np.zeros(len(chunks), dtype=np.int64)
+        sizes[places] = np.diff(begins[last], prepend=0)
+        sizes[odd] = list(map(len, others))
+        ids = np.concatenate([ids, *others])
+        # simple chunks come first there: back into the chunks' order
+        order = np.concatenate((places, odd))
+        first = np.empty(len(chunks), dtype=np.int64)
+        first[order] = np.cumsum(sizes[order]) - sizes[order]
+        return gather(ids, first, sizes)[0], sizes
+
+
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> ChunkEncoder:
+    return ChunkEncoder(path)
+
+
+def token_ids(texts: pa.Array, encoder: ChunkEncoder) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts in a row, and where each text's begin, with their count at the end."""
     chunks, codes, starts = split_chunks(texts)
-    values = encode.values(chunks)
-    pool = np.frombuffer(b"".join(values), dtype="<u4")
-    sizes = np.array([len(v) // 4 for v in values], dtype=np.int64)
-    first = np.cumsum(sizes) - sizes
-    for a, b in zip(starts, starts[1:]):
-        some = codes[a:b]
-        n = sizes[some]
-        ends = np.cumsum(n)
-        yield pool[np.repeat(first[some] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+    ids, sizes = encoder.encode(chunks)
+    ids, begins = gather(ids, (np.cumsum(sizes) - sizes)[codes], sizes[codes])
+    return ids, begins[starts]
 
 
 PIECE = pa.schema([*((name, pa.int64()) for name in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")), ("ids", pa.binary())])
@@ -196,8 +244,7 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = E
     Returns a row per piece: ``doc_id``, ``start`` (the document's ids before
     the piece), ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id`` and
     ``offset`` (the piece's place in its sequence), and ``ids`` as binary of
-    little-endian unsigned 32-bit numbers. Only documents longer than a window
-    and pieces of a shard's last open windows are cut.
+    little-endian unsigned 32-bit numbers. A piece is at most a window long.
 
     A null or empty text is the end id alone. A null id stays null. Repeated
     rows are packed as often as they occur. Other columns are not read. An
@@ -224,23 +271,21 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = E
             columns = zip(*out)
             return pa.RecordBatch.from_arrays([pa.array(column, type=kind) for column, kind in zip(columns, PIECE.types)], schema=PIECE)
 
-        for batch in batches:
-            if batch.num_rows:
-                base = batch.column(2)[0].as_py() << 32
-            keys = iter(batch.column(0).to_pylist())
-            for texts in text_blocks(batch.column(1)):
-                full = []
-                for ids in token_ids(texts, encode):
-                    key, data = next(keys), ids.tobytes() + end
-                    total = len(data) // 4
-                    for start in range(0, total, window):
-                        piece = (key, start, data[4 * start : 4 * start + step], total)
-                        if done := packer.add(piece, len(piece[2]) // 4):
-                            full.append(done)
-                if full:
-                    yield made(full)
+        for batch in gathered(batches):
+            base, full = batch.column(2)[0].as_py() << 32, []
+            ids, begins = token_ids(batch.column(1), encode)
+            cuts, data = (4 * begins).tolist(), ids.tobytes()
+            for key, a, b in zip(batch.column(0).to_pylist(), cuts, cuts[1:]):
+                whole = data[a:b] + end
+                total = len(whole) // 4
+                for start in range(0, total, window):
+                    piece = (key, start, whole[4 * start : 4 * start + step], total)
+                    full += packer.add(piece, len(piece[2]) // 4)
+            if full:
+                yield made(full)
         if left := list(packer.drain()):
             yield made(left)
+        give_back()
 
     fields = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.spark_partition_id()).mapInArrow(rows, fields)

@@ -19,8 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heddle.llm.batches import text_batches
-from heddle.llm.chunks import ChunkCache, split_chunks, text_blocks
+from heddle.llm.batches import give_back, text_batches
+from heddle.llm.chunks import ChunkCache, gathered, split_chunks
 from heddle.sources import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -192,14 +192,12 @@ def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(vocabulary)
-        for batch in batches:
-            sums = [np.zeros(0, dtype=np.int64)]
-            for texts in text_blocks(batch.column(1)):
-                chunks, codes, starts = split_chunks(texts)
-                running = np.concatenate(([0], np.cumsum(np.array(counter.values(chunks), dtype=np.int64)[codes])))
-                sums.append(np.diff(running[starts]))
-            total = np.concatenate(sums)
+        for batch in gathered(batches):
+            chunks, codes, starts = split_chunks(batch.column(1))
+            running = np.concatenate(([0], np.cumsum(np.array(counter.values(chunks.to_pylist()), dtype=np.int64)[codes])))
+            total = np.diff(running[starts])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total // WORD), pa.array(total % WORD)], names=["doc_id", "n_words", "n_tokens"])
+        give_back()
 
     kept = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return kept.mapInArrow(rows, "doc_id long, n_words long, n_tokens long")

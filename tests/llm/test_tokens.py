@@ -1,9 +1,12 @@
 import json
+import os
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
@@ -56,30 +59,73 @@ def test_packing_holds_every_id_once(spark):
     assert packing.pack(df.limit(0), VOCABULARY).count() == 0
 
 
+def test_ids_of_every_letter_and_mark():
+    """Chunks that are split and lowered in bulk, and those that aren't, get the tokenizer's own ids."""
+    letters = [chr(c) for c in range(33, 0x530)] + ["İ", "ﬁ", "ẞ", "K"]
+    texts = [" ".join(f"{a}b{c}" for a in letters[k : k + 40] for c in ("", ".", "'s", "!?", "-x")) for k in range(0, len(letters), 40)]
+    texts += [f"{a}{b}{c}" for a in ("Wo", "É", "") for b in ("...", "--'", "'", "`~", "</s>") for c in ("", "x", "é", "9")]
+    ids, begins = packing.token_ids(pa.array(texts), packing.ChunkEncoder(VOCABULARY))
+    assert [ids[a:b].tolist() for a, b in zip(begins, begins[1:])] == [ids_of(t)[:-1] for t in texts]
+
+
 def test_sum_of_squares_rule():
     """Against the rule computed naively for every piece."""
     chance = np.random.default_rng(4)
     packer, window = packing.LevelPacker(64), 64
-    count = [0] * 65
-    for size in chance.integers(1, 64, 600).tolist():
+    count, closed, cut = [0] * 65, 0, 0
+    for size in chance.integers(1, 64, 1500).tolist():
         def cost(level):
             after = list(count)
             if level:
                 after[level] -= 1
-            after[level + size] += 1
+            after[(level + size) % window] += 1
             return sum(n * n for n in after[1:window])
 
         fit = [h for h in range(window - size, -1, -1) if h == 0 or count[h]]
-        best = min(fit, key=lambda h: (cost(h), -h))
+        if sum(count[1:]) >= 4 + closed // packing.OPEN_SHARE:
+            # no new window: cutting is weighed instead, and taken if it is better
+            fit = [h for h in fit if h] + [h for h in range(window - 1, window - size, -1) if count[h]]
+        best = min(fit, key=lambda h: (cost(h), h + size > window, -h))
         assert packer._level_for(size) == best
-        packer.add((0, 0, b"\0\0\0\0" * size, size), size)
+        found = packer.add((0, 0, b"\0\0\0\0" * size, size), size)
+        assert all(sum(len(p[2]) // 4 for p in w) == window for w in found) and len(found) == (best + size >= window)
+        closed, cut = closed + len(found), cut + (best + size > window)
         if best:
             count[best] -= 1
-        if best + size < window:
-            count[best + size] += 1
+        count[(best + size) % window] += 1
+        count[0] = 0
+    assert (packer.n_closed, packer.n_open) == (closed, sum(count)) and 0 < cut < closed
     left = list(packer.drain())
     fills = [sum(len(p[2]) // 4 for p in w) for w in left]
     assert sum(fills) == sum(h * n for h, n in enumerate(count)) and all(f == 64 or f & (f - 1) == 0 for f in fills)
+    assert packer.n_drained == len(left) < 0.3 * closed
+
+
+def test_large_inputs_are_hardly_cut():
+    chance = np.random.default_rng(8)
+    packer, cuts = packing.LevelPacker(), 0
+    for size in np.clip(np.exp2(chance.normal(8.5, 1.5, 20_000)), 1, 2047).astype(int).tolist():
+        cuts += sum(len(w[-1][2]) // 4 != size for w in packer.add((0, 0, bytes(4 * size), size), size))
+    assert packer.n_open <= packing.MOST_OPEN and packer.n_drained == 0 and cuts < 0.3 * packer.n_closed
+
+
+@pytest.mark.parametrize("partitions", [1, 8])
+def test_the_rule_closes_most_sequences(partitions):
+    """Of the documents of the 0.01 tables, dealt to partitions, windows of several documents."""
+    path = "/root/testdata/sf0.01/documents.parquet"
+    if not os.path.exists(path):
+        pytest.skip("needs the test tables")
+    sizes = [len(i.ids) + 1 for i in Tokenizer.from_file(VOCABULARY).encode_batch_fast([t or "" for t in pq.read_table(path, columns=["text"]).column(0).to_pylist()], add_special_tokens=False)]
+    closed = drained = 0
+    for part in range(partitions):
+        packer = packing.LevelPacker()
+        for size in sizes[part::partitions]:
+            for start in range(0, size, 2048):
+                n = min(2048, size - start)
+                packer.add((0, start, bytes(4 * n), size), n)
+        list(packer.drain())
+        closed, drained = closed + packer.n_closed, drained + packer.n_drained
+    assert closed > drained
 
 
 def naive_counts(text, tokenizer, vocabulary):
