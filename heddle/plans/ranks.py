@@ -25,7 +25,10 @@ def _dealt(df: DataFrame, keys: list[str], order: list[str], count: str | None,
 
 
 def quantile_bounds(df: DataFrame, value: str, shares: list[float], by: str | None = None) -> DataFrame:
-    """(by, bounds): the quantiles of ``value`` at ``shares``, interpolated between the two nearest rows; nulls don't count."""
+    """(by, bounds): the quantiles of ``value`` at ``shares``, interpolated between the two nearest rows.
+
+    Nulls don't count. Without ``by`` there is one row, of nulls if there are no values.
+    """
     scratch, keys = Scratch(df.sparkSession, "quantiles"), [by] if by else []
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("value")).agg(F.count("*").alias("n"))
     rows = _dealt(counts, keys, ["value"], "n", scratch)

@@ -54,7 +54,7 @@ def test_rules(spark, rule, changes):
 
 def test_soft_rules_pass(spark):
     metrics = gates.quality_gate(silver(spark, {"province": None}, {"crawl_date": dt.date(2026, 9, 21)}, *[{"is_active": False, "parse_ok": False}] * 5, {"asking_rent_vnd": None}), DAY)
-    assert (metrics["province_missing"], metrics["other_days"], metrics["not_fetched"]) == (1, 1, 5) or metrics["not_fetched"] == 5
+    assert (metrics["province_missing"], metrics["other_days"], metrics["not_fetched"], metrics["parsed"]) == (1, 1, 5, 15)
 
 
 def test_no_rows_fail(spark):
