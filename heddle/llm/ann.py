@@ -1,11 +1,16 @@
 """Nearest neighbours by a forest of random-projection trees with a shared queue.
 
 Every vector is indexed in one leaf of each tree. A query walks all trees with
-one priority queue keyed by the worst margin on the way, so the most promising
-leaves of the whole forest come first, until its share of leaves is reached.
-Then queries meet the vectors of their leaves in an equi-join on leaves, in
-blocks of bounded size; each leaf answers with its best, and the best of those
-are ranked by the exact product of the original vectors.
+one priority queue keyed by the squared margins of the splits it has crossed, so
+the most promising leaves of the whole forest come first. How many leaves it
+visits is measured on the fitted sample: as many as find the wanted share of its
+nearest, so clustered vectors need few leaves and unstructured ones most.
+
+Leaves are tasks in groups, the subtrees of up to 64 leaves: a query is sent once
+to a group, with a bit for each leaf it visits, and the group answers with its
+best over those leaves. Large groups are cut into blocks of stored vectors and of
+queries, so tasks are bounded whatever the leaves hold. Answers are ranked by the
+exact product of the original vectors.
 
 For inner products of vectors of unequal norms the trees see one more component,
 sqrt(largest² - norm²), under which the largest product is the smallest angle.
@@ -16,51 +21,91 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heddle.llm.forest import Tree, dimension, fit_sample, fit_tree, matrix, tree_depth, usable
+from heddle.llm.forest import Tree, block_of, component_kind, dimensions, fit_sample, fit_tree, keys, matrix, packed, sound, unit_rows, unpacked
 from heddle.plans.durable import Scratch
 from heddle.sources import table
 
 NEIGHBOURS = 20
-TREES = 8
-LEAF_ROWS = 512
-MOST_DEPTH = 12
-#: Leaves that a query visits, over all trees, in multiples of one tree's leaves. Vectors
-#: without structure need more than one for a sure recall above 0.9; clustered ones far less.
-SEARCH_SHARE = 1.6
-#: Queries that meet a leaf in one task, about; more queries are dealt to more tasks.
+TREES = 4
+LEAF_ROWS = 128
+#: Share of the true nearest of a sample's queries that their visits have to find.
+RECALL = 0.96
+#: Sampled queries that the visits are measured on, at most.
+MEASURED = 300
+#: Leaves of a group: the bits of a mask.
+GROUP_LEAVES = 64
+#: Stored vectors of a group in one task, and queries, about; more are dealt to more tasks.
+STORED_BLOCK = 16_384
 QUERY_BLOCK = 20_000
 
 
 def search(forest: list[Tree], vector: np.ndarray, visits: int) -> list[tuple[int, int]]:
     """The (tree, leaf) pairs that a query visits, most promising first."""
-    margins = [tree.directions @ vector - tree.thresholds for tree in forest]
-    queue, found = [(-np.inf, number, 0) for number in range(len(forest))], []
+    margins = [(tree.directions @ vector - tree.thresholds).tolist() for tree in forest]
+    queue, found = [(0.0, number, tree.root) for number, tree in enumerate(forest)], []
     while queue and len(found) < visits:
-        worst, number, node = heapq.heappop(queue)
-        leaf = node - (forest[number].leaves - 1)
-        if leaf >= 0:
-            found.append((number, leaf))
-            continue
-        margin = margins[number][node]
-        heapq.heappush(queue, (max(worst, margin), number, 2 * node + 1))
-        heapq.heappush(queue, (max(worst, -margin), number, 2 * node + 2))
+        crossed, number, node = heapq.heappop(queue)
+        while node >= 0:  # down the near sides, which cost nothing
+            margin = margins[number][node]
+            left, right = forest[number].children[node].tolist()
+            near, far = (right, left) if margin > 0 else (left, right)
+            heapq.heappush(queue, (crossed + margin * margin, number, far))
+            node = near
+        found.append((number, -node - 1))
     return found
 
 
+def needed_visits(forest: list[Tree], sample: np.ndarray, queries: np.ndarray, n: int, k: int, recall: float = RECALL) -> int:
+    """Leaves to visit so that the sample's queries find ``recall`` of their nearest in the mean.
+
+    ``queries`` are the sample's rows as they are when they ask. The sample's k * (its share of n) nearest stand for the k nearest of all.
+    """
+    total = sum(tree.leaves for tree in forest)
+    if len(sample) < 2:
+        return total
+    asked = np.unique(np.linspace(0, len(sample) - 1, min(MEASURED, len(sample))).astype(np.int64))
+    k = min(len(sample) - 1, max(1, round(k * len(sample) / n)))
+    homes = []
+    for tree in forest:
+        rows, leaves = tree.route(sample)
+        home = np.empty(len(sample), dtype=np.int64)
+        home[rows] = leaves
+        homes.append(home)
+    when = []
+    for q in asked.tolist():
+        order = search(forest, queries[q], total)
+        rank = [np.zeros(tree.leaves, dtype=np.int64) for tree in forest]
+        for place, (number, leaf) in enumerate(order):
+            rank[number][leaf] = place + 1
+        scores = sample @ queries[q]
+        scores[q] = -np.inf
+        near = np.argpartition(-scores, k - 1)[:k]
+        when.append(np.min([r[h[near]] for r, h in zip(rank, homes)], axis=0))
+    when = np.sort(np.concatenate(when))
+    return int(when[min(len(when) - 1, int(np.ceil(recall * len(when))) - 1)])
+
+
+def leaf_groups(tree: Tree, leaves: int = GROUP_LEAVES) -> tuple[np.ndarray, np.ndarray]:
+    """Each leaf's group and its place there: leaves are numbered in the order of the tree, so neighbours are near."""
+    number = np.arange(tree.leaves)
+    return number // leaves, number % leaves
+
+
 def _least_ids(rows: DataFrame, most: int) -> DataFrame:
-    """(key, node, v, ids): distinct vectors with their ``most`` least ids, in order; node is the least.
+    """(k0, k1, v, ids, node): distinct vectors with their ``most`` least ids, in order and repeats included; node is the least.
 
-    Partitions reduce first, so a key met everywhere brings few rows to its task.
+    Partitions reduce first, so a vector met everywhere brings few rows to its task.
     """
 
     def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[str, list] = {}
+        held: dict[tuple, list] = {}
         for batch in batches:
-            for key, number, v in zip(batch["key"], batch["vec_id"], batch["v"]):
-                ids = held.setdefault(key, [v, []])[1]
-                ids.append(int(number))
+            for k0, k1, number, v in zip(batch["k0"].tolist(), batch["k1"].tolist(), batch["vec_id"].tolist(), batch["v"]):
+                ids = held.setdefault((k0, k1), [v, []])[1]
+                ids.append(number)
                 if len(ids) > 4 * most:
                     ids[:] = sorted(ids)[:most]
             if len(held) > 20_000:
@@ -70,131 +115,183 @@ def _least_ids(rows: DataFrame, most: int) -> DataFrame:
             yield flush(held)
 
     def flush(held: dict) -> pd.DataFrame:
-        return pd.DataFrame({"key": list(held), "v": [v for v, _ in held.values()], "ids": [sorted(ids)[:most] for _, ids in held.values()]})
+        k0, k1 = zip(*held)
+        return pd.DataFrame({"k0": k0, "k1": k1, "v": [v for v, _ in held.values()], "ids": [sorted(ids)[:most] for _, ids in held.values()]})
 
-    reduced = rows.select("key", "vec_id", "v").mapInPandas(reduce, "key string, v array<double>, ids array<long>")
-    merged = reduced.groupBy("key").agg(F.first("v").alias("v"), F.flatten(F.collect_list("ids")).alias("ids"))
-    return merged.select("key", "v", F.slice(F.sort_array("ids"), 1, most).alias("ids")).withColumn("node", F.col("ids")[0])
+    kind = rows.schema["v"].dataType.simpleString()
+    reduced = rows.select("k0", "k1", "vec_id", "v").mapInPandas(reduce, f"k0 long, k1 long, v {kind}, ids array<long>")
+    merged = reduced.groupBy("k0", "k1").agg(F.first("v").alias("v"), F.flatten(F.collect_list("ids")).alias("ids"))
+    return merged.select("k0", "k1", "v", F.slice(F.sort_array("ids"), 1, most).alias("ids")).withColumn("node", F.col("ids")[0])
 
 
 def nearest(
-    vectors: DataFrame, every: int = 20, k: int = NEIGHBOURS, trees: int = TREES, leaf_rows: int = LEAF_ROWS, share: float = SEARCH_SHARE,
+    vectors: DataFrame, every: int = 20, k: int = NEIGHBOURS, trees: int = TREES, leaf_rows: int = LEAF_ROWS, recall: float = RECALL,
     id_col: str = "vec_id", vector_col: str = "embedding",
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` largest inner products for each query.
+    """(query_id, rank, vec_id, score): the ``k`` largest inner products found for each query.
 
     Queries are the rows whose id is divisible by ``every``, candidates all
-    other rows; ties go to the smaller id. Rows that are null or zero, hold null
-    or non-finite components, have another length than most or no id take no
-    part. Rows that repeat an id count once as candidate for each vector they
-    hold, and are each a query. Other columns are not read; an empty table gives
-    no rows.
+    other rows; ties go to the smaller id. Rows that are null, empty or zero, hold
+    null or non-finite components or have no id take no part. Vectors of different
+    lengths have no product; each length is searched by itself. Rows that repeat
+    an id are rows of their own: each is a query, and a candidate of all but
+    itself. Other columns are not read; an empty table gives no rows.
     """
     scratch = Scratch(vectors.sparkSession, "ann")
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"))
-    dim = dimension(rows, "v")
-    rows = rows.where(usable(F.col("v"), dim) & F.col("vec_id").isNotNull())
-    rows = rows.select("vec_id", F.sha2(F.col("v").cast("string"), 256).alias("key"), F.col("v").cast("array<double>").alias("v"))
+    if component_kind(rows, "v") == "<f8":
+        rows = rows.withColumn("v", F.col("v").cast("array<double>"))
+    rows = rows.where(sound(F.col("v")) & F.col("vec_id").isNotNull()).select("vec_id", "v", *keys(F.col("v")))
     points = scratch.keep(_least_ids(rows, k + 1), "points")
-    queries = rows.where(F.col("vec_id") % every == 0).select("vec_id", "key").join(points.select("key", "node"), "key")
+    queries = rows.where(F.col("vec_id") % every == 0).select("vec_id", "k0", "k1").join(points.select("k0", "k1", "node"), ["k0", "k1"])
     queries = scratch.keep(queries.select("vec_id", "node"), "queries")
     asked = points.join(queries.select("node").distinct(), "node", "left_semi").select("node", "v")
-    square = F.aggregate("v", F.lit(0.0), lambda t, x: t + x * x)
-    n, top, least = points.agg(F.count("*"), F.max(square), F.min(square)).first()
-    if n:
-        n_asked = asked.count()
-        extend = top - least > 1e-3 * top
-        sample = _extended(fit_sample(points, n, "key", "v"), top if extend else None)
-        depth = tree_depth(n, leaf_rows, MOST_DEPTH)
-        forest = [fit_tree(sample, depth, seed) for seed in range(trees)]
-        visits = max(2 * trees, int(np.ceil(share * (1 << depth))))
-        blocks = max(1, -(-n_asked // QUERY_BLOCK))
-        best = _candidates(points, asked, forest, visits, top if extend else None, blocks, k + 1)
-    else:
-        best = points.select("node", F.array().cast("array<double>").alias("scores"), F.array().cast("array<long>").alias("others"))
+    best = None
+    for dim in dimensions(points, "v"):
+        found = _search_all(points.where(F.size("v") == dim).select("node", "v"), asked.where(F.size("v") == dim), k, trees, leaf_rows, recall)
+        best = found if best is None else best.unionByName(found)
+    if best is None:
+        best = points.select("node", F.lit(b"").alias("scores"), F.lit(b"").alias("others"))
     # a query vector's best vectors, each once, then the least ids among those
-    answers = best.groupBy("node").agg(F.flatten(F.collect_list("scores")).alias("scores"), F.flatten(F.collect_list("others")).alias("others"))
+    answers = best.groupBy("node").agg(F.collect_list("scores").alias("scores"), F.collect_list("others").alias("others"))
     hits = _best_of(answers, k + 1)
     named = hits.join(points.select(F.col("node").alias("other"), "ids"), "other")
-    single = named.select("node", F.transform("ids", lambda i: F.struct(F.col("down").alias("down"), i.alias("id"))).alias("ids"))
+    single = named.select("node", F.transform("ids", lambda i: F.struct(F.col("down").alias("down"), i.alias("id"), F.col("other").alias("other"))).alias("ids"))
     found = single.groupBy("node").agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, k + 1).alias("found"))
-    ranked = queries.join(found, "node").withColumn("found", F.slice(F.filter("found", lambda f: f["id"] != F.col("vec_id")), 1, k))
-    ranked = ranked.select(F.col("vec_id").alias("query_id"), F.posexplode("found").alias("place", "hit"))
+    # one entry with the query's own id and vector is the query itself
+    own = F.array_position(F.transform("found", lambda f: (f["id"] == F.col("vec_id")) & (f["other"] == F.col("node"))), True).cast("int")
+    others = F.when(own > 0, F.concat(F.slice("found", F.lit(1), own - 1), F.slice("found", own + 1, F.size("found")))).otherwise(F.col("found"))
+    ranked = queries.join(found, "node").select(F.col("vec_id").alias("query_id"), F.posexplode(F.slice(others, 1, k)).alias("place", "hit"))
     return ranked.select("query_id", (F.col("place") + 1).alias("rank"), F.col("hit.id").alias("vec_id"), (-F.col("hit.down")).alias("score"))
 
 
 def _best_of(answers: DataFrame, most: int) -> DataFrame:
     """(node, down, other): the ``most`` best of each node's answers by (-score, other), each other once.
 
-    A row holds what a query's leaves have answered, ``most`` for each leaf.
+    A row holds what a query's groups have answered, ``most`` for each.
     """
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             parts = []
             for node, scores, others in zip(batch["node"], batch["scores"], batch["others"]):
-                others, first = np.unique(np.asarray(others, dtype=np.int64), return_index=True)
-                down = -np.asarray(scores, dtype=np.float64)[first]
+                others, first = np.unique(np.frombuffer(b"".join(others), dtype="<i8"), return_index=True)
+                down = -np.frombuffer(b"".join(scores), dtype="<f8")[first]
                 order = np.lexsort((others, down))[:most]
-                parts.append(pd.DataFrame({"node": node, "down": down[order], "other": others[order]}))
+                parts.append((np.full(len(order), node), down[order], others[order]))
             if parts:
-                yield pd.concat(parts)
+                node, down, other = (np.concatenate(x) for x in zip(*parts))
+                yield pd.DataFrame({"node": node, "down": down, "other": other})
 
     return answers.mapInPandas(merge, "node long, down double, other long")
 
 
-def _extended(vectors: np.ndarray, top: float | None, query: bool = False) -> np.ndarray:
-    """``vectors`` with the component that evens norms out, 0 for queries; unchanged if top is None."""
+def _extended(vectors: np.ndarray, top: float | None) -> np.ndarray:
+    """``vectors`` with the component that evens norms out; unchanged if top is None."""
     if top is None or not vectors.size:
         return vectors
-    more = np.zeros(len(vectors)) if query else np.sqrt(np.maximum(top - np.einsum("ij,ij->i", vectors, vectors), 0))
-    return np.column_stack((vectors, more))
-
+    return np.column_stack((vectors, np.sqrt(np.maximum(top - np.einsum("ij,ij->i", vectors, vectors), 0))))
 
-def _candidates(points: DataFrame, asked: DataFrame, forest: list[Tree], visits: int, top: float | None, blocks: int, most: int) -> DataFrame:
-    """(node, scores, others): each query's ``most`` best of each leaf that it visits, a row for each leaf."""
-    size = forest[0].leaves
 
-    def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _asking(vectors: np.ndarray, top: float | None) -> np.ndarray:
+    """``vectors`` as queries: of the stored vectors' norm, with 0 where those have the component that evens norms out."""
+    if top is None or not vectors.size:
+        return vectors
+    return np.column_stack((unit_rows(vectors) * np.sqrt(top), np.zeros(len(vectors))))
+
+
+def best_of_group(stored: np.ndarray, nodes: np.ndarray, leaves: np.ndarray, wanted: np.ndarray, masks: np.ndarray, most: int, step: int = 256) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(query, scores, nodes): the ``most`` best stored vectors in the leaves of each query's mask."""
+    order = np.argsort(leaves, kind="stable")
+    stored, nodes, leaves = stored[order], nodes[order], leaves[order]
+    cuts = np.searchsorted(leaves, np.arange(GROUP_LEAVES + 1))
+    for start in range(0, len(wanted), step):
+        some, bits = wanted[start : start + step], masks[start : start + step]
+        rough = np.full((len(some), len(stored)), -np.inf)
+        for leaf in range(GROUP_LEAVES):
+            a, b = cuts[leaf], cuts[leaf + 1]
+            asking = np.flatnonzero(bits >> np.uint64(leaf) & np.uint64(1))
+            if b > a and len(asking):
+                rough[asking, a:b] = some[asking] @ stored[a:b].T
+        keep = min(most + 5, len(stored))
+        at = np.argpartition(-rough, keep - 1, axis=1)[:, :keep]
+        seen = np.take_along_axis(rough, at, 1) > -np.inf
+        # products summed in one order wherever a pair meets, so that equal pairs have equal scores
+        scores = np.where(seen, (some[:, None, :] * stored[at]).sum(axis=2), -np.inf)
+        best = np.lexsort((nodes[at], -scores), axis=1)[:, :most]
+        at, scores = np.take_along_axis(at, best, 1), np.take_along_axis(scores, best, 1)
+        for q in range(len(some)):
+            n = int(np.count_nonzero(scores[q] > -np.inf))
+            if n:
+                yield start + q, scores[q, :n], nodes[at[q, :n]]
+
+
+def _search_all(points: DataFrame, asked: DataFrame, k: int, trees: int, leaf_rows: int, recall: float) -> DataFrame:
+    """(node, scores, others): each query's best of each group that it visits, as packed numbers."""
+    square = F.aggregate(F.transform("v", lambda x: x.cast("double")), F.lit(0.0), lambda t, x: t + x * x)
+    n, top, least = points.agg(F.count("*"), F.max(square), F.min(square)).first()
+    top = top if top - least > 1e-3 * top else None
+    kind, most = component_kind(points, "v"), k + 1
+    n_asked = asked.count()
+    own = fit_sample(points, n, "node", "v")
+    sample = _extended(own, top)
+    forest = [fit_tree(sample, n, leaf_rows, seed) for seed in range(trees)]
+    visits = needed_visits(forest, sample, _asking(own, top), n, most, recall)
+    groups, places = zip(*map(leaf_groups, forest))
+    first_group = np.cumsum([0] + [int(g.max()) + 1 for g in groups])
+    sizes = np.concatenate([np.bincount(g, weights=tree.shares) for g, tree in zip(groups, forest)])
+    stored_blocks = np.maximum(1, np.ceil(sizes * n / STORED_BLOCK)).astype(np.int64)
+    query_blocks = max(1, -(-n_asked // QUERY_BLOCK))
+    sent = points.sparkSession.sparkContext.broadcast(forest)
+
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                seen = _extended(matrix(batch["v"]), top)
-                for number, tree in enumerate(forest):
-                    r, leaves = tree.route(seen)
-                    for block in range(blocks):
-                        yield batch.iloc[r].assign(leaf=leaves + number * size, block=block)[["leaf", "block", "node", "v"]]
-
-    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            if not batch.num_rows:
+                continue
+            nodes, own = batch.column(0).to_numpy(), matrix(batch.column(1))
+            seen = _extended(own, top)
+            for number, tree in enumerate(sent.value):
+                r, leaf = tree.route(seen)
+                group = first_group[number] + groups[number][leaf]
+                block, v = block_of(nodes[r], stored_blocks[group]), packed(own[r], kind)
+                for asking in range(query_blocks):
+                    columns = [group, block, np.full(len(r), asking), nodes[r], places[number][leaf]]
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c, type=pa.int64()) for c in columns), v], names=["group", "block", "asking", "node", "leaf", "v"])
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                found = [search(forest, v, visits) for v in _extended(matrix(batch["v"]), top, query=True)]
-                for start in range(0, len(batch), 20):
-                    some = found[start : start + 20]
-                    leaves = [number * size + leaf for one in some for number, leaf in one]
-                    out = batch.iloc[np.repeat(np.arange(start, start + len(some)), [len(one) for one in some])]
-                    yield out.assign(leaf=leaves, block=out["node"] % blocks)[["leaf", "block", "node", "v"]]
-
-    def answer(leaf: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        if not len(leaf) or not len(queries):
-            return pd.DataFrame({"node": [], "scores": [], "others": []}, dtype=object)
-        stored, nodes = matrix(leaf["v"]), leaf["node"].to_numpy()
-        best, others = [], []
-        for start in range(0, len(queries), 500):
-            wanted = matrix(queries["v"].iloc[start : start + 500])
-            rough = wanted @ stored.T
-            keep = min(most + 5, len(stored))
-            at = np.argpartition(-rough, keep - 1, axis=1)[:, :keep]
-            # products summed in one order wherever a pair meets, so that equal pairs have equal scores
-            scores = (wanted[:, None, :] * stored[at]).sum(axis=2)
-            order = np.lexsort((nodes[at], -scores), axis=1)[:, :most]
-            best += list(np.take_along_axis(scores, order, 1))
-            others += list(nodes[np.take_along_axis(at, order, 1)])
-        return pd.DataFrame({"node": queries["node"].to_numpy(), "scores": best, "others": others})
-
-    points = points.select("node", "v")
-    stored = points.mapInPandas(index, "leaf long, block long, node long, v array<double>")
-    wanted = asked.mapInPandas(visit, "leaf long, block long, node long, v array<double>")
-    return stored.groupBy("leaf", "block").cogroup(wanted.groupBy("leaf", "block")).applyInPandas(answer, "node long, scores array<double>, others array<long>")
+            if not batch.num_rows:
+                continue
+            nodes, own = batch.column(0).to_numpy(), matrix(batch.column(1))
+            rows: list[tuple[int, int, int]] = []
+            for q, vector in enumerate(_asking(own, top)):
+                masks: dict[int, int] = {}
+                for number, leaf in search(sent.value, vector, visits):
+                    group = int(first_group[number] + groups[number][leaf])
+                    masks[group] = masks.get(group, 0) | 1 << int(places[number][leaf])
+                rows += [(q, group, mask) for group, mask in masks.items()]
+            q, group, mask = np.array(rows, dtype=np.uint64).T
+            q, group = q.astype(np.int64), group.astype(np.int64)
+            again = np.repeat(np.arange(len(q)), stored_blocks[group])
+            block = np.arange(len(again)) - np.repeat(np.cumsum(stored_blocks[group]) - stored_blocks[group], stored_blocks[group])
+            for start in range(0, len(again), 10_000):
+                at = again[start : start + 10_000]
+                columns = [group[at], block[start : start + 10_000], block_of(nodes[q[at]], query_blocks), nodes[q[at]], mask[at].view(np.int64)]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, type=pa.int64()) for c in columns), packed(own[q[at]], kind)], names=["group", "block", "asking", "node", "mask", "v"])
+
+    def answer(stored: pa.Table, wanted: pa.Table) -> pa.Table:
+        found: list[tuple] = []
+        if stored.num_rows and wanted.num_rows:
+            asking = wanted["node"].to_numpy()
+            best = best_of_group(unpacked(stored["v"], kind), stored["node"].to_numpy(), stored["leaf"].to_numpy(), unpacked(wanted["v"], kind), wanted["mask"].to_numpy().view(np.uint64), most)
+            found = [(asking[q], s.astype("<f8").tobytes(), o.astype("<i8").tobytes()) for q, s, o in best]
+        node, scores, others = zip(*found) if found else ((), (), ())
+        return pa.table({"node": pa.array(node, type=pa.int64()), "scores": pa.array(scores, type=pa.binary()), "others": pa.array(others, type=pa.binary())})
+
+    fields = "group long, block long, asking long, node long, {} long, v binary"
+    held = points.mapInArrow(index, fields.format("leaf")).groupBy("group", "block", "asking")
+    asks = asked.mapInArrow(visit, fields.format("mask")).groupBy("group", "block", "asking")
+    return held.cogroup(asks).applyInArrow(answer, "node long, scores binary, others binary")
 
 
 def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:

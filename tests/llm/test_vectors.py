@@ -1,6 +1,7 @@
 import numpy as np
+import pytest
 
-from heddle.llm import ann, vecdup
+from heddle.llm import ann, forest, vecdup
 
 
 def table(spark, vectors, ids=None):
@@ -45,9 +46,11 @@ def test_duplicates_against_brute_force(spark):
     assert found[None]["n_links"] == 0 and found[None]["kept"] is None
 
 
-def test_links_of_one_leaf_are_exact(spark):
+@pytest.mark.parametrize("block_rows", [4096, 150])
+def test_links_of_one_leaf_are_exact(spark, block_rows):
+    """In one group, and in pairs of blocks."""
     vectors = sample()
-    found = {r["vec_id"]: r["n_links"] for r in vecdup.vector_duplicates(table(spark, vectors.tolist()), leaf_rows=4096).collect()}
+    found = {r["vec_id"]: r["n_links"] for r in vecdup.vector_duplicates(table(spark, vectors.tolist()), leaf_rows=4096, block_rows=block_rows).collect()}
     unit = vectors.astype(np.float64)
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
     assert [found[i] for i in range(len(vectors))] == ((unit @ unit.T >= 0.9).sum(axis=1) - 1).tolist()
@@ -58,6 +61,40 @@ def test_duplicates_of_empty_and_repeated_rows(spark):
     assert vecdup.vector_duplicates(table(spark, ODD[:2])).count() == 2
     found = vecdup.vector_duplicates(table(spark, [[1.0, 0.0]] * 3, [4, 4, 6])).collect()
     assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found) == [(4, 2, 4), (4, 2, 4), (6, 2, 4)]
+    mixed = vecdup.vector_duplicates(table(spark, [[1.0, 0.0], [2.0, 0.0], [1.0, 0.0, 0.0], [3.0, 0.0, 0.0]])).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in mixed) == [(0, 1, 0), (1, 1, 0), (2, 1, 2), (3, 1, 2)]
+
+
+def test_dense_clusters_are_dealt_to_few_leaves():
+    """Two fifths of the vectors near one another: splits pass beside them."""
+    chance = np.random.default_rng(5)
+    centre = chance.standard_normal(64)
+    rows = np.concatenate((chance.standard_normal((12_000, 64)), centre + 0.15 * chance.standard_normal((8_000, 64))))
+    rows = forest.unit_rows(chance.permutation(rows))
+    for seed in range(vecdup.TREES):
+        tree = forest.fit_tree(rows, len(rows), 256, seed, vecdup.SPILL / 8)
+        copies = np.bincount(tree.route(rows, vecdup.SPILL / 8)[0], minlength=len(rows))
+        assert copies.min() >= 1 and copies.mean() < 7.5 and copies.max() < 120
+
+
+def test_repeated_rows_at_registered_parameters(spark):
+    """Copies, a dense group and noise, by cosine 0.9, and the nearest, all at the queries' own parameters."""
+    chance = np.random.default_rng(12)
+    base = chance.standard_normal((3000, 64))
+    vectors = np.concatenate((base, base[:400] + 0.25 * chance.standard_normal((400, 64)), base[7] + 0.1 * chance.standard_normal((200, 64)), base[20:40]))
+    vectors = forest.unit_rows(vectors).astype(np.float32)
+    df = table(spark, vectors.tolist())
+    exact = vectors.astype(np.float64)
+    unit = forest.unit_rows(exact)
+    found = {r["vec_id"]: r["n_links"] for r in vecdup.vector_duplicates(df).collect()}
+    wanted = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    got = np.array([found[i] for i in range(len(vectors))])
+    assert (got <= wanted).all() and got.sum() >= 0.995 * wanted.sum()
+    answers: dict = {}
+    for r in ann.nearest(df).collect():
+        answers.setdefault(r["query_id"], []).append(r["vec_id"])
+    hits = [len(set(answers[q]) & {i for _, i in brute_nearest(vectors, range(len(vectors)), q, 20)}) / 20 for q in range(0, len(vectors), 20)]
+    assert len(answers) == len(hits) and np.mean(hits) >= 0.9
 
 
 def brute_nearest(vectors, ids, query, k):
@@ -68,7 +105,7 @@ def brute_nearest(vectors, ids, query, k):
 def check_nearest(spark, vectors, scale=None):
     ids = list(range(len(vectors)))
     df = table(spark, [*vectors.tolist(), *ODD], [*ids, *range(5000, 5000 + len(ODD))])
-    found = ann.nearest(df, k=10, leaf_rows=64, share=1.5).collect()
+    found = ann.nearest(df, k=10, leaf_rows=32).collect()
     hits = total = 0
     for q in ids[::20]:
         mine = sorted((r for r in found if r["query_id"] == q), key=lambda r: r["rank"])
@@ -94,6 +131,10 @@ def test_nearest_by_products_of_unequal_norms(spark):
 def test_nearest_ties_and_few_rows(spark):
     found = ann.nearest(table(spark, [[1.0, 0.0]] * 60 + [[0.0, 1.0]])).collect()
     assert [r["vec_id"] for r in sorted(found, key=lambda r: (r["query_id"], r["rank"])) if r["query_id"] == 20] == list(range(20))
+    twins = ann.nearest(table(spark, [[1.0, 0.0], [1.0, 0.0], [0.9, 0.1], [0.9, 0.1], [0.5, 0.5]], [20, 20, 7, 7, 8])).collect()
+    assert sorted((r["rank"], r["vec_id"]) for r in twins) == [(1, 20), (1, 20), (2, 7), (2, 7), (3, 7), (3, 7), (4, 8), (4, 8)]
+    mixed = ann.nearest(table(spark, [[1.0, 0.0], [0.5, 0.5], [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]], [20, 21, 40, 41])).collect()
+    assert sorted((r["query_id"], r["vec_id"]) for r in mixed) == [(20, 21), (40, 41)]
     few = ann.nearest(table(spark, [[1.0, 0.0], [0.5, 0.5]])).collect()
     assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in few] == [(0, 1, 1, 0.5)]
     assert ann.nearest(table(spark, [])).count() == 0 and ann.nearest(table(spark, ODD)).count() == 0
