@@ -15,10 +15,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from heddle.llm.batches import text_batches
 from heddle.plans.durable import Scratch
+from heddle.plans.joins import sent_if_small
 from heddle.sources import table
 
 #: Payloads of at least this many bytes are stored once; later ones revisit.
 LEAST_BYTES = 0
+#: Keys of rows without bytes of their own that are sent to the scan of pages; more are joined by a shuffle.
+SENT_KEYS = 500_000
 CRLF = "\r\n"
 RECORD_END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -100,23 +103,24 @@ def write_archive(pages: DataFrame, scratch: Scratch, least_bytes: int = LEAST_B
     are not read; an empty table gives empty tables.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    keyed = pages.select(
-        "page_id", "url", payload.alias("payload"), F.sha2(payload, 256).alias("digest"),
-        base32(F.sha1(payload)).alias("payload_digest"), F.octet_length(payload).cast("long").alias("payload_bytes"),
-    )
+    digest = F.sha2(payload, 256).alias("digest")
+    keyed = pages.select("page_id", "url", digest, base32(F.sha1(payload)).alias("payload_digest"), F.octet_length(payload).cast("long").alias("payload_bytes"))
+    keyed = scratch.keep(keyed, "keyed")
     # how many rows repeat the response's page_id comes along, as only those need one picked
-    counted = keyed.groupBy("digest", "page_id").agg(F.count("*").alias("rows"))
-    largest = counted.groupBy("digest").agg(F.max(F.struct("page_id", "rows")).alias("last"))
-    responses = largest.select("digest", F.col("last.page_id").alias("response_id"), F.col("last.rows").alias("repeated"))
+    counted = scratch.keep(keyed.groupBy("digest", "page_id").agg(F.count("*").alias("rows")), "counted")
+    largest = counted.groupBy("digest").agg(F.max("page_id").alias("response_id"))
     first = F.col("page_id").eqNullSafe(F.col("response_id")) | (F.col("payload_bytes") < least_bytes)
-    records = keyed.drop("payload").join(responses, "digest").withColumn("record_type", F.when(first, "response").otherwise("revisit"))
+    records = keyed.join(largest, "digest").withColumn("record_type", F.when(first, "response").otherwise("revisit"))
     headers = scratch.keep(records.select("digest", _headers(date).alias("header")), "headers")
-    # the response's row brings the bytes
-    owner = responses.select("response_id", "repeated", F.col("digest").alias("owned"))
-    stored = keyed.select("page_id", "digest", packed(F.col("payload")).alias("packed"))
-    bytes_of = stored.join(owner, stored["page_id"].eqNullSafe(F.col("response_id")) & (stored["digest"] == F.col("owned")))
-    once = bytes_of.where("repeated = 1").select("digest", "packed")
-    picked = bytes_of.where("repeated > 1").select("digest", "packed").dropDuplicates(["digest"])
+    # the response's row brings the bytes; the keys of other rows, and of rows that repeat it, are told to the scan
+    owner = F.col("page_id").eqNullSafe(F.col("response_id"))
+    others = counted.join(largest, "digest").where(~owner | (F.col("rows") > 1))
+    others = scratch.keep(others.select(F.col("page_id").alias("_id"), F.col("digest").alias("_digest"), owner.alias("_pick")), "others")
+    told = sent_if_small(others, SENT_KEYS)
+    stored = pages.select("page_id", digest, payload.alias("payload"))
+    stored = stored.join(told, stored["page_id"].eqNullSafe(told["_id"]) & (stored["digest"] == told["_digest"]), "left").where("_pick is null or _pick")
+    once = stored.where("_pick is null").select("digest", packed(F.col("payload")).alias("packed"))
+    picked = stored.where("_pick").select("digest", packed(F.col("payload")).alias("packed")).dropDuplicates(["digest"])
     payloads = scratch.keep(once.unionByName(picked), "payloads")
     return headers, payloads
 
@@ -131,15 +135,14 @@ def read_archive(headers: DataFrame, payloads: DataFrame) -> DataFrame:
     joined = headers.join(payloads, "digest", "left").withColumn("payload", unpacked(F.col("packed")))
     sound = F.sha2("payload", 256).eqNullSafe(F.col("digest"))
     payload = F.when(sound, F.col("payload")).otherwise(F.raise_error(F.lit("archive: payload doesn't match its digest")).cast("binary"))
-    own = F.when(header_field("WARC-Type") == "revisit", F.lit("").cast("binary")).otherwise(F.col("payload"))
+    own = F.when(header_field("WARC-Type", "header") == "revisit", F.lit("").cast("binary")).otherwise(F.col("payload"))
     return joined.withColumn("payload", payload).select("header", F.concat("header", own).alias("record"), "payload")
 
 
-def header_field(name: str) -> Column:
+def header_field(name: str, column: str = "record") -> Column:
     """A field of the record's own header block, null where it has none."""
-    lines = F.split(F.col("header").cast("string"), CRLF)
-    own = F.slice(lines, F.lit(1), F.array_position(lines, F.lit("")).cast("int"))
-    found = F.filter(own, lambda line: line.startswith(f"{name}: "))
+    lines = F.split(F.substring_index(F.col(column).cast("string"), RECORD_END, 1), CRLF)
+    found = F.filter(lines, lambda line: line.startswith(f"{name}: "))
     return F.when(F.size(found) > 0, F.substring(found[0], F.lit(len(name) + 3), F.length(found[0])))
 
 
@@ -148,16 +151,28 @@ def page_of(urn: Column) -> Column:
 
 
 def describe_records(records: DataFrame) -> DataFrame:
-    """What the archived records say, their digests checked anew against the payload."""
-    told = F.substring(header_field("WARC-Payload-Digest"), F.lit(6), F.lit(32))
-    digest = F.when(base32(F.sha1("payload")) == told, told).otherwise(F.raise_error(F.lit("archive: payload doesn't match its header")).cast("string"))
-    return records.select(
+    """What the archived records' bytes say, their lengths and digests checked anew.
+
+    A record is its header block, its HTTP header and, for a response, the
+    payload; the payload that a revisit stands for comes from the join. A block
+    that isn't as long as its header says, or a payload whose digest isn't the
+    header's, is an error.
+    """
+    text = F.col("record").cast("string")
+    head = F.octet_length(F.substring_index(text, RECORD_END, 1)) + len(RECORD_END)
+    http = F.octet_length(F.substring_index(text, RECORD_END, 2)) + len(RECORD_END) - head
+    parts = records.select(
         page_of(header_field("WARC-Record-ID")).alias("page_id"),
-        F.octet_length("payload").cast("long").alias("payload_bytes"),
-        digest.alias("payload_digest"),
         header_field("WARC-Type").alias("record_type"),
         page_of(header_field("WARC-Refers-To")).alias("refers_to"),
+        F.substring(header_field("WARC-Payload-Digest"), F.lit(6), F.lit(32)).alias("told"),
+        header_field("Content-Length").cast("long").alias("block_bytes"),
+        (F.octet_length("record") - head).cast("long").alias("block_found"),
+        F.when(header_field("WARC-Type") == "response", F.substring("record", head + http + 1, F.octet_length("record"))).otherwise(F.col("payload")).alias("payload"),
     )
+    sound = (F.col("block_bytes") == F.col("block_found")) & (base32(F.sha1("payload")) == F.col("told"))
+    told = F.when(sound, F.col("told")).otherwise(F.raise_error(F.lit("archive: a record doesn't match its header")).cast("string"))
+    return parts.select("page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), told.alias("payload_digest"), "record_type", "refers_to")
 
 
 def export_warc(records: DataFrame, path: str, records_per_file: int = 20_000) -> None:
@@ -196,14 +211,24 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return describe_records(read_archive(*write_archive(table(spark, sf_dir, "pages"), scratch)))
 
 
-QUERIES = {"op10_warc": op10_warc}
-ORACLE_SQL = {
-    "op10_warc": f"""WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+def warc_repeated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over all pages and a second crawl of them, so that half of the records are revisits."""
+    text_batches(spark)
+    pages = table(spark, sf_dir, "pages")
+    again = pages.withColumn("page_id", -1 - F.col("page_id"))
+    return describe_records(read_archive(*write_archive(pages.unionByName(again), Scratch(spark, "warc"))))
+
+
+def _sql(pages: str) -> str:
+    return f"""WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM {pages}),
         k AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS h, max(page_id) OVER (PARTITION BY payload) AS response FROM p)
         SELECT page_id, payload_bytes,
             list_aggregate(list_transform(range(0, 32), lambda k: substr('{BASE32}',
                 CAST(((CAST('0x' || substr(h, CAST(k // 8 * 10 + 1 AS BIGINT), 10) AS BIGINT) >> CAST(35 - 5 * (k % 8) AS BIGINT)) & 31) + 1 AS BIGINT), 1)), 'string_agg', '') AS payload_digest,
             CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
             CASE WHEN page_id <> response THEN response END AS refers_to
-        FROM k""",
-}
+        FROM k"""
+
+
+QUERIES = {"op10_warc": op10_warc, "warc_repeated_pages": warc_repeated_pages}
+ORACLE_SQL = {"op10_warc": _sql("pages"), "warc_repeated_pages": _sql("(SELECT page_id, html FROM pages UNION ALL SELECT -1 - page_id, html FROM pages)")}
