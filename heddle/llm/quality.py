@@ -103,11 +103,11 @@ def leading_axes(rows: np.ndarray, k: int, rounds: int = 6, seed: int = 5) -> np
     return axes @ turn[:k].T
 
 
-def fit(texts: list[bytes], labels: np.ndarray, dimensions: int = DIMENSIONS) -> Voters:
-    """A model of labelled texts; without any, every score is one half."""
-    if not len(texts):
+def fit(rows: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS) -> Voters:
+    """A model of labelled texts, given their ``features`` as rows; without any, every score is one half."""
+    if not len(rows):
         return Voters(np.zeros((FEATURES, 1), dtype=np.float32), np.zeros((0, 1), dtype=np.float32), labels, 0.5)
-    rows = np.array([features(t) for t in texts], dtype=np.float32)
+    rows = np.asarray(rows, dtype=np.float32)
     idf = np.log((1 + len(rows)) / (1 + (rows > 0).sum(axis=0))) + 0.1
     weighted = rows * idf
     weighted /= np.maximum(np.linalg.norm(weighted, axis=1, keepdims=True), 1e-12)
@@ -122,21 +122,39 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, id_col: str = "doc_id", text_col: str = "text") -> tuple[list[bytes], np.ndarray]:
-    """Texts and labels of at most ``rows`` labelled documents that aren't held out.
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of at most ``rows`` labelled documents that aren't held out.
 
-    The rows are the least by a hash of the id. Their ids, of bounded number, are
-    broadcast to the scan of texts, so texts are not shuffled.
+    The documents are the least by a hash of the id; of rows that repeat an id the
+    one whose features come first counts. The ids, of bounded number, are broadcast
+    to the scan of texts, and the driver gets features, whose size doesn't depend
+    on the texts'.
     """
     usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     usable = usable.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
     picked = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    spark = docs.sparkSession
-    ids = spark.createDataFrame([tuple(r) for r in picked.collect()], "picked long, quality int")
+
+    @F.pandas_udf("binary")
+    def counted(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: _sparse(features(t)))
+
     texts = docs.select(F.col(id_col).alias("picked"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    found = texts.join(F.broadcast(ids), "picked").limit(2 * rows).collect()
-    found.sort(key=lambda r: (r["picked"], r["text"]))
-    return [bytes(r["text"]) for r in found], np.array([r["quality"] for r in found], dtype=np.int64)
+    mine = texts.join(F.broadcast(picked.select(F.col("doc_id").alias("picked"), "quality")), "picked")
+    found = mine.select("picked", "quality", counted("text").alias("features")).groupBy("picked", "quality").agg(F.min("features").alias("features"))
+    found = sorted(found.collect(), key=lambda r: r["picked"])
+    return np.array([_dense(r["features"]) for r in found], dtype=np.float32).reshape(len(found), FEATURES), np.array([r["quality"] for r in found], dtype=np.int64)
+
+
+def _sparse(row: np.ndarray) -> bytes:
+    """The places of a row that aren't zero, then their values."""
+    at = np.flatnonzero(row)
+    return at.astype("<u4").tobytes() + row[at].astype("<f4").tobytes()
+
+
+def _dense(data: bytes) -> np.ndarray:
+    half, row = len(data) // 2, np.zeros(FEATURES, dtype=np.float32)
+    row[np.frombuffer(data[:half], dtype="<u4")] = np.frombuffer(data[half:], dtype="<f4")
+    return row
 
 
 def quality_score(spark: SparkSession, model: Voters, text: Column) -> Column:
