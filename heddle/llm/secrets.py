@@ -19,7 +19,7 @@ from itertools import accumulate
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from heddle.llm.batches import text_batches
 from heddle.sources import table
@@ -377,9 +377,18 @@ class Scanner:
         yield a, b
 
 
-#: What every text with a secret has somewhere: an uncertain token, letters of a hexadecimal
-#: run, an access key's beginning or the name of an assignment. Spark's scan tests for it.
-MAY_HOLD = Scanner.UNSURE.pattern + "|[a-f]{24}|AKIA|[Pp][Aa][Ss][Ss][Ww]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]"
+def may_hold(text: Column) -> Column:
+    """Whether a text has anything that a secret needs; others have no spans. Null for null.
+
+    An uncertain token has a digit among letters or two changes to upper case;
+    what else the patterns match has 24 letters of a hexadecimal run, an access
+    key's beginning, or a name and the mark of an assignment. Each test begins
+    with a rare character, so that the scan passes over prose quickly.
+    """
+    digit = text.rlike("[0-9](?:[0-9A-Za-z+/_-]{3}|(?<=[A-Za-z+/_-]{3}[0-9]))")
+    changes = text.rlike("[A-Z](?<=[a-z][A-Z])[A-Za-z]*[a-z][A-Z]")
+    assigned = (F.contains(text, F.lit(":")) | F.contains(text, F.lit("="))) & text.rlike("(?i)passw|secret|token|api_?key")
+    return digit | F.contains(text, F.lit("AKIA")) | assigned | changes | text.rlike("[a-f]{24}")
 
 
 def train_on(docs: DataFrame, rows: int = FIT_ROWS, id_col: str = "doc_id", text_col: str = "text") -> ChainField:
@@ -408,7 +417,7 @@ def find_secrets(docs: DataFrame, field: ChainField, id_col: str = "doc_id", tex
 
     # texts without any sign of a secret stay in the JVM
     text, none = F.col(text_col), F.array().cast("array<struct<start:long,kind:int,end:long>>")
-    return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(scan(F.when(text.rlike(MAY_HOLD), text)), none).alias("spans"))
+    return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(scan(F.when(may_hold(text), text)), none).alias("spans"))
 
 
 def redact(docs: DataFrame, field: ChainField, mark: str = "<SECRET>", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
@@ -427,7 +436,7 @@ def redact(docs: DataFrame, field: ChainField, mark: str = "<SECRET>", text_col:
             yield texts.map(lambda t: t if t is None else scanner.redacted(t, mark))
 
     text = docs[text_col]
-    changed = docs.withColumn(text_col, F.coalesce(clean(F.when(text.rlike(MAY_HOLD), text)), text))
+    changed = docs.withColumn(text_col, F.coalesce(clean(F.when(may_hold(text), text)), text))
     if length_col not in docs.columns:
         return changed
     length = F.when(F.col(text_col).isNotNull(), F.length(text_col)).otherwise(F.col(length_col))
