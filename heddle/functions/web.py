@@ -18,9 +18,13 @@ def tag_text(html: Column, tag: str) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(inner, r"(?s)<[^>]*>", ""), r"\s+", " "))
 
 
+#: An anchor's target, with its quotes if it has any.
+LINK = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+
+
 def links(html: Column) -> Column:
     """The targets of all anchors, in order, repeats included."""
-    return F.regexp_extract_all(html, F.lit(r'<a[^>]*\shref="([^"]*)"'), F.lit(1))
+    return F.transform(F.regexp_extract_all(html, F.lit(LINK), F.lit(1)), lambda t: F.regexp_replace(t, "^[\"']|[\"']$", ""))
 
 
 def visible_text(html: Column) -> Column:

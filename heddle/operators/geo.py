@@ -38,18 +38,27 @@ def with_precision(df: DataFrame, centroids: DataFrame, by: str) -> DataFrame:
 def points_within(listings: DataFrame, points: DataFrame, key: str, radius_km: float = 1.0) -> DataFrame:
     """(key, poi_count, nearest_km) over the points within the radius of each listing; 0 and null without any.
 
-    Grid-cell equi-join: a listing looks into its own and the eight cells around,
-    which are as wide as the radius or wider. Both have latitude and longitude;
-    latitudes up to 75 degrees.
+    Grid-cell equi-join: bands of latitude as tall as the radius, each cut around
+    the globe into cells as wide as the radius or wider there, so it holds at any
+    latitude and across the date line. A listing looks into the cells beside its
+    own in its band and the two next to it. Both have latitude and longitude.
     """
-    tall, wide = radius_km * KM, radius_km * KM * 4
-    where = lambda df: (F.floor(df["latitude"] / tall), F.floor(df["longitude"] / wide))
-    y, x = where(listings)
-    around = F.array(*(F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy in (-1, 0, 1) for dx in (-1, 0, 1)))
-    asked = listings.select(key, "latitude", "longitude", y.alias("y"), x.alias("x"), F.explode(around).alias("d"))
-    asked = asked.select(key, F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), (F.col("y") + F.col("d.dy")).alias("y"), (F.col("x") + F.col("d.dx")).alias("x"))
-    y, x = where(points)
-    placed = points.select(F.col("latitude").alias("plat"), F.col("longitude").alias("plon"), y.alias("y"), x.alias("x"))
+    tall = radius_km * KM * 1.001
+
+    def cells(band: Column) -> Column:
+        """How many cells a band has: their width fits its edge nearest a pole."""
+        edge = F.least(F.greatest(F.abs(band), F.abs(band + 1)) * tall, F.lit(90.0))
+        return F.greatest(F.floor(F.cos(F.radians(edge)) * (360 / tall)), F.lit(1))
+
+    def place(longitude: Column, band: Column) -> Column:
+        return F.pmod(F.floor((longitude + 180) / (360 / cells(band))), cells(band))
+
+    lat, lon = F.col("latitude"), F.col("longitude")
+    bands = F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda d: F.floor(lat / tall) + d)
+    asked = listings.select(key, lat.alias("lat"), lon.alias("lon"), F.explode(bands).alias("y"))
+    beside = F.array_distinct(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda d: F.pmod(place(F.col("lon"), F.col("y")) + d, cells(F.col("y")))))
+    asked = asked.select(key, "lat", "lon", "y", F.explode(beside).alias("x"))
+    placed = points.select(lat.alias("plat"), lon.alias("plon"), F.floor(lat / tall).alias("y")).withColumn("x", place(F.col("plon"), F.col("y")))
     met = asked.join(placed, ["y", "x"]).withColumn("km", haversine_km(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon"))).where(F.col("km") <= radius_km)
     found = met.groupBy(key).agg(F.count("*").alias("poi_count"), F.min("km").alias("nearest_km"))
     return listings.select(key).join(found, key, "left").select(key, F.coalesce("poi_count", F.lit(0)).cast("long").alias("poi_count"), "nearest_km")

@@ -52,6 +52,10 @@ class Scratch:
         """Delete a table that nothing reads any more."""
         remove(self.spark, kept._heddle_path)
 
+    def clear(self) -> None:
+        """Delete all tables of this run, once nothing reads them any more."""
+        remove(self.spark, self.root)
+
 
 def remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm

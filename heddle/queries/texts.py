@@ -308,7 +308,7 @@ ORACLE_SQL = {
     "missing_shares": "SELECT source, count(*) AS rows, round(count(*) FILTER (WHERE quality IS NULL) / count(*), 6) AS null_quality, round(count(*) FILTER (WHERE toxic IS NULL) / count(*), 6) AS null_toxic FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1",
     "page_fields": rf"""SELECT page_id, nullif(regexp_extract(html, '<html[^>]*\slang="([^"]*)"', 1), '') AS lang, {_tag("title")} AS title, {_tag("h1")} AS h1,
         md5({_VISIBLE}) AS text_md5, CAST(length({_VISIBLE}) AS INTEGER) AS text_chars FROM pages""",
-    "page_links": r"""WITH l AS (SELECT page_id, regexp_extract_all(html, '<a[^>]*\shref="([^"]*)"', 1) AS t FROM pages)
+    "page_links": rf"""WITH l AS (SELECT page_id, list_transform(regexp_extract_all(html, '{web.LINK.replace("'", "''")}', 1), lambda x: regexp_replace(x, '^["'']|["'']$', '', 'g')) AS t FROM pages)
         SELECT page_id, CAST(i AS INTEGER) AS place, t[i + 1] AS target FROM (SELECT page_id, t, unnest(range(0, len(t))) AS i FROM l)""",
     "url_parts": r"""SELECT page_id, nullif(regexp_extract(url, '^[a-z]+://([^/?#]+)', 1), '') AS host, regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1) AS path,
         nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), '') AS page, nullif(regexp_extract(url, '[?&]utm_source=([^&#]*)', 1), '') AS utm_source,

@@ -62,6 +62,27 @@ def test_cells_and_distances(spark):
     assert math.isclose(found[1]["nearest_km"], 0.0031 * 111.195, rel_tol=1e-3)
 
 
+def test_neighbours_at_any_place(spark):
+    """Against all distances: towns, poles, the date line."""
+    import random
+
+    chance = random.Random(2)
+    spots = [(lat + chance.gauss(0, 0.02), ((lon + chance.gauss(0, 0.02) / max(0.02, math.cos(math.radians(lat))) + 180) % 360) - 180) for lat, lon in ((10.7, 106.7), (0, 180), (-0.0, 0.0), (60, -180), (89.98, 10), (-89.99, 100), (83, 179.9)) for _ in range(30)]
+    spots = [(max(-90.0, min(90.0, a)), b) for a, b in spots]
+    df = spark.createDataFrame([(i, *s) for i, s in enumerate(spots)], "id int, latitude double, longitude double")
+    def km(p, q):
+        a = math.sin(math.radians(q[0] - p[0]) / 2) ** 2 + math.cos(math.radians(p[0])) * math.cos(math.radians(q[0])) * math.sin(math.radians(q[1] - p[1]) / 2) ** 2
+        return 2 * geo.EARTH_KM * math.asin(min(1.0, math.sqrt(a)))
+    for radius in (1.0, 3.0):
+        found = {r["id"]: r["poi_count"] for r in geo.points_within(df, df.select("latitude", "longitude"), "id", radius).collect()}
+        assert found == {i: sum(km(p, q) <= radius for q in spots) for i, p in enumerate(spots)}
+
+
+def test_links(spark):
+    html = """<a href="1"><A  class=x HREF='2'><a href=3 id=y><a data-href="no"><abbr href="no"><a\nhref = "4">"""
+    assert spark.createDataFrame([(html,)], "h string").select(web.links(F.col("h"))).first()[0] == ["1", "2", "3", "4"]
+
+
 def test_probes(spark):
     rows = [(200, "<p>ok"), (200, "Tin ĐÃ HẾT HẠN"), (404, "x"), (503, "x"), (200, ""), (200, None), (None, "x")]
     df = spark.createDataFrame(rows, "s int, h string")
