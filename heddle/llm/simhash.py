@@ -11,6 +11,7 @@ once, and a union-find turns links into one edge for each point.
 """
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -28,6 +29,8 @@ SEED = 42
 #: Visits grow with the levels, so shards are as large as a task can well hold.
 SHARD_POINTS = 65_536
 LEAST_LEVELS = 4
+#: Visitors that a group of a shard holds, about.
+VISITORS = 262_144
 #: Fingerprints that the sharding tree is fitted on, at most.
 FIT_POINTS = 20_000
 #: Points of a leaf of the trees inside shards.
@@ -41,16 +44,12 @@ def fingerprint(data: bytes | None, shingle: int = SHINGLE, seed: int = SEED) ->
     words = (data or b"").lower().split()
     if not words:
         return 0
-    if len(words) < shingle:
-        made = [b" ".join(words)]
-    else:
-        made = map(b" ".join, zip(*(words[i:] for i in range(shingle))))
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(s, seed) for s in made), dtype="<u8")
+    runs = zip(*(words[i:] for i in range(min(shingle, len(words)))))
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, map(b" ".join, runs), repeat(seed)), dtype="<u8")
     ones = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(hashes), 16384):
-        some = hashes[at : at + 16384]
-        ones += np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    for at in range(0, len(hashes), 255):  # so many bits are counted in a byte
+        some = hashes[at : at + 255]
+        ones += np.add.reduce(np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"), axis=0, dtype=np.uint8)
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
 
 
@@ -150,18 +149,18 @@ class LinkedSets:
         return self.parent
 
 
-def shard_links(points: np.ndarray, home: np.ndarray, radius: int = RADIUS, block: int = 1 << 20) -> np.ndarray:
+def shard_links(points: np.ndarray, home: np.ndarray, radius: int = RADIUS, block: int = 1 << 20, asking: np.ndarray | None = None) -> np.ndarray:
     """For each point the least index it is linked with, directly or by others.
 
     ``points`` hold a shard's own points (``home``) and visitors. Links join an
-    own point with any point at most ``radius`` bits away.
+    own point with any point, or any of ``asking``, at most ``radius`` bits away.
     """
-    own = np.flatnonzero(home)
+    own, asking = np.flatnonzero(home), np.arange(len(points)) if asking is None else np.flatnonzero(asking)
     sets = LinkedSets(len(points))
     if len(own):
         tree = VantageTree(points[own])
-        for leaf, at in tree.visits(points, radius):
-            there = own[tree.leaves[leaf]]
+        for leaf, at in tree.visits(points[asking], radius):
+            there, at = own[tree.leaves[leaf]], asking[at]
             step = max(1, block // len(there))
             for k in range(0, len(at), step):
                 some = at[k : k + step]
@@ -170,11 +169,15 @@ def shard_links(points: np.ndarray, home: np.ndarray, radius: int = RADIUS, bloc
     return sets.roots()
 
 
-def simhash_links(classes: DataFrame, scratch: Scratch, radius: int = RADIUS, shard_points: int = SHARD_POINTS, fit_points: int = FIT_POINTS) -> DataFrame:
+def simhash_links(
+    classes: DataFrame, scratch: Scratch, radius: int = RADIUS, shard_points: int = SHARD_POINTS, fit_points: int = FIT_POINTS, visitors: int = VISITORS
+) -> DataFrame:
     """Edges (src, dst) that connect all points at most ``radius`` bits apart.
 
     ``classes`` has distinct (fp, node). Not every pair becomes an edge: a shard
-    gives each linked point one edge, to its set's representative there.
+    gives each linked point one edge, to its set's representative there. A shard's
+    visitors come in blocks, each to a copy of the shard's own points, so a group
+    holds about ``shard_points`` and ``visitors``.
     """
     n = classes.count()
     if not n:
@@ -182,26 +185,37 @@ def simhash_links(classes: DataFrame, scratch: Scratch, radius: int = RADIUS, sh
     depth = max(LEAST_LEVELS, int(np.ceil(np.log2(n / shard_points))))
     fraction = min(1.0, 1.2 * fit_points / n)
     sample = [r.fp for r in classes.select("fp").where(F.pmod(F.xxhash64("fp"), F.lit(1_000_000)) < int(fraction * 1_000_000)).limit(fit_points).collect()]
-    top = VantageTree(np.array(sample or [0], dtype=np.int64).view(np.uint64), leaf=8, depth=depth)
+    sample = np.array(sample or [0], dtype=np.int64).view(np.uint64)
+    top = VantageTree(sample, leaf=8, depth=depth)
+    blocks = np.ones(len(top.leaves), dtype=np.int64)
+    for leaf, at in top.visits(sample, radius):
+        blocks[leaf] = max(1, -(-len(at) * n // (len(sample) * visitors)))
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            points = batch["fp"].to_numpy(np.int64).view(np.uint64)
+            prints, nodes = batch["fp"].to_numpy(), batch["node"].to_numpy()
+            points = prints.astype(np.int64).view(np.uint64)
             home = np.empty(len(points), dtype=np.int64)
             for leaf, at in top.visits(points, 0):
                 home[at] = leaf
             for leaf, at in top.visits(points, radius):
                 at = at[home[at] <= leaf]  # a pair meets in the later of its two homes
-                yield pd.DataFrame({"shard": leaf, "fp": batch["fp"].to_numpy()[at], "node": batch["node"].to_numpy()[at], "home": home[at] == leaf})
+                own = home[at] == leaf
+                for block in range(blocks[leaf]):
+                    # a shard's own points ask in its first block alone
+                    here = at[own | (points[at] % np.uint64(blocks[leaf]) == block)]
+                    yield pd.DataFrame({"shard": leaf, "block": block, "fp": prints[here], "node": nodes[here], "home": home[here] == leaf})
 
     def link(shard: pd.DataFrame) -> pd.DataFrame:
-        roots = shard_links(shard["fp"].to_numpy(np.int64).view(np.uint64), shard["home"].to_numpy(bool), radius)
+        home = shard["home"].to_numpy(bool)
+        asking = None if shard["block"].iloc[0] == 0 else ~home
+        roots = shard_links(shard["fp"].to_numpy(np.int64).view(np.uint64), home, radius, asking=asking)
         nodes = shard["node"].to_numpy()
         joined = roots != np.arange(len(roots))
         return pd.DataFrame({"src": nodes[joined], "dst": nodes[roots[joined]]})
 
-    dealt = classes.mapInPandas(deal, "shard long, fp long, node long, home boolean")
-    return dealt.groupBy("shard").applyInPandas(link, "src long, dst long")
+    dealt = classes.mapInPandas(deal, "shard long, block long, fp long, node long, home boolean")
+    return dealt.groupBy("shard", "block").applyInPandas(link, "src long, dst long")
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -54,13 +54,14 @@ def test_tree_links_against_brute_force(spread):
     assert roots.tolist() == [truth[i] for i in range(len(points))]
 
 
-def test_shards_lose_no_pair(spark):
+@pytest.mark.parametrize("visitors", [1 << 20, 60])
+def test_shards_lose_no_pair(spark, visitors):
     chance = np.random.default_rng(2)
     points = chance.integers(-(1 << 62), 1 << 62, 700)
     points = sorted({*points.tolist(), *(int(p) ^ 5 for p in points[:200]), *(int(p) ^ (1 << 40) for p in points[100:150]), *(int(points[0]) ^ k for k in range(300))})
     df = spark.createDataFrame([(p, i) for i, p in enumerate(points)], "fp long, node long")
     scratch = Scratch(spark, "test")
-    edges = simhash.simhash_links(df, scratch, shard_points=50, fit_points=200)
+    edges = simhash.simhash_links(df, scratch, shard_points=50, fit_points=200, visitors=visitors)
     from heddle.plans.components import connected_components
 
     found = {r["node"]: r["component"] for r in connected_components(edges, scratch).collect()}
