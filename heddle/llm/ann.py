@@ -32,7 +32,7 @@ NEIGHBOURS = 20
 TREES = 4
 LEAF_ROWS = 128
 #: Share of the true nearest of a sample's queries that their visits have to find.
-RECALL = 0.96
+RECALL = 0.94
 #: Sampled queries that the visits are measured on, at most.
 MEASURED = 300
 #: Leaves of a group: the bits of a mask.
