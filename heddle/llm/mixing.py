@@ -16,6 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from heddle.plans.durable import Scratch
+from heddle.plans.joins import sent_if_small
 from heddle.sources import table
 
 #: Buckets that words are hashed to; the classifier is a table of this many rows.
@@ -116,7 +117,9 @@ def fit_rates(members: DataFrame, targets: list[float], budget: float | None, sc
         pull = reduce(Column.__add__, (p[i] * float(size * weight[i] * error[i]) for i in k))
         rate = F.greatest(F.lit(floor), rate - pull)
         if step % FOLD == 0:
-            current, rate = scratch.keep(current.withColumn("rate", rate), "rates"), F.col("rate")
+            before, current, rate = current, scratch.keep(current.withColumn("rate", rate), "rates"), F.col("rate")
+            if step > FOLD:
+                scratch.drop(before)
         sums = current.agg(*(F.sum(rate * mass * p[i]).alias(f"t{i}") for i in k)).first()
         now = np.array([sums[f"t{i}"] or 0.0 for i in k])
     return current.withColumn("rate", rate)
@@ -153,14 +156,24 @@ def apply_rates(docs: DataFrame, rates: DataFrame, id_col: str = "doc_id", text_
     """``docs``, each row as often as its rate says.
 
     The whole part of the rate is taken, and once more if a hash of id and text
-    falls below the rest, so that reruns agree.
+    falls below the rest, so that reruns agree. Rates that are few are sent to the
+    documents' tasks; else both are shuffled.
     """
     known = rates.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "rate")
-    text = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    joined = docs.join(known, F.col(id_col).eqNullSafe(F.col("_id")) & (text == F.col("_hash")))
-    chance = F.pmod(F.xxhash64(F.lit("mix"), F.col("_id"), F.col("_hash")), F.lit(1_000_000)) / 1_000_000
-    times = F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")
-    return joined.withColumn("_times", F.explode(F.when(times > 0, F.sequence(F.lit(1), times)))).select(*(docs[c] for c in docs.columns))
+    text, rate = F.xxhash64(F.coalesce(docs[text_col], F.lit(""))), known["rate"]
+    joined = docs.join(sent_if_small(known), docs[id_col].eqNullSafe(known["_id"]) & (text == known["_hash"]))
+    chance = F.pmod(F.xxhash64(F.lit("mix"), known["_id"], known["_hash"]), F.lit(1_000_000)) / 1_000_000
+    times = F.floor(rate) + (chance < rate - F.floor(rate)).cast("long")
+    # the copies' number comes last, whatever the columns before are called
+    repeated = joined.select(*(docs[c] for c in docs.columns), F.explode(F.when(times > 0, F.sequence(F.lit(1), times))).alias(_unused(docs, "_times")))
+    return repeated.drop(repeated.columns[-1])
+
+
+def _unused(docs: DataFrame, name: str) -> str:
+    """``name``, with marks behind until no column has it."""
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    return name
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
