@@ -6,6 +6,8 @@ stand in for hexagonal cells, for which no library is installed.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from heddle.plans.durable import Scratch
+
 EARTH_KM = 6371.0088
 #: Degrees of latitude in a kilometre.
 KM = 1 / 111.195
@@ -19,8 +21,10 @@ def cell(latitude: Column, longitude: Column, level: int = 8) -> Column:
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+    """The great-circle distance, null if any coordinate is."""
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
-    return 2 * EARTH_KM * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
+    # least() would pass over a null
+    return F.when(a.isNotNull(), 2 * EARTH_KM * F.asin(F.least(F.lit(1.0), F.sqrt(a))))
 
 
 def with_precision(df: DataFrame, centroids: DataFrame, by: str) -> DataFrame:
@@ -62,3 +66,31 @@ def points_within(listings: DataFrame, points: DataFrame, key: str, radius_km: f
     met = asked.join(placed, ["y", "x"]).withColumn("km", haversine_km(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon"))).where(F.col("km") <= radius_km)
     found = met.groupBy(key).agg(F.count("*").alias("poi_count"), F.min("km").alias("nearest_km"))
     return listings.select(key).join(found, key, "left").select(key, F.coalesce("poi_count", F.lit(0)).cast("long").alias("poi_count"), "nearest_km")
+
+
+def distance_km(latitude: Column, longitude: Column, place: tuple[float, float]) -> Column:
+    """The distance to one fixed place, such as a city's centre; null for null coordinates."""
+    return haversine_km(latitude, longitude, F.lit(float(place[0])), F.lit(float(place[1])))
+
+
+def nearest_km(listings: DataFrame, points: DataFrame, key: str, few: int = 2000, first_km: float = 1.0) -> DataFrame:
+    """(key, km): the distance to the nearest point, however far; null for null coordinates or without points.
+
+    Few points are one array that every listing scans. More are searched in rings:
+    what has no point within a radius looks within four times that, until all
+    have one, so listings among points never see the far ones.
+    """
+    placed = points.where("latitude is not null and longitude is not null").select("latitude", "longitude")
+    if placed.limit(few + 1).count() <= few:
+        spots = placed.agg(F.collect_list(F.struct("latitude", "longitude")).alias("spots"))
+        km = F.array_min(F.transform("spots", lambda p: haversine_km(F.col("latitude"), F.col("longitude"), p["latitude"], p["longitude"])))
+        return listings.join(F.broadcast(spots)).select(key, km.alias("km"))
+    scratch, radius, found = Scratch(listings.sparkSession, "nearest"), first_km, None
+    left = scratch.keep(listings.select(key, "latitude", "longitude").where("latitude is not null and longitude is not null"), "left")
+    while not left.isEmpty():
+        near = scratch.keep(points_within(left, placed, key, radius).select(key, F.col("nearest_km").alias("km")), "near")
+        found = near.where("km is not null") if found is None else found.unionByName(near.where("km is not null"))
+        left = scratch.keep(left.join(near.where("km is null").select(key), key, "left_semi"), "left")
+        radius = min(4 * radius, EARTH_KM * 3.2)
+    none = listings.select(key, F.lit(None).cast("double").alias("km"))
+    return none if found is None else listings.select(key).join(found, key, "left")

@@ -8,6 +8,7 @@ from heddle.queries.panels import survival_labels
 from heddle.sources import table
 
 CUTOFF = "1999-01-01"
+CENTRE = (10.7769, 106.7009)
 
 
 def _frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,6 +158,16 @@ def poi_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("nearest_km", F.round("nearest_km", 6))
 
 
+def place_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's distances to a city's centre, to the nearest of the few large suppliers and to the nearest of all."""
+    customers = _placed(table(spark, sf_dir, "customer"), "c_custkey")
+    suppliers = _placed(table(spark, sf_dir, "supplier"), "s_suppkey")
+    large, any_one = geo.nearest_km(customers, suppliers.where("s_suppkey % 25 = 0"), "c_custkey"), geo.nearest_km(customers, suppliers, "c_custkey", few=5)
+    centre = customers.select("c_custkey", F.round(geo.distance_km(F.col("latitude"), F.col("longitude"), CENTRE), 6).alias("centre_km"))
+    both = large.select("c_custkey", F.round("km", 6).alias("large_km")).join(any_one.select("c_custkey", F.round("km", 6).alias("supplier_km")), "c_custkey")
+    return centre.join(both, "c_custkey")
+
+
 def grid_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = _placed(table(spark, sf_dir, "customer"), "c_custkey")
     lat = F.when(F.col("c_custkey") % 10 != 0, F.col("latitude"))
@@ -213,7 +224,7 @@ QUERIES = {
     "frontier_new_urls": frontier_new_urls, "frontier_after_fetches": frontier_after_fetches, "frontier_batch": frontier_batch, "panel_due": panel_due, "freeze_cohort": freeze_cohort,
     "freeze_cohort_by_source": freeze_cohort_by_source, "temporal_split": temporal_split, "cluster_leak_guard": cluster_leak_guard, "median_baseline": median_baseline,
     "mape_by_group": mape_by_group, "price_gap": price_gap, "bargain_top100": bargain_top100, "error_deciles": error_deciles,
-    "gap_quartiles": gap_quartiles, "gap_ntiles": gap_ntiles, "gap_ntiles_by_brand": gap_ntiles_by_brand, "r_squared": r_squared, "derived_numbers": derived_numbers, "pick_optimal": pick_optimal, "poi_radius": poi_radius,
+    "gap_quartiles": gap_quartiles, "gap_ntiles": gap_ntiles, "gap_ntiles_by_brand": gap_ntiles_by_brand, "r_squared": r_squared, "derived_numbers": derived_numbers, "pick_optimal": pick_optimal, "poi_radius": poi_radius, "place_distances": place_distances,
     "grid_cells": grid_cells, "geo_precision": geo_precision, "rent_gbt": rent_gbt, "aft_survival": aft_survival, "text_idf": text_idf, "isotonic_curve": isotonic_curve,
 }
 
@@ -255,6 +266,10 @@ ORACLE_SQL = {
     "poi_radius": f"""WITH c AS (SELECT c_custkey, {_PLACE.format(k="c_custkey")} FROM customer), s AS (SELECT {_PLACE.format(k="s_suppkey")} FROM supplier),
         d AS (SELECT c_custkey, {2 * geo.EARTH_KM} * asin(least(1.0, sqrt(sin(radians(s.lat - c.lat) / 2) ** 2 + cos(radians(c.lat)) * cos(radians(s.lat)) * sin(radians(s.lon - c.lon) / 2) ** 2))) AS km FROM c CROSS JOIN s)
         SELECT c_custkey, count(*) FILTER (WHERE km <= 1) AS poi_count, round(min(km) FILTER (WHERE km <= 1), 6) AS nearest_km FROM d GROUP BY 1""",
+    "place_distances": f"""WITH c AS (SELECT c_custkey, {_PLACE.format(k="c_custkey")} FROM customer), s AS (SELECT s_suppkey, {_PLACE.format(k="s_suppkey")} FROM supplier),
+        d AS (SELECT c_custkey, s_suppkey, {2 * geo.EARTH_KM} * asin(least(1.0, sqrt(sin(radians(s.lat - c.lat) / 2) ** 2 + cos(radians(c.lat)) * cos(radians(s.lat)) * sin(radians(s.lon - c.lon) / 2) ** 2))) AS km,
+            {2 * geo.EARTH_KM} * asin(least(1.0, sqrt(sin(radians({CENTRE[0]} - c.lat) / 2) ** 2 + cos(radians(c.lat)) * cos(radians({CENTRE[0]})) * sin(radians({CENTRE[1]} - c.lon) / 2) ** 2))) AS centre FROM c CROSS JOIN s)
+        SELECT c_custkey, round(any_value(centre), 6) AS centre_km, round(min(km) FILTER (WHERE s_suppkey % 25 = 0), 6) AS large_km, round(min(km), 6) AS supplier_km FROM d GROUP BY 1""",
     "grid_cells": f"""SELECT c_custkey, CASE WHEN c_custkey % 10 <> 0 THEN '8:' || CAST(floor((lat + 90) / {180 / 2**13}) AS BIGINT) || ':' || CAST(floor((lon + 180) / {180 / 2**13}) AS BIGINT) END AS cell
         FROM (SELECT c_custkey, {_PLACE.format(k="c_custkey")} FROM customer)""",
     "geo_precision": f"""WITH c AS (SELECT c_custkey, c_nationkey, {_PLACE.format(k="c_custkey")} FROM customer), m AS (SELECT c_nationkey, avg(lat) AS mid FROM c GROUP BY 1)

@@ -73,6 +73,11 @@ def test_neighbours_at_any_place(spark):
     def km(p, q):
         a = math.sin(math.radians(q[0] - p[0]) / 2) ** 2 + math.cos(math.radians(p[0])) * math.cos(math.radians(q[0])) * math.sin(math.radians(q[1] - p[1]) / 2) ** 2
         return 2 * geo.EARTH_KM * math.asin(min(1.0, math.sqrt(a)))
+    places = df.where("id % 7 = 0").select("latitude", "longitude")
+    for few in (2, 1000):
+        nearest = {r["id"]: r["km"] for r in geo.nearest_km(df.unionByName(spark.createDataFrame([(-1, None, 1.0)], df.schema)), places, "id", few).collect()}
+        assert nearest.pop(-1) is None and all(abs(nearest[i] - min(km(p, q) for q in spots[::7])) < 1e-6 for i, p in enumerate(spots))
+    assert [r["km"] for r in geo.nearest_km(df.limit(2), places.limit(0), "id").collect()] == [None, None]
     for radius in (1.0, 3.0):
         found = {r["id"]: r["poi_count"] for r in geo.points_within(df, df.select("latitude", "longitude"), "id", radius).collect()}
         assert found == {i: sum(km(p, q) <= radius for q in spots) for i, p in enumerate(spots)}
