@@ -3,7 +3,7 @@
 Each stage reads the documents its predecessor kept and returns the columns of
 documents; the last returns packed pieces. ``run`` writes each stage's result
 into the cluster's shared folder and reads it again, so an executor that is lost
-costs its running tasks only.
+costs its running tasks only; a stage's table goes when the next one is written.
 """
 
 import public_tokenizers
@@ -69,6 +69,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each stage's result a durable table."""
     scratch = Scratch(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = scratch.keep(stage(spark, docs, sf_dir), name)
+    for number, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, scratch.keep(stage(spark, docs, sf_dir), name)
+        if number:
+            scratch.drop(before)
     return STAGES[-1][1](spark, docs, sf_dir)

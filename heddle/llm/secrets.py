@@ -89,6 +89,18 @@ def shape(token: str) -> int:
     return SHAPE[f"{mix}_{max(n for n in (0, *LENGTHS) if n <= len(token))}"]
 
 
+class Shapes(dict):
+    """Shapes of the words met, of bounded number and length."""
+
+    def __missing__(self, word: str) -> int:
+        found = shape(word)
+        if len(word) <= 64:
+            if len(self) >= 200_000:
+                self.clear()
+            self[word] = found
+        return found
+
+
 def file_kind(text: str) -> int:
     """The file's features: prose, text with assignments, or code and settings."""
     marks = text.count("=") + text.count("{") + text.count(";")
@@ -197,7 +209,7 @@ def _drawn(chance: np.random.Generator) -> str:
 
 def training_stretches(texts: list[str], seed: int = SEED) -> list[tuple[np.ndarray, np.ndarray, int]]:
     """(shapes with edges, tags, file kind) around secrets, found and drawn, and elsewhere."""
-    chance, out = np.random.default_rng(seed), []
+    chance, out, known = np.random.default_rng(seed), [], Shapes()
     for text in texts:
         text = text.replace("\x00", "")
         gold = value_spans(text)
@@ -218,7 +230,7 @@ def training_stretches(texts: list[str], seed: int = SEED) -> list[tuple[np.ndar
         words, starts, ends = tokens(whole)
         if not words:
             continue
-        shapes = np.array([shape(w) for w in words])
+        shapes = np.array(list(map(known.__getitem__, words)))
         tags = np.full(len(words), O)
         for a, b in gold:
             inside = np.flatnonzero((starts < b) & (ends > a))
@@ -301,15 +313,7 @@ class Scanner:
 
     def __init__(self, field: ChainField):
         self.field = field
-        self.shapes: dict[str, int] = {}
-
-    def _shape(self, word: str) -> int:
-        found = self.shapes.get(word)
-        if found is None:
-            if len(self.shapes) > 200_000:
-                self.shapes = {}
-            found = self.shapes[word] = shape(word)
-        return found
+        self.shapes = Shapes()
 
     #: What every token outside NEVER has somewhere: it is of 8 characters or more with a
     #: digit, or of letters that change to upper case twice.
@@ -325,7 +329,7 @@ class Scanner:
         for a, b in self._stretches(text):
             # two tokens before a stretch and one behind stand in the scores
             words, starts, ends = tokens(text[a:b])
-            shapes = np.fromiter(map(self._shape, words), dtype=np.int64, count=len(words))
+            shapes = np.fromiter(map(self.shapes.__getitem__, words), dtype=np.int64, count=len(words))
             if self.field.certain[shapes].all():
                 continue
             kind = file_kind(text) if kind is None else kind

@@ -30,6 +30,7 @@ from heddle.llm.batches import give_back
 from heddle.llm.simhash import VantageTree
 from heddle.plans.components import connected_components
 from heddle.plans.durable import Scratch
+from heddle.plans.joins import sent_if_small
 
 SHINGLE = 5
 #: The least Jaccard similarity of near-duplicates, in percent.
@@ -42,16 +43,16 @@ FIRST_RADIUS = 24
 WIDE = 64
 WIDE_RADIUS = 725
 SMALL = 8
-#: Ratio of sizes in a band, and points of a block at most, about; a group holds two blocks, below 65,536.
+#: Ratio of sizes in a band, and points of a block, about: the larger number where a point
+#: would go to more than so many groups otherwise. A group holds two blocks.
 BAND = 1.1
-BLOCK_POINTS = 16_384
+BLOCK_POINTS = (16_384, 131_072)
+MEETINGS = 64
 #: Nearest and central candidates of a point that a group gives in the first round.
 FEW = 3
 #: Points of a leaf of the trees, and points that ask at once.
 LEAF_POINTS = 512
 QUERY_POINTS = 128
-#: Ids that are sent to all tasks; more are joined by a shuffle.
-SENT_IDS = 500_000
 #: Words whose hashes a worker keeps.
 KEPT_WORDS = 200_000
 
@@ -191,16 +192,17 @@ def near_points(
                 crowded[rest] = True
         found.append((a, b))
     many = asking[crowded[asking]]
-    rank = np.argsort(np.argsort(-central, kind="stable"))
+    rank = np.minimum(np.argsort(np.argsort(-central, kind="stable")), 65_535)
     for a, b, _ in blocks(many):
         found.append(split(a, b, rank[b])[:2])
     a, b = (np.concatenate(x) for x in zip(*found))
     return a, b, crowded
 
 
-def size_blocks(bands: list[tuple[int, int, int, int]], block_points: int = BLOCK_POINTS) -> list[tuple[int, int, int, int]]:
-    """(band, blocks, least, largest) for ascending (band, points, least size, largest size)."""
-    return [(band, max(1, -(-n // block_points)), low, high) for band, n, low, high in bands]
+def block_points(bands: list[tuple[int, int, int, int]]) -> int:
+    """Points of a block for these bands; sizes within a quarter hold about a tenth of all."""
+    least, most = BLOCK_POINTS
+    return max(least, min(most, sum(n for _, n, *_ in bands) // (10 * MEETINGS)))
 
 
 def _band(n: Column) -> Column:
@@ -214,11 +216,13 @@ def _meetings(points: DataFrame, bands: list[tuple[int, int, int, int]], percent
     the longest text. A point visits the blocks that its own may pair with, from
     its own upward.
     """
-    blocks = size_blocks(bands)
-    firsts = dict(zip((b[0] for b in blocks), np.cumsum([0] + [b[1] for b in blocks]).tolist()))
-    counts = {b[0]: b[1] for b in blocks}
-    ahead = {band: [b for b, _, low, _ in blocks if b >= band and 100 * high >= percent * low] for band, _, _, high in blocks}
-    back = {band: [b for b in ahead if b <= band and band in ahead[b]] for band in ahead}
+    size = block_points(bands)
+    counts = {band: max(1, -(-n // size)) for band, n, *_ in bands}
+    firsts = dict(zip(counts, np.cumsum([0, *counts.values()]).tolist()))
+    near = {band: [b for b, _, low, _ in bands if b >= band and 100 * high >= percent * low] for band, _, _, high in bands}
+    numbers = lambda some: np.concatenate([np.arange(firsts[b], firsts[b] + counts[b]) for b in some])
+    ahead = {band: numbers(some) for band, some in near.items()}
+    back = {band: numbers([b for b in near if b <= band and band in near[b]]) for band in near}
     labelled = "component" in points.columns
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -228,17 +232,12 @@ def _meetings(points: DataFrame, bands: list[tuple[int, int, int, int]], percent
                 at = np.flatnonzero(of == band)
                 mine = firsts[band] + names[at] % counts[band]
                 # a visitor of the blocks behind its own, an owner of its own for all blocks up to it
-                for other in ahead[band]:
-                    for block in range(firsts[other], firsts[other] + counts[other]):
-                        some = mine < block
-                        parts.append((at[some], mine[some], np.full(some.sum(), block), False))
-                for other in back[band]:
-                    for block in range(firsts[other], firsts[other] + counts[other]):
-                        some = mine >= block
-                        parts.append((at[some], np.full(some.sum(), block), mine[some], True))
+                r, c = np.nonzero(mine[:, None] < ahead[band])
+                parts.append((at[r], mine[r], ahead[band][c], np.zeros(len(r), dtype=bool)))
+                r, c = np.nonzero(mine[:, None] >= back[band])
+                parts.append((at[r], back[band][c], mine[r], np.ones(len(r), dtype=bool)))
             if parts:
-                home = np.repeat([p[3] for p in parts], [len(p[0]) for p in parts])
-                rows, low, high = (np.concatenate(x) for x in list(zip(*parts))[:3])
+                rows, low, high, home = (np.concatenate(x) for x in zip(*parts))
                 yield batch.iloc[rows].assign(low=low, high=high, home=home)
         give_back()
 
@@ -259,7 +258,7 @@ def _meetings(points: DataFrame, bands: list[tuple[int, int, int, int]], percent
     return dealt.groupBy("low", "high").applyInPandas(meet, "a long, b long, crowded boolean").distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", scratch: Scratch | None = None) -> DataFrame:
     """(node, component) of the ids that have a near-duplicate, component the least id reachable.
 
     Documents are linked when their sets of five-word shingles have a Jaccard
@@ -269,8 +268,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     """
     if percent < PERCENT:
         raise ValueError(f"the fingerprints' radius holds similarities of {PERCENT} percent or more")
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "simhash_sets")
+    scratch = scratch or Scratch(docs.sparkSession, "simhash_sets")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where("doc_id is not null")
 
     @F.pandas_udf("set_id long, n int, f0 long, f1 long")
@@ -282,6 +280,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
                 row[:2] = set_name(made), len(made)
                 row[2:] = set_print(made).view(np.int64)
             yield pd.DataFrame(rows, columns=["set_id", "n", "f0", "f1"])
+        _WORDS.clear()
         give_back()
 
     hashed = F.xxhash64("text").alias("text_hash")
@@ -307,8 +306,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     wanted = owners.join(met.select(F.explode(F.array("a", "b")).alias("set_id")).distinct(), "set_id", "left_semi").select("set_id", "doc_id", "text_hash")
     wanted = scratch.keep(wanted, "wanted")
     known = wanted.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "set_id")
-    known = F.broadcast(known) if wanted.count() <= SENT_IDS else known
-    texts = docs.join(known, (docs["doc_id"] == F.col("_id")) & (F.xxhash64("text") == F.col("_hash")))
+    texts = docs.join(sent_if_small(known), (docs["doc_id"] == F.col("_id")) & (F.xxhash64("text") == F.col("_hash")))
     sets = scratch.keep(texts.select("set_id", grams("text").alias("grams")).dropDuplicates(["set_id"]), "sets")
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
@@ -338,7 +336,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
 
 def keep_one(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that a component's least id stands for; rows with a null id stay."""
-    found = near_duplicates(docs.select(id_col, text_col), percent, id_col, text_col)
+    scratch = Scratch(docs.sparkSession, "simhash_sets")
+    found = near_duplicates(docs.select(id_col, text_col), percent, id_col, text_col, scratch)
     dropped = Scratch(docs.sparkSession, "dropped").keep(found.select(F.col("node").alias("_dropped")), "ids")
-    dropped = F.broadcast(dropped) if dropped.count() <= SENT_IDS else dropped
-    return docs.join(dropped, docs[id_col] == dropped["_dropped"], "left_anti")
+    scratch.clear()
+    return docs.join(sent_if_small(dropped), docs[id_col] == dropped["_dropped"], "left_anti")

@@ -42,6 +42,24 @@ def test_stage_keeps_one_of_texts_from_a_similarity_of_0_8(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == brute_kept(sorted(rows))
 
 
+def test_blocks_and_crowds_lose_no_pair(spark, monkeypatch):
+    """Bands cut into small blocks, and few candidates given at first."""
+    monkeypatch.setattr(simhash_sets, "BLOCK_POINTS", (7, 9))
+    monkeypatch.setattr(simhash_sets, "FEW", 1)
+    chance = random.Random(9)
+    texts = []
+    for family in range(6):
+        base = [f"f{family}x{i}" for i in range(90)]
+        for _ in range(25):
+            words = list(base)
+            for at in chance.sample(range(90), chance.randrange(5)):
+                words[at] = f"n{chance.randrange(10**6)}"
+            texts.append(" ".join(words[: chance.choice([90, 90, 84])]))
+    rows = list(enumerate(texts))
+    kept = simhash_sets.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == brute_kept(rows)
+
+
 def test_odd_rows(spark):
     words = [f"word{i}" for i in range(60)]
     rows = [(5, " ".join(words)), (3, " ".join(words).upper()), (2, ""), (7, None), (7, None), (None, " ".join(words)), (None, "x"), (5, "other text of the same document"), (8, "other text of the same document")]
