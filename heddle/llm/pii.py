@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from heddle.sources import table
 
-#: Code points before a span in which context words count, and what they add.
+#: Code points before and behind a span in which context words count, and what they add.
 CONTEXT_CHARS = 50
 CONTEXT_GAIN = 0.25
 #: What a passed checksum adds; a failed one rejects the span.
@@ -43,7 +43,7 @@ KINDS = (
     Kind("ip", r"[0-9](?<![0-9][0-9])[0-9]*+\.[0-9]++\.[0-9]++\.[0-9]++", "digit", 0.5, r"\bip\b|host|server|address|login", base=True),
     Kind("card", r"[0-9](?:[ -]?[0-9]){13,}+", "digit", 0.3, r"card|visa|credit|debit|payment", base=True, sure=True),
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", "+", 0.6, r"phone|tel\b|call|fax|mobile|contact", base=True),
-    Kind("iban", r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9_])", "digit", 0.3, r"iban|account|bank|konto|transfer", sure=True),
+    Kind("iban", r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9_])", "digit", 0.3, r"iban|account|bank|konto|transfer", sure=True),
     Kind("ssn", r"(?<![A-Za-z0-9_])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9_])", "digit", 0.3, r"ssn|social security|taxpayer"),
     Kind("tel", r"(?<![A-Za-z0-9_])[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![A-Za-z0-9_])", "digit", 0.3, r"phone|tel\b|call|fax|mobile|contact"),
 )
@@ -84,7 +84,8 @@ def _valid(kind: str, match: Column) -> Column:
     if kind == "phone":
         return F.length(digits(match)).between(10, 15)
     if kind == "iban":
-        return mod97(match)
+        bare = F.replace(match, F.lit(" "), F.lit(""))
+        return F.length(bare).between(15, 34) & mod97(bare)
     return F.lit(True)
 
 
@@ -112,7 +113,8 @@ def _spans(text: Column, found: Column, order: int, kind: Kind) -> Column:
 
     def scored(span: Column) -> Column:
         before = F.substring(text, F.greatest(span["start"] - CONTEXT_CHARS + 1, F.lit(1)), F.least(span["start"], F.lit(CONTEXT_CHARS)))
-        near = F.lower(before).rlike(kind.context)
+        behind = F.substring(text, span["end"] + 1, F.lit(CONTEXT_CHARS))
+        near = F.lower(before).rlike(kind.context) | F.lower(behind).rlike(kind.context)
         return F.struct(
             span["start"].alias("start"), span["kind"].alias("kind"), span["end"].alias("end"), F.lit(kind.name).alias("name"),
             (F.lit(kind.prior + CHECK_GAIN * kind.sure) + F.when(near, CONTEXT_GAIN).otherwise(0.0)).alias("score"),
@@ -156,7 +158,7 @@ def _count(spans: Column, kind: int) -> Column:
 
 
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Personal data in every whole document, as counts and digests of spans."""
+    """Personal data in every whole document, as counts and digests of spans, and the spans' scores in hundredths."""
     found = find_personal_data(table(spark, sf_dir, "documents"))
     bases = [i for i, k in enumerate(KINDS) if k.base]
     base = F.filter("spans", lambda s: s["kind"] <= max(bases))
@@ -165,6 +167,7 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         *(_count(F.col("spans"), i).cast("long").alias(f"n_{KINDS[i].name}") for i in bases),
         F.sha2(_written(base).cast("binary"), 256).alias("base_sha256"),
         _written(F.col("spans")).alias("spans"),
+        F.array_join(F.transform("spans", lambda s: F.round(s["score"] * 100).cast("int").cast("string")), ",").alias("scores"),
     )
 
 
@@ -174,7 +177,7 @@ SQL_PATTERNS = {
     "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
     "card": r"[0-9](?:[ -]?[0-9])+",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
-    "iban": r"\b[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}\b",
+    "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ssn": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
     "tel": r"\b[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}\b",
 }
@@ -186,7 +189,7 @@ SQL_VALID = {
     f"CASE WHEN i % 2 = 1 THEN CAST(substr(reverse({_DIGITS}), i, 1) AS INT) ELSE (CAST(substr(reverse({_DIGITS}), i, 1) AS INT) * 2) // 10"
     f" + (CAST(substr(reverse({_DIGITS}), i, 1) AS INT) * 2) % 10 END)) % 10 = 0",
     "phone": f"length({_DIGITS}) BETWEEN 10 AND 15",
-    "iban": "list_reduce(list_prepend(0, list_transform(string_split(substr(match, 5) || substr(match, 1, 4), ''), lambda c: "
+    "iban": "length(replace(match, ' ', '')) BETWEEN 15 AND 34 AND list_reduce(list_prepend(0, list_transform(string_split(substr(replace(match, ' ', ''), 5) || substr(match, 1, 4), ''), lambda c: "
     "CASE WHEN ascii(c) < 58 THEN ascii(c) - 48 ELSE ascii(c) - 55 END)), lambda r, v: (CASE WHEN v > 9 THEN r * 100 ELSE r * 10 END + v) % 97) = 1",
     "ssn": "true",
     "tel": "true",
@@ -198,12 +201,14 @@ def _oracle() -> str:
         pattern = SQL_PATTERNS[kind.name].replace("'", "''")
         lengths = "coalesce(list_sum(list_transform({}, lambda p: length(p))), 0)"
         start = f"{lengths.format('gaps[1:i]')} + {lengths.format('found[1:i - 1]')}"
-        keep = "" if kind.base else f" AND {kind.prior + CHECK_GAIN * kind.sure} + CASE WHEN regexp_matches(before, '{kind.context}') THEN {CONTEXT_GAIN} ELSE 0 END >= {KEEP}"
-        return f"""SELECT doc_id, {i} AS kind, '{kind.name}' AS name, start, start + length(match) AS finish FROM (
-            SELECT doc_id, match, start, lower(substr(t, CAST(greatest(start - {CONTEXT_CHARS} + 1, 1) AS BIGINT), CAST(least(start, {CONTEXT_CHARS}) AS BIGINT))) AS before FROM (
+        keep = "" if kind.base else f" AND score >= {KEEP}"
+        return f"""SELECT doc_id, {i} AS kind, '{kind.name}' AS name, start, start + length(match) AS finish, score FROM (SELECT *, {kind.prior + CHECK_GAIN * kind.sure}
+                + CASE WHEN regexp_matches(before, '{kind.context}') OR regexp_matches(behind, '{kind.context}') THEN {CONTEXT_GAIN} ELSE 0 END AS score FROM (
+            SELECT doc_id, match, start, lower(substr(t, CAST(greatest(start - {CONTEXT_CHARS} + 1, 1) AS BIGINT), CAST(least(start, {CONTEXT_CHARS}) AS BIGINT))) AS before,
+              lower(substr(t, start + length(match) + 1, {CONTEXT_CHARS})) AS behind FROM (
               SELECT doc_id, t, found[i] AS match, CAST({start} AS BIGINT) AS start FROM (
                 SELECT doc_id, t, found, gaps, unnest(range(1, len(found) + 1)) AS i FROM (
-                  SELECT doc_id, t, regexp_extract_all(t, '{pattern}') AS found, string_split_regex(t, '{pattern}') AS gaps FROM d))))
+                  SELECT doc_id, t, regexp_extract_all(t, '{pattern}') AS found, string_split_regex(t, '{pattern}') AS gaps FROM d)))))
             WHERE {SQL_VALID[kind.name]}{keep}"""
 
     base = " UNION ALL ".join(found(i, k) for i, k in enumerate(KINDS) if k.base)
@@ -215,9 +220,9 @@ def _oracle() -> str:
         whole AS (SELECT * FROM base UNION ALL SELECT * FROM more m WHERE NOT EXISTS
             (SELECT 1 FROM base b WHERE b.doc_id = m.doc_id AND b.start < m.finish AND m.start < b.finish)),
         b AS (SELECT doc_id, {counts}, {written} AS said FROM base GROUP BY doc_id),
-        w AS (SELECT doc_id, {written} AS said FROM whole GROUP BY doc_id)
+        w AS (SELECT doc_id, {written} AS said, string_agg(CAST(round(score * 100) AS INTEGER), ',' ORDER BY start, kind) AS scores FROM whole GROUP BY doc_id)
         SELECT d.doc_id, {", ".join(f"coalesce(b.n_{k.name}, 0) AS n_{k.name}" for k in KINDS if k.base)},
-            sha256(coalesce(b.said, '')) AS base_sha256, coalesce(w.said, '') AS spans
+            sha256(coalesce(b.said, '')) AS base_sha256, coalesce(w.said, '') AS spans, coalesce(w.scores, '') AS scores
         FROM d LEFT JOIN b USING (doc_id) LEFT JOIN w USING (doc_id)"""
 
 
