@@ -10,6 +10,8 @@ of those it has seen.
 from collections.abc import Callable, Iterable, Iterator
 from itertools import repeat
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -70,6 +72,36 @@ def split_chunks(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False), starts
 
 
+#: A word of precomposed Latin letters, then punctuation without apostrophes. The
+#: tokenizer's rules split such a chunk into these two and lower the word's letters.
+MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+SIMPLE = f"^[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+[{re.escape(MARKS)}]*$"
+_WORD = "^[^!-~]*(?:[A-Za-z][^!-~]*)*"
+
+
+class SimpleParts:
+    """Chunks in bulk as words and the punctuation behind them.
+
+    ``places`` are the simple chunks and ``odd`` the others, whose strings are
+    ``others``. ``parts`` are the distinct words and tails, ``words`` each simple
+    chunk's word and ``tails`` the tails of those that are ``tailed``, as numbers.
+    """
+
+    def __init__(self, chunks: pa.Array):
+        simple = pc.match_substring_regex(chunks, SIMPLE)
+        is_simple = simple.to_numpy(zero_copy_only=False)
+        self.places, self.odd = np.flatnonzero(is_simple), np.flatnonzero(~is_simple)
+        plain = chunks.filter(simple)
+        words = pc.ascii_rtrim(plain, characters=MARKS)
+        tailed = pc.not_equal(pc.binary_length(plain), pc.binary_length(words))
+        tails = pc.replace_substring_regex(plain.filter(tailed), _WORD, "")
+        coded = pa.concat_arrays([pc.utf8_lower(words), tails]).dictionary_encode()
+        numbers = coded.indices.to_numpy()
+        self.parts, self.words, self.tails = coded.dictionary.to_pylist(), numbers[: len(plain)], numbers[len(plain) :]
+        self.tailed = np.flatnonzero(tailed.to_numpy(zero_copy_only=False))
+        self.others = chunks.filter(pc.invert(simple)).to_pylist()
+
+
 class NumberCache:
     """A number for each chunk, and the ids of the numbered chunks in one pool.
 
@@ -79,9 +111,9 @@ class NumberCache:
 
     def __init__(self, make: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int | None = None):
         self.make, self.limit = make, limit or CACHE_CHUNKS
-        self._reset()
+        self.reset()
 
-    def _reset(self) -> None:
+    def reset(self) -> None:
         self.known: dict[str, int] = {}
         self.first, self.size, self.ids, self.used = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(1 << 16, dtype="<u4"), 0
 
@@ -90,7 +122,7 @@ class NumberCache:
         found = np.fromiter(map(self.known.get, chunks, repeat(-1)), dtype=np.int64, count=len(chunks))
         fresh = np.flatnonzero(found < 0)
         if len(fresh) and len(self.known) + len(fresh) > self.limit:
-            self._reset()
+            self.reset()
             fresh = np.arange(len(chunks))
         if len(fresh):
             new = [chunks[i] for i in fresh.tolist()] if len(fresh) < len(chunks) else chunks

@@ -18,18 +18,16 @@ whose lengths are powers of two and need no padding.
 
 import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from heddle.llm.batches import give_back, text_batches
-from heddle.llm.chunks import NumberCache, gather, gathered, split_chunks
+from heddle.llm.chunks import NumberCache, SimpleParts, gather, gathered, split_chunks
 from heddle.sources import table
 
 WINDOW = 2048
@@ -158,11 +156,6 @@ class LevelPacker:
             yield sequence
 
 
-#: A word of precomposed Latin letters, then punctuation without apostrophes. The
-#: tokenizer's rules split such a chunk into these two and lower the word's letters.
-_MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
-_SIMPLE = f"^[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+[{re.escape(_MARKS)}]*$"
-_WORD = "^[^!-~]*(?:[A-Za-z][^!-~]*)*"
 #: Words that are encoded in one call.
 _CALL = 2000
 
@@ -173,7 +166,7 @@ class ChunkEncoder:
     The common chunks, a word with punctuation behind, go through a copy of the
     tokenizer that only merges: many words are encoded together, and as a word's
     last token bears the word-end mark, the ids fall apart into words. A worker
-    keeps it, with the words it has met, from task to task.
+    keeps the tokenizers from task to task, and the words it has met for a task.
     """
 
     def __init__(self, path: str):
@@ -198,25 +191,19 @@ class ChunkEncoder:
 
     def encode(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of distinct chunks in a row, and how many each has."""
-        simple = pc.match_substring_regex(chunks, _SIMPLE)
-        places, odd = np.flatnonzero(simple.to_numpy(zero_copy_only=False)), np.flatnonzero(pc.invert(simple).to_numpy(zero_copy_only=False))
-        plain = chunks.filter(simple)
-        words = pc.ascii_rtrim(plain, characters=_MARKS)
-        tailed = pc.not_equal(pc.binary_length(plain), pc.binary_length(words))
-        tails = pc.replace_substring_regex(plain.filter(tailed), _WORD, "")
-        parts = pa.concat_arrays([pc.utf8_lower(words), tails]).dictionary_encode()
-        number = self.words.numbers(parts.dictionary.to_pylist())[parts.indices.to_numpy()]
+        split = SimpleParts(chunks)
+        number = self.words.numbers(split.parts)
         # each word, and its tail behind it
-        behind = np.flatnonzero(tailed.to_numpy(zero_copy_only=False)) + 1
-        ids, begins = self.words.joined(np.insert(number[: len(plain)], behind, number[len(plain) :]))
-        last = np.arange(1, len(plain) + 1) + np.cumsum(tailed.to_numpy(zero_copy_only=False))
-        others = [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(chunks.filter(pc.invert(simple)).to_pylist(), add_special_tokens=False)]
+        ids, begins = self.words.joined(np.insert(number[split.words], split.tailed + 1, number[split.tails]))
+        last = np.arange(1, len(split.places) + 1)
+        last += np.searchsorted(split.tailed, np.arange(len(split.places)), side="right")
+        others = [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(split.others, add_special_tokens=False)]
         sizes = np.zeros(len(chunks), dtype=np.int64)
-        sizes[places] = np.diff(begins[last], prepend=0)
-        sizes[odd] = list(map(len, others))
+        sizes[split.places] = np.diff(begins[last], prepend=0)
+        sizes[split.odd] = list(map(len, others))
         ids = np.concatenate([ids, *others])
         # simple chunks come first there: back into the chunks' order
-        order = np.concatenate((places, odd))
+        order = np.concatenate((split.places, split.odd))
         first = np.empty(len(chunks), dtype=np.int64)
         first[order] = np.cumsum(sizes[order]) - sizes[order]
         return gather(ids, first, sizes)[0], sizes
@@ -285,6 +272,7 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end_id: int = E
                 yield made(full)
         if left := list(packer.drain()):
             yield made(left)
+        encode.words.reset()
         give_back()
 
     fields = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"

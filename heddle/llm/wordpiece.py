@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from heddle.llm.batches import give_back, text_batches
-from heddle.llm.chunks import ChunkCache, gathered, split_chunks
+from heddle.llm.chunks import ChunkCache, SimpleParts, gathered, split_chunks
 from heddle.sources import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -43,7 +43,7 @@ def byte_letters() -> dict[str, int]:
 class LongestMatch:
     """The automaton over a vocabulary of byte-letter tokens with word-end marks.
 
-    ``edges`` holds node * SYMBOLS + symbol in order and ``targets`` the child;
+    ``edges`` is a table of node * SYMBOLS + symbol and ``targets`` of the children;
     ``fail`` and ``pops`` are a node's failure link and what taking it pops.
     Each single symbol is a token, added if the vocabulary lacks it, so that
     every word has pieces.
@@ -67,8 +67,25 @@ class LongestMatch:
             is_token[node] = True
         self.fail, self.pops = self._links(children, is_token)
         edges = sorted((node * SYMBOLS + s, child) for node, kids in enumerate(children) for s, child in kids.items())
-        self.edges = np.array([e for e, _ in edges], dtype=np.int64)
-        self.targets = np.array([t for _, t in edges], dtype=np.int32)
+        self._hash_edges(np.array([e for e, _ in edges], dtype=np.int64), np.array([t for _, t in edges], dtype=np.int32))
+
+    def _hash_edges(self, keys: np.ndarray, targets: np.ndarray) -> None:
+        """An open table of the edges with few filled places, so that most are found at the first."""
+        self.bits = max(4, int(np.ceil(np.log2(len(keys) * 6))))
+        self.edges, self.targets = np.full(1 << self.bits, -1, dtype=np.int64), np.full(1 << self.bits, -1, dtype=np.int32)
+        left, place = np.arange(len(keys)), self._place(keys)
+        while len(left):
+            at = place[left]
+            free = self.edges[at] < 0
+            first = np.zeros(len(left), dtype=bool)
+            first[np.unique(at, return_index=True)[1]] = True
+            won = free & first
+            self.edges[at[won]], self.targets[at[won]] = keys[left[won]], targets[left[won]]
+            left = left[~won]
+            place[left] = (place[left] + 1) & ((1 << self.bits) - 1)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def symbols_of_token(self, token: str) -> list[int]:
         ends = token.endswith(WORD_END) and len(token) > len(WORD_END)
@@ -103,9 +120,17 @@ class LongestMatch:
     def _child(self, nodes: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         """The children, -1 where there are none."""
         keys = nodes.astype(np.int64) * SYMBOLS + symbols
-        at = np.searchsorted(self.edges, keys)
-        at[at == len(self.edges)] = 0
-        return np.where(self.edges[at] == keys, self.targets[at], -1)
+        at = self._place(keys)
+        there = self.edges[at]
+        found = np.where(there == keys, self.targets[at], -1)
+        left = np.flatnonzero((there != keys) & (there >= 0))
+        while len(left):
+            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
+            there = self.edges[at[left]]
+            hit = there == keys[left]
+            found[left[hit]] = self.targets[at[left[hit]]]
+            left = left[~hit & (there >= 0)]
+        return found
 
     def counts(self, words: list[bytes]) -> np.ndarray:
         """Pieces of each word, given as UTF-8; an empty word has none."""
@@ -138,49 +163,46 @@ class LongestMatch:
         return total
 
 
-@lru_cache(maxsize=2)
-def _counter(path: str) -> ChunkCache:
-    """Chunk → words * WORD + pieces, the words as the tokenizer file's own rules split them.
+class ChunkCounter:
+    """Words * WORD + pieces of chunks, the words as the tokenizer file's own rules split them.
 
-    A worker keeps it, with what it has cached, from task to task.
+    Most chunks are a word with punctuation behind, two words by those rules, and
+    are split in bulk. A worker keeps the automaton from task to task.
     """
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    with open(path, encoding="utf-8") as file:
-        match = LongestMatch(list(json.load(file)["model"]["vocab"]))
-    to_bytes = str.maketrans({letter: chr(b) for letter, b in match.letters.items()})
 
-    def words_of(text: str) -> list[tuple]:
-        return tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(text))
-
-    def make(chunks: list[str]) -> list[int]:
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            self.match = LongestMatch(list(json.load(file)["model"]["vocab"]))
+        self.to_bytes = str.maketrans({letter: chr(b) for letter, b in self.match.letters.items()})
+        self.words = ChunkCache(lambda words: (WORD + self.match.counts([w.encode() for w in words])).tolist())
+
+    def values(self, chunks: pa.Array) -> np.ndarray:
+        split = SimpleParts(chunks)
+        known = np.array(self.words.values(split.parts), dtype=np.int64)
+        mine = known[split.words]
+        mine[split.tailed] += known[split.tails]
+        values = np.zeros(len(chunks), dtype=np.int64)
+        values[split.places], values[split.odd] = mine, self._odd(split.others)
+        return values
+
+    def _odd(self, chunks: list[str]) -> np.ndarray:
         owner, words = [], []
-        plain = [i for i, c in enumerate(chunks) if c.split() == [c]]
-        odd = sorted(set(range(len(chunks))) - set(plain))
-        for at in range(0, len(plain), 5000):
-            some = plain[at : at + 5000]
-            # each chunk is blank-free, so its normal form is one blank-separated piece
-            normal = tokenizer.normalizer.normalize_str(" ".join(chunks[i] for i in some))
-            pieces = normal.split(" ")
-            if len(pieces) != len(some):
-                odd += some
-                continue
-            ends = np.cumsum([len(p) + 1 for p in pieces])
-            found = tokenizer.pre_tokenizer.pre_tokenize_str(normal)
-            whose = np.searchsorted(ends, [span[0] for _, span in found], side="right")
-            owner += [some[k] for k in whose]
-            words += [w for w, _ in found]
-        for i in odd:
-            found = words_of(chunks[i])
+        for i, chunk in enumerate(chunks):
+            found = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(chunk))
             owner += [i] * len(found)
-            words += [w for w, _ in found]
-        pieces = match.counts([w.translate(to_bytes).encode("latin-1") for w in words])
-        n_words = np.bincount(owner, minlength=len(chunks)) if owner else np.zeros(len(chunks), dtype=np.int64)
-        n_pieces = np.bincount(owner, weights=pieces, minlength=len(chunks)).astype(np.int64) if owner else n_words
-        return (n_words * WORD + n_pieces).tolist()
+            words += [w.translate(self.to_bytes).encode("latin-1") for w, _ in found]
+        pieces = WORD + self.match.counts(words)
+        total = np.zeros(len(chunks), dtype=np.int64)
+        np.add.at(total, np.array(owner, dtype=np.int64), pieces)
+        return total
 
-    return ChunkCache(make)
+
+@lru_cache(maxsize=2)
+def _counter(path: str) -> ChunkCounter:
+    return ChunkCounter(path)
 
 
 def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -194,9 +216,10 @@ def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
         counter = _counter(vocabulary)
         for batch in gathered(batches):
             chunks, codes, starts = split_chunks(batch.column(1))
-            running = np.concatenate(([0], np.cumsum(np.array(counter.values(chunks.to_pylist()), dtype=np.int64)[codes])))
+            running = np.concatenate(([0], np.cumsum(counter.values(chunks)[codes])))
             total = np.diff(running[starts])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total // WORD), pa.array(total % WORD)], names=["doc_id", "n_words", "n_tokens"])
+        counter.words.known.clear()
         give_back()
 
     kept = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

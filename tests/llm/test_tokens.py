@@ -59,11 +59,15 @@ def test_packing_holds_every_id_once(spark):
     assert packing.pack(df.limit(0), VOCABULARY).count() == 0
 
 
-def test_ids_of_every_letter_and_mark():
-    """Chunks that are split and lowered in bulk, and those that aren't, get the tokenizer's own ids."""
+def letters_and_marks():
     letters = [chr(c) for c in range(33, 0x530)] + ["İ", "ﬁ", "ẞ", "K"]
     texts = [" ".join(f"{a}b{c}" for a in letters[k : k + 40] for c in ("", ".", "'s", "!?", "-x")) for k in range(0, len(letters), 40)]
-    texts += [f"{a}{b}{c}" for a in ("Wo", "É", "") for b in ("...", "--'", "'", "`~", "</s>") for c in ("", "x", "é", "9")]
+    return texts + [f"{a}{b}{c}" for a in ("Wo", "É", "") for b in ("...", "--'", "'", "`~", "</s>") for c in ("", "x", "é", "9")]
+
+
+def test_ids_of_every_letter_and_mark():
+    """Chunks that are split and lowered in bulk, and those that aren't, get the tokenizer's own ids."""
+    texts = letters_and_marks()
     ids, begins = packing.token_ids(pa.array(texts), packing.ChunkEncoder(VOCABULARY))
     assert [ids[a:b].tolist() for a, b in zip(begins, begins[1:])] == [ids_of(t)[:-1] for t in texts]
 
@@ -150,6 +154,14 @@ def test_counts_against_greedy_matching(spark):
     assert wordpiece.token_counts(rows(spark).limit(0), VOCABULARY).count() == 0
 
 
+def test_counts_of_every_letter_and_mark():
+    texts = letters_and_marks()
+    tokenizer, vocabulary = Tokenizer.from_file(VOCABULARY), set(json.load(open(VOCABULARY))["model"]["vocab"])
+    chunks = sorted({c for t in texts for c in t.split(" ")})
+    found = wordpiece.ChunkCounter(VOCABULARY).values(pa.array(chunks))
+    assert [divmod(v, wordpiece.WORD) for v in found.tolist()] == [naive_counts(c, tokenizer, vocabulary) for c in chunks]
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_automaton_against_greedy_matching(seed):
     chance = np.random.default_rng(seed)
