@@ -122,7 +122,7 @@ def _candidates(asked: np.ndarray, tree: VantageTree, second: np.ndarray) -> tup
     for leaf, at in tree.visits(asked[:, 0], FIRST_RADIUS):
         there = tree.leaves[leaf]
         first = np.bitwise_count(asked[at, 0][:, None] ^ tree.points[there][None, :])
-        q, c = np.nonzero(first <= FIRST_RADIUS)
+        q, c = np.divmod(np.flatnonzero(first <= FIRST_RADIUS), len(there))
         d = first[q, c] + np.bitwise_count(asked[at[q], 1] ^ second[there[c]])
         near = d <= RADIUS
         parts.append((at[q[near]], there[c[near]], d[near]))
