@@ -1,8 +1,8 @@
 """Queries and SQL of the corpus operators, gathered from their modules."""
 
-from heddle.llm import ann, mixing, packing, pii, quality, secrets, simhash, vecdup, warc, wordpiece
+from heddle.llm import ann, mixing, packing, pii, quality, quality_rules, secrets, simhash, vecdup, warc, wordpiece
 
-MODULES = (mixing, simhash, packing, pii, quality, secrets, vecdup, ann, wordpiece, warc)
+MODULES = (mixing, simhash, packing, pii, quality, secrets, vecdup, ann, wordpiece, warc, quality_rules)
 
 
 def queries() -> dict:
