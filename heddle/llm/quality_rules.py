@@ -40,7 +40,7 @@ RULES = (
     Rule("word_length", "word_chars < 3 * n_words or word_chars > 10 * n_words"),
     Rule("symbols", "10 * n_symbols > n_words"),
     Rule("repeated_lines", "n_dup_lines > 3 and 10 * n_dup_lines > 3 * n_lines"),
-    Rule("few_letters", "100 * n_letter_words < 80 * n_words"),
+    Rule("few_letters", "n_words >= 30 and 100 * n_letter_words < 80 * n_words"),
     Rule("shouting", "2 * n_capitals > word_chars"),
     Rule("exclaiming", "2 * n_exclaims > n_words"),
     Rule("cut_off_lines", "n_cut_lines > 3 and 10 * n_cut_lines > 3 * n_lines"),

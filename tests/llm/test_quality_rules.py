@@ -24,7 +24,7 @@ def by_hand(text):
     }
     fails = [
         m["n_words"] < 10, 100 * m["n_repeat_words"] > 20 * m["n_words"], m["n_words"] > 100_000, not 3 * m["n_words"] <= m["word_chars"] <= 10 * m["n_words"],
-        10 * m["n_symbols"] > m["n_words"], m["n_dup_lines"] > 3 and 10 * m["n_dup_lines"] > 3 * m["n_lines"], 100 * m["n_letter_words"] < 80 * m["n_words"],
+        10 * m["n_symbols"] > m["n_words"], m["n_dup_lines"] > 3 and 10 * m["n_dup_lines"] > 3 * m["n_lines"], m["n_words"] >= 30 and 100 * m["n_letter_words"] < 80 * m["n_words"],
         2 * m["n_capitals"] > m["word_chars"], 2 * m["n_exclaims"] > m["n_words"], m["n_cut_lines"] > 3 and 10 * m["n_cut_lines"] > 3 * m["n_lines"],
     ]
     return m, sum(1 << i for i, f in enumerate(fails) if f)
