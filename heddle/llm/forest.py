@@ -20,10 +20,15 @@ TRIES = 3
 MOST_SHARED = 0.4
 
 
+def finite(vector: Column) -> Column:
+    """Whether a vector has components, all of them finite."""
+    each = F.forall(vector, lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)) & ~F.isnan(x))
+    return F.coalesce(each & (F.size(vector) > 0), F.lit(False))
+
+
 def sound(vector: Column) -> Column:
     """Whether a vector has components, all finite, and isn't zero."""
-    finite = F.forall(vector, lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)) & ~F.isnan(x))
-    return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
+    return F.coalesce(finite(vector) & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
 def keys(vector: Column) -> list[Column]:

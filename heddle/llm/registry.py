@@ -1,8 +1,8 @@
 """Queries and SQL of the corpus operators, gathered from their modules."""
 
-from heddle.llm import ann, mixing, packing, pii, quality, quality_rules, secrets, simhash, vecdup, warc, whitening, wordpiece
+from heddle.llm import ann, hardneg, mixing, packing, pii, quality, quality_rules, secrets, simhash, vecdup, warc, whitening, wordpiece
 
-MODULES = (mixing, simhash, packing, pii, quality, secrets, vecdup, ann, wordpiece, warc, quality_rules, whitening)
+MODULES = (mixing, simhash, packing, pii, quality, secrets, vecdup, ann, wordpiece, warc, quality_rules, whitening, hardneg)
 
 
 def queries() -> dict:

@@ -13,9 +13,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heddle.llm.forest import matrix
+from heddle.llm.forest import finite, matrix
 from heddle.plans.durable import Scratch
 from heddle.sources import table
 
@@ -225,11 +225,6 @@ class Whitening:
         return [x if x < 2**63 else None for x in exact]
 
 
-def _usable(vector: Column) -> Column:
-    finite = F.forall(vector, lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)) & ~F.isnan(x))
-    return F.coalesce(finite & (F.size(vector) > 0), F.lit(False))
-
-
 def whiten(
     vectors: DataFrame, components: int = COMPONENTS, scale: int | None = None, shift: int = 0, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
@@ -247,7 +242,7 @@ def whiten(
     other columns are not read; an empty table gives no rows.
     """
     scratch = Scratch(vectors.sparkSession, "whitening")
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")).where(_usable(F.col("v")))
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")).where(finite(F.col("v")))
     if scale is not None:
         rows = rows.where(F.forall("v", lambda x: F.abs(x * scale + shift) < float(2**62)))
     found = None
