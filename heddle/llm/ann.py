@@ -1,16 +1,17 @@
 """Nearest neighbours by a forest of random-projection trees with a shared queue.
 
 Every vector is indexed in one leaf of each tree. A query walks all trees with
-one priority queue keyed by the squared margins of the splits it has crossed, so
-the most promising leaves of the whole forest come first. How many leaves it
-visits is measured on the fitted sample: as many as find the wanted share of its
-nearest, so clustered vectors need few leaves and unstructured ones most.
+one priority queue keyed by how unlikely its neighbours are to lie behind the
+splits passed, so the most promising leaves of the whole forest come first. How
+many leaves it visits is measured on the fitted sample: as many as find the wanted
+share of its nearest, so clustered vectors need few leaves and unstructured ones most.
 
 Leaves are tasks in groups, the subtrees of up to 64 leaves: a query is sent once
 to a group, with a bit for each leaf it visits, and the group answers with its
-best over those leaves. Large groups are cut into blocks of stored vectors and of
-queries, so tasks are bounded whatever the leaves hold. Answers are ranked by the
-exact product of the original vectors.
+best over those leaves. Large groups are cut into blocks of stored vectors, and
+queries stream past a block batch by batch, so a task's memory is bounded and a
+vector is sent once for each tree, however many queries there are. Answers are
+ranked by the exact product of the original vectors.
 
 For inner products of vectors of unequal norms the trees see one more component,
 sqrt(largest² - norm²), under which the largest product is the smallest angle.
@@ -18,6 +19,7 @@ sqrt(largest² - norm²), under which the largest product is the smallest angle.
 
 import heapq
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -32,33 +34,60 @@ NEIGHBOURS = 20
 TREES = 4
 LEAF_ROWS = 128
 #: Share of the true nearest of a sample's queries that their visits have to find.
-RECALL = 0.94
+RECALL = 0.96
 #: Sampled queries that the visits are measured on, at most.
 MEASURED = 300
 #: Leaves of a group: the bits of a mask.
 GROUP_LEAVES = 64
-#: Stored vectors of a group in one task, and queries, about; more are dealt to more tasks.
+#: Stored vectors of a group in one task, about; more are dealt to more tasks.
 STORED_BLOCK = 16_384
-QUERY_BLOCK = 20_000
-
-
-def search(forest: list[Tree], vector: np.ndarray, visits: int) -> list[tuple[int, int]]:
+#: Steepness at which the logistic function is nearest to the normal distribution's.
+LOGISTIC = 1.702
+#: Pairs scored at once.
+SCORED = 200_000
+
+
+@dataclass
+class Outlook:
+    """Where a query's neighbours are expected: at ``share`` of its own projection on a split's direction, give or take ``spread``."""
+
+    share: float
+    spread: float
+
+    @classmethod
+    def of(cls, sample: np.ndarray, queries: np.ndarray, k: int) -> "Outlook":
+        """From the cosines of some of the sample's rows with their ``k`` nearest others."""
+        asked = np.unique(np.linspace(0, len(sample) - 1, min(100, len(sample))).astype(np.int64))
+        products = queries[asked] @ sample.T
+        products[np.arange(len(asked)), asked] = -np.inf
+        k = min(k, len(sample) - 1)
+        near = -np.partition(-products, k - 1, axis=1)[:, :k] if k > 0 else np.zeros((1, 1))
+        square = max(float(np.einsum("ij,ij->i", sample, sample).max(initial=0.0)), np.finfo(np.float64).tiny)
+        share = float(np.clip(near.mean() / square, 0.0, 0.999))
+        return cls(share, float(np.sqrt(square * (1 - share * share) / sample.shape[1])))
+
+    def costs(self, tree: Tree, vector: np.ndarray) -> np.ndarray:
+        """For each node the costs, negative log-likelihoods, of its left and its right side."""
+        z = LOGISTIC * (self.share * (tree.directions @ vector) - tree.thresholds) / self.spread
+        return np.stack((np.logaddexp(0, z), np.logaddexp(0, -z)), axis=1)
+
+
+def search(forest: list[Tree], outlook: Outlook, vector: np.ndarray, visits: int) -> list[tuple[int, int]]:
     """The (tree, leaf) pairs that a query visits, most promising first."""
-    margins = [(tree.directions @ vector - tree.thresholds).tolist() for tree in forest]
+    costs = [outlook.costs(tree, vector).tolist() for tree in forest]
+    sides = [tree.children.tolist() for tree in forest]
     queue, found = [(0.0, number, tree.root) for number, tree in enumerate(forest)], []
     while queue and len(found) < visits:
-        crossed, number, node = heapq.heappop(queue)
-        while node >= 0:  # down the near sides, which cost nothing
-            margin = margins[number][node]
-            left, right = forest[number].children[node].tolist()
-            near, far = (right, left) if margin > 0 else (left, right)
-            heapq.heappush(queue, (crossed + margin * margin, number, far))
-            node = near
-        found.append((number, -node - 1))
+        cost, number, node = heapq.heappop(queue)
+        if node < 0:
+            found.append((number, -node - 1))
+            continue
+        for side, more in zip(sides[number][node], costs[number][node]):
+            heapq.heappush(queue, (cost + more, number, side))
     return found
 
 
-def needed_visits(forest: list[Tree], sample: np.ndarray, queries: np.ndarray, n: int, k: int, recall: float = RECALL) -> int:
+def needed_visits(forest: list[Tree], outlook: Outlook, sample: np.ndarray, queries: np.ndarray, n: int, k: int, recall: float = RECALL) -> int:
     """Leaves to visit so that the sample's queries find ``recall`` of their nearest in the mean.
 
     ``queries`` are the sample's rows as they are when they ask. The sample's k * (its share of n) nearest stand for the k nearest of all.
@@ -76,13 +105,13 @@ def needed_visits(forest: list[Tree], sample: np.ndarray, queries: np.ndarray, n
         homes.append(home)
     when = []
     for q in asked.tolist():
-        order = search(forest, queries[q], total)
+        order = search(forest, outlook, queries[q], total)
         rank = [np.zeros(tree.leaves, dtype=np.int64) for tree in forest]
         for place, (number, leaf) in enumerate(order):
             rank[number][leaf] = place + 1
         scores = sample @ queries[q]
         scores[q] = -np.inf
-        near = np.argpartition(-scores, k - 1)[:k]
+        near = np.flatnonzero(scores >= -np.partition(-scores, k - 1)[k - 1] - 1e-9)  # with all that tie
         when.append(np.min([r[h[near]] for r, h in zip(rank, homes)], axis=0))
     when = np.sort(np.concatenate(when))
     return int(when[min(len(when) - 1, int(np.ceil(recall * len(when))) - 1)])
@@ -200,30 +229,37 @@ def _asking(vectors: np.ndarray, top: float | None) -> np.ndarray:
     return np.column_stack((unit_rows(vectors) * np.sqrt(top), np.zeros(len(vectors))))
 
 
-def best_of_group(stored: np.ndarray, nodes: np.ndarray, leaves: np.ndarray, wanted: np.ndarray, masks: np.ndarray, most: int, step: int = 256) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query, scores, nodes): the ``most`` best stored vectors in the leaves of each query's mask."""
-    order = np.argsort(leaves, kind="stable")
-    stored, nodes, leaves = stored[order], nodes[order], leaves[order]
-    cuts = np.searchsorted(leaves, np.arange(GROUP_LEAVES + 1))
-    for start in range(0, len(wanted), step):
-        some, bits = wanted[start : start + step], masks[start : start + step]
-        rough = np.full((len(some), len(stored)), -np.inf)
-        for leaf in range(GROUP_LEAVES):
-            a, b = cuts[leaf], cuts[leaf + 1]
-            asking = np.flatnonzero(bits >> np.uint64(leaf) & np.uint64(1))
-            if b > a and len(asking):
-                rough[asking, a:b] = some[asking] @ stored[a:b].T
-        keep = min(most + 5, len(stored))
-        at = np.argpartition(-rough, keep - 1, axis=1)[:, :keep]
-        seen = np.take_along_axis(rough, at, 1) > -np.inf
-        # products summed in one order wherever a pair meets, so that equal pairs have equal scores
-        scores = np.where(seen, (some[:, None, :] * stored[at]).sum(axis=2), -np.inf)
-        best = np.lexsort((nodes[at], -scores), axis=1)[:, :most]
-        at, scores = np.take_along_axis(at, best, 1), np.take_along_axis(scores, best, 1)
-        for q in range(len(some)):
-            n = int(np.count_nonzero(scores[q] > -np.inf))
-            if n:
-                yield start + q, scores[q, :n], nodes[at[q, :n]]
+class Stored:
+    """A block's vectors in the order of their leaves."""
+
+    def __init__(self, vectors: np.ndarray, nodes: np.ndarray, leaves: np.ndarray):
+        order = np.argsort(leaves, kind="stable")
+        self.vectors, self.nodes = vectors[order], nodes[order]
+        self.cuts = np.searchsorted(leaves[order], np.arange(GROUP_LEAVES + 1))
+
+    def best(self, wanted: np.ndarray, masks: np.ndarray, most: int, step: int = 256) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(query, scores, nodes): the ``most`` best vectors in the leaves of each query's mask, ties to the smaller node."""
+        for start in range(0, len(wanted), step):
+            some, bits = wanted[start : start + step], masks[start : start + step]
+            rough = np.full((len(some), len(self.vectors)), -np.inf)
+            for leaf in range(GROUP_LEAVES):
+                a, b = self.cuts[leaf], self.cuts[leaf + 1]
+                asking = np.flatnonzero(bits >> np.uint64(leaf) & np.uint64(1))
+                if b > a and len(asking):
+                    rough[asking, a:b] = some[asking] @ self.vectors[a:b].T
+            keep = min(most, len(self.vectors))
+            # all that reach the last kept product, up to rounding: more than are kept where products tie
+            last = -np.partition(-rough, keep - 1, axis=1)[:, keep - 1]
+            bound = np.where(last > -np.inf, last - 1e-9 * (1 + np.abs(last)), np.finfo(np.float64).min)
+            q, at = np.nonzero(rough >= bound[:, None])
+            # products summed in one order wherever a pair meets, so that equal pairs have equal scores
+            scores = np.concatenate([np.zeros(0), *((some[q[k : k + SCORED]] * self.vectors[at[k : k + SCORED]]).sum(axis=1) for k in range(0, len(q), SCORED))])
+            order = np.lexsort((self.nodes[at], -scores, q))
+            cuts = np.searchsorted(q, np.arange(len(some) + 1))
+            for i in range(len(some)):
+                own = order[cuts[i] : cuts[i + 1]][:most]
+                if len(own):
+                    yield start + i, scores[own], self.nodes[at[own]]
 
 
 def _search_all(points: DataFrame, asked: DataFrame, k: int, trees: int, leaf_rows: int, recall: float) -> DataFrame:
@@ -232,18 +268,21 @@ def _search_all(points: DataFrame, asked: DataFrame, k: int, trees: int, leaf_ro
     n, top, least = points.agg(F.count("*"), F.max(square), F.min(square)).first()
     top = top if top - least > 1e-3 * top else None
     kind, most = component_kind(points, "v"), k + 1
-    n_asked = asked.count()
     own = fit_sample(points, n, "node", "v")
     sample = _extended(own, top)
     forest = [fit_tree(sample, n, leaf_rows, seed) for seed in range(trees)]
-    visits = needed_visits(forest, sample, _asking(own, top), n, most, recall)
+    outlook = Outlook.of(sample, _asking(own, top), most)
+    visits = needed_visits(forest, outlook, sample, _asking(own, top), n, most, recall)
     groups, places = zip(*map(leaf_groups, forest))
     first_group = np.cumsum([0] + [int(g.max()) + 1 for g in groups])
     sizes = np.concatenate([np.bincount(g, weights=tree.shares) for g, tree in zip(groups, forest)])
     stored_blocks = np.maximum(1, np.ceil(sizes * n / STORED_BLOCK)).astype(np.int64)
-    query_blocks = max(1, -(-n_asked // QUERY_BLOCK))
     sent = points.sparkSession.sparkContext.broadcast(forest)
 
+    def row_batch(group: np.ndarray, block: np.ndarray, asks: bool, nodes: np.ndarray, mark: np.ndarray, vectors: np.ndarray) -> pa.RecordBatch:
+        columns = [pa.array(group), pa.array(block), pa.array(np.full(len(group), asks)), pa.array(nodes), pa.array(mark.astype(np.int64, copy=False)), packed(vectors, kind)]
+        return pa.RecordBatch.from_arrays(columns, names=["group", "block", "asks", "node", "mark", "v"])
+
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -253,10 +292,7 @@ def _search_all(points: DataFrame, asked: DataFrame, k: int, trees: int, leaf_ro
             for number, tree in enumerate(sent.value):
                 r, leaf = tree.route(seen)
                 group = first_group[number] + groups[number][leaf]
-                block, v = block_of(nodes[r], stored_blocks[group]), packed(own[r], kind)
-                for asking in range(query_blocks):
-                    columns = [group, block, np.full(len(r), asking), nodes[r], places[number][leaf]]
-                    yield pa.RecordBatch.from_arrays([*(pa.array(c, type=pa.int64()) for c in columns), v], names=["group", "block", "asking", "node", "leaf", "v"])
+                yield row_batch(group, block_of(nodes[r], stored_blocks[group]), False, nodes[r], places[number][leaf], own[r])
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -266,7 +302,7 @@ def _search_all(points: DataFrame, asked: DataFrame, k: int, trees: int, leaf_ro
             rows: list[tuple[int, int, int]] = []
             for q, vector in enumerate(_asking(own, top)):
                 masks: dict[int, int] = {}
-                for number, leaf in search(sent.value, vector, visits):
+                for number, leaf in search(sent.value, outlook, vector, visits):
                     group = int(first_group[number] + groups[number][leaf])
                     masks[group] = masks.get(group, 0) | 1 << int(places[number][leaf])
                 rows += [(q, group, mask) for group, mask in masks.items()]
@@ -276,22 +312,29 @@ def _search_all(points: DataFrame, asked: DataFrame, k: int, trees: int, leaf_ro
             block = np.arange(len(again)) - np.repeat(np.cumsum(stored_blocks[group]) - stored_blocks[group], stored_blocks[group])
             for start in range(0, len(again), 10_000):
                 at = again[start : start + 10_000]
-                columns = [group[at], block[start : start + 10_000], block_of(nodes[q[at]], query_blocks), nodes[q[at]], mask[at].view(np.int64)]
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, type=pa.int64()) for c in columns), packed(own[q[at]], kind)], names=["group", "block", "asking", "node", "mask", "v"])
+                yield row_batch(group[at], block[start : start + 10_000], True, nodes[q[at]], mask[at].view(np.int64), own[q[at]])
 
-    def answer(stored: pa.Table, wanted: pa.Table) -> pa.Table:
-        found: list[tuple] = []
-        if stored.num_rows and wanted.num_rows:
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, stored = [], None
+        for batch in batches:
+            split = int(np.searchsorted(batch["asks"].to_numpy(zero_copy_only=False), True))  # stored vectors come first
+            if split:
+                held.append(batch.slice(0, split))
+            wanted = batch.slice(split)
+            if not wanted.num_rows or not held:
+                continue
+            if stored is None:
+                rows = pa.Table.from_batches(held)
+                stored = Stored(unpacked(rows["v"], kind), rows["node"].to_numpy(), rows["mark"].to_numpy())
             asking = wanted["node"].to_numpy()
-            best = best_of_group(unpacked(stored["v"], kind), stored["node"].to_numpy(), stored["leaf"].to_numpy(), unpacked(wanted["v"], kind), wanted["mask"].to_numpy().view(np.uint64), most)
-            found = [(asking[q], s.astype("<f8").tobytes(), o.astype("<i8").tobytes()) for q, s, o in best]
-        node, scores, others = zip(*found) if found else ((), (), ())
-        return pa.table({"node": pa.array(node, type=pa.int64()), "scores": pa.array(scores, type=pa.binary()), "others": pa.array(others, type=pa.binary())})
-
-    fields = "group long, block long, asking long, node long, {} long, v binary"
-    held = points.mapInArrow(index, fields.format("leaf")).groupBy("group", "block", "asking")
-    asks = asked.mapInArrow(visit, fields.format("mask")).groupBy("group", "block", "asking")
-    return held.cogroup(asks).applyInArrow(answer, "node long, scores binary, others binary")
+            found = [(asking[q], s.astype("<f8").tobytes(), o.astype("<i8").tobytes()) for q, s, o in stored.best(unpacked(wanted["v"], kind), wanted["mark"].to_numpy().view(np.uint64), most)]
+            node, scores, others = zip(*found) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(node, type=pa.int64()), pa.array(scores, type=pa.binary()), pa.array(others, type=pa.binary())], names=["node", "scores", "others"])
+
+    fields = "group long, block long, asks boolean, node long, mark long, v binary"
+    both = points.mapInArrow(index, fields).unionByName(asked.mapInArrow(visit, fields))
+    dealt = both.repartition("group", "block").sortWithinPartitions("group", "block", "asks")
+    return dealt.groupBy("group", "block").applyInArrow(answer, "node long, scores binary, others binary")
 
 
 def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:

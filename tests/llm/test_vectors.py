@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from heddle.llm import ann, forest, vecdup
 
@@ -128,6 +129,38 @@ def test_nearest_by_products_of_unequal_norms(spark):
     check_nearest(spark, sample() * np.random.default_rng(3).uniform(0.5, 3, (1320, 1)).astype(np.float32))
 
 
+def test_distinct_vectors_of_equal_product(spark):
+    """Vectors of zeros and ones that share one component with the query: ties go to the smaller id, not to chance."""
+    chance = np.random.default_rng(9)
+    ones = np.unique(chance.integers(0, 2, (900, 14)), axis=0)
+    vectors = np.column_stack((np.ones(len(ones)), ones)).astype(np.float32)
+    vectors[0, 1:] = 0
+    ids = chance.permutation(np.arange(1, len(vectors))).tolist()
+    found = {}
+    for r in ann.nearest(table(spark, vectors.tolist(), [0, *ids]), recall=1.0).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    assert [i for _, i in sorted(found[0])] == list(range(1, 21))
+    exact = vectors.astype(np.float64)
+    for q, row in [(0, 0), *((i, ids.index(i) + 1) for i in found if i)]:
+        order = sorted((-float(exact[row] @ v), i) for v, i in zip(exact, [0, *ids]) if i != q)
+        assert [i for _, i in sorted(found[q])] == [i for _, i in order[:20]]
+
+
+def test_stored_vectors_are_sent_once_for_each_tree(spark):
+    """Whatever the number of queries: one exchange, whose stored rows are the vectors times the trees."""
+    for every in (1, 20):
+        df = table(spark, sample().tolist())
+        points = df.select(F.col("vec_id").alias("node"), F.col("embedding").alias("v"))
+        found = ann._search_all(points, points.where(f"node % {every} = 0"), 5, 3, 64, 0.9)
+        dealt = found._jdf.queryExecution().executedPlan().toString()
+        assert dealt.count("Exchange hashpartitioning") == 1 and "asks" in dealt[dealt.index("Sort [") :].split("\n")[0]
+    chance = np.random.default_rng(1)
+    stored = ann.Stored(sample().astype(float), np.arange(1320), chance.integers(0, 64, 1320))
+    whole = list(stored.best(sample()[:300].astype(float), np.full(300, (1 << 64) - 1, dtype=np.uint64), 7))
+    parts = [x for start in range(0, 300, 50) for x in stored.best(sample()[start : start + 50].astype(float), np.full(50, (1 << 64) - 1, dtype=np.uint64), 7)]
+    assert [x[2].tolist() for x in whole] == [x[2].tolist() for x in parts]
+
+
 def test_nearest_ties_and_few_rows(spark):
     found = ann.nearest(table(spark, [[1.0, 0.0]] * 60 + [[0.0, 1.0]])).collect()
     assert [r["vec_id"] for r in sorted(found, key=lambda r: (r["query_id"], r["rank"])) if r["query_id"] == 20] == list(range(20))
