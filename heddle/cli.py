@@ -15,14 +15,8 @@ from heddle.sources import bronze
 
 def parse(spark: SparkSession, day: str, source: str, out: str) -> dict[str, int]:
     """Bronze of a day to silver, behind both gates."""
-    silver = pages.parse_bronze(bronze.read_bronze(spark, source, day), day).persist()
-    try:
-        metrics = gates.quality_gate(silver, datetime.date.fromisoformat(day))
-        gates.pii_gate(silver)
-        bronze.write_partitioned(silver, out, "province", "dt")
-    finally:
-        silver.unpersist()
-    return metrics
+    silver = pages.parse_bronze(bronze.read_bronze(spark, source, day), day)
+    return gates.write_gated(silver, out, datetime.date.fromisoformat(day))
 
 
 def cluster(spark: SparkSession, source: str, out: str, day: str | None = None) -> None:

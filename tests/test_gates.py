@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from heddle.operators import gates
+from heddle.sources import staged
 
 DAY = dt.date(2026, 9, 20)
 CLEAN = {
@@ -60,3 +61,67 @@ def test_soft_rules_pass(spark):
 def test_no_rows_fail(spark):
     with pytest.raises(gates.GateError, match="row_count"):
         gates.quality_gate(silver(spark).limit(0), DAY)
+
+
+def dealt(spark, path):
+    return sorted(r["listing_id"] for r in spark.read.schema(KINDS).parquet(path).collect())
+
+
+def test_gates_while_writing_are_one_pass(spark, tmp_path):
+    """Each row is made once, and the metrics are those of the gates after the fact."""
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    rows = silver(spark, {"province": None}, {"is_active": False, "parse_ok": False})
+    path = str(tmp_path / "silver")
+    found = gates.write_gated(rows.mapInPandas(counted, rows.schema), path, DAY)
+    assert made.value == 20 and found == gates.quality_gate(rows, DAY)
+    assert dealt(spark, path) == dealt_ids(rows) and sorted(p.name for p in tmp_path.iterdir()) == ["silver"]
+    assert sorted(p.parent.name + "/" + p.name for p in (tmp_path / "silver").glob("*/*")) == ["province=HCM/dt=2026-09-20", "province=__HIVE_DEFAULT_PARTITION__/dt=2026-09-20"]
+
+
+def dealt_ids(df):
+    return sorted(r["listing_id"] for r in df.collect())
+
+
+@pytest.mark.parametrize("rule, change", [("pii", {"title": "gọi 090.123.4567"}), ("listing_id_unique", {"listing_id": "s:19"}), ("row_count", None)])
+def test_a_gate_that_fails_leaves_the_table(spark, tmp_path, rule, change):
+    path = str(tmp_path / "silver")
+    gates.write_gated(silver(spark, n=5), path, DAY)
+    before = {p: p.read_bytes() for p in (tmp_path / "silver").rglob("*.parquet")}
+    worse = silver(spark, change) if change else silver(spark).limit(0)
+    with pytest.raises(gates.GateError) as found:
+        gates.write_gated(worse, path, DAY)
+    assert found.value.rule == rule
+    assert {p: p.read_bytes() for p in (tmp_path / "silver").rglob("*.parquet")} == before and sorted(p.name for p in tmp_path.iterdir()) == ["silver"]
+
+
+def test_promotion_replaces_partitions_and_keeps_others(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    gates.write_gated(silver(spark, *[{"province": "HN", "listing_id": "h"}], n=5), path, DAY)
+    gates.write_gated(silver(spark, n=3), path, DAY)
+    assert dealt(spark, path) == ["h", "s:0", "s:1", "s:2"]
+
+
+def test_a_promotion_that_fails_midway_is_undone(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "silver")
+    rows = silver(spark, {"province": "HN", "listing_id": "h"}, n=5)
+    gates.write_gated(rows, path, DAY)
+    with staged.Staged(spark, path, ("province", "dt")) as aside:
+        aside.write(silver(spark, {"province": "HN", "listing_id": "new"}, n=2))
+        real = aside.partitions()
+        monkeypatch.setattr(aside, "partitions", lambda: [*real, "/province=none/dt=none"])
+        with pytest.raises(Exception, match="none"):
+            aside.promote()
+    assert dealt(spark, path) == dealt_ids(rows) and sorted(p.name for p in tmp_path.iterdir()) == ["silver"]
+
+
+def test_rows_observed_twice_are_counted_once(spark, tmp_path, monkeypatch):
+    """As when a lost executor's tasks run again."""
+    twice = {"n_rows": 40, "leaking_rows": 2}
+    monkeypatch.setattr(gates.Observation, "get", property(lambda self: twice))
+    assert gates.write_gated(silver(spark), str(tmp_path / "silver"), DAY)["n_rows"] == 20
