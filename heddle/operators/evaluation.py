@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from heddle.plans import ranks
+from heddle.plans.durable import Scratch
 from heddle.plans.joins import sent_if_small
 
 
@@ -53,32 +54,58 @@ def quantile_groups(df: DataFrame, value: str, groups: int = 10, by: str | None
     Bounds are exact quantiles, joined back: no task sees all values. Equal
     values are in one group; for groups of equal size see ``ranks.ntile``.
     """
+    df = Scratch(df.sparkSession, "quantiles").keep(df, "rows")  # read three times
     bounds = ranks.quantile_bounds(df, value, [i / groups for i in range(1, groups)], by)
     joined = df.join(sent_if_small(bounds), by) if by else df.join(F.broadcast(bounds))
-    place = F.when(F.col(value).isNotNull(), 1 + F.size(F.filter("bounds", lambda b: b < F.col(value))))
+    place = F.lit(1)
+    for i in range(groups - 1):
+        place = place + F.coalesce((F.get("bounds", F.lit(i)) < F.col(value)).cast("int"), F.lit(0))
+    place = F.when(F.col(value).isNotNull(), place)
     return joined.withColumn("quantile", place).drop("bounds")
 
 
-def concordance_index(df: DataFrame, duration: str, event: str, risk: str) -> DataFrame:
+#: Distinct risks in a range: rows that a task orders at once.
+RISKS_IN_RANGE = 4096
+
+
+def concordance_index(df: DataFrame, duration: str, event: str, risk: str, in_range: int = RISKS_IN_RANGE) -> DataFrame:
     """One row: comparable pairs, concordant ones, ties and the C-index.
 
-    A pair is comparable if the shorter duration ended in an event. Pairs are
-    never built: rows are counted by (duration, risk), each count is dealt to
-    the event durations before it, and running sums over risks within an event
-    duration give what lies below. The cost follows distinct durations and risks.
+    A pair is comparable if the shorter duration ended in an event. Rows without a
+    duration or a risk take no part; a null event is none.
+
+    Pairs are never built. Distinct durations are numbered, and a pair's durations
+    part at one binary digit of their numbers: above it they agree, there the
+    shorter has 0 and the longer 1. So each row is counted once for each digit,
+    n log n rows in all, in the node of the digits above; rows of a node that agree
+    in risk collapse before they are shuffled. Within a node, numbered risks are cut
+    into ranges; what lies below a row is what the ranges before it hold, a running
+    sum over one row for each, and what its own range holds before it.
     """
-    counts = df.groupBy(F.col(duration).alias("t"), F.col(risk).alias("r")).agg(F.count("*").alias("n"), F.count_if(event).alias("e"))
-    ends = [row[0] for row in counts.where("e > 0").select("t").distinct().orderBy("t").collect()]
-    kind = counts.schema["t"].dataType
-    before = F.filter(F.array(*(F.lit(t).cast(kind) for t in ends)) if ends else F.array().cast("array<long>"), lambda at: at < F.col("t"))
-    later = counts.select(F.explode(before).alias("at"), "r", "n", F.lit(0).cast("long").alias("e"))
-    own = counts.where("e > 0").select(F.col("t").alias("at"), "r", F.lit(0).cast("long").alias("n"), "e")
-    both = later.unionByName(own).groupBy("at", "r").agg(F.sum("n").alias("n"), F.sum("e").alias("e"))
-    run, whole = Window.partitionBy("at").orderBy("r"), Window.partitionBy("at")
-    sums = both.select("e", "n", (F.sum("n").over(run) - F.col("n")).alias("below"), F.sum("n").over(whole).alias("all"))
+    scratch = Scratch(df.sparkSession, "concordance")
+    rows = df.select(F.col(duration).alias("t"), F.col(risk).alias("r"), F.coalesce(F.col(event), F.lit(False)).alias("event")).where("t is not null and r is not null")
+    counts = scratch.keep(rows.groupBy("t", "r").agg(F.count("*").alias("n"), F.count_if("event").alias("e")), "counts")
+    times = ranks.numbered(counts.select("t").distinct(), ["t"], "time")
+    risks = ranks.numbered(counts.select("r").distinct(), ["r"], "place")
+    placed = counts.join(sent_if_small(times), "t").join(sent_if_small(risks), "r")
+    digits = (counts.agg(F.count_distinct("t")).first()[0] - 1).bit_length() if counts.take(1) else 0
+    levels = F.explode(F.array(*(F.lit(d) for d in range(digits))).cast("array<int>"))
+    dealt = placed.select("time", "place", "n", "e", levels.alias("digit"))
+    # a row of the lower half counts by its events, one of the upper half by its rows
+    upper = F.expr("shiftright(time, digit) & 1") == 1
+    node = F.expr("shiftright(time, digit + 1)")
+    sides = dealt.where(upper | (F.col("e") > 0)).groupBy("digit", node.alias("node"), "place")
+    sides = sides.agg(F.sum(F.when(upper, 0).otherwise(F.col("e"))).alias("e"), F.sum(F.when(upper, F.col("n")).otherwise(0)).alias("n"))
+    sides = scratch.keep(sides.withColumn("part", F.floor(F.col("place") / in_range)), "sides")
+    totals = sides.groupBy("digit", "node", "part").agg(F.sum("n").alias("n"))
+    over = Window.partitionBy("digit", "node")
+    before = F.coalesce(F.sum("n").over(over.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    told = totals.select("digit", "node", "part", before.alias("before"), F.sum("n").over(over).alias("later"))
+    inside = F.sum("n").over(Window.partitionBy("digit", "node", "part").orderBy("place")) - F.col("n")
+    sums = sides.withColumn("inside", inside).where("e > 0").join(told, ["digit", "node", "part"])
     pairs = sums.agg(
-        F.coalesce(F.sum(F.col("e") * F.col("all")), F.lit(0)).alias("comparable"),
-        F.coalesce(F.sum(F.col("e") * F.col("below")), F.lit(0)).alias("concordant"),
+        F.coalesce(F.sum(F.col("e") * F.col("later")), F.lit(0)).alias("comparable"),
+        F.coalesce(F.sum(F.col("e") * (F.col("before") + F.col("inside"))), F.lit(0)).alias("concordant"),
         F.coalesce(F.sum(F.col("e") * F.col("n")), F.lit(0)).alias("tied"),
     )
     return pairs.withColumn("c_index", F.round(F.try_divide(F.col("concordant") + F.col("tied") / 2, F.col("comparable")), 6))

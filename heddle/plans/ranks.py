@@ -6,16 +6,22 @@ ranks inside a range come from a window over it. Quantiles need no order of all
 rows: a sketch narrows them down first.
 """
 
-from pyspark.sql import DataFrame, Window, functions as F
+from functools import reduce
+from operator import add, or_
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from heddle.plans.durable import Scratch
 from heddle.plans.joins import sent_if_small
 
 
-def _dealt(df: DataFrame, keys: list[str], order: list[str], scratch: Scratch) -> DataFrame:
-    """``df`` with ``before``, the rows of its key in earlier ranges, ``whole``, those of its key, and ``part``."""
+def _dealt(df: DataFrame, keys: list[str], order: list, scratch: Scratch, weight: Column | None = None) -> DataFrame:
+    """``df`` with ``before``, the rows of its key in earlier ranges, ``whole``, those of its key, and ``part``.
+
+    With ``weight`` a row counts as so many.
+    """
     rows = scratch.keep(df.repartitionByRange(*keys, *order).withColumn("part", F.spark_partition_id()), "ranges")
-    totals = rows.groupBy(*keys, "part").agg(F.count("*").alias("here"))
+    totals = rows.groupBy(*keys, "part").agg((F.count("*") if weight is None else F.sum(weight)).alias("here"))
     one = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     earlier = F.sum("here").over(one.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     totals = totals.select(*keys, "part", F.coalesce(earlier, F.lit(0)).alias("before"), F.sum("here").over(one).alias("whole"))
@@ -32,22 +38,27 @@ def quantile_bounds(df: DataFrame, value: str, shares: list[float], by: str | No
     Nulls don't count. Without ``by`` there is one row, of nulls if there are no
     values. Exact: a sketch gives a narrow interval that must hold each quantile,
     and one more pass counts the rows between intervals and, by value, those
-    inside, so only some ``6 / accuracy`` of the values are ordered for each share.
+    inside, so only some ``6 / accuracy`` of the values are ordered for each share,
+    in ranges of which a task orders one.
     """
     keys = [by] if by else []
     some = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("value"))
     low, high = [max(0.0, s - 3 / accuracy) for s in shares], [min(1.0, s + 3 / accuracy) for s in shares]
     sketch = some.groupBy(*keys).agg(F.percentile_approx("value", [*low, *high], accuracy).alias("cuts"), F.count("*").alias("whole"))
-    sketch = Scratch(df.sparkSession, "quantiles").keep(sketch, "sketch")
-    told = sketch.select(*(F.col(k).alias(f"_{k}") for k in keys), "cuts")
+    scratch = Scratch(df.sparkSession, "quantiles")
+    sketch = scratch.keep(sketch, "sketch")
+    names = [f"_cut{j}" for j in range(2 * len(shares))]
+    told = sketch.select(*(F.col(k).alias(f"_{k}") for k in keys), *(F.get("cuts", F.lit(j)).alias(name) for j, name in enumerate(names)))
     joined = some.join(sent_if_small(told), some[by].eqNullSafe(told[f"_{by}"])) if by else some.join(F.broadcast(told))
-    inside = F.exists(F.sequence(F.lit(0), F.lit(len(shares) - 1)), lambda i: F.col("value").between(F.get("cuts", i), F.get("cuts", i + len(shares))))
+    value = F.col("value")
+    inside = reduce(or_, (value.between(F.col(low), F.col(high)) for low, high in zip(names, names[len(shares) :])))
     # rows outside of the intervals are one count between two cuts, ahead of the values at the cut behind
-    place = F.size(F.filter("cuts", lambda c: c < F.col("value")))
-    counts = joined.select(*keys, place.alias("place"), F.when(inside, F.col("value")).alias("value")).groupBy(*keys, "place", "value").agg(F.count("*").alias("n"))
-    one = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    end = F.sum("n").over(one.orderBy("place", F.asc_nulls_first("value")).rowsBetween(Window.unboundedPreceding, 0))
-    rows = counts.select(*keys, "value", end.alias("end"), (end - F.col("n")).alias("begin"), F.sum("n").over(one).alias("whole"))
+    place = reduce(add, ((F.col(name) < value).cast("int") for name in names))
+    counts = joined.select(*keys, place.alias("place"), F.when(inside, value).alias("value")).groupBy(*keys, "place", "value").agg(F.count("*").alias("n"))
+    # the intervals' values are dealt to ranges too, whose counts say how many rows lie before one
+    rows = _dealt(counts, keys, ["place", F.asc_nulls_first("value")], scratch, F.col("n"))
+    end = F.col("before") + F.sum("n").over(Window.partitionBy(*keys, "part").orderBy("place", F.asc_nulls_first("value")).rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.select(*keys, "value", end.alias("end"), (end - F.col("n")).alias("begin"), "whole")
 
     def at(rank):
         return F.max(F.when((F.col("begin") <= rank) & (rank < F.col("end")), F.col("value")))
