@@ -10,7 +10,9 @@ import unicodedata
 from pyspark.sql import Column, DataFrame, functions as F
 
 from heddle.functions import vocab
+from heddle.functions.composition import bound, nfc
 
+# Patterns of personal data. The patterns of prices, areas and place names in the functions below are fixed too.
 EMAIL = r"[\w.+-]+@[\w-]+\.[\w.]+"
 SOCIAL = r"(?:zalo|facebook|fb|viber)[\s:]*[\w./]+"
 PHONE = r"(?:\+?84|0)[\s.\-]?\d{2,3}[\s.\-]?\d{3}[\s.\-]?\d{3,4}"
@@ -30,11 +32,8 @@ def strip_pii(text: Column, unicode: bool = False) -> Column:
 
 
 def normalise_text(text: Column) -> Column:
-    """Lower case, blanks collapsed and trimmed; null is empty.
-
-    Composed (NFC) text is expected, as the page parser yields it.
-    """
-    return F.lower(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\s+", " ")))
+    """Composed (NFC), lower case, blanks collapsed and trimmed; null is empty."""
+    return F.lower(F.trim(F.regexp_replace(nfc(F.coalesce(text, F.lit(""))), r"(?U)\s+", " ")))
 
 
 def _folding() -> tuple[str, str]:
@@ -54,7 +53,10 @@ def strip_diacritics(text: Column) -> Column:
 
 def parse_price(text: Column) -> Column:
     """A rent in VND as a long: millions, then thousands, then seven digits or more; null if none or by agreement."""
-    t = normalise_text(text)
+    return bound(normalise_text(text), _price)
+
+
+def _price(t: Column) -> Column:
     million = r"(\d+(?:[.,]\d+)?)\s*tr(?:iệu)?\s*(\d+)?"
     whole, rest = F.regexp_extract(t, million, 1), F.regexp_extract(t, million, 2)
     as_decimal = F.replace(whole, F.lit(","), F.lit(".")).try_cast("decimal(20,6)")
@@ -129,8 +131,9 @@ def expand_abbreviations(text: Column) -> Column:
 
 
 def amenity_flags(text: Column) -> list[Column]:
-    """A column of 0 or 1 for each amenity."""
-    return [F.coalesce(text.rlike(f"(?iu){words}"), F.lit(False)).cast("int").alias(f"has_{name}") for name, words in vocab.AMENITIES.items()]
+    """A column of 0 or 1 for each amenity, its words composed or not."""
+    either = {name: f"(?iu){words}|{unicodedata.normalize('NFD', words)}" for name, words in vocab.AMENITIES.items()}
+    return [F.coalesce(text.rlike(pattern), F.lit(False)).cast("int").alias(f"has_{name}") for name, pattern in either.items()]
 
 
 def char_shingles(text: Column, n: int = 3) -> Column:

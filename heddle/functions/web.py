@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from heddle.functions import vocab
+from heddle.functions.composition import bound, nfc
 
 
 def first_match(text: Column, pattern: str, group: int = 1) -> Column:
@@ -58,7 +59,7 @@ def classify_probe(status: Column, html: Column, server_errors: str = "absent")
     ``server_errors="inconclusive"`` a status of 500 or more is null instead.
     """
     phrase = "(?iu)" + "|".join(vocab.REMOVAL_PHRASES)
-    gone = F.coalesce(html, F.lit("")).rlike(phrase)
+    gone = nfc(F.coalesce(html, F.lit(""))).rlike(phrase)
     bad = ~status.eqNullSafe(F.lit(200))
     reason = F.when(bad, F.concat(F.lit("http_status:"), F.coalesce(status.cast("string"), F.lit("none")))).when(gone, F.lit("soft_delete"))
     present = ~bad & ~gone

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from heddle.functions import text as ft, vocab, web
+from heddle.functions.composition import decomposed, nfc
 from heddle.operators import dedupe, gates
 from heddle.sources import table
 from heddle.sources.bronze import bronze_records as to_bronze
@@ -62,6 +63,13 @@ def pii_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(ft.strip_pii(F.col("text"))).alias("clean_md5"))
 
 
+def composed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts composed again after their letters were parted from their marks, and how many marks there were."""
+    apart = decomposed(F.col("text"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", apart.alias("apart"), F.length("text").alias("chars"))
+    return rows.select("doc_id", F.md5(nfc(F.col("apart"))).alias("nfc_md5"), (F.length("apart") - F.col("chars")).alias("marks"))
+
+
 def pii_gate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gates.pii_leaks(table(spark, sf_dir, "documents").select("text", "lang", "source"))
 
@@ -233,7 +241,7 @@ def neardup_pairs_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "price_cases": price_cases, "area_cases": area_cases, "province_cases": province_cases, "district_cases": district_cases, "furnishing_cases": furnishing_cases,
-    "property_type_cases": property_type_cases, "unmapped_words": unmapped_words, "pii_strip": pii_strip, "pii_gate_report": pii_gate_report, "pii_email_audit": pii_email_audit,
+    "property_type_cases": property_type_cases, "unmapped_words": unmapped_words, "pii_strip": pii_strip, "composed_documents": composed_documents, "pii_gate_report": pii_gate_report, "pii_email_audit": pii_email_audit,
     "quality_gate_metrics": quality_gate_metrics, "duplicate_keys": duplicate_keys, "parse_rate": parse_rate, "missing_shares": missing_shares, "page_fields": page_fields,
     "page_links": page_links, "url_parts": url_parts, "sitemap_urls": sitemap_urls, "event_props": event_props, "bronze_records": bronze_records, "probe_classify": probe_classify,
     "silver_status": silver_status, "block_keys": block_keys, "shingle_stats": shingle_stats, "neardup_pairs": neardup_pairs, "dedupe_clusters": dedupe_clusters,
@@ -293,6 +301,8 @@ ORACLE_SQL = {
     "property_type_cases": _vocabulary_sql(vocab.PROPERTY_TYPE, "property_type", "other"),
     "unmapped_words": f"SELECT source, raw, count(*) AS rows FROM ({_FURNISHED}) WHERE raw IS NOT NULL AND trim(raw) <> '' AND furnishing = 'unknown' AND lower(trim(raw)) <> 'unknown' GROUP BY ALL",
     "pii_strip": f"SELECT doc_id, md5({_CLEAN}) AS clean_md5 FROM documents",
+    # a letter of one mark becomes one letter without marks, and none of the texts' letters has two
+    "composed_documents": "SELECT doc_id, md5(nfc_normalize(text)) AS nfc_md5, CAST(len(list_filter(string_split(nfc_normalize(text), ''), lambda c: strip_accents(c) <> c)) AS INTEGER) AS marks FROM documents",
     "pii_gate_report": f"""SELECT count(*) FILTER (WHERE regexp_matches(coalesce(text, ''), '{_PHONE}') OR regexp_matches(coalesce(lang, ''), '{_PHONE}')) AS leaking_rows,
         count(*) FILTER (WHERE regexp_matches(text, '{_PHONE}')) AS leaks_text, count(*) FILTER (WHERE regexp_matches(lang, '{_PHONE}')) AS leaks_lang FROM documents""",
     "pii_email_audit": f"""SELECT source, count(*) AS rows, count(*) FILTER (WHERE regexp_matches(text, '{_EMAIL}')) AS emails, count(*) FILTER (WHERE regexp_matches(text, '{_PHONE}')) AS phones,
