@@ -1,5 +1,6 @@
 """Expressions over URLs, raw pages and sitemaps."""
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -34,6 +35,31 @@ def visible_text(html: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(bare, r"(?s)<[^>]*>", " "), r"\s+", " "))
 
 
+def script_json(html: Column, name: str, value: str) -> Column:
+    """Variants, in order, of the scripts whose attribute ``name`` is ``value``; null where one holds no JSON.
+
+    Keys that repeat in an object are no JSON.
+    """
+    tag = rf"""(?is)<script\b(?=[^>]*\s{name}\s*=\s*(?:"{value}"|'{value}'|{value}[\s>]))[^>]*>(.*?)</script\s*>"""
+    return F.transform(F.regexp_extract_all(html, F.lit(tag), F.lit(1)), lambda s: F.try_parse_json(F.trim(nfc(s))))
+
+
+def linked_data(html: Column, *types: str) -> Column:
+    """The first JSON-LD object of one of the types, as a variant; null without one."""
+    return F.get(F.filter(script_json(html, "type", re.escape("application/ld+json")), lambda v: json_text(v, "@type").isin(*types)), F.lit(0))
+
+
+def json_text(data: Column, *keys: str) -> Column:
+    """A value deep in a variant as text, null as soon as a step isn't there or the text is empty.
+
+    A list or an object is its JSON, with single quotes as everywhere in silver.
+    """
+    path = "$" + "".join(f'["{key}"]' for key in keys)
+    text = F.try_variant_get(data, path, "string")
+    nested = text.rlike(r"^[\[{]") & F.schema_of_variant(F.try_variant_get(data, path, "variant")).rlike("^(?:ARRAY|OBJECT)")
+    return F.nullif(F.when(nested, F.translate(text, '"', "'")).otherwise(text), F.lit(""))
+
+
 def last_segment(url: Column) -> Column:
     """What follows the last slash, slashes at the end ignored."""
     return F.element_at(F.split(F.regexp_replace(url, "/+$", ""), "/"), -1)

@@ -1,7 +1,8 @@
 """Listing pages to fields: a small document tree, and a rule table for each source.
 
-Trees need more than column expressions, so pages are parsed in Arrow batches by
-the standard library's parser. What a source's pages hold is stated as data: for
+Pages that are JSON are read by variant paths. Trees need more than column
+expressions, so other pages are parsed in Arrow batches by the standard library's
+parser. What a source's pages hold is stated as data: for
 each field the places to look, in order; the first that yields a value wins.
 Prices, areas, places and vocabularies stay column expressions over the raw
 strings, so that they are the same functions everywhere.
@@ -17,9 +18,11 @@ from collections.abc import Callable, Iterator
 from urllib.parse import parse_qs, urlparse
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from heddle.functions.composition import bound
 from heddle.functions.text import iso_date, normalise_district, normalise_furnishing, normalise_property_type, normalise_province, parse_area, parse_price, strip_pii
+from heddle.functions.web import json_text, linked_data, script_json
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Elements before which an open paragraph ends.
@@ -114,8 +117,7 @@ class Page:
     """A parsed page; every accessor gives None where there is nothing."""
 
     def __init__(self, text: str, url: str):
-        if not text or not text.strip():
-            raise ParserError("empty document")
+        _no_tree(text)
         builder = _Builder()
         builder.feed(text)
         builder.close()
@@ -193,7 +195,7 @@ FIELDS = (
 
 Rule = Callable[[Page, dict], object]
 
-# Fixed values in the four functions below: the sites' own selectors, labels and JSON keys.
+# Fixed values in the three functions below: the sites' own selectors, labels and JSON keys.
 
 
 def _batdongsan(page: Page) -> dict:
@@ -270,43 +272,60 @@ def _mogi(page: Page) -> dict:
     }
 
 
-def _nhatot(page: Page) -> dict:
-    script = page.root.all("script#__NEXT_DATA__")
-    try:
-        info = dig(json.loads(script[0].text()), "props", "pageProps", "initialState", "adView", "adInfo") if script else None
-    except ValueError:
-        info = None
-    ad = lambda key: dig(info, "ad", key)
-    more = lambda key: dig(info, "ad_params", key, "value")
-    return {
-        "native_id": [ad("list_id")],
-        "title": [ad("subject")],
-        "price_number": [ad("price")],
-        "area_number": [ad("size")],
-        "province": [ad("region_name")],
-        "district": [ad("area_name")],
-        "ward": [ad("ward_name")],
-        "address": [more("address")],
-        "latitude": [ad("latitude")],
-        "longitude": [ad("longitude")],
-        "property_type": [more("apartment_type"), ad("category_name")],
-        "description": [ad("body"), ""],
-        "bedrooms": [ad("rooms")],
-        "bathrooms": [ad("toilets")],
-        "furnishing": [more("furnishing_sell")],
-    }
+# The sites' JSON keys.
+_AD = ("props", "pageProps", "initialState", "adView", "adInfo", "ad")
+_PARAMS = (*_AD[:-1], "ad_params")
+APP_PATHS = {
+    "native_id": [(*_AD, "list_id")], "title": [(*_AD, "subject")], "price_number": [(*_AD, "price")], "area_number": [(*_AD, "size")], "province": [(*_AD, "region_name")],
+    "district": [(*_AD, "area_name")], "ward": [(*_AD, "ward_name")], "address": [(*_PARAMS, "address", "value")], "latitude": [(*_AD, "latitude")], "longitude": [(*_AD, "longitude")],
+    "property_type": [(*_PARAMS, "apartment_type", "value"), (*_AD, "category_name")], "description": [(*_AD, "body")], "bedrooms": [(*_AD, "rooms")], "bathrooms": [(*_AD, "toilets")],
+    "furnishing": [(*_PARAMS, "furnishing_sell", "value")],
+}
+#: JSON-LD types of a page's object, and where its fields are.
+LINKED_TYPES = ("VacationRental", "Apartment", "SingleFamilyResidence", "House", "Residence")
+LINKED_PATHS = {
+    "native_id": [("identifier",)], "title": [("name",)], "price_text": [("priceRange",)], "area_number": [("ContainsPlace", "FloorSize", "Value"), ("floorSize", "value")],
+    "province": [("address", "addressLocality")], "district": [("ContainsPlace", "Address", "@addressRegion")],
+    "address": [("ContainsPlace", "Address", "@streetAddress"), ("address", "streetAddress")], "latitude": [("Latitude",)], "longitude": [("Longitude",)],
+    "property_type": [("additionalType",), ("@type",)], "description": [("description",)], "bedrooms": [("ContainsPlace", "numberOfBedrooms")], "bathrooms": [("ContainsPlace", "numberOfBathroomsTotal")],
+}
+
+
+def json_fields(data: Column, paths: dict[str, list[tuple]]) -> Column:
+    """A struct of raw fields from a variant: each the first of its paths that has a text."""
+    none = F.lit(None).cast("string")
+    pick = lambda v, name: F.coalesce(*(json_text(v, *path) for path in paths.get(name, ())), none).alias(name)
+    return bound(data, lambda v: F.struct(*(pick(v, name) for name in FIELDS)))
+
 
+def app_fields(html: Column) -> Column:
+    """Raw fields of a page that is one application's state as JSON: variants and paths, no document tree."""
+    return json_fields(F.get(script_json(html, "id", "__NEXT_DATA__"), F.lit(0)), APP_PATHS)
 
-SOURCES = {"batdongsan": _batdongsan, "phongtro123": _phongtro123, "mogi": _mogi, "nhatot": _nhatot}
+
+def linked_fields(html: Column) -> Column:
+    """Raw fields that a page states as JSON-LD, without a document tree."""
+    return json_fields(linked_data(html, *LINKED_TYPES), LINKED_PATHS)
+
+
+#: Sources whose pages are trees, and those whose pages are JSON.
+SOURCES = {"batdongsan": _batdongsan, "phongtro123": _phongtro123, "mogi": _mogi}
+APPS = ("nhatot",)
 
 
 def page_fields(source: str, text: str, url: str) -> dict[str, str | None]:
-    """The raw fields of a page, each the first value that isn't empty."""
-    found = SOURCES[source](Page(text, url))
+    """The raw fields of a page's tree, each the first value that isn't empty; a page that is JSON has none."""
+    page = Page(text, url) if source in SOURCES else _no_tree(text)
+    found = SOURCES[source](page) if page else {}
     pick = lambda values: next((str(v) for v in values if v is not None and v != ""), None)
     return {name: pick(found.get(name, ())) for name in FIELDS}
 
 
+def _no_tree(text: str) -> None:
+    if not text or not text.strip():
+        raise ParserError("empty document")
+
+
 class Unreadable(Exception):
     """A payload that is no page; its text says at which step it failed and how."""
 
@@ -328,7 +347,8 @@ def parse_bronze(bronze: DataFrame, day: str) -> DataFrame:
 
     ``parse_error`` is ``http_status: N``, ``unknown source: S``, ``decompress:
     E``, ``decode: E`` or the parser's own exception, E or its class in front; pages
-    without a single field parse.
+    without a single field parse. Trees are built in Python; what a page holds as JSON
+    alone is read by variant paths.
     """
     names = ["listing_id", "source", "url", "crawl_ts", "content_hash", "http_status"]
 
@@ -336,24 +356,29 @@ def parse_bronze(bronze: DataFrame, day: str) -> DataFrame:
         for batch in batches:
             out = []
             for source, url, status, packed in zip(batch["source"], batch["url"], batch["http_status"], batch["html_gz_b64"]):
-                fields, error = {}, None
+                fields, error, html = {}, None, None
                 if status != 200:
                     error = f"http_status: {'None' if pd.isna(status) else int(status)}"
-                elif source not in SOURCES:
+                elif source not in SOURCES and source not in APPS:
                     error = f"unknown source: {source}"
                 else:
                     try:
-                        fields = page_fields(source, unpack_page(packed), url)
+                        text = unpack_page(packed)
+                        fields = page_fields(source, text, url)
+                        html = text if source in APPS else None
                     except Unreadable as problem:
                         error = str(problem)
                     except Exception as problem:  # a page that breaks its parser is a row, not a failed job
                         error = f"{type(problem).__name__}: {problem}"
-                out.append([*(fields.get(name) for name in FIELDS), error])
-            made = pd.DataFrame(out, columns=[*FIELDS, "parse_error"], index=batch.index, dtype=object)
+                out.append([*(fields.get(name) for name in FIELDS), error, html])
+            made = pd.DataFrame(out, columns=[*FIELDS, "parse_error", "html"], index=batch.index, dtype=object)
             yield pd.concat([batch[names], made], axis=1)
 
     kinds = "listing_id string, source string, url string, crawl_ts string, content_hash string, http_status int"
-    raw = bronze.select(*names, "html_gz_b64").mapInPandas(rows, f"{kinds}, {', '.join(f'{n} string' for n in FIELDS)}, parse_error string")
+    raw = bronze.select(*names, "html_gz_b64").mapInPandas(rows, f"{kinds}, {', '.join(f'{n} string' for n in FIELDS)}, parse_error string, html string")
+    # pages that are JSON are only unpacked there; their fields are expressions
+    raw = raw.withColumn("app", F.when(F.col("html").isNotNull(), app_fields(F.col("html"))))
+    raw = raw.select(*names, "parse_error", *(F.coalesce(name, f"app.{name}").alias(name) for name in FIELDS))
     ok = F.col("parse_error").isNull()
     return raw.select(
         "listing_id", "source", "url", "crawl_ts",

@@ -2,7 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heddle.operators.pages import parse_bronze
+from heddle.functions.text import normalise_district, normalise_province, parse_price, strip_pii
+from heddle.operators.pages import app_fields, linked_fields, parse_bronze
 from heddle.sources import table
 from heddle.sources.bronze import bronze_records
 
@@ -63,7 +64,20 @@ def parsed_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_bronze(bronze, DAY).withColumn("amenities", F.size("amenities"))
 
 
-QUERIES = {"parsed_listings": parsed_listings}
+def listing_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a page for each row of ``part`` holds as JSON, of an application or as JSON-LD, by variant paths alone."""
+    html = F.col("html")
+    pages = listing_pages(spark, sf_dir).where(F.col("source").isin("batdongsan", "phongtro123", "nhatot"))
+    told = pages.select("url", "source", F.when(F.col("source") == "nhatot", app_fields(html)).otherwise(linked_fields(html)).alias("f")).select("url", "source", "f.*")
+    return told.select(
+        "url", "source", "native_id", strip_pii(F.col("title")).alias("title"), F.coalesce(parse_price(F.col("price_text")), F.col("price_number").try_cast("double").cast("long")).alias("rent"),
+        F.col("area_number").try_cast("double").alias("area"), normalise_province(F.col("province")).alias("province"), normalise_district(F.col("district")).alias("district"), "ward", "address",
+        F.col("latitude").try_cast("double").alias("latitude"), F.col("longitude").try_cast("double").alias("longitude"), F.md5(strip_pii(F.col("description"))).alias("story_md5"),
+        F.col("bedrooms").try_cast("int").alias("bedrooms"), F.col("bathrooms").try_cast("int").alias("bathrooms"),
+    )
+
+
+QUERIES = {"parsed_listings": parsed_listings, "listing_json": listing_json}
 
 ORACLE_SQL = {
     "parsed_listings": f"""WITH p AS ({_FROM}), e AS (SELECT *, {_HTML} AS html,
@@ -84,4 +98,13 @@ ORACLE_SQL = {
             CASE WHEN parse_ok AND NOT (source = 'phongtro123' AND m = 2) THEN ['full', 'basic', 'none'][m + 1] ELSE 'unknown' END AS furnishing, 0 AS amenities,
             CASE WHEN parse_ok THEN {_STORED} || CASE WHEN source = 'phongtro123' THEN chr(10) || 'Có ' || (1 + k % 3) || ' wc' ELSE '' END END AS description_clean,
             CAST(NULL AS DATE) AS posted_date, CAST(NULL AS INTEGER) AS image_count, 'sha256:' || sha256(html) AS content_hash, status = 200 AS is_active, parse_ok, parse_error, '{DAY}' AS dt FROM f""",
+    "listing_json": f"""WITH p AS ({_FROM}), j AS (SELECT *, k % 25 <> 7 AS sound, source = 'batdongsan' AS a, source = 'phongtro123' AS b, source = 'nhatot' AS d FROM p WHERE source IN ('batdongsan', 'phongtro123', 'nhatot'))
+        SELECT url, source, CASE WHEN sound AND NOT b THEN CAST(k AS VARCHAR) END AS native_id, CASE WHEN sound AND a THEN 'Căn hộ ' || p_name WHEN sound AND d THEN 'Nhà ' || p_name ELSE '' END AS title,
+            CASE WHEN sound AND a THEN CAST(p_size AS BIGINT) * 1000000 WHEN sound AND d THEN CAST(p_size AS BIGINT) * 100000 END AS rent, CASE WHEN sound THEN CAST(10 + k % 90 AS DOUBLE) END AS area,
+            CASE WHEN sound AND NOT a THEN ['HCM', 'HN', 'BD'][m + 1] END AS province,
+            CASE WHEN sound AND NOT b THEN CASE m WHEN 0 THEN 'binh thanh' WHEN 1 THEN 'nha be' ELSE CAST(1 + k % 12 AS VARCHAR) END END AS district, CASE WHEN sound AND d THEN 'P. ' || (1 + k % 12) END AS ward,
+            CASE WHEN sound THEN k || CASE WHEN a THEN ' Lê Lợi' WHEN b THEN ' Phố Huế' ELSE ' Tràng Tiền' END END AS address,
+            CASE WHEN sound AND a THEN CAST('10.' || (10 + k % 90) AS DOUBLE) WHEN sound AND d THEN CAST('21.' || (10 + k % 90) AS DOUBLE) END AS latitude,
+            CASE WHEN sound AND a THEN CAST('106.' || (10 + k % 90) AS DOUBLE) WHEN sound AND d THEN CAST('105.' || (10 + k % 90) AS DOUBLE) END AS longitude,
+            md5(CASE WHEN sound AND NOT b THEN {_STORED} ELSE '' END) AS story_md5, CASE WHEN sound AND NOT b THEN CAST(k % 5 AS INTEGER) END AS bedrooms, CASE WHEN sound AND NOT b THEN CAST(1 + k % 3 AS INTEGER) END AS bathrooms FROM j""",
 }

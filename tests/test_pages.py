@@ -104,3 +104,22 @@ def test_rerun_replaces_its_partitions_only(spark, tmp_path):
         bronze.write_partitioned(spark.createDataFrame([(day, value)], "dt string, v string"), out, "dt")
     assert sorted((str(r["dt"]), r["v"]) for r in spark.read.parquet(out).collect()) == [("1", "old"), ("2", "new")]
     assert bronze.layer_path("/data/", "/silver/", "listings/") == "/data/silver/listings"
+
+
+def test_json_pages_without_python(spark):
+    """Variants give what a tree and a JSON parser gave, in a plan without Python; what isn't JSON, or no page, gives nulls."""
+    from heddle.operators.pages import app_fields, linked_fields
+
+    odd = ["", "<p>x", '<script id="__NEXT_DATA__">{broken</script>', '<script id="__NEXT_DATA__">[1]</script>', '<script type="application/ld+json">[{"@type": "House"}]</script>', None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate([PORTAL_D, PORTAL_A, PORTAL_B, PORTAL_D.replace('<script id="', "<SCRIPT type='x' ID = '").replace('__">', "__' >"), *odd])], "i int, html string")
+    told = rows.select("i", app_fields(F.col("html")).alias("app"), linked_fields(F.col("html")).alias("ld"))
+    found = {r["i"]: r for r in told.collect()}
+    keep = lambda r, *names: tuple(r[n] for n in names)
+    assert keep(found[0]["app"], "native_id", "title", "price_number", "area_number", "province", "district", "ward", "bedrooms", "property_type") == ("134122706", "Căn hộ", "7000000", "50", "Hà Nội", "Quận 7", "P. 1", "2", AD["ad"]["category_name"])
+    assert found[3]["app"] == found[0]["app"] and float(found[0]["app"]["latitude"]) == 21
+    assert keep(found[1]["ld"], "native_id", "title", "price_text", "area_number", "district", "latitude", "bedrooms") == ("46260999", "Căn hộ đẹp", "9.5 triệu/tháng", "45", "Quận Bình Thạnh", "10.8", "2")
+    assert keep(found[2]["ld"], "property_type", "area_number", "province") == ("House", "20", "Hồ Chí Minh")
+    for i in range(4, 4 + len(odd)):
+        assert not any(found[i]["app"]) and not any(found[i]["ld"])
+    plan = told._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
