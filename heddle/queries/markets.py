@@ -2,8 +2,10 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heddle.operators import evaluation, frontier, geo, models
+from heddle.operators import distributions, evaluation, frontier, geo, models
 from heddle.plans import ranks
+from heddle.plans.durable import Scratch
+from heddle.plans.joins import sent_if_small
 from heddle.queries.panels import survival_labels
 from heddle.sources import table
 
@@ -139,6 +141,40 @@ def error_deciles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.errors(ranked, "l_extendedprice", "predicted", "quantile").select("quantile", "rows", "mape")
 
 
+SHARES = [0.1, 0.5, 0.9]
+
+
+def price_distributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines' prices and suppliers by flag, from sketches stored by month and flag and merged; and whether these hold.
+
+    Each answer is held against all rows: a quantile's rank, the number of distinct
+    suppliers and the count of the most frequent one lie within the sketches' errors.
+    """
+    lines = table(spark, sf_dir, "lineitem").select(F.date_format("l_shipdate", "yyyy-MM").alias("dt"), F.col("l_returnflag").alias("source"), F.col("l_extendedprice").alias("price"), F.col("l_suppkey").cast("string").alias("supplier"))
+    stored = Scratch(spark, "profiles").keep(distributions.profile(lines, ["dt", "source"], ["price"], ["supplier"]), "profiles")
+    whole = distributions.merged(stored, "source")
+    told = whole.select(
+        "source", "rows", "nulls_price", "least_price", "most_price", distributions.quantiles(F.col("kll_price"), SHARES).alias("q"), distributions.distinct(F.col("hll_supplier")).alias("suppliers"),
+        F.get(distributions.frequent(F.col("top_supplier"), 1), F.lit(0)).alias("top"),
+    )
+    price = F.col("price")
+    ranks_of = [f(price, F.get("q", F.lit(i))) for i in range(len(SHARES)) for f in (lambda p, q: p < q, lambda p, q: p <= q)]
+    exact = lines.join(sent_if_small(told), "source").groupBy("source").agg(F.array(*(F.count_if(r) for r in ranks_of)).alias("ranks"))
+    # suppliers are counted before they are ranked, so no group gathers its rows
+    counts = lines.where("supplier is not null").groupBy("source", "supplier").agg(F.count("*").alias("n"))
+    counts = counts.groupBy("source").agg(F.count("*").alias("distinct"), F.max("n").alias("most"))
+    error, apart = distributions.rank_error(), distributions.distinct_error()
+    n = F.col("rows") - F.col("nulls_price")
+    holds = [(F.get("ranks", F.lit(2 * i)) <= (s + error) * n) & (F.get("ranks", F.lit(2 * i + 1)) >= (s - error) * n) for i, s in enumerate(SHARES)]
+    joined = told.join(exact, "source").join(counts, "source")
+    return joined.select(
+        "source", "rows", "nulls_price", "least_price", "most_price", (holds[0] & holds[1] & holds[2]).alias("quantiles_hold"),
+        (F.abs(F.col("suppliers") - F.col("distinct")) <= F.greatest(F.lit(1.0), apart * F.col("distinct"))).alias("distinct_holds"),
+        # a frequent value's count is off by at most 3.5 parts in as many as are tracked
+        (F.abs(F.col("top.count") - F.col("most")) <= 3.5 / distributions.TRACKED * F.col("rows")).alias("top_holds"),
+    )
+
+
 def pick_optimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each part size the best of its parts' prices, dearer ones letting later."""
     curve = table(spark, sf_dir, "part").groupBy("p_size", F.round("p_retailprice", 0).cast("long").alias("rent")).agg(F.round(F.max("p_retailprice") / 30, 0).cast("int").alias("expected_days"))
@@ -221,6 +257,7 @@ def isotonic_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "price_distributions": price_distributions,
     "frontier_new_urls": frontier_new_urls, "frontier_after_fetches": frontier_after_fetches, "frontier_batch": frontier_batch, "panel_due": panel_due, "freeze_cohort": freeze_cohort,
     "freeze_cohort_by_source": freeze_cohort_by_source, "temporal_split": temporal_split, "cluster_leak_guard": cluster_leak_guard, "median_baseline": median_baseline,
     "mape_by_group": mape_by_group, "price_gap": price_gap, "bargain_top100": bargain_top100, "error_deciles": error_deciles,
@@ -238,6 +275,8 @@ _PLACE = "10.7 + ({k} * 7919 % 1000) / 5000 AS lat, 106.6 + ({k} * 104729 % 1000
 _MAPE = "round(avg(abs(l_extendedprice - predicted) / l_extendedprice), 6) AS mape"
 
 ORACLE_SQL = {
+    "price_distributions": """SELECT l_returnflag AS source, count(*) AS rows, count(*) FILTER (WHERE l_extendedprice IS NULL) AS nulls_price, min(CAST(l_extendedprice AS DOUBLE)) AS least_price,
+        max(CAST(l_extendedprice AS DOUBLE)) AS most_price, true AS quantiles_hold, true AS distinct_holds, true AS top_holds FROM lineitem GROUP BY 1""",
     "frontier_new_urls": f"WITH {_FRONTIER} SELECT url, source, first_seen - INTERVAL 1 DAY AS first_seen FROM f WHERE NOT in_panel",
     "frontier_after_fetches": f"""WITH {_FRONTIER}, t AS (SELECT p, url, k, (p + k) % 3 = 0 AS ok FROM f, (VALUES (0), (1)) AS v(k) WHERE p % 5 <> 0),
         g AS (SELECT p, max(k) FILTER (WHERE ok) AS okk, count(*) FILTER (WHERE ok) AS oks, min(k) FILTER (WHERE ok) AS firstok FROM t GROUP BY 1)

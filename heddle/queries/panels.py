@@ -1,9 +1,13 @@
 """Panel and survival queries over ``events``: a user is present on days with an event."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from heddle.operators import evaluation, frontier, panel
+from heddle.plans.durable import Scratch
 from heddle.sources import table
+from heddle.sources.bucketed import buckets_for, save_bucketed
 
 
 def user_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +36,15 @@ def survival_by_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panel.survival_labels(panel.cluster_panel(base, members, "user_id"), last_day(spark, sf_dir), "canonical_id")
 
 
+def survival_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same labels from the panel as a bucketed table: its rows are shuffled once, when they are written."""
+    scratch = Scratch(spark, "panel")
+    rows = user_panel(spark, sf_dir)
+    name = f"panel_{uuid.uuid4().hex}"
+    kept = save_bucketed(rows, name, "user_id", ["obs_date"], buckets_for(rows.count()), f"{scratch.root}/{name}")
+    return panel.survival_labels(kept, last_day(spark, sf_dir), "user_id")
+
+
 def panel_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The panel with the day's number of events as price."""
     counts = table(spark, sf_dir, "events").groupBy("user_id", F.to_date("ts").alias("obs_date")).agg(F.count("*").alias("price"))
@@ -64,7 +77,7 @@ def frontier_two_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "panel_presence": user_panel, "panel_enriched": panel_enriched, "survival_labels": survival_labels, "survival_event_rate": survival_event_rate,
+    "panel_presence": user_panel, "panel_enriched": panel_enriched, "survival_labels": survival_labels, "survival_bucketed": survival_bucketed, "survival_event_rate": survival_event_rate,
     "survival_calendar_safe": survival_calendar_safe, "survival_by_cluster": survival_by_cluster, "transient_absences": transient_absences, "kaplan_meier": kaplan_meier,
     "concordance_index": concordance_index, "frontier_two_failures": frontier_two_failures,
 }
@@ -95,6 +108,7 @@ ORACLE_SQL = {
             max(obs_date) FILTER (WHERE is_present) OVER (PARTITION BY user_id) AS last_seen,
             coalesce(price <> lag(price) OVER (PARTITION BY user_id ORDER BY obs_date), false) AS price_changed FROM p""",
     "survival_labels": f"{_USERS} SELECT * FROM labels",
+    "survival_bucketed": f"{_USERS} SELECT * FROM labels",
     "survival_event_rate": f"""{_USERS} SELECT c_mktsegment AS segment, count(*) AS entities, count(*) FILTER (WHERE event_observed) AS events,
         round(avg(CAST(event_observed AS INT)), 6) AS event_rate FROM labels JOIN customer ON c_custkey = user_id GROUP BY 1""",
     "survival_calendar_safe": f"""WITH {_PANEL}, m AS (SELECT *, max(obs_date) FILTER (WHERE is_present) OVER (PARTITION BY user_id) AS lst,
