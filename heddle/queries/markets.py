@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heddle.operators import distributions, evaluation, frontier, geo, models
+from heddle.operators import distributions, evaluation, frontier, geo, hexagons, models
 from heddle.plans import ranks
 from heddle.plans.durable import Scratch
 from heddle.plans.joins import sent_if_small
@@ -188,6 +188,17 @@ def _placed(df: DataFrame, key: str) -> DataFrame:
     return df.select(key, (10.7 + (k * 7919 % 1000) / 5000).alias("latitude"), (106.6 + (k * 104_729 % 1000) / 5000).alias("longitude"))
 
 
+def hex_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's hexagon, its parent, and the customers in it and in the six around it."""
+    placed = _placed(table(spark, sf_dir, "customer"), "c_custkey")
+    cells = placed.select("c_custkey", hexagons.hexagon(F.col("latitude"), F.col("longitude")).alias("cell"))
+    held = cells.groupBy("cell").agg(F.count("*").alias("n"))
+    # counted cells meet, not customers: seven rows for each
+    around = held.select(F.explode(hexagons.disk(F.col("cell"))).alias("cell"), "n").groupBy("cell").agg(F.sum("n").alias("around"))
+    joined = cells.join(sent_if_small(held.join(around, "cell")), "cell")
+    return joined.select("c_custkey", "cell", hexagons.parent(F.col("cell")).alias("parent"), F.col("n").alias("here"), "around")
+
+
 def poi_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers within a kilometre of each customer."""
     found = geo.points_within(_placed(table(spark, sf_dir, "customer"), "c_custkey"), _placed(table(spark, sf_dir, "supplier"), "s_suppkey"), "c_custkey")
@@ -256,7 +267,11 @@ def isotonic_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.isotonic_curve(points, "x", "y").withColumn("smooth", F.round("smooth", 4))
 
 
+_CUSTOMER_Q, _CUSTOMER_R = hexagons.cell_sql("(10.7 + (c_custkey * 7919 % 1000) / 5000)", "(106.6 + (c_custkey * 104729 % 1000) / 5000)", 8)
+_PARENT_Q, _PARENT_R = hexagons.rounded_sql("(c.q / 2)", "(c.r / 2)")
+
 QUERIES = {
+    "hex_cells": hex_cells,
     "price_distributions": price_distributions,
     "frontier_new_urls": frontier_new_urls, "frontier_after_fetches": frontier_after_fetches, "frontier_batch": frontier_batch, "panel_due": panel_due, "freeze_cohort": freeze_cohort,
     "freeze_cohort_by_source": freeze_cohort_by_source, "temporal_split": temporal_split, "cluster_leak_guard": cluster_leak_guard, "median_baseline": median_baseline,
@@ -275,6 +290,9 @@ _PLACE = "10.7 + ({k} * 7919 % 1000) / 5000 AS lat, 106.6 + ({k} * 104729 % 1000
 _MAPE = "round(avg(abs(l_extendedprice - predicted) / l_extendedprice), 6) AS mape"
 
 ORACLE_SQL = {
+    "hex_cells": f"""WITH c AS (SELECT c_custkey, {_CUSTOMER_Q} AS q, {_CUSTOMER_R} AS r FROM customer), h AS (SELECT q, r, count(*) AS n FROM c GROUP BY ALL),
+        a AS (SELECT x.q, x.r, x.n AS here, CAST(sum(y.n) AS BIGINT) AS around FROM h x JOIN h y ON abs(x.q - y.q) <= 1 AND abs(x.r - y.r) <= 1 AND abs(x.q - y.q + x.r - y.r) <= 1 GROUP BY ALL)
+        SELECT c_custkey, concat_ws(':', 8, c.q, c.r) AS cell, concat_ws(':', 7, {_PARENT_Q}, {_PARENT_R}) AS parent, here, around FROM c JOIN a ON a.q = c.q AND a.r = c.r""",
     "price_distributions": """SELECT l_returnflag AS source, count(*) AS rows, count(*) FILTER (WHERE l_extendedprice IS NULL) AS nulls_price, min(CAST(l_extendedprice AS DOUBLE)) AS least_price,
         max(CAST(l_extendedprice AS DOUBLE)) AS most_price, true AS quantiles_hold, true AS distinct_holds, true AS top_holds FROM lineitem GROUP BY 1""",
     "frontier_new_urls": f"WITH {_FRONTIER} SELECT url, source, first_seen - INTERVAL 1 DAY AS first_seen FROM f WHERE NOT in_panel",
