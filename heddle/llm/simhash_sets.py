@@ -15,9 +15,10 @@ one group, where a vantage-point tree over the one answers the other.
 
 A group gives each point's few nearest and most central candidates. Points with
 more are crowded: they meet once more among themselves, once the first links are
-confirmed, and only pairs in different components that fingerprints of 4096 bits
-leave open are given then. So a large group of near copies costs a few rows for
-each copy, and no candidate is lost.
+confirmed, and bring their sets. Pairs in different components that fingerprints of
+4096 bits leave open are confirmed there, and a link unites its components at once.
+So a group gives at most a row for each component that it joins to another, whether
+texts are near copies or just too far apart, and no candidate is lost.
 """
 
 from collections.abc import Iterator
@@ -53,6 +54,10 @@ FEW = 3
 #: Points of a leaf of the trees, and points that ask at once.
 LEAF_POINTS = 512
 QUERY_POINTS = 128
+#: Bytes of sets in a block of the second round, about.
+BLOCK_BYTES = 32 << 20
+#: Shingles compared at once.
+COMPARED = 1 << 20
 #: Words whose hashes a worker keeps.
 KEPT_WORDS = 200_000
 
@@ -129,18 +134,19 @@ def _candidates(asked: np.ndarray, tree: VantageTree, second: np.ndarray) -> tup
     return tuple(np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, dtype=np.int64),) * 3
 
 
-def near_points(
-    points: np.ndarray, sizes: np.ndarray, home: np.ndarray, within: bool, percent: int, few: int | None, parts: np.ndarray | None = None, wide: np.ndarray | None = None
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _fitting(a: np.ndarray, b: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs of two points whose sizes allow the similarity."""
+    return (a != b) & (100 * np.minimum(sizes[a], sizes[b]) >= percent * np.maximum(sizes[a], sizes[b]))
+
+
+def near_points(points: np.ndarray, sizes: np.ndarray, home: np.ndarray, within: bool, percent: int, few: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Candidates of a group: (a, b) as indices, and whether each point is crowded.
 
     ``points`` has two words a row; own points (``home``) are asked by visitors,
     or by each other if ``within``. ``few`` bounds the candidates that a query
-    gives (all, if None): its nearest, and as many again of the most central, to
-    which the group's candidates lie nearest on the whole, as a family's nearest
-    are chance but its centre is not. Points of pairs left out are crowded.
-    ``parts`` are components whose members need no more pairs, and ``wide`` are
-    longer fingerprints that pairs are held against.
+    gives: its nearest, and as many again of the most central, to which the group's
+    candidates lie nearest on the whole, as a family's nearest are chance but its
+    centre is not. Points of pairs left out are crowded.
     """
     own, asking = np.flatnonzero(home), np.flatnonzero(home if within else ~home)
     crowded, found, central = np.zeros(len(points), dtype=bool), [], np.zeros(len(points))
@@ -151,17 +157,8 @@ def near_points(
     def pairs(some: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         q, c, d = _candidates(points[some], tree, second)
         a, b = some[q], own[c]
-        good = (a != b) & (100 * np.minimum(sizes[a], sizes[b]) >= percent * np.maximum(sizes[a], sizes[b]))
-        if parts is not None:
-            good &= parts[a] != parts[b]
-        a, b, d = a[good], b[good], d[good]
-        if wide is not None:
-            good = np.minimum(sizes[a], sizes[b]) < SMALL
-            for k in range(0, len(a), 50_000):
-                far = np.bitwise_count(wide[a[k : k + 50_000]] ^ wide[b[k : k + 50_000]]).sum(axis=1, dtype=np.int64)
-                good[k : k + 50_000] |= far <= WIDE_RADIUS
-            a, b, d = a[good], b[good], d[good]
-        return a, b, d
+        good = _fitting(a, b, sizes, percent)
+        return a[good], b[good], d[good]
 
     def split(a: np.ndarray, b: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(a, b) of each query's ``few`` of least cost, and of the others; costs are below 65,536."""
@@ -185,11 +182,10 @@ def near_points(
             yield found
 
     for a, b, d in blocks(asking):
-        if few is not None:
-            central += np.bincount(b, weights=RADIUS + 1.0 - d, minlength=len(points))
-            a, b, *left = split(a, b, d)
-            for rest in left:
-                crowded[rest] = True
+        central += np.bincount(b, weights=RADIUS + 1.0 - d, minlength=len(points))
+        a, b, *left = split(a, b, d)
+        for rest in left:
+            crowded[rest] = True
         found.append((a, b))
     many = asking[crowded[asking]]
     rank = np.minimum(np.argsort(np.argsort(-central, kind="stable")), 65_535)
@@ -199,6 +195,61 @@ def near_points(
     return a, b, crowded
 
 
+def near_sets(
+    points: np.ndarray, sizes: np.ndarray, home: np.ndarray, within: bool, percent: int, parts: np.ndarray, wide: np.ndarray, sets: list[np.ndarray]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links (a, b) of a group that join its points' components: all that pairs of the group join, with one link for each joining.
+
+    ``points``, ``home`` and ``within`` as in ``near_points``; ``parts`` are the
+    points' components so far, ``wide`` their longer fingerprints, ``sets`` their
+    shingles, on which each link is confirmed.
+    """
+    own, asking = np.flatnonzero(home), np.flatnonzero(home if within else ~home)
+    if not len(own) or not len(asking):
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    tree, second, links = VantageTree(points[own, 0], leaf=LEAF_POINTS), points[own, 1], []
+    _, label = np.unique(parts, return_inverse=True)  # of each point, changed as components are joined
+
+    def confirmed(a: int, others: np.ndarray) -> np.ndarray:
+        """Which of some points are similar to ``a``."""
+        mine, counts = sets[a], np.array([len(sets[b]) for b in others])
+        every = np.concatenate([sets[b] for b in others])
+        at = np.minimum(np.searchsorted(mine, every), len(mine) - 1)
+        ends = np.cumsum(counts)
+        shared = np.diff(np.concatenate(([0], np.cumsum(mine[at] == every)[ends - 1])))
+        return 100 * shared >= percent * (len(mine) + counts - shared)
+
+    step = QUERY_POINTS // 8
+    for start in range(0, len(asking), step):
+        some = asking[start : start + step]
+        q, c, _ = _candidates(points[some], tree, second)
+        a, b = some[q], own[c]
+        good = _fitting(a, b, sizes, percent) & (label[a] != label[b])
+        a, b = a[good], b[good]
+        open_ = np.minimum(sizes[a], sizes[b]) < SMALL
+        for k in range(0, len(a), 50_000):
+            far = np.bitwise_count(wide[a[k : k + 50_000]] ^ wide[b[k : k + 50_000]]).sum(axis=1, dtype=np.int64)
+            open_[k : k + 50_000] |= far <= WIDE_RADIUS
+        a, b = a[open_], b[open_]
+        order = np.argsort(a, kind="stable")
+        a, b = a[order], b[order]
+        begins = np.flatnonzero(np.diff(a, prepend=-1))
+        for begin, end in zip(begins.tolist(), [*begins[1:].tolist(), len(a)]):
+            one = int(a[begin])
+            left, many = b[begin:end], max(1, COMPARED // max(1, len(sets[one])))
+            while len(left):
+                left = left[label[left] != label[one]]  # those joined meanwhile need no link
+                now, left = left[:many], left[many:]
+                if not len(now):
+                    break
+                for other in now[confirmed(one, now)].tolist():
+                    if label[other] != label[one]:
+                        links.append((one, other))
+                        label[label == label[other]] = label[one]
+    a, b = np.array(links, dtype=np.int64).reshape(-1, 2).T
+    return a, b
+
+
 def block_points(bands: list[tuple[int, int, int, int]]) -> int:
     """Points of a block for these bands; sizes within a quarter hold about a tenth of all."""
     least, most = BLOCK_POINTS
@@ -210,20 +261,22 @@ def _band(n: Column) -> Column:
 
 
 def _meetings(points: DataFrame, bands: list[tuple[int, int, int, int]], percent: int, few: int | None) -> DataFrame:
-    """(a, b) set ids of candidates, or (a, null) for a crowded point.
+    """(a, b, crowded): set ids of candidates, and (a, null) for a crowded point.
 
-    ``bands`` is a row for each band of sizes, so it grows with the logarithm of
-    the longest text. A point visits the blocks that its own may pair with, from
-    its own upward.
+    Without ``few`` the points have components, longer fingerprints and sets, and
+    the pairs are confirmed links. ``bands`` is a row for each band of sizes, so it
+    grows with the logarithm of the longest text. A point visits the blocks that its
+    own may pair with, from its own upward.
     """
     size = block_points(bands)
-    counts = {band: max(1, -(-n // size)) for band, n, *_ in bands}
+    # with their sets, points come in blocks of bounded bytes
+    counts = {band: max(1, -(-n // size if few is not None else -(-8 * n * high // BLOCK_BYTES))) for band, n, _, high in bands}
     firsts = dict(zip(counts, np.cumsum([0, *counts.values()]).tolist()))
     near = {band: [b for b, _, low, _ in bands if b >= band and 100 * high >= percent * low] for band, _, _, high in bands}
     numbers = lambda some: np.concatenate([np.arange(firsts[b], firsts[b] + counts[b]) for b in some])
     ahead = {band: numbers(some) for band, some in near.items()}
     back = {band: numbers([b for b in near if b <= band and band in near[b]]) for band in near}
-    labelled = "component" in points.columns
+    labelled = few is None
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -243,17 +296,20 @@ def _meetings(points: DataFrame, bands: list[tuple[int, int, int, int]], percent
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
         words = group[["f0", "f1"]].to_numpy(np.int64).view(np.uint64)
-        names = group["set_id"].to_numpy()
-        parts = group["component"].to_numpy() if labelled else None
-        wide = np.frombuffer(b"".join(group["wide"]), np.uint64).reshape(-1, WIDE) if labelled else None
+        names, sizes, home = group["set_id"].to_numpy(), group["n"].to_numpy(np.int64), group["home"].to_numpy(bool)
         within = bool((group["low"] == group["high"]).all())
-        a, b, crowded = near_points(words, group["n"].to_numpy(np.int64), group["home"].to_numpy(bool), within, percent, few, parts, wide)
+        if labelled:
+            wide = np.frombuffer(b"".join(group["wide"]), np.uint64).reshape(-1, WIDE)
+            a, b = near_sets(words, sizes, home, within, percent, group["component"].to_numpy(), wide, [np.frombuffer(g, np.uint64) for g in group["grams"]])
+            alone = names[:0]
+        else:
+            a, b, crowded = near_points(words, sizes, home, within, percent, few)
+            alone = names[crowded]
         low, high = np.minimum(names[a], names[b]), np.maximum(names[a], names[b])
-        alone = names[crowded]
         give_back()
         return pd.DataFrame({"a": np.r_[low, alone], "b": pd.array(np.r_[high, alone], dtype="Int64").copy(), "crowded": np.r_[np.zeros(len(a), dtype=bool), np.ones(len(alone), dtype=bool)]})
 
-    fields = "set_id long, n int, f0 long, f1 long, band int" + (", component long, wide binary" if labelled else "")
+    fields = "set_id long, n int, f0 long, f1 long, band int" + (", component long, wide binary, grams binary" if labelled else "")
     dealt = points.select(*(f.split()[0] for f in fields.split(", "))).mapInPandas(deal, f"{fields}, low long, high long, home boolean")
     return dealt.groupBy("low", "high").applyInPandas(meet, "a long, b long, crowded boolean").distinct()
 
@@ -314,14 +370,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
         both = both.join(sets.select(F.col("set_id").alias("b"), F.col("grams").alias("grams_b")), "b")
         return scratch.keep(both.where(alike("grams_a", "grams_b")).select(F.col("a").alias("src"), F.col("b").alias("dst")), name)
 
-    tried = met.where("not crowded").select("a", "b")
-    links = confirmed(tried, "links")
+    links = confirmed(met.where("not crowded").select("a", "b"), "links")
     crowd = points.join(met.where("crowded").select(F.col("a").alias("set_id")).distinct(), "set_id", "left_semi")
     parts = connected_components(links, scratch)
     crowd = crowd.join(parts.select(F.col("node").alias("set_id"), "component"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    crowd = scratch.keep(crowd.join(sets.select("set_id", widely("grams").alias("wide")), "set_id"), "crowd")
-    rest = scratch.keep(_meetings(crowd, bands, percent, None).select("a", "b"), "rest")
-    more = confirmed(rest.join(tried, ["a", "b"], "left_anti"), "more")
+    crowd = scratch.keep(crowd.join(sets.select("set_id", "grams", widely("grams").alias("wide")), "set_id"), "crowd")
+    crowds = [tuple(r) for r in crowd.groupBy("band").agg(F.count("*"), F.min("n"), F.max("n")).orderBy("band").collect()]
+    more = scratch.keep(_meetings(crowd, crowds, percent, None).select(F.col("a").alias("src"), F.col("b").alias("dst")), "more")
     # rows that repeat an id tie their texts together
     twice = prints.groupBy("doc_id").agg(F.min("set_id").alias("src"), F.max("set_id").alias("last")).where("src <> last").select("doc_id", "src")
     tied = prints.join(twice, "doc_id").where("set_id <> src").select("src", F.col("set_id").alias("dst"))

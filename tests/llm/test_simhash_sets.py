@@ -1,6 +1,8 @@
 import itertools
 import random
 
+import numpy as np
+
 import corpus_pipeline
 from heddle.llm import simhash_sets
 
@@ -66,3 +68,61 @@ def test_odd_rows(spark):
     kept = simhash_sets.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["2", "3", "None", "None"]
     assert simhash_sets.keep_one(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def family(chance, n, shared, own):
+    """Sets of shingles, as hashes, that have ``shared`` in common and ``own`` by themselves."""
+    common = chance.integers(0, 1 << 63, shared, dtype=np.uint64)
+    return [np.unique(np.r_[common, chance.integers(0, 1 << 63, own, dtype=np.uint64)]) for _ in range(n)]
+
+
+def met(sets, parts):
+    prints = np.array([simhash_sets.set_print(s) for s in sets])
+    wide = np.array([simhash_sets.set_print(s, simhash_sets.WIDE) for s in sets])
+    sizes, home = np.array([len(s) for s in sets]), np.ones(len(sets), dtype=bool)
+    return simhash_sets.near_sets(prints, sizes, home, True, 80, np.asarray(parts), wide, sets)
+
+
+def test_texts_of_one_template_just_too_far_apart_give_no_rows():
+    """At a similarity of 0.77 all pairs are candidates, and none leaves the group."""
+    chance = np.random.default_rng(5)
+    for n in (200, 600):
+        a, b = met(family(chance, n, 174, 26), np.arange(n))
+        assert len(a) == len(b) == 0
+
+
+def test_a_group_gives_a_row_for_each_joining():
+    """Families at 0.85, and their components so far: joined by as few links as connect them, the rest by none."""
+    chance = np.random.default_rng(6)
+    sets = family(chance, 150, 184, 16) + family(chance, 100, 174, 26) + family(chance, 50, 190, 10)
+    a, b = met(sets, np.r_[np.arange(150) // 50, np.arange(1000, 1100), np.full(50, 7)])
+    assert len(a) == 2 and max(a.max(), b.max()) < 150
+    assert all(simhash_sets.similar(sets[i], sets[j]) for i, j in zip(a, b))
+
+
+def test_rows_of_a_template_follow_the_texts(spark, monkeypatch):
+    """All rows that the stage writes for texts of one template at 0.75 to 0.79, counted at two sizes."""
+    written = {}
+    keep = simhash_sets.Scratch.keep
+
+    def counted(self, df, name="t"):
+        kept = keep(self, df, name)
+        written[name] = kept.count()
+        return kept
+
+    monkeypatch.setattr(simhash_sets.Scratch, "keep", counted)
+    chance, totals = random.Random(7), []
+    for n in (150, 600):
+        base = [f"word{i}" for i in range(200)]
+        texts = []
+        for _ in range(n):
+            words = list(base)
+            for at in chance.sample(range(0, 200, 7), 5):
+                words[at] = f"new{chance.randrange(10**9)}"
+            texts.append(" ".join(words))
+        written.clear()
+        kept = simhash_sets.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+        assert sorted(r["doc_id"] for r in kept.collect()) == brute_kept(list(enumerate(texts))) if n < 200 else kept.count() <= n
+        assert written["more"] <= n
+        totals.append(sum(written.values()))
+    assert totals[1] < 5 * totals[0]
