@@ -29,12 +29,14 @@ def cluster(spark: SparkSession, source: str, out: str, day: str | None = None)
         "listing_id", F.col("description_clean").alias("text"), block_key(F.col("province"), F.col("district"), F.col("area_sqm"), F.col("asking_rent_vnd")).alias("block")
     )
     # listing ids become numbers by their place, which no two share
-    numbered = Scratch(spark, "cluster").keep(ranks.numbered(keyed, ["listing_id"], "id"), "numbered")
+    scratch = Scratch(spark, "cluster")
+    numbered = scratch.keep(ranks.numbered(keyed, ["listing_id"], "id"), "numbered")
     found = dedupe.near_duplicate_clusters(numbered, "id", "block", "text").join(numbered.select("id", "listing_id"), "id")
     # the cluster's name is its least listing id
     names = found.groupBy("canonical_id").agg(F.min("listing_id").alias("name"))
     named = found.join(names, "canonical_id").select("listing_id", F.col("name").alias("canonical_id"), "cluster_size", (F.col("listing_id") == F.col("name")).alias("is_canonical"))
     named.write.mode("overwrite").parquet(out)
+    scratch.clear()
 
 
 def build_panel(spark: SparkSession, censor: str, probes: str, out_panel: str, out_survival: str) -> None:
