@@ -31,11 +31,13 @@ def fetch_outcomes(fetches: DataFrame) -> DataFrame:
     """The state that a log of fetches ``(url, ts, status, ok, content_hash)`` leaves, by url.
 
     Failures count from the last success on; the second in a row stamps the day,
-    and each later one stamps it anew.
+    and each later one stamps it anew. A column ``before`` of the log, if there is
+    one, says how many failures in a row came ahead of it.
     """
+    before = F.coalesce("before", F.lit(0)) if "before" in fetches.columns else F.lit(0)
     log = Window.partitionBy("url").orderBy("ts")
     runs = fetches.withColumn("run", F.sum(F.col("ok").cast("int")).over(log.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = runs.withColumn("failures", F.sum((~F.col("ok")).cast("int")).over(Window.partitionBy("url", "run").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)))
+    runs = runs.withColumn("failures", F.sum((~F.col("ok")).cast("int")).over(Window.partitionBy("url", "run").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)) + F.when(F.col("run") == 0, before).otherwise(0))
     gone = F.when(~F.col("ok") & (F.col("failures") >= FAILURES), F.to_date("ts"))
     return runs.groupBy("url").agg(
         F.max(F.when(F.col("ok"), F.col("ts"))).alias("last_fetch_ts"),
@@ -47,10 +49,9 @@ def fetch_outcomes(fetches: DataFrame) -> DataFrame:
 
 
 def apply_fetches(frontier: DataFrame, fetches: DataFrame) -> DataFrame:
-    """The frontier after a batch of fetches; failures before the batch add to its leading ones."""
-    carried = frontier.where("consecutive_failures > 0").select("url", F.explode(F.sequence(F.lit(1), "consecutive_failures")).alias("k"))
-    before = carried.select("url", F.timestamp_seconds(F.col("k") - 1_000_000_000).alias("ts"), F.lit(None).cast("int").alias("status"), F.lit(False).alias("ok"), F.lit(None).cast("string").alias("content_hash"))
-    after = fetch_outcomes(fetches.select("url", "ts", "status", "ok", "content_hash").unionByName(before.join(fetches.select("url").distinct(), "url", "left_semi")))
+    """The frontier after a batch of fetches; failures before the batch add to its leading ones, and stamp no day again."""
+    before = frontier.where("consecutive_failures > 0").select("url", F.col("consecutive_failures").alias("before"))
+    after = fetch_outcomes(fetches.select("url", "ts", "status", "ok", "content_hash").join(before, "url", "left"))
     later = after.select("url", *(F.col(c).alias(f"new_{c}") for c in after.columns if c != "url"))
     joined = frontier.join(later, "url", "left")
     merged = [F.coalesce(f"new_{c}", c).alias(c) for c in ("last_fetch_ts", "last_status", "content_hash", "consecutive_failures", "gone_date")]

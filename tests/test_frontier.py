@@ -34,6 +34,16 @@ def test_two_failures_in_a_row(spark):
     assert (after["d"]["consecutive_failures"], after["d"]["last_fetch_ts"]) == (0, None)
 
 
+def test_a_gone_day_outlives_a_success(spark):
+    """Only failures of the batch stamp a day: those before it did so in their own."""
+    known = {"consecutive_failures": 2, "gone_date": dt.date(2026, 8, 5)}
+    log = fetches(spark, ("a", hours(1), 200, True, "h"), ("b", hours(1), 500, False, None), ("c", hours(1), 200, True, "h"), ("c", hours(2), 500, False, None))
+    after = {r["url"]: r for r in frontier.apply_fetches(state(spark, *({"url": u} | known for u in "abcd")), log).collect()}
+    assert {u: (r["consecutive_failures"], r["gone_date"]) for u, r in after.items()} == {
+        "a": (0, dt.date(2026, 8, 5)), "b": (3, dt.date(2026, 9, 1)), "c": (1, dt.date(2026, 8, 5)), "d": (2, dt.date(2026, 8, 5)),
+    }
+
+
 def test_batches_and_cohort(spark):
     rows = [{"url": f"u{i:03}", "last_fetch_ts": hours(i) if i % 2 else None, "in_panel": i % 3 == 0, "first_seen": hours(-i)} for i in range(30)]
     df = state(spark, *rows)
