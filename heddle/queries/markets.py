@@ -8,6 +8,7 @@ from heddle.plans.durable import Scratch
 from heddle.plans.joins import sent_if_small
 from heddle.queries.panels import survival_labels
 from heddle.sources import table
+from heddle.sources.frontier_store import FrontierStore
 
 CUTOFF = "1999-01-01"
 CENTRE = (10.7769, 106.7009)
@@ -45,6 +46,16 @@ def frontier_after_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frontier.apply_fetches(_frontier(spark, sf_dir), _fetches(spark, sf_dir)).select("url", "last_fetch_ts", "last_status", "content_hash", "consecutive_failures", "gone_date")
 
 
+def frontier_stored_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a frontier on disk that is opened again for each of the two days' batches."""
+    path = f"{Scratch(spark, 'stored').root}/frontier"
+    pages, log = _frontier(spark, sf_dir), _fetches(spark, sf_dir)
+    FrontierStore(spark, path).update(pages, lambda batch, state: batch.unionByName(state))
+    for day in log.select(F.to_date("ts").alias("day")).distinct().orderBy("day").collect():
+        FrontierStore(spark, path).apply_fetches(log.where(F.to_date("ts") == F.lit(day["day"])))
+    return FrontierStore(spark, path).state().select("url", "last_fetch_ts", "last_status", "content_hash", "consecutive_failures", "gone_date")
+
+
 def frontier_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The next 20 of the panel and the next 20 to discover."""
     state = _frontier(spark, sf_dir)
@@ -273,7 +284,7 @@ _PARENT_Q, _PARENT_R = hexagons.rounded_sql("(c.q / 2)", "(c.r / 2)")
 QUERIES = {
     "hex_cells": hex_cells,
     "price_distributions": price_distributions,
-    "frontier_new_urls": frontier_new_urls, "frontier_after_fetches": frontier_after_fetches, "frontier_batch": frontier_batch, "panel_due": panel_due, "freeze_cohort": freeze_cohort,
+    "frontier_new_urls": frontier_new_urls, "frontier_after_fetches": frontier_after_fetches, "frontier_stored_fetches": frontier_stored_fetches, "frontier_batch": frontier_batch, "panel_due": panel_due, "freeze_cohort": freeze_cohort,
     "freeze_cohort_by_source": freeze_cohort_by_source, "temporal_split": temporal_split, "cluster_leak_guard": cluster_leak_guard, "median_baseline": median_baseline,
     "mape_by_group": mape_by_group, "price_gap": price_gap, "bargain_top100": bargain_top100, "error_deciles": error_deciles,
     "gap_quartiles": gap_quartiles, "gap_ntiles": gap_ntiles, "gap_ntiles_by_brand": gap_ntiles_by_brand, "r_squared": r_squared, "derived_numbers": derived_numbers, "pick_optimal": pick_optimal, "poi_radius": poi_radius, "place_distances": place_distances,
@@ -346,3 +357,4 @@ ORACLE_SQL = {
     "derived_numbers": """SELECT p_partkey, round(CASE WHEN p_size > 1 THEN ln(p_size - 1) END, 6) AS log_area, round(CASE WHEN p_size <> 1 THEN p_partkey / (p_size - 1) END, 6) AS rooms_per_sqm,
         round(CASE WHEN p_retailprice > 0 THEN ln(p_retailprice) END, 6) AS log_price FROM part""",
 }
+ORACLE_SQL["frontier_stored_fetches"] = ORACLE_SQL["frontier_after_fetches"]
