@@ -8,35 +8,46 @@ from heddle.operators import dedupe, gates
 from heddle.sources import table
 from heddle.sources.bronze import bronze_records as to_bronze
 
-PRICES = ["7tr5", "7.5 triệu/tháng", "12tr500", "7,500,000 đ", "850 nghìn", "Thỏa thuận", "", None, "7 triệu 2 phòng", "650 ngàn", "500k", "123456", "1.234.567", "15 TRIỆU", "2,5 tr"]
-AREAS = ["25 m2", "25,5m²", "dt 30.25 M2 x", "không rõ", "", None, "1000m2 đất"]
-PROVINCES = ["Hồ Chí Minh", "TP.HCM", "Tp. Hồ Chí Minh", "TPHCM", "Sài Gòn", "Hà Nội", "tp hà nội", "Đà Nẵng", "Tỉnh Bình Dương", "Đồng Nai", "Thành phố Cần Thơ", "Huế", "", None]
-DISTRICTS = ["Quận 3", "Q.7", "Q. Bình Thạnh", "Bình Thạnh", "Huyện Nhà Bè", "Thành phố Thủ Đức", "TP. Thủ Đức", "Thị xã Dĩ An", "Gò Vấp", "Quận Gò Vấp", "", None, "Quận "]
+# Raw words as listings write them, dealt to the rows of a table by key and filled with its numbers; each is one
+# expression that is SQL for Spark and for DuckDB alike.
+_MILLIONS, _THOUSANDS = "CAST(CAST(floor(p_retailprice / 100) AS BIGINT) AS STRING)", "CAST(CAST(floor(p_retailprice) AS BIGINT) AS STRING)"
+_TENTHS = "CAST(CAST(floor(p_retailprice) AS BIGINT) % 10 AS STRING)"
+PRICES = [
+    f"concat({_MILLIONS}, 'tr', {_TENTHS})", f"concat({_MILLIONS}, '.', {_TENTHS}, ' triệu/tháng')", f"concat({_MILLIONS}, 'tr', {_THOUSANDS})", f"concat({_MILLIONS}, ',500,000 đ')", f"concat({_THOUSANDS}, ' nghìn')",
+    "'Thỏa thuận'", "''", "CAST(NULL AS STRING)", f"concat({_MILLIONS}, ' triệu ', CAST(p_size AS STRING), ' phòng')", f"concat({_THOUSANDS}, ' ngàn')", f"concat({_THOUSANDS}, 'k')",
+    f"concat('12', {_THOUSANDS})", f"concat({_MILLIONS}, '.234.567')", f"concat({_MILLIONS}, ' TRIỆU')", f"concat({_MILLIONS}, ',', {_TENTHS}, ' tr')",
+]
+_SIZE = "CAST(p_size AS STRING)"
+AREAS = [f"concat({_SIZE}, ' m2')", f"concat({_SIZE}, ',5m²')", f"concat('dt ', {_SIZE}, '.25 M2 x')", "'không rõ'", "''", "CAST(NULL AS STRING)", f"concat({_SIZE}, '000m2 đất')", "p_name"]
+_SPELLINGS = ["Hồ Chí Minh", "TP.HCM", "Tp. Hồ Chí Minh", "TPHCM", "Sài Gòn", "Hà Nội", "tp hà nội", "Đà Nẵng", "Tỉnh Bình Dương", "Đồng Nai", "Thành phố Cần Thơ", "Huế", ""]
+PROVINCES = [*(f"'{name}'" for name in _SPELLINGS), "c_name", "CAST(NULL AS STRING)"]
+_NUMBER, _WARDS = "CAST(c_nationkey AS STRING)", ["Q. Bình Thạnh", "Bình Thạnh", "Huyện Nhà Bè", "Thành phố Thủ Đức", "TP. Thủ Đức", "Thị xã Dĩ An", "Gò Vấp", "Quận Gò Vấp", "", "Quận "]
+DISTRICTS = [f"concat('Quận ', {_NUMBER})", f"concat('Q.', {_NUMBER})", *(f"'{name}'" for name in _WARDS), "CAST(NULL AS STRING)"]
 
 
-def _cases(spark: SparkSession, values: list) -> DataFrame:
-    return spark.createDataFrame([(v,) for v in values], "raw string")
+def _dealt(key: str, cases: list[str]) -> str:
+    return f"CASE {key} % {len(cases)} " + " ".join(f"WHEN {i} THEN {case}" for i, case in enumerate(cases)) + " END"
 
 
-def _sql_values(values: list) -> str:
-    quoted = ", ".join("(NULL)" if v is None else "('" + v.replace("'", "''") + "')" for v in values)
-    return f"(SELECT CAST(raw AS VARCHAR) AS raw FROM (VALUES {quoted}) AS v(raw))"
+def _raw(spark: SparkSession, sf_dir: str, name: str, key: str, cases: list[str]) -> DataFrame:
+    return table(spark, sf_dir, name).select(key, F.expr(_dealt(key, cases)).alias("raw"))
 
 
 def price_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cases(spark, PRICES).select("raw", ft.parse_price(F.col("raw")).alias("vnd"))
+    """Parts' prices written in fifteen ways and read."""
+    return _raw(spark, sf_dir, "part", "p_partkey", PRICES).select("p_partkey", "raw", ft.parse_price(F.col("raw")).alias("vnd"))
 
 
 def area_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cases(spark, AREAS).select("raw", ft.parse_area(F.col("raw")).alias("sqm"))
+    return _raw(spark, sf_dir, "part", "p_partkey", AREAS).select("p_partkey", "raw", ft.parse_area(F.col("raw")).alias("sqm"))
 
 
 def province_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cases(spark, PROVINCES).select("raw", ft.normalise_province(F.col("raw")).alias("province"))
+    return _raw(spark, sf_dir, "customer", "c_custkey", PROVINCES).select("c_custkey", "raw", ft.normalise_province(F.col("raw")).alias("province"))
 
 
 def district_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cases(spark, DISTRICTS).select("raw", ft.normalise_district(F.col("raw")).alias("district"))
+    return _raw(spark, sf_dir, "customer", "c_custkey", DISTRICTS).select("c_custkey", "raw", ft.normalise_district(F.col("raw")).alias("district"))
 
 
 def _vocabulary(maps: dict) -> list[tuple]:
@@ -44,18 +55,27 @@ def _vocabulary(maps: dict) -> list[tuple]:
     return known + [(s, f" {k.upper()} ") for s, k in known] + [(s, w) for s in maps for w in ("lạ", "", None, "full", "unknown")] + [("other", "Căn hộ")]
 
 
+def _worded(spark: SparkSession, sf_dir: str, maps: dict) -> DataFrame:
+    """Parts with a source's word each, dealt by key; a sixth of the words are replaced by the part's type."""
+    cases = _vocabulary(maps)
+    words = spark.createDataFrame([(i, *case) for i, case in enumerate(cases)], "n int, source string, word string")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_type", (F.col("p_partkey") % len(cases)).cast("int").alias("n"))
+    raw = F.when(F.col("p_partkey") % 6 == 0, F.col("p_type")).otherwise(F.col("word"))
+    return parts.join(F.broadcast(words), "n").select("p_partkey", "source", raw.alias("raw"))  # the fixed vocabulary
+
+
 def furnishing_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame(_vocabulary(vocab.FURNISHING), "source string, raw string")
-    return rows.select("source", "raw", ft.normalise_furnishing(F.col("source"), F.col("raw")).alias("furnishing"))
+    rows = _worded(spark, sf_dir, vocab.FURNISHING)
+    return rows.select("p_partkey", "source", "raw", ft.normalise_furnishing(F.col("source"), F.col("raw")).alias("furnishing"))
 
 
 def property_type_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame(_vocabulary(vocab.PROPERTY_TYPE), "source string, raw string")
-    return rows.select("source", "raw", ft.normalise_property_type(F.col("source"), F.col("raw")).alias("property_type"))
+    rows = _worded(spark, sf_dir, vocab.PROPERTY_TYPE)
+    return rows.select("p_partkey", "source", "raw", ft.normalise_property_type(F.col("source"), F.col("raw")).alias("property_type"))
 
 
 def unmapped_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame(_vocabulary(vocab.FURNISHING), "source string, raw string")
+    rows = _worded(spark, sf_dir, vocab.FURNISHING)
     return ft.unmapped(rows, "source", "raw", ft.normalise_furnishing(F.col("source"), F.col("raw")), "unknown")
 
 
@@ -249,6 +269,10 @@ QUERIES = {
     "cluster_sample": cluster_sample, "amenity_flags": amenity_flags, "neardup_pairs_lsh": neardup_pairs_lsh,
 }
 
+def _raw_sql(name: str, key: str, cases: list[str]) -> str:
+    return f"(SELECT {key}, {_dealt(key, cases)} AS raw FROM {name})"
+
+
 _NORMAL = r"lower(trim(regexp_replace(coalesce(raw, ''), '\s+', ' ', 'g')))"
 _FOLDED = f"replace(replace(strip_accents({_NORMAL}), 'đ', 'd'), 'Đ', 'd')"
 _CASE = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in vocab.PROVINCES.items())
@@ -258,13 +282,15 @@ _CLEAN = f"regexp_replace(regexp_replace(regexp_replace(text, '{_EMAIL}', '<EMAI
 
 def _vocabulary_sql(maps: dict, name: str, default: str, levels: tuple = ()) -> str:
     q = lambda v: "NULL" if v is None else "'" + v.replace("'", "''") + "'"
-    cases = ", ".join(f"({q(s)}, {q(r)})" for s, r in _vocabulary(maps))
+    dealt = _vocabulary(maps)
+    cases = ", ".join(f"({i}, {q(s)}, {q(r)})" for i, (s, r) in enumerate(dealt))
     words = ", ".join(f"({q(s)}, {q(k)}, {q(v)}, {i})" for i, (s, k, v) in enumerate((s, k, v) for s, w in maps.items() for k, v in w.items()))
     inside = f"CASE WHEN lower(trim(c.raw)) IN ({', '.join(map(q, levels))}) THEN lower(trim(c.raw)) END, " if levels else ""
-    return f"""WITH c AS (SELECT row_number() OVER () AS n, * FROM (VALUES {cases}) AS v(source, raw)), w AS (SELECT * FROM (VALUES {words}) AS v(s, k, v, i)),
+    return f"""WITH k AS (SELECT * FROM (VALUES {cases}) AS v(i, source, word)),
+        c AS (SELECT p_partkey AS n, source, CASE WHEN p_partkey % 6 = 0 THEN p_type ELSE word END AS raw FROM part JOIN k ON i = p_partkey % {len(dealt)}), w AS (SELECT * FROM (VALUES {words}) AS v(s, k, v, i)),
         m AS (SELECT c.n, any_value(c.source) AS source, any_value(c.raw) AS raw, arg_min(w.v, w.i) FILTER (WHERE w.k = c.raw) AS own, arg_min(w.v, w.i) AS loose
             FROM c LEFT JOIN w ON w.s = c.source AND lower(trim(w.k)) = lower(trim(c.raw)) GROUP BY c.n)
-        SELECT c.source, c.raw, coalesce(own, loose, {inside}'{default}') AS {name} FROM m AS c"""
+        SELECT c.n AS p_partkey, c.source, c.raw, coalesce(own, loose, {inside}'{default}') AS {name} FROM m AS c"""
 
 
 _FURNISHED = _vocabulary_sql(vocab.FURNISHING, "furnishing", "unknown", vocab.FURNISHING_LEVELS)
@@ -287,16 +313,16 @@ def _tag(tag: str) -> str:
 
 
 ORACLE_SQL = {
-    "price_cases": rf"""WITH t AS (SELECT raw, {_NORMAL} AS t FROM {_sql_values(PRICES)}),
-        m AS (SELECT raw, t, regexp_extract(t, '(\d+(?:[.,]\d+)?)\s*tr(?:iệu)?\s*(\d+)?', 1) AS w, regexp_extract(t, '(\d+(?:[.,]\d+)?)\s*tr(?:iệu)?\s*(\d+)?', 2) AS f,
+    "price_cases": rf"""WITH t AS (SELECT p_partkey, raw, {_NORMAL} AS t FROM {_raw_sql('part', 'p_partkey', PRICES)}),
+        m AS (SELECT p_partkey, raw, t, regexp_extract(t, '(\d+(?:[.,]\d+)?)\s*tr(?:iệu)?\s*(\d+)?', 1) AS w, regexp_extract(t, '(\d+(?:[.,]\d+)?)\s*tr(?:iệu)?\s*(\d+)?', 2) AS f,
             regexp_extract(t, '([\d.,]+)\s*(?:nghìn|ngàn|k)\b', 1) AS k, regexp_replace(regexp_extract(t, '[\d.,]{{7,}}'), '[.,]', '', 'g') AS b FROM t)
-        SELECT raw, CASE WHEN contains(t, 'thỏa thuận') OR contains(t, 'thoa thuan') THEN NULL
+        SELECT p_partkey, raw, CASE WHEN contains(t, 'thỏa thuận') OR contains(t, 'thoa thuan') THEN NULL
             WHEN w <> '' AND (contains(w, '.') OR contains(w, ',') OR f = '') THEN CAST(floor(TRY_CAST(replace(w, ',', '.') AS DECIMAL(20, 6)) * 1000000) AS BIGINT)
             WHEN w <> '' THEN TRY_CAST(w AS BIGINT) * 1000000 + TRY_CAST(rpad(f[1:6], 6, '0') AS BIGINT)
             WHEN k <> '' THEN CAST(floor(TRY_CAST(replace(k, ',', '.') AS DECIMAL(20, 6)) * 1000) AS BIGINT) ELSE TRY_CAST(b AS BIGINT) END AS vnd FROM m""",
-    "area_cases": rf"SELECT raw, TRY_CAST(replace(regexp_extract({_NORMAL}, '(\d+(?:[.,]\d+)?)\s*m(?:2|²)', 1), ',', '.') AS DOUBLE) AS sqm FROM {_sql_values(AREAS)}",
-    "province_cases": rf"SELECT raw, CASE trim(regexp_replace({_FOLDED}, '^(?:tp\.?|thanh pho|tinh)\s*', '')) {_CASE} END AS province FROM {_sql_values(PROVINCES)}",
-    "district_cases": rf"SELECT raw, nullif(trim(regexp_replace({_FOLDED}, '^(?:quan|huyen|thanh pho|thi xa|tp|q)\s*[.\s]\s*', '')), '') AS district FROM {_sql_values(DISTRICTS)}",
+    "area_cases": rf"SELECT p_partkey, raw, TRY_CAST(replace(regexp_extract({_NORMAL}, '(\d+(?:[.,]\d+)?)\s*m(?:2|²)', 1), ',', '.') AS DOUBLE) AS sqm FROM {_raw_sql('part', 'p_partkey', AREAS)}",
+    "province_cases": rf"SELECT c_custkey, raw, CASE trim(regexp_replace({_FOLDED}, '^(?:tp\.?|thanh pho|tinh)\s*', '')) {_CASE} END AS province FROM {_raw_sql('customer', 'c_custkey', PROVINCES)}",
+    "district_cases": rf"SELECT c_custkey, raw, nullif(trim(regexp_replace({_FOLDED}, '^(?:quan|huyen|thanh pho|thi xa|tp|q)\s*[.\s]\s*', '')), '') AS district FROM {_raw_sql('customer', 'c_custkey', DISTRICTS)}",
     "furnishing_cases": _FURNISHED,
     "property_type_cases": _vocabulary_sql(vocab.PROPERTY_TYPE, "property_type", "other"),
     "unmapped_words": f"SELECT source, raw, count(*) AS rows FROM ({_FURNISHED}) WHERE raw IS NOT NULL AND trim(raw) <> '' AND furnishing = 'unknown' AND lower(trim(raw)) <> 'unknown' GROUP BY ALL",
