@@ -18,9 +18,9 @@ def temporal_split(df: DataFrame, day: str, cutoff: str, cluster: str | None = N
     return train, test
 
 
-def median_baseline(df: DataFrame, by: str, area: str, price: str) -> DataFrame:
-    """``df`` with ``predicted``: the group's exact median price per area, times the area."""
-    rates = df.withColumn("_rate", F.try_divide(F.col(price), F.col(area)))
+def median_baseline(df: DataFrame, by: str, area: str, price: str, train: DataFrame | None = None) -> DataFrame:
+    """``df`` with ``predicted``: the exact median price per area of its group, in ``df`` or in ``train``, times the area."""
+    rates = (df if train is None else train).withColumn("_rate", F.try_divide(F.col(price), F.col(area)))
     found = ranks.quantile_bounds(rates, "_rate", [0.5], by).select(by, F.col("bounds")[0].alias("_median"))
     return df.join(sent_if_small(found), by).withColumn("predicted", F.col("_median") * F.col(area)).drop("_median")
 

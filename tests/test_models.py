@@ -53,6 +53,26 @@ def test_rent_model_and_features(spark):
     assert models.cross_validate(made, "rent", (2, 3), 3, 2).avgMetrics
 
 
+def test_target_means_know_no_label_of_their_own_fold(spark):
+    rows = [(1, "a", 0, 10.0), (2, "a", 0, 20.0), (3, "a", 1, 40.0), (4, "b", 1, 70.0), (5, "a", None, 1e9), (6, "new", None, 1e9), (7, None, 0, 60.0), (8, "b", 0, None)]
+    df = spark.createDataFrame(rows, "id int, cell string, fold int, y double")
+    found = {r["id"]: r["cell_mean"] for r in models.target_means(df, "cell", "y", "fold", weight=2.0).collect()}
+    overall = (10 + 20 + 40 + 70 + 60) / 5
+    blend = lambda *ys: (sum(ys) + 2 * overall) / (len(ys) + 2)
+    wanted = {1: blend(40), 2: blend(40), 3: blend(10, 20), 4: overall, 5: blend(10, 20, 40), 6: overall, 7: overall, 8: blend(70)}
+    assert found.keys() == wanted.keys() and all(math.isclose(found[k], v) for k, v in wanted.items())
+
+
+def test_folds_keep_clusters_whole(spark):
+    """A feature that names the cluster says nothing of clusters left out; over folds that part them it seems to."""
+    from pyspark.ml.functions import array_to_vector
+
+    rows = [(float(c), (c * 37 % 100) / 10 + i / 100, c % 3, i % 3) for c in range(30) for i in range(12)]
+    df = spark.createDataFrame(rows, "name double, y double, whole int, parted int").withColumn("features", array_to_vector(F.array("name")))
+    whole, parted = (models.cross_validate(df, "y", (5,), 10, 3, fold).avgMetrics[0] for fold in ("whole", "parted"))
+    assert whole > 2 * parted
+
+
 def test_cells_and_distances(spark):
     df = spark.createDataFrame([(1, 10.7769, 106.7009), (2, None, None), (3, 10.7800, 106.7009), (4, 95.0, 10.0)], "id int, latitude double, longitude double")
     cells = [r[0] for r in df.select(geo.cell(F.col("latitude"), F.col("longitude"))).collect()]

@@ -42,7 +42,7 @@ def rows(spark, name):
 
 def test_queries_without_sql():
     """Models, hashed features and approximate pairs: each has a test of its own here or beside its operator."""
-    assert set(registry.queries()) - set(registry.oracle_sql()) == {"rent_gbt", "aft_survival", "text_idf", "neardup_pairs_lsh"}
+    assert set(registry.queries()) - set(registry.oracle_sql()) == {"rent_gbt", "rent_learned", "aft_survival", "text_idf", "neardup_pairs_lsh"}
 
 
 def test_held_out_prices(spark):
@@ -54,6 +54,14 @@ def test_held_out_prices(spark):
     assert all(-0.1 < r["r2"] < 0.1 for r in found)
 
 
+def test_a_rent_model_learns(spark):
+    """On parts that no fold has: most of the spread is explained, and the error is less than half the median's."""
+    found = rows(spark, "rent_learned")
+    held = database().execute("SELECT p_type, count(*) FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_partkey % 5 = 0 GROUP BY 1").fetchall()
+    assert {r["p_type"]: r["rows"] for r in found} == dict(held)
+    assert all(r["r2"] > 0.5 and r["mape"] < 0.5 * r["baseline_mape"] and r["depth"] in (3, 5) for r in found)
+
+
 def test_expected_durations(spark):
     found = rows(spark, "aft_survival")
     labels = {r["user_id"]: r for r in rows(spark, "survival_labels")}
