@@ -8,6 +8,7 @@ from heddle.operators import evaluation, frontier, panel
 from heddle.plans.durable import Scratch
 from heddle.sources import table
 from heddle.sources.bucketed import buckets_for, save_bucketed
+from heddle.streaming.silence import silences
 
 
 def user_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,10 +77,16 @@ def frontier_two_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frontier.two_failures(user_panel(spark, sf_dir), "user_id", "obs_date", "is_present")
 
 
+def user_silences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of two or more days without an event of a user."""
+    seen = table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("day"))
+    return silences(seen, last_day(spark, sf_dir), "user_id")
+
+
 QUERIES = {
     "panel_presence": user_panel, "panel_enriched": panel_enriched, "survival_labels": survival_labels, "survival_bucketed": survival_bucketed, "survival_event_rate": survival_event_rate,
     "survival_calendar_safe": survival_calendar_safe, "survival_by_cluster": survival_by_cluster, "transient_absences": transient_absences, "kaplan_meier": kaplan_meier,
-    "concordance_index": concordance_index, "frontier_two_failures": frontier_two_failures,
+    "concordance_index": concordance_index, "frontier_two_failures": frontier_two_failures, "user_silences": user_silences,
 }
 
 _PANEL = """seen AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events),
@@ -132,4 +139,7 @@ ORACLE_SQL = {
     "frontier_two_failures": f"""WITH {_PANEL}, r AS (SELECT *, sum(CAST(is_present AS INT)) OVER (PARTITION BY user_id ORDER BY obs_date) AS run FROM panel),
         f AS (SELECT *, sum(CAST(NOT is_present AS INT)) OVER (PARTITION BY user_id, run ORDER BY obs_date) AS k FROM r)
         SELECT user_id, CAST(arg_max(k, obs_date) AS INTEGER) AS consecutive_failures, max(obs_date) FILTER (WHERE NOT is_present AND k >= 2) AS gone_date FROM f GROUP BY 1""",
+    "user_silences": """WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS last_seen FROM events),
+        n AS (SELECT user_id, last_seen, last_seen + 2 AS gone_date, lead(last_seen) OVER (PARTITION BY user_id ORDER BY last_seen) AS back FROM d)
+        SELECT user_id, last_seen, gone_date FROM n WHERE CASE WHEN back IS NULL THEN gone_date <= (SELECT max(last_seen) FROM d) ELSE back > gone_date END""",
 }
