@@ -103,6 +103,24 @@ def test_neighbours_at_any_place(spark):
         assert found == {i: sum(km(p, q) <= radius for q in spots) for i, p in enumerate(spots)}
 
 
+def test_remote_places_meet_few_cubes(spark):
+    """A town's points and listings an ocean away: every distance right, and the points a listing is held against are few."""
+    import random
+
+    chance = random.Random(8)
+    town = [(10.7 + chance.gauss(0, 0.05), 106.7 + chance.gauss(0, 0.05)) for _ in range(4000)] + [(10.7, 106.7)] * 500
+    points = spark.createDataFrame(town, "latitude double, longitude double")
+    far = [(i, chance.uniform(-89, 89), chance.uniform(-180, 180)) for i in range(200)] + [(200, 10.7, 106.7), (201, 10.7, 106.7), (202, None, 1.0), (203, -10.7, -73.3)]
+    df = spark.createDataFrame(far, "id int, latitude double, longitude double")
+    exact = {r["id"]: r["km"] for r in geo.nearest_km(df, points, "id", few=10_000).collect()}
+    found = {r["id"]: r["km"] for r in geo.nearest_km(df, points, "id", few=10, leaf=8).collect()}
+    assert found.keys() == exact.keys() and found[202] is None and found[200] == found[201] == 0
+    assert all(found[k] == exact[k] for k in exact)
+    places = df.where("latitude is not null").select("latitude", "longitude").distinct()
+    met = [r["count"] for r in geo._leaf_pairs(places, points, 8).groupBy("latitude", "longitude").count().collect()]
+    assert len(met) == places.count() and sum(met) / len(met) < 40  # of 4001 points
+
+
 def test_links(spark):
     html = """<a href="1"><A  class=x HREF='2'><a href=3 id=y><a data-href="no"><abbr href="no"><a\nhref = "4">"""
     assert spark.createDataFrame([(html,)], "h string").select(web.links(F.col("h"))).first()[0] == ["1", "2", "3", "4"]
