@@ -11,6 +11,7 @@ from heddle.plans import ranks
 from heddle.plans.durable import Scratch
 from heddle.session import build_session
 from heddle.sources import bronze
+from heddle.sources.silver import read_silver
 
 
 def parse(spark: SparkSession, day: str, source: str, out: str) -> dict[str, int]:
@@ -21,9 +22,7 @@ def parse(spark: SparkSession, day: str, source: str, out: str) -> dict[str, int
 
 def cluster(spark: SparkSession, source: str, out: str, day: str | None = None) -> None:
     """Near-duplicate clusters of silver, of all days or up to one."""
-    silver = spark.read.parquet(source)
-    if day:
-        silver = silver.where(F.col("dt") <= day)
+    silver = read_silver(spark, source, last=day)
     latest = silver.groupBy("listing_id").agg(F.max_by(F.struct("province", "district", "area_sqm", "asking_rent_vnd", "description_clean"), "dt").alias("r")).select("listing_id", "r.*")
     keyed = latest.select(
         "listing_id", F.col("description_clean").alias("text"), block_key(F.col("province"), F.col("district"), F.col("area_sqm"), F.col("asking_rent_vnd")).alias("block")
@@ -41,7 +40,7 @@ def cluster(spark: SparkSession, source: str, out: str, day: str | None = None)
 
 def build_panel(spark: SparkSession, censor: str, probes: str, out_panel: str, out_survival: str) -> None:
     """Probes to the panel, by month, and its survival labels."""
-    rows = spark.read.parquet(probes).select("listing_id", F.col("obs_date").cast("date").alias("obs_date"), "is_present")
+    rows = bronze.read_probes(spark, probes)
     bronze.write_panel(rows, out_panel)
     panel.survival_labels(rows, datetime.date.fromisoformat(censor)).write.mode("overwrite").parquet(out_survival)
 

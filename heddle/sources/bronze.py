@@ -65,7 +65,13 @@ def write_partitioned(df: DataFrame, path: str, *by: str) -> None:
 
 def write_probes(probes: DataFrame, path: str) -> None:
     """Probe records by day."""
-    write_partitioned(probes.withColumn("dt", F.col("obs_date").cast("string")), path, "dt")
+    days = probes.withColumn("obs_date", F.col("obs_date").cast("date"))
+    write_partitioned(days.withColumn("dt", F.col("obs_date").cast("string")), path, "dt")
+
+
+def read_probes(spark: SparkSession, path: str) -> DataFrame:
+    """(listing_id, obs_date, is_present) of probe records, whose schema is fixed; only these columns are read."""
+    return spark.read.schema("listing_id string, obs_date date, is_present boolean").parquet(path)
 
 
 def write_panel(panel: DataFrame, path: str) -> None:

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from heddle import cli
 from heddle.functions import web
-from heddle.operators import frontier, gates, models
+from heddle.operators import frontier, gates, models, pages
 from heddle.plans import ranks
 from heddle.plans.joins import join_dimension
 from heddle.sources import bronze
+from heddle.sources.silver import read_silver
 from tests.test_pages import PORTAL_A, PORTAL_B, PORTAL_C, PORTAL_D, row
 
 DAY = "2026-09-20"
@@ -37,6 +38,25 @@ def test_parse_then_cluster(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "none")).count() == 0
 
 
+def test_silver_is_read_by_schema_and_day(spark, tmp_path):
+    """The schema is what the parse job writes; a day and a province are chosen by their folders."""
+    made = pages.parse_bronze(spark.createDataFrame([row("mogi", PORTAL_C), row("batdongsan", PORTAL_A), row("phongtro123", PORTAL_B), row("nhatot", PORTAL_D)], bronze.SCHEMA), DAY)
+    town = made.where("province = 'HCM'").count()
+    assert 0 < town < 4
+    kinds = lambda df: sorted((f.name, f.dataType.simpleString()) for f in df.schema.fields)
+    path = str(tmp_path / "silver")
+    for day in (DAY, "2026-09-21", "2026-09-22"):
+        bronze.write_partitioned(made.withColumn("dt", F.lit(day)), path, "province", "dt")
+    whole = read_silver(spark, path)
+    assert kinds(whole) == kinds(made) and whole.count() == 12
+    some = read_silver(spark, path, "2026-09-21", "2026-09-21", ["HCM"]).select("listing_id", "dt")
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and "ReadSchema: struct<listing_id:string>" in plan
+    assert [r["dt"] for r in some.collect()] == ["2026-09-21"] * town
+    read_nothing = read_silver(spark, path, last="2026-09-19")
+    assert read_nothing.count() == 0
+
+
 def test_parse_stops_at_a_gate(spark, tmp_path):
     bronze.write_bronze(spark.createDataFrame([row("mogi", "x", status=404)], bronze.SCHEMA), str(tmp_path / "bronze"))
     with pytest.raises(gates.GateError, match="parse_rate"):
