@@ -10,6 +10,7 @@ steps' gradients. Everything is DataFrame expressions; the driver sees sums over
 domains alone.
 """
 
+import warnings
 from functools import reduce
 
 import numpy as np
@@ -93,7 +94,9 @@ def fit_rates(members: DataFrame, targets: list[float], budget: float | None, sc
     None takes the least with which no domain's tokens shrink, and rates are
     projected at 1 instead of 0, so that no document does. The objective weighs each domain's error by the inverse
     of its own curvature; steps are taken in the metric of tokens, so documents
-    of equal posterior have equal rates whatever their length.
+    of equal posterior have equal rates whatever their length. Rates that leave a
+    domain off its target by more than ``TOLERANCE`` of the budget after ``steps``
+    steps, as without documents of it they must, are given with a warning that says by how much.
     """
     k = range(len(targets))
     p = [F.col(f"p{i}") for i in k]
@@ -122,6 +125,8 @@ def fit_rates(members: DataFrame, targets: list[float], budget: float | None, sc
                 scratch.drop(before)
         sums = current.agg(*(F.sum(rate * mass * p[i]).alias(f"t{i}") for i in k)).first()
         now = np.array([sums[f"t{i}"] or 0.0 for i in k])
+    if (off := np.abs(now - wanted) / max(budget, 1.0)).max(initial=0.0) > TOLERANCE:
+        warnings.warn(f"fit_rates: domains are off their targets by {', '.join(f'{x:.2g}' for x in off)} of the budget after {steps} steps", RuntimeWarning, stacklevel=2)
     return current.withColumn("rate", rate)
 
 

@@ -1,5 +1,7 @@
 import random
+import warnings
 
+import pytest
 from pyspark.sql import functions as F
 
 from heddle.llm import mixing
@@ -22,3 +24,16 @@ def test_no_document_shrinks_without_a_budget(spark):
     # with a budget of its own, rates may fall
     given = mixing.fit_rates(members, [0.5, 0.5], 300_000.0, Scratch(spark, "test"))
     assert given.agg(F.min("rate")).first()[0] < 1.0
+
+
+def test_missed_targets_are_told(spark):
+    rows = [(i, i, 1, 100, 0.9 if i % 2 else 0.1, 0.1 if i % 2 else 0.9) for i in range(100)]
+    schema = "doc_id long, text_hash long, copies long, tokens long, p0 double, p1 double"
+    members, none = spark.createDataFrame(rows, schema), spark.createDataFrame([(1, 1, 1, 100, 1.0, 0.0)], schema)
+    with pytest.warns(RuntimeWarning, match="off their targets by 0.*, 0.5 of the budget after 40 steps"):
+        mixing.fit_rates(none, [0.5, 0.5], 100.0, Scratch(spark, "test"))
+    with pytest.warns(RuntimeWarning, match="after 1 steps"):
+        mixing.fit_rates(members, [0.7, 0.3], 10_000.0, Scratch(spark, "test"), steps=1)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", RuntimeWarning)
+        mixing.fit_rates(members, [0.6, 0.4], 10_000.0, Scratch(spark, "test"))
