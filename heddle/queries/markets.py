@@ -8,6 +8,7 @@ from heddle.plans.durable import Scratch
 from heddle.plans.joins import sent_if_small
 from heddle.queries.panels import survival_labels
 from heddle.sources import table
+from heddle.sources.bucketed import buckets_for
 from heddle.sources.frontier_store import FrontierStore
 
 CUTOFF = "1999-01-01"
@@ -50,7 +51,8 @@ def frontier_stored_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from a frontier on disk that is opened again for each of the two days' batches."""
     path = f"{Scratch(spark, 'stored').root}/frontier"
     pages, log = _frontier(spark, sf_dir), _fetches(spark, sf_dir)
-    FrontierStore(spark, path).update(pages, lambda batch, state: batch.unionByName(state))
+    # a host's share of the rows, were it all of them, is in buckets of bounded size
+    FrontierStore(spark, path, hosts=16, parts=buckets_for(pages.count())).update(pages, lambda batch, state: batch.unionByName(state))
     for day in log.select(F.to_date("ts").alias("day")).distinct().orderBy("day").collect():
         FrontierStore(spark, path).apply_fetches(log.where(F.to_date("ts") == F.lit(day["day"])))
     return FrontierStore(spark, path).state().select("url", "last_fetch_ts", "last_status", "content_hash", "consecutive_failures", "gone_date")
