@@ -71,5 +71,10 @@ def distinct(sketch: Column) -> Column:
 
 
 def frequent(sketch: Column, n: int) -> Column:
-    """(item, count) of the ``n`` most frequent values; exact while no more than are tracked occur."""
-    return F.call_function("approx_top_k_estimate", sketch, F.lit(n))
+    """(item, count) of the ``n`` most frequent values; exact while no more than are tracked occur.
+
+    Beyond that only values whose count is surely above the sketch's error are named,
+    so the list is short or empty where no value stands out. Nulls are tracked like a
+    value and left out here.
+    """
+    return F.slice(F.filter(F.call_function("approx_top_k_estimate", sketch, F.lit(n + 1)), lambda t: t["item"].isNotNull()), 1, n)

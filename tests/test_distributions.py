@@ -2,7 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from heddle.operators import distributions as d, panel
-from heddle.queries import panels
+from heddle.queries import markets, panels
 from heddle.sources import bronze, bucketed
 
 N = 60_000
@@ -40,6 +40,20 @@ def test_merged_sketches_answer_as_one_pass_does(spark, tmp_path):
         assert [t["item"] for t in told["top"]] == [w for _, w in best] and all(abs(t["count"] + c) <= 3.5 / d.TRACKED * some.sum() for t, (c, _) in zip(told["top"], best))
 
 
+def test_no_supplier_stands_out_and_groups_without_values(spark, tmp_path):
+    """More suppliers than are tracked, all as frequent: the sketch names none. A null flag, and flags without prices or suppliers."""
+    kind = F.when(F.col("id") < 40_000, "N").when(F.col("id") < 40_010, "P").when(F.col("id") < 40_020, "S")
+    rows = spark.range(40_030).select(
+        F.timestamp_seconds(F.col("id") * 400).alias("l_shipdate"), kind.alias("l_returnflag"), F.when(~kind.eqNullSafe("P"), F.col("id") * 1.0).alias("l_extendedprice"), F.when(~kind.eqNullSafe("S"), F.col("id") % 5000).alias("l_suppkey")
+    )
+    rows.write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = {r["source"]: tuple(r)[1:] for r in markets.price_distributions(spark, str(tmp_path)).collect()}
+    assert found == {
+        "N": (40_000, 0, 0.0, 39_999.0, True, True, True), "P": (10, 10, None, None, True, True, True),
+        "S": (10, 0, 40_010.0, 40_019.0, True, True, True), None: (10, 0, 40_020.0, 40_029.0, True, True, True),
+    }
+
+
 def test_profiles_of_nothing(spark):
     none = spark.createDataFrame([], "dt string, price double, district string")
     assert d.profile(none, ["dt"], ["price"], ["district"]).count() == 0
