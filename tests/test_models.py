@@ -53,6 +53,22 @@ def test_rent_model_and_features(spark):
     assert models.cross_validate(made, "rent", (2, 3), 3, 2).avgMetrics
 
 
+def test_equal_listings_are_learnt_as_one_row(spark):
+    """A row for each distinct listing, weighted, gives the trees of all rows."""
+    from pyspark.ml.functions import array_to_vector
+
+    rows = [(float(i % 12), float(i // 12 % 5), (i % 12) * 3.0 + (i // 12 % 5) ** 2 + i % 7) for i in range(900)]
+    df = spark.createDataFrame([*rows, (1.0, 1.0, None)], "a double, b double, y double")
+    alike = models.collapsed(df, ["a", "b"], "y")
+    assert {(r["a"], r["b"]): (round(r["y"], 6), r["weight"]) for r in alike.collect()} == {
+        (a, b): (round(sum(y) / len(y), 6), len(y)) for a in range(12) for b in range(5) for y in [[r[2] for r in rows if r[:2] == (a, b)]]
+    }
+    vectors = lambda d: d.withColumn("features", array_to_vector(F.array("a", "b")))
+    whole, few = models.fit_rent_model(vectors(df.where("y is not null")), "y", 3, 5), models.fit_rent_model(models.spread(vectors(alike)), "y", 3, 5, weight="weight")
+    told = {(r["a"], r["b"]): r["prediction"] for r in whole.transform(vectors(alike)).collect()}
+    assert all(math.isclose(told[r["a"], r["b"]], r["prediction"], rel_tol=1e-6) for r in few.transform(vectors(alike)).collect())
+
+
 def test_target_means_know_no_label_of_their_own_fold(spark):
     rows = [(1, "a", 0, 10.0), (2, "a", 0, 20.0), (3, "a", 1, 40.0), (4, "b", 1, 70.0), (5, "a", None, 1e9), (6, "new", None, 1e9), (7, None, 0, 60.0), (8, "b", 0, None)]
     df = spark.createDataFrame(rows, "id int, cell string, fold int, y double")
