@@ -30,13 +30,9 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
 def base32(sha1_hex: Column) -> Column:
-    """Base32 of 40 hexadecimal digits: ten digits are eight letters."""
-
-    def letters(group: Column) -> Column:
-        bits = F.conv(F.substring(sha1_hex, group * 10 + 1, F.lit(10)), 16, 10).cast("long")
-        return F.array_join(F.transform(F.array(*map(F.lit, range(35, -1, -5))), lambda shift: F.substring(F.lit(BASE32), F.call_function("shiftright", bits, shift).bitwiseAND(F.lit(31)).cast("int") + 1, F.lit(1))), "")
-
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), letters), "")
+    """Base32 of 40 hexadecimal digits: ten digits are eight of base 32, each with its letter."""
+    groups = [F.lpad(F.conv(F.substring(sha1_hex, at, 10), 16, 32), 8, "0") for at in range(1, 41, 10)]
+    return F.translate(F.concat(*groups), "0123456789ABCDEFGHIJKLMNOPQRSTUV", BASE32)
 
 
 def packed(payload: Column) -> Column:
@@ -141,9 +137,14 @@ def read_archive(headers: DataFrame, payloads: DataFrame) -> DataFrame:
 
 def header_field(name: str, column: str = "record") -> Column:
     """A field of the record's own header block, null where it has none."""
-    lines = F.split(F.substring_index(F.col(column).cast("string"), RECORD_END, 1), CRLF)
-    found = F.filter(lines, lambda line: line.startswith(f"{name}: "))
-    return F.when(F.size(found) > 0, F.substring(found[0], F.lit(len(name) + 3), F.length(found[0])))
+    return field_of(name, F.substring_index(F.col(column).cast("string"), RECORD_END, 1))
+
+
+def field_of(name: str, block: Column) -> Column:
+    """A field's value in the lines of a header block: what stands behind its name, up to the line's end."""
+    lines = F.concat(F.lit(CRLF), block)
+    behind = F.substring_index(F.substring(lines, F.instr(lines, f"{CRLF}{name}: ") + len(CRLF) + len(name) + 2, F.length(lines)), CRLF, 1)
+    return F.when(F.instr(lines, f"{CRLF}{name}: ") > 0, behind)
 
 
 def page_of(urn: Column) -> Column:
@@ -158,17 +159,20 @@ def describe_records(records: DataFrame) -> DataFrame:
     that isn't as long as its header says, or a payload whose digest isn't the
     header's, is an error.
     """
-    text = F.col("record").cast("string")
-    head = F.octet_length(F.substring_index(text, RECORD_END, 1)) + len(RECORD_END)
-    http = F.octet_length(F.substring_index(text, RECORD_END, 2)) + len(RECORD_END) - head
-    parts = records.select(
-        page_of(header_field("WARC-Record-ID")).alias("page_id"),
-        header_field("WARC-Type").alias("record_type"),
-        page_of(header_field("WARC-Refers-To")).alias("refers_to"),
-        F.substring(header_field("WARC-Payload-Digest"), F.lit(6), F.lit(32)).alias("told"),
-        header_field("Content-Length").cast("long").alias("block_bytes"),
+    # the two header blocks are cut out once, and only they are read as text
+    block = F.substring_index(F.col("record").cast("string"), RECORD_END, 2)
+    cut = records.select("record", "payload", block.alias("blocks"))
+    cut = cut.select("record", "payload", F.octet_length("blocks").alias("length"), F.substring_index("blocks", RECORD_END, 1).alias("fields"))
+    head = F.octet_length("fields") + len(RECORD_END)
+    field = lambda name: field_of(name, F.col("fields"))
+    parts = cut.select(
+        page_of(field("WARC-Record-ID")).alias("page_id"),
+        field("WARC-Type").alias("record_type"),
+        page_of(field("WARC-Refers-To")).alias("refers_to"),
+        F.substring(field("WARC-Payload-Digest"), F.lit(6), F.lit(32)).alias("told"),
+        field("Content-Length").cast("long").alias("block_bytes"),
         (F.octet_length("record") - head).cast("long").alias("block_found"),
-        F.when(header_field("WARC-Type") == "response", F.substring("record", head + http + 1, F.octet_length("record"))).otherwise(F.col("payload")).alias("payload"),
+        F.when(field("WARC-Type") == "response", F.substring("record", F.col("length") + len(RECORD_END) + 1, F.octet_length("record"))).otherwise(F.col("payload")).alias("payload"),
     )
     sound = (F.col("block_bytes") == F.col("block_found")) & (base32(F.sha1("payload")) == F.col("told"))
     told = F.when(sound, F.col("told")).otherwise(F.raise_error(F.lit("archive: a record doesn't match its header")).cast("string"))

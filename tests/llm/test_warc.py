@@ -89,3 +89,14 @@ def test_files_hold_the_same_bytes(spark, tmp_path):
     data = b"".join(gzip.decompress(p.read_bytes()) for p in sorted((tmp_path / "warc").glob("*.gz")))
     assert data.count(b"WARC-Record-ID") == len(PAGES) and data.endswith(b"\r\n\r\n")
     assert "é one".encode() in data
+
+
+def test_digests_and_fields_are_compiled(spark):
+    """No lambda runs for a record, and digests, names that begin alike and fields that are absent come out right."""
+    records = archived(spark)
+    plan = warc.describe_records(records)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
+    texts = spark.createDataFrame([(f"text {i}",) for i in range(200)], "t string").select("t", warc.base32(F.sha1("t")).alias("b"))
+    assert all(r["b"] == base64.b32encode(hashlib.sha1(r["t"].encode()).digest()).decode() for r in texts.collect())
+    block = spark.createDataFrame([(b"WARC/1.1\r\nX-A: A: 1\r\nA: \r\nA: 2\r\n\r\nB: 3",)], "record binary")
+    assert tuple(block.select(*(warc.header_field(n) for n in ("A", "X-A", "B"))).first()) == ("", "A: 1", None)
