@@ -89,6 +89,35 @@ def test_folds_keep_clusters_whole(spark):
     assert whole > 2 * parted
 
 
+def test_depth_by_all_folds_at_once(spark):
+    """The depth that cross-validation finds, deep trees or shallow ones, weighted rows or not."""
+    import random
+
+    from pyspark.ml.functions import array_to_vector
+
+    chance = random.Random(5)
+    rows = [(float(i % 16), i // 16 % 3, float(1 + i % 4), (i % 16 * 7 % 16) + i * 31 % 5 / 10, chance.gauss(0, 1)) for i in range(96)]
+    df = spark.createDataFrame(rows, "a double, fold int, weight double, deep double, noise double").withColumn("features", array_to_vector(F.array("a")))
+    for label, weight, wanted in (("deep", "weight", 4), ("noise", None, 1)):
+        tried = models.cross_validate(df, label, (1, 4), 3, 3, "fold", weight)
+        assert models.best_depth(df, label, "fold", (1, 4), 3, 3, weight) == tried.bestModel.getMaxDepth() == wanted
+
+
+def test_places_without_a_word_are_left_out(spark):
+    """Trees tell the same of all rows from the words' places that vary as from all of them; a text of one word has none."""
+    rows = [("ab"[i % 2], ("mới " if i % 3 else "cũ ") + ("to" if i % 5 else "nhỏ"), float(i % 30), (3.0 if i % 3 else 1.0) * (i % 30) + (i % 2) * 9 + i % 5) for i in range(300)]
+    df = spark.createDataFrame(rows, "kind string, text string, area double, rent double")
+    told, sizes = [], []
+    for varied in (False, True):
+        made = models.feature_pipeline(["kind"], ["area"], "text", 64, varied=varied).fit(df).transform(df)
+        sizes.append(len(made.first()["features"]))
+        told.append([r["prediction"] for r in models.fit_rent_model(made, "rent", 3, 5).transform(made).select("prediction").collect()])
+    assert sizes == [2 + 1 + 64, 2 + 1 + 4]
+    assert all(math.isclose(a, b, rel_tol=1e-9) for a, b in zip(*told))
+    alike = df.withColumn("text", F.lit("cũ"))
+    assert len(models.feature_pipeline(["kind"], ["area"], "text", 64, varied=True).fit(alike).transform(alike).first()["features"]) == 3
+
+
 def test_cells_and_distances(spark):
     df = spark.createDataFrame([(1, 10.7769, 106.7009), (2, None, None), (3, 10.7800, 106.7009), (4, 95.0, 10.0)], "id int, latitude double, longitude double")
     cells = [r[0] for r in df.select(geo.cell(F.col("latitude"), F.col("longitude"))).collect()]

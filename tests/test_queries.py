@@ -62,6 +62,21 @@ def test_a_rent_model_learns(spark):
     assert all(r["r2"] > 0.5 and r["mape"] < 0.5 * r["baseline_mape"] and r["depth"] in (3, 5) for r in found)
 
 
+def test_a_rent_model_takes_few_passes(spark, monkeypatch):
+    """Six fits for the depth and one for the model, over places that vary: with a second model of all folds and all 64 places of words it runs out of time."""
+    from pyspark.ml.regression import GBTRegressor
+
+    sizes, fit = [], GBTRegressor._fit
+
+    def counted(self, df):
+        sizes.append(len(df.first()["features"]))
+        return fit(self, df)
+
+    monkeypatch.setattr(GBTRegressor, "_fit", counted)
+    registry.queries()["rent_learned"](spark, SF_DIR)
+    assert len(sizes) == 7 and max(sizes) < 40
+
+
 def test_expected_durations(spark):
     found = rows(spark, "aft_survival")
     labels = {r["user_id"]: r for r in rows(spark, "survival_labels")}
